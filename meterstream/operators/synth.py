@@ -1,0 +1,81 @@
+"""Labelled synthetic readings as a distributed job.
+
+One reading per row of a key column (e.g. ``events.event_id``), so the job
+scales with its input and every draw is a deterministic hash of (key,
+stream): the same rows come out on any cluster shape, unlike ``rand(seed)``
+whose stream depends on partitioning.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .. import constants as C
+from ..functions.rules import building_factor, floor_factor, unit_draw
+
+END_TIME = "2024-02-01 00:00:00"
+
+
+def _d(v: float) -> Column:
+    return F.lit(float(v)).cast("double")
+
+
+def hour_profile(hour: Column) -> Column:
+    daylight = F.when(hour.between(C.DAYLIGHT_FIRST_HOUR, C.DAYLIGHT_LAST_HOUR),
+                      _d(C.DAYLIGHT_FACTOR)).otherwise(_d(C.NIGHT_FACTOR))
+    peak = F.when(hour.between(C.PEAK_FIRST_HOUR, C.PEAK_LAST_HOUR),
+                  _d(C.PEAK_FACTOR)).otherwise(_d(C.OFF_PEAK_FACTOR))
+    return daylight * peak
+
+
+def uniform(lo: Column, hi: Column, u: Column) -> Column:
+    return F.round(lo + (hi - lo) * u, 2)
+
+
+def synthetic_training(base: DataFrame, key_col: str, buildings: Sequence[str] = C.TRAIN_BUILDINGS,
+                       floors: int = C.FLOORS, anomaly_rate: float = C.TRAIN_ANOMALY_RATE,
+                       end_time: str = END_TIME, span_s: int = C.TRAIN_TIME_SPAN_SECONDS) -> DataFrame:
+    """building, floor, electricity, water, status (normal/anomaly), timestamp (ISO text ending in Z)."""
+    key = F.col(key_col)
+    n_b = len(buildings)
+    building = F.element_at(F.array(*[F.lit(b) for b in buildings]),
+                            (F.floor(unit_draw(key, "building") * n_b) + 1).cast("int"))
+    floor = (F.floor(unit_draw(key, "floor") * floors) + 1).cast("int")
+    hour = F.floor(unit_draw(key, "hour") * 24).cast("int")
+    is_anomaly = unit_draw(key, "anomaly") < _d(anomaly_rate)
+    out = base.select(key.alias("key"), building.alias("building"), floor.alias("floor"),
+                      hour.alias("hour"), is_anomaly.alias("is_anomaly"))
+    scale = hour_profile(F.col("hour")) * building_factor("building") * floor_factor("floor")
+    be = _d(C.BASE_ELECTRICITY) * scale
+    bw = _d(C.BASE_WATER) * scale
+    k = F.col("key")
+    ue, uw = unit_draw(k, "electricity"), unit_draw(k, "water")
+    lo_a_e, hi_a_e = C.TRAIN_ANOMALY_ELECTRICITY
+    lo_a_w, hi_a_w = C.TRAIN_ANOMALY_WATER
+    electricity = F.when(F.col("is_anomaly"), uniform(be + _d(lo_a_e), be + _d(hi_a_e), ue)) \
+        .otherwise(uniform(be * _d(C.TRAIN_NORMAL_LOW_FACTOR), be + _d(C.LIVE_ELECTRICITY_SPREAD), ue))
+    water = F.when(F.col("is_anomaly"), uniform(bw + _d(lo_a_w), bw + _d(hi_a_w), uw)) \
+        .otherwise(uniform(bw * _d(C.TRAIN_NORMAL_LOW_FACTOR), bw + _d(C.LIVE_WATER_SPREAD), uw))
+    back = F.floor(unit_draw(k, "time") * (span_s + 1)).cast("int")
+    ts = F.timestamp_add("SECOND", -back, F.lit(end_time).cast("timestamp_ntz"))
+    return out.select(
+        k.alias("reading_id"), "building", "floor",
+        electricity.alias("electricity"), water.alias("water"),
+        F.when(F.col("is_anomaly"), F.lit(C.LABEL_ANOMALY)).otherwise(F.lit(C.LABEL_NORMAL)).alias("status"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"))
+
+
+def synthetic_live(readings: DataFrame, key_col: str = "reading_id") -> DataFrame:
+    """Live-style draw for each reading's building/floor/time: U(base, base + spread), 2 decimals."""
+    from ..functions.rules import expected_base, rule_status
+    k = F.col(key_col)
+    be = expected_base(C.BASE_ELECTRICITY)
+    bw = expected_base(C.BASE_WATER)
+    out = readings.select(
+        k.alias("reading_id"), "building", "floor", "timestamp",
+        uniform(be, be + _d(C.LIVE_ELECTRICITY_SPREAD), unit_draw(k, "live-electricity")).alias("electricity"),
+        uniform(bw, bw + _d(C.LIVE_WATER_SPREAD), unit_draw(k, "live-water")).alias("water"))
+    return out.withColumn("status", rule_status("electricity", "water"))

@@ -193,3 +193,9 @@ QUERIES: dict[str, Query] = {
     "panel_latest": panel_latest,
     "anomalies_per_building": anomalies_per_building,
 }
+
+from .models import MODEL_QUERIES  # noqa: E402
+from .streams import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(MODEL_QUERIES)
+QUERIES.update(STREAM_QUERIES)

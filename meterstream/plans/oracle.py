@@ -151,3 +151,78 @@ SELECT window_start AS time, building, value FROM (
   FROM readings WHERE "timestamp" IS NOT NULL
   GROUP BY building, time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-01'))
 WHERE window_start >= TIMESTAMP '{TREND_LO}' AND window_start < TIMESTAMP '{TREND_HI}'"""
+
+
+# --- streams, sinks, model store -------------------------------------------------
+
+def _window_1h_closed(delay: str) -> str:
+    base = window_sql("1 hour", MODEL_METRICS_SQL)
+    return f"""SELECT * FROM ({base}) w
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '{delay}'"""
+
+
+ANOMALY_DOC = with_ctes(READINGS, scored_cte()) + f"""
+SELECT building, floor, electricity, water, cluster, round(dist, 6) AS dist,
+       strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp"
+FROM scored WHERE dist > {dbl(FROZEN.threshold)}"""
+
+ANOMALY_ROW = with_ctes(READINGS, scored_cte()) + f"""
+SELECT building, floor, electricity, water, cluster, round(dist, 6) AS distance, "timestamp"
+FROM scored WHERE dist > {dbl(FROZEN.threshold)}"""
+
+
+def unit_draw_sql(key: str, stream: str) -> str:
+    return (f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'), 1, 8)) AS BIGINT) "
+            f"/ {dbl(4294967296.0)})")
+
+
+def _synthetic_sql() -> str:
+    blist = "[" + ", ".join(f"'{b}'" for b in C.TRAIN_BUILDINGS) + "]"
+    n_b = len(C.TRAIN_BUILDINGS)
+    hour_profile = (f"((CASE WHEN hour BETWEEN {C.DAYLIGHT_FIRST_HOUR} AND {C.DAYLIGHT_LAST_HOUR} "
+                    f"THEN {dbl(C.DAYLIGHT_FACTOR)} ELSE {dbl(C.NIGHT_FACTOR)} END) * "
+                    f"(CASE WHEN hour BETWEEN {C.PEAK_FIRST_HOUR} AND {C.PEAK_LAST_HOUR} "
+                    f"THEN {dbl(C.PEAK_FACTOR)} ELSE {dbl(C.OFF_PEAK_FACTOR)} END))")
+    scale = f"(({hour_profile} * {BUILDING_FACTOR}) * {FLOOR_FACTOR})"
+    ue, uw = unit_draw_sql("key", "electricity"), unit_draw_sql("key", "water")
+    (lae, hae), (law, haw) = C.TRAIN_ANOMALY_ELECTRICITY, C.TRAIN_ANOMALY_WATER
+
+    def uni(lo, hi, u):
+        return f"round(({lo}) + (({hi}) - ({lo})) * {u}, 2)"
+    return f"""WITH draws AS (
+  SELECT event_id AS key,
+         {blist}[CAST(floor({unit_draw_sql('event_id', 'building')} * {n_b}) + 1 AS INTEGER)] AS building,
+         CAST(floor({unit_draw_sql('event_id', 'floor')} * {C.FLOORS}) + 1 AS INTEGER) AS floor,
+         CAST(floor({unit_draw_sql('event_id', 'hour')} * 24) AS INTEGER) AS hour,
+         {unit_draw_sql('event_id', 'anomaly')} < {dbl(C.TRAIN_ANOMALY_RATE)} AS is_anomaly
+  FROM events),
+based AS (SELECT *, {dbl(C.BASE_ELECTRICITY)} * {scale} AS be, {dbl(C.BASE_WATER)} * {scale} AS bw FROM draws)
+SELECT key AS reading_id, building, floor,
+  CASE WHEN is_anomaly THEN {uni(f'be + {dbl(lae)}', f'be + {dbl(hae)}', ue)}
+       ELSE {uni(f'be * {dbl(C.TRAIN_NORMAL_LOW_FACTOR)}', f'be + {dbl(C.LIVE_ELECTRICITY_SPREAD)}', ue)} END AS electricity,
+  CASE WHEN is_anomaly THEN {uni(f'bw + {dbl(law)}', f'bw + {dbl(haw)}', uw)}
+       ELSE {uni(f'bw * {dbl(C.TRAIN_NORMAL_LOW_FACTOR)}', f'bw + {dbl(C.LIVE_WATER_SPREAD)}', uw)} END AS water,
+  CASE WHEN is_anomaly THEN '{C.LABEL_ANOMALY}' ELSE '{C.LABEL_NORMAL}' END AS status,
+  strftime(TIMESTAMP '2024-02-01 00:00:00'
+           - to_seconds(CAST(floor({unit_draw_sql('key', 'time')} * {C.TRAIN_TIME_SPAN_SECONDS + 1}) AS BIGINT)),
+           '%Y-%m-%dT%H:%M:%SZ') AS "timestamp"
+FROM based"""
+
+
+SYNTHETIC = _synthetic_sql()
+
+ORACLE.update({
+    "stream_window_agg": window_sql("1 hour", MODEL_METRICS_SQL),
+    "stream_window_agg_append": _window_1h_closed("2 hours"),
+    "stream_rule_anomalies": RULE_ANOMALIES.replace("SELECT reading_id, building", "SELECT building", 1),
+    "stream_model_anomalies": MODEL_ANOMALIES,
+    "stream_restart": MODEL_ANOMALIES,
+    "sink_documents": ANOMALY_DOC,
+    "sink_relational": ANOMALY_ROW,
+    "model_roundtrip": MODEL_ANOMALIES,
+    "synthetic_readings": SYNTHETIC,
+    "training_csv": f"SELECT building, floor, electricity, water, status, \"timestamp\" FROM ({SYNTHETIC}) s",
+    "rejects": """
+SELECT text AS raw, CASE WHEN text IS NULL THEN 'null_value' ELSE 'bad_json' END AS reason
+FROM conversations""",
+})

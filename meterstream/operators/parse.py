@@ -32,8 +32,10 @@ def decode(envelope: DataFrame, keep=()) -> DataFrame:
     JSON from an empty object.  ``keep`` names envelope columns to pass through
     (topic, partition, offset, ...).
     """
-    msg = (envelope.select(*keep, value_text("value").alias("raw"))
-           .withColumn("data", parse_message("raw")))
+    raw = value_text("value")
+    # parse once per row (a generator output is never re-inlined into later filters)
+    msg = envelope.select(*keep, raw.alias("raw"),
+                          F.inline(F.array(F.struct(parse_message(raw).alias("data")))))
     ts_text = F.col("data.timestamp")
     parsed_ts = event_time(ts_text)
     reason = (F.when(F.col("raw").isNull(), F.lit(NULL_VALUE))

@@ -5,7 +5,8 @@
   rejects to every reject sink.
 
 Each query reads the source once and fans out inside ``foreachBatch``; the
-micro-batch is persisted once for all sinks and released afterwards.  Sink
+micro-batch is persisted once when several outputs read it, and released
+afterwards.  Sink
 errors propagate, so a failed batch is not committed and is replayed on
 restart; the idempotent sinks make the replay exact.
 """
@@ -45,12 +46,15 @@ def _start(writer, settings: QuerySettings) -> StreamingQuery:
 
 def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        shared = len(sinks) > 1
+        if shared:
+            batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for s in sinks:
                 s.write(batch_df, batch_id)
         finally:
-            batch_df.unpersist()
+            if shared:
+                batch_df.unpersist()
     return run
 
 
@@ -94,8 +98,11 @@ def scoring_query(envelope: DataFrame, detector: Detector, anomaly_sinks: Sequen
     """Stateless: anomalies and rejects of each micro-batch to their sinks."""
     decoded = parse.decode(envelope).withColumn("received_at", F.current_timestamp())
 
+    shared = len(anomaly_sinks) + len(reject_sinks) > 1
+
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        if shared:
+            batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             found = detector(batch_df.filter(F.col("reason").isNull()))
             for s in anomaly_sinks:
@@ -105,6 +112,7 @@ def scoring_query(envelope: DataFrame, detector: Detector, anomaly_sinks: Sequen
                 for s in reject_sinks:
                     s.write(bad, batch_id)
         finally:
-            batch_df.unpersist()
+            if shared:
+                batch_df.unpersist()
 
     return _start(decoded.writeStream.outputMode("append").foreachBatch(run), settings)

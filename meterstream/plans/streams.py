@@ -19,17 +19,20 @@ from ..sources.tables import readings, with_status
 from ..streaming.progress import ProgressLog, await_all
 from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
                                  scoring_query)
-from ..streaming.replay import stage_replay
+from ..streaming.replay import files_per_batch, stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
 
-REPLAY_FILES = 6
+MICRO_BATCHES = 6
 
 
-def replay_source(spark: SparkSession, sf_dir: str, ordered: bool, files: int = REPLAY_FILES) -> SourceConfig:
+def replay_source(spark: SparkSession, sf_dir: str, ordered: bool,
+                  batches: int = MICRO_BATCHES) -> SourceConfig:
+    """Readings staged as topic records: ``batches`` micro-batches of equal size."""
     env = parse.to_envelope(with_status(readings(spark, sf_dir)))
+    per_batch = files_per_batch(env)
     path = scratch_path(spark, "replay")
-    stage_replay(env, path, files, "timestamp" if ordered else None)
-    return SourceConfig(kind="files", path=path, max_files_per_trigger=1)
+    stage_replay(env, path, batches * per_batch, "timestamp" if ordered else None)
+    return SourceConfig(kind="files", path=path, max_files_per_trigger=per_batch)
 
 
 def _settings(spark, name: str) -> QuerySettings:

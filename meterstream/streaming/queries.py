@@ -44,6 +44,19 @@ def _start(writer, settings: QuerySettings) -> StreamingQuery:
     return writer.start()
 
 
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """Window state in RocksDB (off-heap, spills to disk) unless the session chose a provider.
+
+    The provider is fixed into a query's checkpoint at its first start.
+    """
+    if spark.conf.get(STATE_PROVIDER_KEY, None) is None:
+        spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
+
+
 def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
     def run(batch_df: DataFrame, batch_id: int) -> None:
         shared = len(sinks) > 1
@@ -68,6 +81,7 @@ def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySetting
     ``watermark`` and writes each window once, when it closes.  Without a
     watermark the state is never evicted (the accept-everything mode).
     """
+    use_rocksdb_state(envelope.sparkSession)
     readings = parse.valid(parse.decode(envelope))
     aggs = windows.window_aggregate(readings, duration, metrics, watermark=watermark)
     aggs = aggs.withColumn("processed_at", F.current_timestamp())

@@ -2,9 +2,11 @@
 
 The file source reads files in modification-time order.  Files are written
 by a normal distributed job; their modification times are then set in
-file-name (= partition) order, so ``maxFilesPerTrigger=1`` replays them one
-file per micro-batch in a chosen order: time order (``order_col``) for
+file-name (= partition) order, so ``maxFilesPerTrigger=m`` replays them ``m``
+files per micro-batch in a chosen order: time order (``order_col``) for
 watermark runs, or a round-robin mix of all times for out-of-order runs.
+``files_per_batch`` follows the input's partition count, so a micro-batch is
+read by as many tasks as the table is, never by one.
 """
 
 from __future__ import annotations
@@ -12,6 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def files_per_batch(df: DataFrame) -> int:
+    return max(1, df.rdd.getNumPartitions())
+
+
 def stage_replay(envelope: DataFrame, path: str, files: int, order_col: str | None = None) -> list[str]:
     df = envelope.repartitionByRange(files, order_col) if order_col else envelope.repartition(files)
     df.write.mode("error").parquet(path)

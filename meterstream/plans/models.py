@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..model import FROZEN
 from ..operators import scoring, training
-from ..operators.synth import synthetic_training
+from ..operators.synth import synthetic_live, synthetic_training
 from ..schema import TRAINING_SCHEMA
 from ..session import scratch_path
 from ..sources.models import load_model, save_model
@@ -53,7 +53,13 @@ def model_roundtrip(spark, sf_dir):
     return an.withColumn("dist", F.round("dist", 6))
 
 
+def synthetic_live_readings(spark, sf_dir):
+    """Live-style readings: for each reading's building, floor and time, U(base, base + spread)."""
+    return synthetic_live(readings(spark, sf_dir))
+
+
 MODEL_QUERIES = {
+    "synthetic_live_readings": synthetic_live_readings,
     "synthetic_readings": synthetic_readings,
     "training_csv": training_csv,
     "kmeans_fit": kmeans_fit,

@@ -226,3 +226,28 @@ ORACLE.update({
 SELECT text AS raw, CASE WHEN text IS NULL THEN 'null_value' ELSE 'bad_json' END AS reason
 FROM conversations""",
 })
+
+
+def _synthetic_live_sql() -> str:
+    be = f"({dbl(C.BASE_ELECTRICITY)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR})"
+    bw = f"({dbl(C.BASE_WATER)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR})"
+    ue = unit_draw_sql("reading_id", "live-electricity")
+    uw = unit_draw_sql("reading_id", "live-water")
+    drawn = f"""SELECT reading_id, building, floor, "timestamp",
+  round({be} + (({be} + {dbl(C.LIVE_ELECTRICITY_SPREAD)}) - {be}) * {ue}, 2) AS electricity,
+  round({bw} + (({bw} + {dbl(C.LIVE_WATER_SPREAD)}) - {bw}) * {uw}, 2) AS water
+FROM readings"""
+    return with_ctes(READINGS, f"drawn AS ({drawn})") + f"""
+SELECT *, {STATUS} AS status FROM drawn"""
+
+
+ORACLE.update({
+    "synthetic_live_readings": _synthetic_live_sql(),
+    "stream_pct_of_average": with_ctes(READINGS) + f""",
+avgs AS (SELECT building, avg(electricity) AS avg_electricity FROM readings GROUP BY building)
+SELECT r.building, r.floor, r.electricity, r."timestamp",
+       round(a.avg_electricity, 6) AS avg_electricity,
+       round({dbl(100.0)} * r.electricity / a.avg_electricity, 6) AS pct_of_avg
+FROM readings r JOIN avgs a ON r.building = a.building
+WHERE r.electricity > {dbl(C.HIGH_ELECTRICITY)}""",
+})

@@ -141,7 +141,23 @@ def sink_relational(spark, sf_dir):
     return _r6(back.drop("batch_id", "detected_at"), "distance")
 
 
+def stream_pct_of_average(spark, sf_dir):
+    """High-electricity alerts from the stream, joined to a static table of building averages."""
+    from .. import constants as C
+    from ..operators import enrich
+    avgs = enrich.building_averages(readings(spark, sf_dir))
+
+    def detect(rows: DataFrame) -> DataFrame:
+        alerts = rows.filter(F.col("electricity") > F.lit(C.HIGH_ELECTRICITY))
+        return enrich.pct_of_average(rows, alerts=alerts, averages=avgs).select(
+            "building", "floor", "electricity", "timestamp", "avg_electricity", "pct_of_avg")
+
+    out = _scoring(spark, sf_dir, "stream_pct_of_average", detect, lambda p: [ParquetSink(p)])
+    return _r6(spark.read.parquet(out).drop("batch_id"), "avg_electricity", "pct_of_avg")
+
+
 STREAM_QUERIES = {
+    "stream_pct_of_average": stream_pct_of_average,
     "stream_window_agg": stream_window_agg,
     "stream_window_agg_append": stream_window_agg_append,
     "stream_rule_anomalies": stream_rule_anomalies,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..schema import MESSAGE_SCHEMA
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"   # ...+00:00, microseconds
+# Readings carry UTC wall time (timestamp_ntz); text is written with a fixed +00:00 offset.
+ISO_FORMAT_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
 def _c(x) -> Column:
@@ -29,14 +30,27 @@ def is_json_object(text) -> Column:
     return F.json_object_keys(_c(text)).isNotNull()
 
 
+def utc_wall(instant) -> Column:
+    """timestamp (an instant) -> timestamp_ntz holding its UTC wall time, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(instant).cast("timestamp_ntz"))
+
+
+def from_utc_wall(wall) -> Column:
+    """timestamp_ntz holding UTC wall time -> timestamp (the instant)."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(wall)).cast("timestamp")
+
+
 def event_time(text="timestamp") -> Column:
-    """ISO-8601 text (``+00:00`` or ``Z``) -> timestamp_ntz (UTC wall time); bad text -> null."""
-    return F.try_to_timestamp(_c(text)).cast("timestamp_ntz")
+    """ISO-8601 text (``+00:00``, ``Z`` or another offset) -> UTC wall time; bad text -> null.
+
+    Text without an offset is read in the session time zone.
+    """
+    return utc_wall(F.try_to_timestamp(_c(text)))
 
 
 def iso_text(ts="timestamp") -> Column:
-    """timestamp -> ISO-8601 text with offset and microseconds."""
-    return F.date_format(_c(ts), ISO_FORMAT)
+    """UTC wall time (timestamp_ntz) -> ISO-8601 text with microseconds and ``+00:00``."""
+    return F.date_format(_c(ts), ISO_FORMAT_UTC)
 
 
 def encode_message(building="building", floor="floor", electricity="electricity",

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.parse import encode_message, event_time, is_json_object, parse_message, value_text
+from ..functions.parse import (encode_message, event_time, from_utc_wall, is_json_object, parse_message,
+                               value_text)
 from ..schema import MESSAGE_SCHEMA
 
 # Reject reasons, checked in this order.
@@ -81,5 +82,5 @@ def to_envelope(readings: DataFrame, topic: str = C.TOPIC, partitions: int = 3,
         F.lit(topic).alias("topic"),
         F.pmod(F.xxhash64("building"), F.lit(partitions)).cast("int").alias("partition"),
         offset.alias("offset"),
-        F.col("timestamp").cast("timestamp").alias("timestamp"),
+        from_utc_wall("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.parse import from_utc_wall, utc_wall
 
 # name -> aggregate expression
 METRICS = {
@@ -36,16 +37,18 @@ def window_aggregate(df: DataFrame, duration: str = C.WINDOW_DURATION,
     building costs one partial row per task.  With ``watermark`` the state of
     closed windows is dropped and append mode becomes possible;
     ``withWatermark`` needs a ``timestamp`` column, so a timestamp_ntz event
-    time is cast for the window and the bounds are cast back.
+    time (UTC wall time) becomes its instant for the window and the bounds are
+    turned back into UTC wall time.
     """
     ntz = dict(df.dtypes).get(time_col) == "timestamp_ntz"
     ts = time_col
     if watermark is not None:
         ts = "_event_time"
-        df = df.withColumn(ts, F.col(time_col).cast("timestamp")).withWatermark(ts, watermark)
+        instant = from_utc_wall(time_col) if ntz else F.col(time_col)
+        df = df.withColumn(ts, instant).withWatermark(ts, watermark)
     grouped = df.groupBy(F.window(ts, duration).alias("window"), *keys)
     out = grouped.agg(*[METRICS[m]().alias(m) for m in metrics])
     start, end = F.col("window.start"), F.col("window.end")
     if ntz and watermark is not None:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+        start, end = utc_wall(start), utc_wall(end)
     return out.select(*keys, *metrics, start.alias("window_start"), end.alias("window_end"))

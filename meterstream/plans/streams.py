@@ -138,6 +138,8 @@ def sink_relational(spark, sf_dir):
     out = _scoring(spark, sf_dir, "sink_relational", model_detector(FROZEN),
                    lambda p: [RelationalSink("anomalies", anomaly_row, path=p)])
     back = spark.read.parquet(f"{out}/anomalies")
+    from ..functions.parse import utc_wall
+    back = back.withColumn("timestamp", utc_wall("timestamp"))     # stored instant -> UTC wall time
     return _r6(back.drop("batch_id", "detected_at"), "distance")
 
 

@@ -17,6 +17,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import from_utc_wall
+
 ISO_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -147,15 +149,20 @@ class FailOnce:
         self.sink.write(df, batch_id)
 
 
+def instant(df: DataFrame, col: str):
+    """A typed timestamp column: UTC wall time (timestamp_ntz) becomes its instant."""
+    if dict(df.dtypes).get(col) == "timestamp_ntz":
+        return from_utc_wall(col).alias(col)
+    return F.col(col).cast("timestamp").alias(col)
+
+
 def aggregate_row(df: DataFrame) -> DataFrame:
     """Relational projection of aggregates."""
     return df.select("building", "avg_electricity", "avg_water", "max_elec", "min_elec",
-                     F.col("window_start").cast("timestamp"), F.col("window_end").cast("timestamp"),
-                     F.col("processed_at").cast("timestamp"))
+                     instant(df, "window_start"), instant(df, "window_end"), instant(df, "processed_at"))
 
 
 def anomaly_row(df: DataFrame) -> DataFrame:
     """Relational projection of anomalies (P17): ``dist`` is stored as ``distance``."""
     return df.select("building", "floor", "electricity", "water", "cluster",
-                     F.col("dist").alias("distance"), F.col("timestamp").cast("timestamp"),
-                     F.col("detected_at").cast("timestamp"))
+                     F.col("dist").alias("distance"), instant(df, "timestamp"), instant(df, "detected_at"))

@@ -86,3 +86,19 @@ def test_decode_parses_json_once(spark):
     q = parse.valid(parse.decode(env)).filter(F.col("electricity") > 100)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck):
+    """Parsing, ISO text, watermark windows and typed sinks keep UTC wall time in any session zone."""
+    import __spark_entry__ as entry
+    from helpers import assert_same
+    from conftest import SF_SMALL
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        for name in ("parse_envelope", "stream_window_agg_append", "sink_relational", "sink_documents"):
+            got = entry.queries()[name](spark, SF_SMALL).toPandas()
+            want = duck(SF_SMALL).execute(entry.oracle_sql()[name]).df()
+            assert_same(got, want)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -111,7 +111,6 @@ def _run_streams(args, detector_name: str) -> None:
         for p in listener.progress:
             print(f"{p['name']}: batch {p['batch_id']}, {p['input_rows']} rows, "
                   f"{p['rows_per_second']:.0f} rows/s")
-        spark.stop()
 
 
 def cmd_stage_replay(args) -> None:

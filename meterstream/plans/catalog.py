@@ -146,7 +146,7 @@ def severity_bands(spark, sf_dir):
 
 
 def pct_of_average(spark, sf_dir):
-    r = readings(spark, sf_dir)
+    r = readings(spark, sf_dir, water=False)
     out = enrich.pct_of_average(r)
     return out.select("reading_id", "building", "floor", "electricity", "timestamp",
                       r6("avg_electricity").alias("avg_electricity"), r6("pct_of_avg").alias("pct_of_avg"))
@@ -155,7 +155,11 @@ def pct_of_average(spark, sf_dir):
 # --- reports ----------------------------------------------------------------------
 
 def panel_trend(spark, sf_dir):
-    aggs = windows.window_aggregate(readings(spark, sf_dir), "1 hour", windows.MODEL_METRICS)
+    # a superset range on the raw time reaches the parquet scan; the exact range follows
+    lo = F.lit(TREND_LO).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR")
+    hi = F.lit(TREND_HI).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR")
+    raw = readings(spark, sf_dir, water=False).filter((F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
+    aggs = windows.window_aggregate(raw, "1 hour", ("avg_electricity",))
     out = reports.panel_trend(aggs, TREND_LO, TREND_HI)
     return out.withColumn("value", r6("value"))
 

@@ -33,21 +33,22 @@ def parsed_once(**cols) -> F.Column:
     return F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()])))
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
-    water = F.lit(4.0) * F.get_json_object("props", "$.k").try_cast("double")
-    return events.select(
+def readings_from_events(events: DataFrame, water: bool = True) -> DataFrame:
+    """``water=False`` leaves the JSON column out entirely (the generator is never pruned)."""
+    cols = [
         F.col("event_id").alias("reading_id"),
         F.col("event_type").alias("building"),
         (F.col("user_id") % 5 + 1).cast("int").alias("floor"),
         F.col("value").cast("double").alias("electricity"),
-        parsed_once(water=water),
-        F.col("ts").alias("timestamp"),
-    )
+    ]
+    if water:
+        cols.append(parsed_once(water=F.lit(4.0) * F.get_json_object("props", "$.k").try_cast("double")))
+    return events.select(*cols, F.col("ts").alias("timestamp"))
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, water: bool = True) -> DataFrame:
     """Readings view: reading_id, building, floor, electricity, water, timestamp."""
-    return readings_from_events(table(spark, sf_dir, "events"))
+    return readings_from_events(table(spark, sf_dir, "events"), water)
 
 
 def with_status(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from ..sinks import DocumentSink, FailOnce, ParquetSink, RelationalSink, anomaly
 from ..sources.tables import readings, with_status
 from ..streaming.progress import ProgressLog, await_all
 from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
-                                 scoring_query)
+                                 scoring_query, state_partitions)
 from ..streaming.replay import files_per_batch, stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
 
@@ -46,10 +46,11 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
 def _aggregates(spark, sf_dir, name, ordered, watermark, mode) -> DataFrame:
     src = replay_source(spark, sf_dir, ordered)
     out = scratch_path(spark, f"{name}-out")
-    q = aggregate_query(envelope_stream(spark, src), [ParquetSink(out)], _settings(spark, name),
-                        duration="1 hour", metrics=windows.MODEL_METRICS, watermark=watermark,
-                        output_mode=mode)
-    await_all([q])
+    with state_partitions(spark):
+        q = aggregate_query(envelope_stream(spark, src), [ParquetSink(out)], _settings(spark, name),
+                            duration="1 hour", metrics=windows.MODEL_METRICS, watermark=watermark,
+                            output_mode=mode)
+        await_all([q])
     return spark.read.parquet(out)
 
 
@@ -101,8 +102,11 @@ def stream_progress(spark, sf_dir):
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(log)
-    rows = [(p["name"], p["batch_id"], p["input_rows"]) for p in log.progress]
-    return spark.createDataFrame(rows, "name string, batch_id long, input_rows long")
+    rows = [(p["name"], p["batch_id"], p["input_rows"],
+             p["observed"].get("records", {}).get("rows"), p["observed"].get("records", {}).get("rejected"))
+            for p in log.progress]
+    return spark.createDataFrame(
+        rows, "name string, batch_id long, input_rows long, parsed_rows long, rejected long")
 
 
 def stream_restart(spark, sf_dir):

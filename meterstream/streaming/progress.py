@@ -28,6 +28,7 @@ class ProgressLog(StreamingQueryListener):
                 "input_rows": int(p.numInputRows),
                 "rows_per_second": float(p.processedRowsPerSecond or 0.0),
                 "watermark": (p.eventTime or {}).get("watermark"),
+                "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()},
             })
 
     def onQueryIdle(self, event):

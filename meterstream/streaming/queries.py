@@ -14,6 +14,7 @@ restart; the idempotent sinks make the replay exact.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -57,6 +58,27 @@ def use_rocksdb_state(spark) -> None:
         spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
 
+SHUFFLE_KEY = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def state_partitions(spark, n: int | None = None):
+    """Run a stateful query with ``n`` state partitions when the session has not chosen a count.
+
+    The count is fixed into the checkpoint by the first micro-batch, so this
+    must span at least that batch (the callers wait for the query to end).
+    Defaults to the cluster's parallelism rather than Spark's fixed 200.
+    """
+    if spark.conf.get(SHUFFLE_KEY, None) is not None:
+        yield
+        return
+    spark.conf.set(SHUFFLE_KEY, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_KEY)
+
+
 def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
     def run(batch_df: DataFrame, batch_id: int) -> None:
         shared = len(sinks) > 1
@@ -71,6 +93,11 @@ def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
     return run
 
 
+def observed(decoded: DataFrame, name: str = "records") -> DataFrame:
+    """Per-batch counts (rows, rejected) reported with each progress event, without extra jobs."""
+    return decoded.observe(name, F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected"))
+
+
 def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySettings,
                     duration: str = C.WINDOW_DURATION, metrics=windows.MODEL_METRICS,
                     watermark: str | None = None, output_mode: str = "update") -> StreamingQuery:
@@ -82,7 +109,7 @@ def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySetting
     watermark the state is never evicted (the accept-everything mode).
     """
     use_rocksdb_state(envelope.sparkSession)
-    readings = parse.valid(parse.decode(envelope))
+    readings = parse.valid(observed(parse.decode(envelope)))
     aggs = windows.window_aggregate(readings, duration, metrics, watermark=watermark)
     aggs = aggs.withColumn("processed_at", F.current_timestamp())
     return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks)), settings)
@@ -110,7 +137,7 @@ def rule_detector(high_electricity: float = C.HIGH_ELECTRICITY, high_water: floa
 def scoring_query(envelope: DataFrame, detector: Detector, anomaly_sinks: Sequence,
                   settings: QuerySettings, reject_sinks: Sequence = ()) -> StreamingQuery:
     """Stateless: anomalies and rejects of each micro-batch to their sinks."""
-    decoded = parse.decode(envelope).withColumn("received_at", F.current_timestamp())
+    decoded = observed(parse.decode(envelope)).withColumn("received_at", F.current_timestamp())
 
     shared = len(anomaly_sinks) + len(reject_sinks) > 1
 

@@ -103,7 +103,7 @@ def test_restart_after_sink_failure_no_loss_no_duplicates(spark):
 
 def test_progress_listener_sees_every_batch(spark):
     import time
-    src = stage(spark, [[msg("A", "10:00:00", 1.0)], [msg("A", "10:00:01", 2.0), msg("A", "10:00:02", 3.0)]])
+    src = stage(spark, [[msg("A", "10:00:00", 1.0)], [msg("A", "10:00:01", 2.0), "{bad"]])
     log = ProgressLog()
     spark.streams.addListener(log)
     try:
@@ -117,6 +117,8 @@ def test_progress_listener_sees_every_batch(spark):
         spark.streams.removeListener(log)
     assert sum(p["input_rows"] for p in log.progress) == 3
     assert len(log.started) == 1 and len(log.terminated) == 1
+    assert sum(p["observed"]["records"]["rows"] for p in log.progress if p["observed"]) == 3
+    assert sum(p["observed"]["records"]["rejected"] for p in log.progress if p["observed"]) == 1
 
 
 def test_detected_at_is_constant_within_a_batch(spark):

@@ -155,7 +155,7 @@ def main(argv=None) -> int:
     t.add_argument("--models", required=True)
     t.add_argument("--k", type=int, default=C.KMEANS_K)
     t.add_argument("--seed", type=int, default=C.KMEANS_SEED)
-    t.add_argument("--threshold-rule", choices=("mean+3sd", "p95"), default="mean+3sd")
+    t.add_argument("--threshold-rule", choices=("mean+3sd", "p95", "p95-approx"), default="mean+3sd")
     t.set_defaults(fn=cmd_train)
 
     for name in ("monitor", "rules"):

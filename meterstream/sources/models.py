@@ -69,4 +69,7 @@ def load_model(spark: SparkSession, root_or_version: str, with_pipeline: bool =
         k = len(pipeline.stages[-1].clusterCenters())
         if k != model.k:
             raise ValueError(f"pipeline has k={k}, scalar model k={model.k}")
+        cols = tuple(pipeline.stages[0].getInputCols())
+        if cols != model.features:
+            raise ValueError(f"pipeline features {cols} differ from {model.features}")
     return model, pipeline

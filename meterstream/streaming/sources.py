@@ -43,8 +43,10 @@ def envelope_stream(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
              .option("failOnDataLoss", str(cfg.fail_on_data_loss).lower()))
         if cfg.max_offsets_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(cfg.max_offsets_per_trigger))
-        if cfg.min_partitions:
-            r = r.option("minPartitions", str(cfg.min_partitions))
+        # Records are keyed by building, so one topic partition can hold most of them;
+        # minPartitions splits large offset ranges over several tasks.
+        min_parts = cfg.min_partitions or spark.sparkContext.defaultParallelism
+        r = r.option("minPartitions", str(min_parts))
         return r.load()
     if cfg.kind == "files":
         r = spark.readStream.schema(ENVELOPE_SCHEMA)

@@ -93,3 +93,10 @@ def test_synthetic_is_independent_of_partitioning(spark):
     a = synthetic_training(ev, "event_id")
     b = synthetic_training(ev.repartition(7), "event_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_threshold_rules_agree_on_p95(spark):
+    r = readings(spark, SF_SMALL)
+    exact, _ = training.fit_model(r, threshold_rule="p95")
+    approx, _ = training.fit_model(r, threshold_rule="p95-approx")
+    assert approx.threshold == pytest.approx(exact.threshold, rel=0.02)

@@ -14,7 +14,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from meterstream.model import FROZEN  # noqa: E402
 from meterstream.operators import scoring, windows  # noqa: E402

@@ -1,9 +1,9 @@
 """Model fitting (M1, M2, M4, A3-A5, A7) on a batch of readings.
 
-The scaler fit is one aggregate job; K-means runs on MLlib (distributed
-Lloyd iterations, centres broadcast per iteration); the threshold is one more
-aggregate over native distances.  The cleaned two-column input is persisted
-once and reused by all three steps.
+The scaler fit is one aggregate job over the input; K-means runs on MLlib
+(distributed Lloyd iterations, centres broadcast per iteration); the
+threshold is one more aggregate over native distances.  Only the scaled
+frame is persisted, once, for K-means and the threshold pass.
 """
 
 from __future__ import annotations
@@ -34,13 +34,14 @@ def fit_model(df: DataFrame, features: Sequence[str] = C.FEATURES, k: int = C.KM
     Returns the scalar model used for native scoring and the MLlib pipeline.
     """
     features = list(features)
-    clean = valid_features(df.select(*features), features).persist(StorageLevel.MEMORY_AND_DISK)
+    clean = valid_features(df.select(*features), features)
+    assembler = VectorAssembler(inputCols=features, outputCol="features_raw", handleInvalid="skip")
+    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
+    vec = assembler.transform(clean)
+    scaler_model = scaler.fit(vec)                      # one aggregate pass over the input
+    # One cached copy serves K-means (which then skips caching its own) and the threshold pass.
+    scaled = scaler_model.transform(vec).select(*features, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        assembler = VectorAssembler(inputCols=features, outputCol="features_raw", handleInvalid="skip")
-        scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
-        vec = assembler.transform(clean)
-        scaler_model = scaler.fit(vec)
-        scaled = scaler_model.transform(vec)
         km_model = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed,
                           maxIter=max_iter, tol=tol).fit(scaled)
         partial = MeterModel(
@@ -49,13 +50,13 @@ def fit_model(df: DataFrame, features: Sequence[str] = C.FEATURES, k: int = C.KM
             std=tuple(float(v) for v in scaler_model.std.toArray()),
             centres=tuple(tuple(float(v) for v in c) for c in km_model.clusterCenters()),
             threshold=0.0, threshold_rule=threshold_rule)
-        scored = score(clean, partial)
+        dists = score(scaled.select(*features), partial)
         if threshold_rule == "mean+3sd":
-            threshold = distance_stats(scored).first()["threshold"]
+            threshold = distance_stats(dists).first()["threshold"]
         elif threshold_rule == "p95":
-            threshold, _ = exact_quantile_value(scored, "dist", 0.95)
+            threshold, _ = exact_quantile_value(dists, "dist", 0.95)
         elif threshold_rule == "p95-approx":
-            threshold = scored.agg(F.percentile_approx("dist", 0.95, 10000)).first()[0]
+            threshold = dists.agg(F.percentile_approx("dist", 0.95, 10000)).first()[0]
         else:
             raise ValueError(f"unknown threshold rule {threshold_rule!r}")
         model = MeterModel(partial.features, partial.mean, partial.std, partial.centres,
@@ -64,7 +65,7 @@ def fit_model(df: DataFrame, features: Sequence[str] = C.FEATURES, k: int = C.KM
                                   "cluster_sizes": list(km_model.summary.clusterSizes)}).validate()
         return model, PipelineModel(stages=[assembler, scaler_model, km_model])
     finally:
-        clean.unpersist()
+        scaled.unpersist()
 
 
 def centres_frame(spark, model: MeterModel) -> DataFrame:

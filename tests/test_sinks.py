@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from meterstream.session import scratch_path
 from meterstream.sinks import DocumentSink, ParquetSink, RelationalSink, aggregate_row, anomaly_row

@@ -1,9 +1,7 @@
 """Streaming behaviour: late rows, revisions, empty batches, rejects, restart."""
 
-import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from helpers import envelope_rows
 from meterstream.model import FROZEN

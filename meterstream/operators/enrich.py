@@ -48,7 +48,7 @@ def pct_of_average(readings: DataFrame, alerts: DataFrame | None = None,
         alerts = readings.filter(F.col(col) > F.lit(C.HIGH_ELECTRICITY))
     avgs = averages if averages is not None else building_averages(readings, col)
     return (join_small(alerts, avgs, "building")
-            .withColumn("pct_of_avg", F.lit(100.0) * F.col(col) / F.col(f"avg_{col}")))
+            .withColumn("pct_of_avg", F.try_divide(F.lit(100.0) * F.col(col), F.col(f"avg_{col}"))))
 
 
 def severity_counts(scored: DataFrame, threshold: float) -> DataFrame:

@@ -72,7 +72,12 @@ def state_partitions(spark, n: int | None = None):
     if spark.conf.get(SHUFFLE_KEY, None) is not None:
         yield
         return
-    spark.conf.set(SHUFFLE_KEY, str(n or spark.sparkContext.defaultParallelism))
+    if n is None:
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # no SparkContext (Spark Connect)
+            n = int(spark.conf.get("spark.default.parallelism", "200"))
+    spark.conf.set(SHUFFLE_KEY, str(n))
     try:
         yield
     finally:

@@ -34,6 +34,30 @@ def join_small(big: DataFrame, small: DataFrame, on: str,
     return big.join(small, on)
 
 
+class ReferenceTable:
+    """A small table for stream-static joins, re-read from its source after ``refresh_s`` seconds.
+
+    ``load`` builds the DataFrame (e.g. building averages over the stored
+    readings); the materialised copy is persisted and swapped on refresh, so
+    micro-batches between refreshes join against a cached table.
+    """
+
+    def __init__(self, load, refresh_s: float = 3600.0):
+        self.load, self.refresh_s = load, refresh_s
+        self._df, self._at = None, 0.0
+
+    def get(self) -> DataFrame:
+        import time
+        now = time.monotonic()
+        if self._df is None or now - self._at >= self.refresh_s:
+            fresh = self.load().persist(StorageLevel.MEMORY_AND_DISK)
+            fresh.count()
+            old, self._df, self._at = self._df, fresh, now
+            if old is not None:
+                old.unpersist()
+        return self._df
+
+
 def pct_of_average(readings: DataFrame, alerts: DataFrame | None = None,
                    col: str = "electricity", averages: DataFrame | None = None) -> DataFrame:
     """Alert rows with ``100 * value / building average``.
@@ -46,6 +70,8 @@ def pct_of_average(readings: DataFrame, alerts: DataFrame | None = None,
     """
     if alerts is None:
         alerts = readings.filter(F.col(col) > F.lit(C.HIGH_ELECTRICITY))
+    if isinstance(averages, ReferenceTable):
+        averages = averages.get()
     avgs = averages if averages is not None else building_averages(readings, col)
     return (join_small(alerts, avgs, "building")
             .withColumn("pct_of_avg", F.try_divide(F.lit(100.0) * F.col(col), F.col(f"avg_{col}"))))

@@ -151,7 +151,7 @@ def stream_pct_of_average(spark, sf_dir):
     """High-electricity alerts from the stream, joined to a static table of building averages."""
     from .. import constants as C
     from ..operators import enrich
-    avgs = enrich.building_averages(readings(spark, sf_dir, water=False))
+    avgs = enrich.ReferenceTable(lambda: enrich.building_averages(readings(spark, sf_dir, water=False)))
 
     def detect(rows: DataFrame) -> DataFrame:
         alerts = rows.filter(F.col("electricity") > F.lit(C.HIGH_ELECTRICITY))

@@ -86,3 +86,18 @@ def test_scoring_plan_has_no_python(spark):
     plan = scoring.anomalies(readings(spark, SF_SMALL), FROZEN)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "WholeStageCodegen" in plan or "*(" in plan
     assert plan.count("get_json_object") == 1
+
+
+def test_reference_table_refreshes(spark):
+    from meterstream.operators.enrich import ReferenceTable
+    loads = []
+
+    def load():
+        loads.append(1)
+        return spark.createDataFrame([("A", float(len(loads)))], "building string, avg_electricity double")
+    slow = ReferenceTable(load, refresh_s=3600)
+    assert slow.get().first()["avg_electricity"] == 1.0
+    assert slow.get().first()["avg_electricity"] == 1.0 and len(loads) == 1
+    fast = ReferenceTable(load, refresh_s=0)
+    assert fast.get().first()["avg_electricity"] == 2.0
+    assert fast.get().first()["avg_electricity"] == 3.0

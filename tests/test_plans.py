@@ -46,3 +46,25 @@ def test_panel_latest_is_top_k(spark):
     from meterstream.operators import scoring
     p = plan(reports.panel_latest(scoring.anomalies(readings(spark, SF_SMALL), FROZEN)))
     assert "TakeOrderedAndProject" in p
+
+
+def test_join_small_beyond_the_bound_keeps_a_shuffle_join(spark):
+    from meterstream.operators.enrich import building_averages, join_small
+    r = readings(spark, SF_SMALL, water=False)
+    alerts = r.filter(F.col("electricity") > 180)
+    small = join_small(alerts, building_averages(r), "building")
+    big = join_small(alerts, building_averages(r), "building", max_rows=0)
+    assert "BroadcastExchange" in plan(small)
+    assert "BroadcastExchange" not in big._jdf.queryExecution().optimizedPlan().toString() and \
+        big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+
+
+def test_skewed_building_is_combined_before_the_shuffle(spark):
+    """One building with a third of the rows: per-building results stay exact."""
+    from meterstream.operators import windows as W
+    r = readings(spark, SF_SMALL)
+    hot = r.withColumn("building", F.when(F.col("reading_id") % 3 == 0, F.lit("hot")).otherwise(F.col("building")))
+    out = W.window_aggregate(hot, "1 hour", ("readings",)).groupBy("building").agg(F.sum("readings").alias("n"))
+    got = {row["building"]: row["n"] for row in out.collect()}
+    want = {row["building"]: row["count"] for row in hot.groupBy("building").count().collect()}
+    assert got == want and got["hot"] == r.filter(F.col("reading_id") % 3 == 0).count()

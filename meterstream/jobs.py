@@ -6,6 +6,7 @@
     python -m meterstream rules --bootstrap kafka:9092 --results results/
     python -m meterstream report --results results/ --panel latest
     python -m meterstream stage-replay --events events.parquet --out replay/
+    python -m meterstream publish --events events.parquet --bootstrap kafka:9092
 
 Checkpoints go under ``--checkpoints`` or, by default, under the session's
 ``spark.checkpoint.dir``.
@@ -125,6 +126,16 @@ def cmd_stage_replay(args) -> None:
           f"--max-files {per_batch}")
 
 
+def cmd_publish(args) -> None:
+    """Readings of an events table as keyed topic records (key = building, value = JSON)."""
+    from .operators import parse
+    from .sinks import KafkaSink
+    from .sources.tables import readings_from_events, with_status
+    spark = build_session(app="meterstream-publish")
+    env = parse.to_envelope(with_status(readings_from_events(spark.read.parquet(args.events))))
+    KafkaSink(args.bootstrap, args.topic).write(env, 0)
+
+
 def cmd_report(args) -> None:
     from .operators import reports
     spark = build_session(app="meterstream-report")
@@ -192,6 +203,12 @@ def main(argv=None) -> int:
     st.add_argument("--ordered", action="store_true")
     st.set_defaults(fn=cmd_stage_replay)
 
+    pb = sub.add_parser("publish", help="publish an events table to the topic as JSON readings")
+    pb.add_argument("--events", required=True)
+    pb.add_argument("--bootstrap", default="kafka:9092")
+    pb.add_argument("--topic", default=C.TOPIC)
+    pb.set_defaults(fn=cmd_publish)
+
     r = sub.add_parser("report")
     r.add_argument("--results", required=True)
     r.add_argument("--panel", choices=("trend", "latest", "per-building"), default="latest")

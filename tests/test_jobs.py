@@ -36,3 +36,8 @@ def test_topic_source_needs_its_connector(spark):
 def test_unknown_source_kind(spark):
     with pytest.raises(ValueError):
         envelope_stream(spark, SourceConfig(kind="socket"))
+
+
+def test_publish_needs_the_topic_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.main(["publish", "--events", f"{SF_SMALL}/events.parquet", "--bootstrap", "localhost:1"])

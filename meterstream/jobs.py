@@ -96,9 +96,11 @@ def _run_streams(args, detector_name: str) -> None:
     else:
         detector = rule_detector()
         metrics = windows.RULE_METRICS
-    mode = "append" if args.watermark else "update"
+    watermark = None if args.watermark.lower() == "none" else args.watermark
+    if watermark is None and args.output_mode == "append":
+        raise SystemExit("append mode needs a watermark")
     qa = aggregate_query(env, _sinks_for(args, "aggregations"), _settings(args, spark, f"{detector_name}-aggregations"),
-                         duration=args.window, metrics=metrics, watermark=args.watermark, output_mode=mode)
+                         duration=args.window, metrics=metrics, watermark=watermark, output_mode=args.output_mode)
     from .sinks import ParquetSink
     qs = scoring_query(env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies"),
                        reject_sinks=[ParquetSink(f"{args.results.rstrip('/')}/rejects")])
@@ -183,7 +185,10 @@ def main(argv=None) -> int:
         s.add_argument("--results", required=True)
         s.add_argument("--checkpoints", default=None)
         s.add_argument("--window", default=C.WINDOW_DURATION)
-        s.add_argument("--watermark", default=None, help="e.g. '10 minutes'; enables append mode")
+        s.add_argument("--watermark", default="10 minutes",
+                       help="how late a reading may arrive; 'none' keeps every window's state forever")
+        s.add_argument("--output-mode", choices=("update", "append"), default="update",
+                       help="update: a revision per touching batch; append: each window once, when closed")
         s.add_argument("--trigger", default=C.TRIGGER_INTERVAL)
         s.add_argument("--available-now", action="store_true")
         s.add_argument("--documents", default=None, help="document sink format, e.g. mongodb or json")

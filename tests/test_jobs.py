@@ -13,7 +13,7 @@ def test_train_monitor_report(spark, capsys):
     jobs.main(["generate-training", "--keys", f"{SF_SMALL}/events.parquet", "--out", f"{root}/train"])
     jobs.main(["train", "--input", f"{root}/train", "--models", f"{root}/models"])
     jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
-               "--batches", "3"])
+               "--batches", "3", "--ordered"])
     jobs.main(["monitor", "--replay", f"{root}/replay", "--models", f"{root}/models",
                "--results", f"{root}/results", "--checkpoints", f"{root}/ckpt", "--available-now",
                "--documents", "json", "--shuffle-partitions", "4"])

@@ -7,6 +7,7 @@
     python -m meterstream report --results results/ --panel latest
     python -m meterstream stage-replay --events events.parquet --out replay/
     python -m meterstream publish --events events.parquet --bootstrap kafka:9092
+    python -m meterstream ingest --events events.parquet --out readings/
 
 Checkpoints go under ``--checkpoints`` or, by default, under the session's
 ``spark.checkpoint.dir``.
@@ -128,6 +129,13 @@ def cmd_stage_replay(args) -> None:
           f"--max-files {per_batch}")
 
 
+def cmd_ingest(args) -> None:
+    """Parse an events table once into a date-partitioned readings table."""
+    from .sources.tables import readings_from_events, with_status, write_readings
+    spark = build_session(app="meterstream-ingest")
+    write_readings(with_status(readings_from_events(spark.read.parquet(args.events))), args.out)
+
+
 def cmd_publish(args) -> None:
     """Readings of an events table as keyed topic records (key = building, value = JSON)."""
     from .operators import parse
@@ -208,6 +216,11 @@ def main(argv=None) -> int:
     st.add_argument("--ordered", action="store_true")
     st.set_defaults(fn=cmd_stage_replay)
 
+    ig = sub.add_parser("ingest", help="parse an events table into a date-partitioned readings table")
+    ig.add_argument("--events", required=True)
+    ig.add_argument("--out", required=True)
+    ig.set_defaults(fn=cmd_ingest)
+
     pb = sub.add_parser("publish", help="publish an events table to the topic as JSON readings")
     pb.add_argument("--events", required=True)
     pb.add_argument("--bootstrap", default="kafka:9092")

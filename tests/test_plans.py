@@ -68,3 +68,20 @@ def test_skewed_building_is_combined_before_the_shuffle(spark):
     got = {row["building"]: row["n"] for row in out.collect()}
     want = {row["building"]: row["count"] for row in hot.groupBy("building").count().collect()}
     assert got == want and got["hot"] == r.filter(F.col("reading_id") % 3 == 0).count()
+
+
+def test_ingested_readings_prune_by_date_and_match_raw(spark):
+    from meterstream.model import FROZEN
+    from meterstream.operators import scoring
+    from meterstream.session import scratch_path
+    from meterstream.sources.tables import read_readings, write_readings
+    path = scratch_path(spark, "readings-table")
+    raw = readings(spark, SF_SMALL)
+    write_readings(raw, path)
+    table = read_readings(spark, path).drop("date")
+    a = windows.window_aggregate(raw, "1 hour")
+    b = windows.window_aggregate(table, "1 hour")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    day = read_readings(spark, path).filter(F.col("date") == "2024-01-03")
+    p = plan(scoring.anomalies(day, FROZEN))
+    assert "PartitionFilters: [isnotnull(date" in p and "get_json_object" not in p

@@ -113,8 +113,9 @@ def _run_streams(args, detector_name: str) -> None:
     finally:
         spark.streams.removeListener(listener)
         for p in listener.progress:
-            print(f"{p['name']}: batch {p['batch_id']}, {p['input_rows']} rows, "
-                  f"{p['rows_per_second']:.0f} rows/s")
+            rejected = p["observed"].get("records", {}).get("rejected", 0)
+            print(f"{p['name']}: batch {p['batch_id']}, {p['input_rows']} rows, {rejected} rejected, "
+                  f"{p['dropped_late']} too late, {p['rows_per_second']:.0f} rows/s")
 
 
 def cmd_stage_replay(args) -> None:

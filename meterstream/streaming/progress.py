@@ -29,6 +29,9 @@ class ProgressLog(StreamingQueryListener):
                 "rows_per_second": float(p.processedRowsPerSecond or 0.0),
                 "watermark": (p.eventTime or {}).get("watermark"),
                 "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()},
+                # rows the watermark rejected as too late (Spark drops them; this counts them)
+                "dropped_late": sum(int(op.numRowsDroppedByWatermark or 0) for op in (p.stateOperators or [])),
+                "state_rows": sum(int(op.numRowsTotal or 0) for op in (p.stateOperators or [])),
             })
 
     def onQueryIdle(self, event):

@@ -44,6 +44,8 @@ def test_watermark_drops_late_rows_and_appends_closed_windows(spark):
     q = aggregate_query(envelope_stream(spark, src), [ParquetSink(out)], settings(spark, "wm"),
                         duration="1 minute", watermark="10 minutes", output_mode="append")
     await_all([q])
+    dropped = sum(sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in q.recentProgress)
+    assert dropped == 1
     got = spark.read.parquet(out)
     rows = {str(r["window_start"])[11:16]: r["max_elec"] for r in got.collect()}
     assert rows == {"10:00": 10.0, "10:05": 99.0, "10:20": 20.0, "10:30": 30.0, "10:40": 40.0}

@@ -30,4 +30,8 @@ def stage_replay(envelope: DataFrame, path: str, files: int, order_col: str | No
     base = int(fs.getFileStatus(root).getModificationTime())
     for i, name in enumerate(names):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + 1000 * (i + 1), -1)
+    got = [int(fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(n)).getModificationTime()) for n in names]
+    if got != sorted(got) or len(set(got)) != len(got):
+        raise RuntimeError(f"{path}: the file system did not take the modification times that order "
+                           "the replay; stage replays on HDFS or a local disk, or read the topic")
     return names

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import nearest_centre, standardise
+from ..functions.geometry import nearest, standardise
 from ..functions.rules import severity_band
 from ..model import MeterModel
 
@@ -30,7 +30,7 @@ def invalid_features(df: DataFrame, features=("electricity", "water")) -> DataFr
 def score(df: DataFrame, model: MeterModel) -> DataFrame:
     """Adds ``cluster`` (nearest centre) and ``dist`` (distance to it) in standardised space."""
     z = standardise([F.col(f) for f in model.features], model.mean, model.std)
-    best = nearest_centre(z, model.centres)
+    best = nearest(z, model.centres)
     return (df.withColumn("_nearest", best)
               .withColumn("cluster", F.col("_nearest.cluster"))
               .withColumn("dist", F.sqrt(F.col("_nearest.d2")))

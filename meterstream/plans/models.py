@@ -10,7 +10,7 @@ from ..operators.synth import synthetic_live, synthetic_training
 from ..schema import TRAINING_SCHEMA
 from ..session import scratch_path
 from ..sources.models import load_model, save_model
-from ..sources.tables import readings, table
+from ..sources.tables import embedding_features, readings, table
 
 
 def synthetic_readings(spark, sf_dir):
@@ -58,7 +58,16 @@ def synthetic_live_readings(spark, sf_dir):
     return synthetic_live(readings(spark, sf_dir))
 
 
+def embedding_scores(spark, sf_dir):
+    """The anomaly model over 64 features: fit on the embeddings, score and flag every point."""
+    emb, names = embedding_features(spark, sf_dir)
+    model, _ = training.fit_model(emb, features=names)
+    scored = scoring.flag(scoring.score(scoring.valid_features(emb, names), model), model.threshold)
+    return scored.select("vec_id", "label", "cluster", F.round("dist", 6).alias("dist"), "is_anomaly")
+
+
 MODEL_QUERIES = {
+    "embedding_scores": embedding_scores,
     "synthetic_live_readings": synthetic_live_readings,
     "synthetic_readings": synthetic_readings,
     "training_csv": training_csv,

@@ -84,3 +84,12 @@ def write_readings(readings_df: DataFrame, path: str, mode: str = "error") -> No
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """The table written by ``write_readings`` (``date`` is a partition column)."""
     return spark.read.parquet(path)
+
+
+def embedding_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """``embeddings`` with each coordinate as a double column (for models over d > 2 features)."""
+    emb = table(spark, sf_dir, "embeddings")
+    dim = len(emb.select("embedding").first()[0])
+    names = [f"e{i}" for i in range(dim)]
+    cols = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
+    return emb.select("vec_id", "label", *cols), names

@@ -100,3 +100,13 @@ def test_threshold_rules_agree_on_p95(spark):
     exact, _ = training.fit_model(r, threshold_rule="p95")
     approx, _ = training.fit_model(r, threshold_rule="p95-approx")
     assert approx.threshold == pytest.approx(exact.threshold, rel=0.02)
+
+
+def test_model_over_64_features(spark):
+    from meterstream.sources.tables import embedding_features
+    emb, names = embedding_features(spark, SF_SMALL)
+    model, pipe = training.fit_model(emb, features=names)
+    assert len(model.centres[0]) == 64 and model.k == 3
+    native = scoring.score(emb, model).select("vec_id", "cluster")
+    ml = pipe.transform(emb).select("vec_id", F.col("cluster").alias("ml"))
+    assert native.join(ml, "vec_id").filter("cluster != ml").count() == 0

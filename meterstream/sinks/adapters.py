@@ -156,10 +156,13 @@ def instant(df: DataFrame, col: str):
     return F.col(col).cast("timestamp").alias(col)
 
 
+AGG_TIME_COLS = ("window_start", "window_end", "processed_at")
+
+
 def aggregate_row(df: DataFrame) -> DataFrame:
-    """Relational projection of aggregates."""
-    return df.select("building", "avg_electricity", "avg_water", "max_elec", "min_elec",
-                     instant(df, "window_start"), instant(df, "window_end"), instant(df, "processed_at"))
+    """Relational projection of aggregates (P16): building, the metrics present, typed times."""
+    metrics = [c for c in df.columns if c not in ("building", "batch_id", *AGG_TIME_COLS)]
+    return df.select("building", *metrics, *[instant(df, c) for c in AGG_TIME_COLS])
 
 
 def anomaly_row(df: DataFrame) -> DataFrame:

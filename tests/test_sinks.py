@@ -53,3 +53,13 @@ def test_aggregate_projection(spark):
     assert out.columns == ["building", "avg_electricity", "avg_water", "max_elec", "min_elec",
                            "window_start", "window_end", "processed_at"]
     assert dict(out.dtypes)["window_start"] == "timestamp"
+
+
+def test_aggregate_projection_follows_the_metrics(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 0)
+    df = spark.createDataFrame([("A", 1.0, 2.0, 3.0, 4.0, t, t, t)],
+                               "building string, avg_electricity double, avg_water double, "
+                               "max_electricity double, max_water double, window_start timestamp_ntz, "
+                               "window_end timestamp_ntz, processed_at timestamp")
+    assert aggregate_row(df).columns == ["building", "avg_electricity", "avg_water", "max_electricity",
+                                         "max_water", "window_start", "window_end", "processed_at"]

@@ -166,6 +166,12 @@ def aggregate_row(df: DataFrame) -> DataFrame:
 
 
 def anomaly_row(df: DataFrame) -> DataFrame:
-    """Relational projection of anomalies (P17): ``dist`` is stored as ``distance``."""
-    return df.select("building", "floor", "electricity", "water", "cluster",
-                     F.col("dist").alias("distance"), instant(df, "timestamp"), instant(df, "detected_at"))
+    """Relational projection of anomalies (P17): ``dist`` is stored as ``distance``.
+
+    Model anomalies carry cluster and distance, rule anomalies their status.
+    """
+    extra = [c for c in ("status", "cluster") if c in df.columns]
+    if "dist" in df.columns:
+        extra.append(F.col("dist").alias("distance"))
+    return df.select("building", "floor", "electricity", "water", *extra,
+                     instant(df, "timestamp"), instant(df, "detected_at"))

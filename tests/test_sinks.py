@@ -63,3 +63,12 @@ def test_aggregate_projection_follows_the_metrics(spark):
                                "window_end timestamp_ntz, processed_at timestamp")
     assert aggregate_row(df).columns == ["building", "avg_electricity", "avg_water", "max_electricity",
                                          "max_water", "window_start", "window_end", "processed_at"]
+
+
+def test_anomaly_projection_for_rule_anomalies(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 0)
+    df = spark.createDataFrame([("A", 1, 200.0, 10.0, "High", t, t)],
+                               "building string, floor int, electricity double, water double, status string, "
+                               "timestamp timestamp_ntz, detected_at timestamp")
+    assert anomaly_row(df).columns == ["building", "floor", "electricity", "water", "status",
+                                       "timestamp", "detected_at"]

@@ -42,14 +42,16 @@ def panel_trend(aggs: DataFrame, lo=None, hi=None, value_col: str = "avg_electri
 
 def panel_latest(anomalies: DataFrame, n: int = 10, time_col: str = "timestamp") -> DataFrame:
     """Latest ``n`` anomalies (top-k per task, then one small merge)."""
+    distance = F.col("dist") if "dist" in anomalies.columns else F.lit(None).cast("double")
     return (anomalies.select(F.col(time_col).alias("time"), "building", "floor", "electricity",
-                             F.col("dist").alias("distance"))
+                             distance.alias("distance"))
             .orderBy(F.desc("time"), "building", "floor", F.desc("electricity"))
             .limit(n))
 
 
 def anomalies_per_building(anomalies: DataFrame, dist_col: str = "dist") -> DataFrame:
-    """Anomaly count and mean distance per building, most anomalies first."""
+    """Anomaly count and mean distance per building (null for rule anomalies), most anomalies first."""
+    dist = F.col(dist_col) if dist_col in anomalies.columns else F.lit(None).cast("double")
     return (anomalies.groupBy("building")
-            .agg(F.count(F.lit(1)).alias("anomaly_count"), F.avg(dist_col).alias("avg_distance"))
+            .agg(F.count(F.lit(1)).alias("anomaly_count"), F.avg(dist).alias("avg_distance"))
             .orderBy(F.desc("anomaly_count"), "building"))

@@ -41,3 +41,20 @@ def test_unknown_source_kind(spark):
 def test_publish_needs_the_topic_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.main(["publish", "--events", f"{SF_SMALL}/events.parquet", "--bootstrap", "localhost:1"])
+
+
+def test_rules_stream_and_reports(spark, duck, capsys):
+    import __spark_entry__ as entry
+    root = scratch_path(spark, "jobs-rules")
+    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
+               "--batches", "2", "--ordered"])
+    jobs.main(["rules", "--replay", f"{root}/replay", "--results", f"{root}/results",
+               "--checkpoints", f"{root}/ckpt", "--available-now", "--documents", "json",
+               "--shuffle-partitions", "4", "--watermark", "none"])
+    an = spark.read.parquet(f"{root}/results/anomalies")
+    want = duck(SF_SMALL).execute(f"SELECT count(*) FROM ({entry.oracle_sql()['rule_anomalies']})").fetchone()[0]
+    assert an.count() == want and "status" in an.columns
+    for panel in ("latest", "per-building", "trend"):
+        jobs.main(["report", "--results", f"{root}/results", "--panel", panel])
+    out = capsys.readouterr().out
+    assert "anomaly_count" in out and "distance" in out

@@ -155,7 +155,8 @@ def cmd_report(args) -> None:
         aggs = reports.latest_revision(spark.read.parquet(f"{root}/aggregations").drop("processed_at"))
         reports.panel_trend(aggs, args.start, args.end).show(args.rows, truncate=False)
     elif args.panel == "latest":
-        reports.panel_latest(spark.read.parquet(f"{root}/anomalies"), n=args.rows).show(truncate=False)
+        reports.panel_latest(spark.read.parquet(f"{root}/anomalies"), n=args.rows,
+                             time_col=args.by).show(truncate=False)
     else:
         reports.anomalies_per_building(spark.read.parquet(f"{root}/anomalies")).show(truncate=False)
 
@@ -234,6 +235,8 @@ def main(argv=None) -> int:
     r.add_argument("--start", default=None)
     r.add_argument("--end", default=None)
     r.add_argument("--rows", type=int, default=10)
+    r.add_argument("--by", choices=("detected_at", "timestamp"), default="detected_at",
+                   help="time column of the latest-anomalies panel (processing or event time)")
     r.set_defaults(fn=cmd_report)
 
     args = p.parse_args(argv)

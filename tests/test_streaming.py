@@ -38,19 +38,21 @@ def test_watermark_drops_late_rows_and_appends_closed_windows(spark):
         [msg("A", "10:00:05", 10.0), msg("A", "10:20:00", 20.0)],   # watermark -> 10:10
         [msg("A", "10:05:00", 99.0), msg("A", "10:30:00", 30.0)],   # late by one batch: kept
         [msg("A", "10:06:00", 77.0), msg("A", "10:40:00", 40.0)],   # late by two batches: dropped
-        [msg("A", "11:30:00", 50.0)],                                # watermark -> 11:20
+        [msg("A", "10:50:00", 45.0)],                                # watermark -> 10:40
+        [msg("A", "10:07:00", 66.0), msg("A", "11:30:00", 50.0)],   # late by three batches: dropped
     ])
     out = scratch_path(spark, "wm-out")
     q = aggregate_query(envelope_stream(spark, src), [ParquetSink(out)], settings(spark, "wm"),
                         duration="1 minute", watermark="10 minutes", output_mode="append")
     await_all([q])
     dropped = sum(sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in q.recentProgress)
-    assert dropped == 1
+    assert dropped == 2
     got = spark.read.parquet(out)
     rows = {str(r["window_start"])[11:16]: r["max_elec"] for r in got.collect()}
-    assert rows == {"10:00": 10.0, "10:05": 99.0, "10:20": 20.0, "10:30": 30.0, "10:40": 40.0}
-    assert got.count() == 5                              # each closed window exactly once
-    # 10:06 never shows up; 11:30 is still open when the input ends
+    assert rows == {"10:00": 10.0, "10:05": 99.0, "10:20": 20.0, "10:30": 30.0, "10:40": 40.0,
+                    "10:50": 45.0}
+    assert got.count() == 6                              # each closed window exactly once
+    # 10:06 and 10:07 never show up; 11:30 is still open when the input ends
 
 
 def test_update_mode_revisions_and_latest(spark):

@@ -65,7 +65,7 @@ def load_model(spark: SparkSession, root_or_version: str, with_pipeline: bool =
     pipe_path = f"{version}/pipeline"
     fs2, pp = _fs(spark, pipe_path)
     pipeline = PipelineModel.load(pipe_path) if fs2.exists(pp) else None
-    if pipeline is not None:
+    if pipeline is not None and hasattr(pipeline.stages[-1], "clusterCenters"):
         k = len(pipeline.stages[-1].clusterCenters())
         if k != model.k:
             raise ValueError(f"pipeline has k={k}, scalar model k={model.k}")

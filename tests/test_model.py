@@ -110,3 +110,19 @@ def test_model_over_64_features(spark):
     native = scoring.score(emb, model).select("vec_id", "cluster")
     ml = pipe.transform(emb).select("vec_id", F.col("cluster").alias("ml"))
     assert native.join(ml, "vec_id").filter("cluster != ml").count() == 0
+
+
+def test_fit_on_a_single_row(spark):
+    df = spark.createDataFrame([(120.0, 300.0)], "electricity double, water double")
+    model, _ = training.fit_model(df)
+    assert model.std == (0.0, 0.0)                  # one row: no spread, features map to 0
+    assert model.threshold == 0.0                   # null stddev counts as 0, distance is 0
+    scored = scoring.score(df, model).first()
+    assert scored["dist"] == 0.0
+
+
+def test_fit_with_fewer_distinct_points_than_k(spark):
+    df = spark.createDataFrame([(100.0, 200.0)] * 5 + [(150.0, 260.0)] * 5, "electricity double, water double")
+    model, _ = training.fit_model(df, k=3)
+    assert model.k == 2
+    assert scoring.score(df, model).filter("dist > 1e-9").count() == 0

@@ -155,8 +155,8 @@ def cmd_report(args) -> None:
         aggs = reports.latest_revision(spark.read.parquet(f"{root}/aggregations").drop("processed_at"))
         reports.panel_trend(aggs, args.start, args.end).show(args.rows, truncate=False)
     elif args.panel == "latest":
-        reports.panel_latest(spark.read.parquet(f"{root}/anomalies"), n=args.rows,
-                             time_col=args.by).show(truncate=False)
+        found = reports.time_range(spark.read.parquet(f"{root}/anomalies"), args.by, args.start, args.end)
+        reports.panel_latest(found, n=args.rows, time_col=args.by).show(truncate=False)
     else:
         reports.anomalies_per_building(spark.read.parquet(f"{root}/anomalies")).show(truncate=False)
 

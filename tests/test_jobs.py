@@ -56,5 +56,7 @@ def test_rules_stream_and_reports(spark, duck, capsys):
     assert an.count() == want and "status" in an.columns
     for panel in ("latest", "per-building", "trend"):
         jobs.main(["report", "--results", f"{root}/results", "--panel", panel])
+    jobs.main(["report", "--results", f"{root}/results", "--panel", "latest", "--by", "timestamp",
+               "--start", "2024-01-01 00:00:00", "--end", "2024-01-02 00:00:00"])
     out = capsys.readouterr().out
     assert "anomaly_count" in out and "distance" in out

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import threading
+from collections import deque
 
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps one record per query event (bounded by the number of micro-batches)."""
+    """Keeps one record per query event; a long-running job keeps the most recent ``keep``."""
 
-    def __init__(self):
+    def __init__(self, keep: int = 10_000):
         self.lock = threading.Lock()
-        self.started: list[dict] = []
-        self.progress: list[dict] = []
-        self.terminated: list[dict] = []
+        self.started: deque[dict] = deque(maxlen=keep)
+        self.progress: deque[dict] = deque(maxlen=keep)
+        self.terminated: deque[dict] = deque(maxlen=keep)
 
     def onQueryStarted(self, event):
         with self.lock:

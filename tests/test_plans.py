@@ -85,3 +85,15 @@ def test_ingested_readings_prune_by_date_and_match_raw(spark):
     day = read_readings(spark, path).filter(F.col("date") == "2024-01-03")
     p = plan(scoring.anomalies(day, FROZEN))
     assert "PartitionFilters: [isnotnull(date" in p and "get_json_object" not in p
+
+
+def test_registered_batch_queries_avoid_slow_operators(spark):
+    """No Python evaluation, no cartesian / nested-loop joins, no window operator in any batch query."""
+    import __spark_entry__ as entry
+    banned = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+              "WindowExec", "Window [")
+    for name, fn in entry.queries().items():
+        if name.startswith(("stream_", "sink_")):
+            continue          # these run a stream on call; their sinks are read back as plain scans
+        p = plan(fn(spark, SF_SMALL))
+        assert not [b for b in banned if b in p], name

@@ -16,16 +16,12 @@ from ..functions.rules import diurnal_profile, expected_base, rule_breach
 from ..model import FROZEN
 from ..operators import enrich, parse, reports, scoring, thresholds, windows
 from ..sources.tables import readings, table, with_status
+from .compare import r6
 from .oracle import TREND_HI, TREND_LO
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def r6(col) -> F.Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(c, 6)
-
-
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..model import FROZEN
+from .compare import r6
 from ..operators import scoring, training
 from ..operators.synth import synthetic_live, synthetic_training
 from ..schema import TRAINING_SCHEMA
@@ -50,7 +51,7 @@ def model_roundtrip(spark, sf_dir):
     if loaded != FROZEN:
         raise AssertionError("loaded model differs from the saved one")
     an = scoring.anomalies(readings(spark, sf_dir), loaded)
-    return an.withColumn("dist", F.round("dist", 6))
+    return an.withColumn("dist", r6("dist"))
 
 
 def synthetic_live_readings(spark, sf_dir):
@@ -63,7 +64,7 @@ def embedding_scores(spark, sf_dir):
     emb, names = embedding_features(spark, sf_dir)
     model, _ = training.fit_model(emb, features=names)
     scored = scoring.flag(scoring.score(scoring.valid_features(emb, names), model), model.threshold)
-    return scored.select("vec_id", "label", "cluster", F.round("dist", 6).alias("dist"), "is_anomaly")
+    return scored.select("vec_id", "label", "cluster", r6("dist").alias("dist"), "is_anomaly")
 
 
 MODEL_QUERIES = {

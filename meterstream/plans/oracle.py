@@ -251,3 +251,39 @@ SELECT r.building, r.floor, r.electricity, r."timestamp",
 FROM readings r JOIN avgs a ON r.building = a.building
 WHERE r.electricity > {dbl(C.HIGH_ELECTRICITY)}""",
 })
+
+
+# --- comparison rounding ----------------------------------------------------------
+# Values that depend on summation order are compared at 6 decimals.  Both engines use
+# the same arithmetic, floor(x * 1e6 + 0.5) / 1e6, because their round() functions
+# disagree on values within an ulp of a half (one rounds the exact binary value, the
+# other the product x * 1e6).
+
+def _r6_sql(sql: str) -> str:
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k, comma = 0, j + len("round("), None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        if comma is not None and sql[comma + 1:k].strip() == "6":
+            inner = _r6_sql(sql[j + len("round("):comma])
+            out.append(sql[i:j] + f"(floor(({inner}) * {dbl(1e6)} + {dbl(0.5)}) / {dbl(1e6)})")
+        else:
+            out.append(sql[i:k + 1])
+        i = k + 1
+
+
+ORACLE = {name: _r6_sql(sql) for name, sql in ORACLE.items()}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
 from ..model import FROZEN
+from .compare import r6
 from ..operators import parse, reports, windows
 from ..session import scratch_path
 from ..sinks import DocumentSink, FailOnce, ParquetSink, RelationalSink, anomaly_row
@@ -40,7 +41,7 @@ def _settings(spark, name: str) -> QuerySettings:
 
 
 def _r6(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _aggregates(spark, sf_dir, name, ordered, watermark, mode) -> DataFrame:

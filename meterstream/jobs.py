@@ -165,7 +165,7 @@ def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="meterstream")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    g = sub.add_parser("generate-training")
+    g = sub.add_parser("generate-training", help="labelled synthetic training readings as CSV, one per key")
     g.add_argument("--keys", required=True, help="parquet table whose key column drives one row each")
     g.add_argument("--key-col", default="event_id")
     g.add_argument("--out", required=True)
@@ -173,7 +173,7 @@ def main(argv=None) -> int:
     g.add_argument("--anomaly-rate", type=float, default=C.TRAIN_ANOMALY_RATE)
     g.set_defaults(fn=cmd_generate_training)
 
-    t = sub.add_parser("train")
+    t = sub.add_parser("train", help="fit scaler, K-means and threshold; save a new model version")
     t.add_argument("--input", required=True)
     t.add_argument("--models", required=True)
     t.add_argument("--k", type=int, default=C.KMEANS_K)
@@ -181,8 +181,10 @@ def main(argv=None) -> int:
     t.add_argument("--threshold-rule", choices=("mean+3sd", "p95", "p95-approx"), default="mean+3sd")
     t.set_defaults(fn=cmd_train)
 
+    helps = {"monitor": "stream: window aggregates and K-means anomalies to every sink",
+             "rules": "stream: window aggregates and fixed-limit anomalies to every sink"}
     for name in ("monitor", "rules"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("--bootstrap", default="kafka:9092")
         s.add_argument("--topic", default=C.TOPIC)
         s.add_argument("--starting-offsets", default="latest")
@@ -229,7 +231,7 @@ def main(argv=None) -> int:
     pb.add_argument("--topic", default=C.TOPIC)
     pb.set_defaults(fn=cmd_publish)
 
-    r = sub.add_parser("report")
+    r = sub.add_parser("report", help="trend, latest anomalies or anomalies per building from the results")
     r.add_argument("--results", required=True)
     r.add_argument("--panel", choices=("trend", "latest", "per-building"), default="latest")
     r.add_argument("--start", default=None)

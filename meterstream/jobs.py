@@ -149,16 +149,22 @@ def cmd_publish(args) -> None:
 
 def cmd_report(args) -> None:
     from .operators import reports
+    from .sources.results import read_results
     spark = build_session(app="meterstream-report")
-    root = args.results.rstrip("/")
+    props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
+
+    def load(table):
+        df = read_results(spark, table, path=args.results, url=args.jdbc_url, properties=props)
+        return df.withColumnRenamed("distance", "dist")      # relational stores name it distance
+
     if args.panel == "trend":
-        aggs = reports.latest_revision(spark.read.parquet(f"{root}/aggregations").drop("processed_at"))
+        aggs = reports.latest_revision(load("aggregations").drop("processed_at"))
         reports.panel_trend(aggs, args.start, args.end).show(args.rows, truncate=False)
     elif args.panel == "latest":
-        found = reports.time_range(spark.read.parquet(f"{root}/anomalies"), args.by, args.start, args.end)
+        found = reports.time_range(load("anomalies"), args.by, args.start, args.end)
         reports.panel_latest(found, n=args.rows, time_col=args.by).show(truncate=False)
     else:
-        reports.anomalies_per_building(spark.read.parquet(f"{root}/anomalies")).show(truncate=False)
+        reports.anomalies_per_building(load("anomalies")).show(truncate=False)
 
 
 def main(argv=None) -> int:
@@ -232,7 +238,10 @@ def main(argv=None) -> int:
     pb.set_defaults(fn=cmd_publish)
 
     r = sub.add_parser("report", help="trend, latest anomalies or anomalies per building from the results")
-    r.add_argument("--results", required=True)
+    r.add_argument("--results", default=None, help="parquet result store (or use --jdbc-url)")
+    r.add_argument("--jdbc-url", default=None)
+    r.add_argument("--jdbc-user", default=None)
+    r.add_argument("--jdbc-password", default=None)
     r.add_argument("--panel", choices=("trend", "latest", "per-building"), default="latest")
     r.add_argument("--start", default=None)
     r.add_argument("--end", default=None)
@@ -244,6 +253,8 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     if args.cmd == "monitor" and not args.models:
         p.error("monitor needs --models")
+    if args.cmd == "report" and not (args.results or args.jdbc_url):
+        p.error("report needs --results or --jdbc-url")
     args.fn(args)
     return 0
 

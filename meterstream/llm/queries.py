@@ -17,8 +17,15 @@ def op5_token_counts(spark, sf_dir):
     return tokens.context_totals(tokens.length_histogram(docs, tokenizer_file()))
 
 
+def op9_simhash_near_dedup(spark, sf_dir):
+    from . import simhash
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}

@@ -11,6 +11,16 @@ def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality_classifier(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from . import quality_model as q
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = q.train(docs, labels.filter(~q.held_out(F.col("doc_id"))))
+    return (q.with_scores(docs.select("doc_id", "text"), model)
+            .select("doc_id", q.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
+
+
 def op5_token_counts(spark, sf_dir):
     from . import tokens
     docs = table(spark, sf_dir, "documents")
@@ -24,6 +34,7 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_token_counts": op5_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }

@@ -11,6 +11,11 @@ def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontamination(spark, sf_dir):
+    from . import decontamination
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_classifier(spark, sf_dir):
     from pyspark.sql import functions as F
 
@@ -33,10 +38,21 @@ def op9_simhash_near_dedup(spark, sf_dir):
         "doc_id", "fingerprint", "component_id")
 
 
+#: A real run passes its own secret key.
+DEMO_KEY = b"a key for tests only"
+
+
+def op10_pii_pseudonyms(spark, sf_dir):
+    from . import pseudonyms
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+
+
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_token_counts": op5_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
 
 ORACLE: dict[str, str] = {}

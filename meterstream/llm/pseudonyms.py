@@ -250,4 +250,4 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", inverse: bool
     row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
     out = docs.select(row, pseudonyms(quoted(text), key, inverse).alias("p"))
     columns = [F.coalesce("p.text", F.col("row")[c]).alias(c) if c == text else F.col("row")[c].alias(c) for c in names]
-    return out.select(*columns, *[F.col("p.found").alias(found)] * bool(found))
+    return out.select(*columns, *([F.col("p.found").alias(found)] if found else []))

@@ -32,6 +32,11 @@ def op5_token_counts(spark, sf_dir):
     return tokens.context_totals(tokens.length_histogram(docs, tokenizer_file()))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    from . import packing
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), context=2048, end=0)
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     from . import simhash
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4).select(
@@ -47,12 +52,19 @@ def op10_pii_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_token_counts": op5_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import quality_rules
 from .common import table
 
 
@@ -11,6 +12,10 @@ def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark, sf_dir):
     from . import decontamination
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -58,6 +63,7 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_token_counts": op5_token_counts,
@@ -67,4 +73,6 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle(),
+}

@@ -23,12 +23,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    forget_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """Has a scratch folder deleted when the application ends."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns an operator is about to add (names compare as Spark's do)."""
     low = {n.lower() for n in names}

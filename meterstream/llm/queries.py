@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import licenses, quality_rules, warc
 from .common import table
 
 
@@ -37,6 +37,15 @@ def op5_token_counts(spark, sf_dir):
     return tokens.context_totals(tokens.length_histogram(docs, tokenizer_file()))
 
 
+def op6_license_scan(spark, sf_dir):
+    return licenses.licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op7_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+
+
 def op8_best_fit_packing(spark, sf_dir):
     from . import packing
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), context=2048, end=0)
@@ -67,6 +76,8 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_token_counts": op5_token_counts,
+    "op6_license_scan": op6_license_scan,
+    "op7_warc": op7_warc,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
@@ -75,4 +86,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle(),
+    "op6_license_scan": licenses.oracle(),
+    "op7_warc": warc.oracle(),
 }

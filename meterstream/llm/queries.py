@@ -31,6 +31,12 @@ def op3_quality_classifier(spark, sf_dir):
             .select("doc_id", q.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    """The documents that lose a passage: what is left of the text, and what was removed where."""
+    from . import repeats
+    return repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), changed_only=True)
+
+
 def op5_token_counts(spark, sf_dir):
     from . import tokens
     docs = table(spark, sf_dir, "documents")
@@ -75,6 +81,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_license_scan": op6_license_scan,
     "op7_warc": op7_warc,

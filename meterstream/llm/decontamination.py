@@ -26,7 +26,7 @@ HIT = pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int6
 HITS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int,similarity:double>>"
 #: Folded characters of a text handled at a time.
 BLOCK = 1 << 20
-BLANK, TABLE_BITS = 32, 22
+BLANK, TABLE_BITS = 32, 20
 FOLD: list[np.ndarray] = []
 
 
@@ -55,14 +55,24 @@ def folded(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(a: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit number for each q-gram (q a power of two), by doubling."""
-    h, n, base = a.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
-    while n < q:
-        h = h[:-n] * np.uint64(base) + h[n:]
-        h ^= h >> np.uint64(29)
+    """A 64-bit number for each q-gram, put together from those of lengths 1, 2, 4, ..."""
+    part, n, base = a.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+    whole, length = None, 0
+    while True:
+        if q & n:
+            if whole is None:
+                whole, length = part, n
+            else:
+                end = len(a) - length - n + 1
+                whole = whole[:end] * np.uint64(base ^ 0x5851F42D4C957F2D | 1) + part[length:length + end]
+                whole ^= whole >> np.uint64(31)
+                length += n
+        if 2 * n > q:
+            return whole[:max(0, len(a) - q + 1)] * np.uint64(0xD6E8FEB86659FD93)  # for the leading bits
+        part = part[:-n] * np.uint64(base) + part[n:]
+        part ^= part >> np.uint64(29)
         base = (base * 0xBF58476D1CE4E5B9 | 1) & (1 << 64) - 1
         n *= 2
-    return h
 
 
 class Index:
@@ -89,33 +99,65 @@ class Index:
         self.item, self.place = item[order].astype(np.int32), place[order].astype(np.int32)
         self.gram, self.first = np.unique(every[order], return_index=True)
         self.first = np.append(self.first, len(every))
+        # grams come sorted, so those with equal leading bits stand together
+        top = (self.gram >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        self.bucket = np.searchsorted(top, np.arange(1 << TABLE_BITS)).astype(np.int32)
         self.some = np.zeros(1 << TABLE_BITS, bool)
-        self.some[(self.gram >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+        self.some[top] = True
+        self.deepest = int(np.bincount(top).max()) if len(top) else 0
+        self.of_item = [np.searchsorted(self.gram, x) for x in g]
+
+    def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``h`` of q-grams of the index, and which they are."""
+        top = (h >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+        at = np.flatnonzero(self.some[top])
+        h, top = h[at], top[at]
+        k = self.bucket[top]
+        same = self.gram[k] == h
+        places, grams_ = [at[same]], [k[same]]
+        for _ in range(self.deepest - 1):  # few buckets hold more than one
+            rest = np.flatnonzero(~same)
+            at, h, k = at[rest], h[rest], np.minimum(k[rest] + 1, len(self.gram) - 1)
+            same = self.gram[k] == h
+            places.append(at[same])
+            grams_.append(k[same])
+        return np.concatenate(places), np.concatenate(grams_)
+
+    def places_of(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``item`` and ``place`` for the grams ``k``, and how many each has."""
+        n = self.first[k + 1] - self.first[k]
+        return np.repeat(self.first[k] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()), n
 
     def candidates(self, a: np.ndarray):
         """(item, lowest diagonal, highest diagonal) of the bands that reach the bound."""
-        h = grams(a, self.q)
-        at = np.flatnonzero(self.some[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
-        k = np.searchsorted(self.gram, h[at])
-        k[k == len(self.gram)] = 0
-        real = self.gram[k] == h[at]
-        at, k = at[real], k[real]
-        n = self.first[k + 1] - self.first[k]
-        if not n.sum():
+        if not self.need.size:
             return
-        hit = np.repeat(self.first[k] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        item, diagonal = self.item[hit].astype(np.int64), np.repeat(at, n) - self.place[hit]
-        # an item can only be there if all its hits in the text reach the bound
-        enough = np.bincount(item, minlength=len(self.ids)) >= self.need
-        item, diagonal = item[enough[item]], diagonal[enough[item]]
-        if not item.size:
+        at, k = self.known(grams(a, self.q))
+        if at.size < self.need.min():
             return
+        # an item can only be there if the text holds enough of its q-grams anywhere
+        there = np.zeros(len(self.gram), bool)
+        there[k] = True
+        rows, _ = self.places_of(np.flatnonzero(there))
+        enough = np.bincount(self.item[rows], minlength=len(self.ids)) >= self.need
+        if not enough.any():
+            return
+        there[:] = False
+        for i in np.flatnonzero(enough):
+            there[self.of_item[i]] = True
+        at, k = at[there[k]], k[there[k]]
+        hit, n = self.places_of(k)
+        item, diagonal = self.item[hit].astype(np.int64), np.repeat(at, n) - self.place[hit]
+        ok = enough[item]
+        item, diagonal, hit = item[ok], diagonal[ok], hit[ok]
         width = self.budget[item] + 1
         band, over = np.divmod(diagonal + self.longest, width)
         low = over < self.budget[item]  # it is in the overlap with the band before
-        key = np.r_[item, item[low]] * (1 << 40) + np.r_[band, band[low] - 1] + 1
-        keys, count = np.unique(key, return_counts=True)
-        for x in keys[count >= self.need[keys >> 40]]:
+        bands, of = np.unique(np.r_[item, item[low]] * (1 << 40) + np.r_[band, band[low] - 1] + 1, return_inverse=True)
+        # of each band the q-grams of the item that it shares, each once
+        shared = np.unique(of * np.int64(len(self.place)) + np.r_[hit, hit[low]]) // len(self.place)
+        count = np.bincount(shared, minlength=len(bands))
+        for x in bands[count >= self.need[bands >> 40]]:
             i, b = int(x >> 40), int(x & (1 << 40) - 1) - 1
             w = int(self.budget[i]) + 1
             yield i, b * w - self.longest, b * w - self.longest + 2 * w - 2
@@ -159,6 +201,7 @@ def find(text: str | None, index: Index) -> list[dict]:
     """The items found in a text, each place once, with offsets in the text as it is."""
     a, at = folded(text)
     found: dict[tuple[int, int], tuple[int, int]] = {}
+    exact: dict[int, list[int]] = {}
     overlap = 3 * index.longest + index.q
     for s in range(0, max(1, len(a) - overlap), BLOCK):
         part = a[s:s + BLOCK + overlap]
@@ -167,7 +210,16 @@ def find(text: str | None, index: Index) -> list[dict]:
         for i, low, high in index.candidates(part):
             item, k = index.texts[i], int(index.budget[i])
             x = max(0, low - k)
-            if (hit := align(item, part[x:high + 2 * k + len(item) + 1], low - x, high - x, k)) and hit[2] > hit[1]:
+            if any(low + s <= start <= high + s for start in exact.get(i, ())):
+                continue  # nothing is nearer than what is there
+            region = part[x:high + 2 * k + len(item) + 1]
+            same = region.tobytes().find(item.tobytes())
+            if same >= 0 and same % 4 == 0:
+                hit = (0, same // 4, same // 4 + len(item))
+                exact.setdefault(i, []).append(hit[1] + x + s)
+            else:
+                hit = align(item, region, low - x, high - x, k)
+            if hit and hit[2] > hit[1]:
                 edits, start, end = hit[0], hit[1] + x + s, hit[2] + x + s
                 if edits < found.get((i, start), (k + 1, 0))[0]:
                     found[i, start] = (edits, end)
@@ -200,8 +252,6 @@ def benchmark_hits(text: Column, benchmark: DataFrame, item_id: str = "item_id",
     The benchmark is taken in blocks of about ``block_chars`` characters
     (some 30 bytes of index each); places of an item don't overlap.
     """
-    if q & (q - 1):
-        raise ValueError("q must be a power of two")
     spark = benchmark.sparkSession
     items = benchmark.select(quoted(item_id).cast("long").alias("i"), quoted(item).alias("t")).dropna()
     chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]

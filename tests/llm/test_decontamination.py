@@ -35,6 +35,15 @@ def test_fold():
     assert [len(x) for x in D.folded(None)] == [len(x) for x in D.folded(" ?!")] == [0, 0]
 
 
+def test_grams_tell_equal_substrings():
+    a = codes("abcabdabcabd" * 3)
+    for q in range(1, 20):
+        h = D.grams(a, q)
+        s = ["".join(map(chr, a[i:i + q])) for i in range(len(a) - q + 1)]
+        assert len(h) == len(s) and [[x == y for y in h] for x in h] == [[x == y for y in s] for x in s]
+    assert len(D.grams(a[:3], 10)) == 0
+
+
 def test_align_equals_the_whole_table():
     r = random.Random(2)
     for _ in range(120):

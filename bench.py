@@ -25,7 +25,7 @@ HEADLINE = [
     "window_agg_30s", "window_agg_1h", "window_agg_max", "rule_anomalies", "parse_envelope",
     "expected_load", "scaler_stats", "cluster_score", "distance_threshold", "threshold_p95",
     "model_anomalies", "severity_bands", "pct_of_average", "panel_trend", "panel_latest",
-    "anomalies_per_building", "synthetic_readings", "kmeans_fit", "stream_window_agg",
+    "anomalies_per_building", "kmeans_fit", "stream_window_agg",
     "stream_model_anomalies",
 ]
 

@@ -38,30 +38,11 @@ FLOOR_FACTOR_STEP = 0.02
 BASE_ELECTRICITY = 95.0
 BASE_WATER = 180.0
 
-# Live readings: U(base, base + 85) kWh and U(base, base + 170) litres, 2 decimals.
-LIVE_ELECTRICITY_SPREAD = 85.0
-LIVE_WATER_SPREAD = 170.0
-
-# Training readings: normal U(0.6 * base, base + 85) / U(0.6 * base, base + 170);
-# anomaly U(base + 120, base + 350) / U(base + 150, base + 600); anomaly rate 0.05;
-# labels "normal" / "anomaly"; times within the last 86,400 seconds, text ending in Z.
-TRAIN_NORMAL_LOW_FACTOR = 0.6
-TRAIN_ANOMALY_ELECTRICITY = (120.0, 350.0)
-TRAIN_ANOMALY_WATER = (150.0, 600.0)
-TRAIN_ANOMALY_RATE = 0.05
-LABEL_NORMAL = "normal"
-LABEL_ANOMALY = "anomaly"
-TRAIN_TIME_SPAN_SECONDS = 86400
-TRAIN_BUILDINGS = ("Building A", "Building B", "Building C", "Building D")
-LIVE_BUILDINGS = ("Building A", "Building B", "Building C")
-FLOORS = 5
-
 # Model: k = 3, seed 42; threshold = mean + 3 * sample stddev of the training
 # distances (a null stddev counts as 0).
 KMEANS_K = 3
 KMEANS_SEED = 42
 THRESHOLD_SIGMAS = 3.0
-FEATURES = ("electricity", "water")
 
 # Severity bands of a distance: (0, 1.0] very normal, (1.0, threshold] normal
 # variation, (threshold, 2.5] minor anomaly, (2.5, 3.5] anomaly, above critical.
@@ -70,10 +51,8 @@ SEVERITY_MINOR_MAX = 2.5
 SEVERITY_ANOMALY_MAX = 3.5
 SEVERITY_LABELS = ("very normal", "normal variation", "minor anomaly", "anomaly", "critical")
 
-# Stream defaults: 30-second tumbling windows, 1-minute trigger,
-# at most 1000 offsets per trigger, topic name.
+# Stream defaults: 30-second tumbling windows, 1-minute trigger.
 WINDOW_DURATION = "30 seconds"
 TRIGGER_INTERVAL = "1 minute"
-MAX_OFFSETS_PER_TRIGGER = 1000
-TOPIC = "university_consumption"
 # ---------------------------------------------------------------------------
+FEATURES = ("electricity", "water")

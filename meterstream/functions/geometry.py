@@ -1,13 +1,8 @@
 """Native distance expressions for K-means scoring.
 
 Centres are a handful of doubles (k x d), so they travel as literals inside
-the expression: no broadcast, no join, no Python worker.  For small k x d
-(the meter model is 3 x 2) every coordinate is its own term and the whole
-projection stays in one whole-stage-codegen span.  For wide features the
-per-term expression grows as k x d and costs more to generate and compile
-than to run, so ``nearest_centre_wide`` keeps the expression size O(k): the
-point is bound once as an array and each centre's distance is a
-``zip_with`` + ``aggregate`` over it.
+the expression: no broadcast, no join, no Python worker.  Every coordinate is its own term, so the
+whole projection stays in one whole-stage-codegen span.
 """
 
 from __future__ import annotations
@@ -59,39 +54,3 @@ def nearest_centre(z: Sequence[Column], centres: Sequence[Sequence[float]]) -> C
     for zi in z[1:]:
         any_null = any_null | zi.isNull()
     return F.when(any_null, F.lit(None)).otherwise(best)
-
-
-def distance_to_centre(z: Sequence[Column], centres: Sequence[Sequence[float]], cluster) -> Column:
-    """Euclidean distance of ``z`` to the centre with index ``cluster``."""
-    d2 = squared_distances(z, centres)
-    expr = F.lit(None).cast("double")
-    for i, d in reversed(list(enumerate(d2))):
-        expr = F.when(_c(cluster) == F.lit(i), F.sqrt(d)).otherwise(expr)
-    return expr
-
-
-# k x d above this uses the array form
-WIDE_TERMS = 48
-
-
-def nearest_centre_wide(z: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
-    """Same result as ``nearest_centre`` (ties to the lowest index), expression size O(k)."""
-    cents = F.array(*[F.struct(F.lit(j).alias("cluster"),
-                               F.array(*[_d(v) for v in c]).alias("c"))
-                      for j, c in enumerate(centres)])
-
-    def per_point(p):
-        def d2(c):
-            sq = F.zip_with(p, c["c"], lambda a, b: (a - b) * (a - b))
-            return F.struct(F.aggregate(sq, _d(0.0), lambda acc, x: acc + x).alias("d2"),
-                            c["cluster"].alias("cluster"))
-        bad = F.exists(p, lambda x: x.isNull())
-        return F.when(bad, F.lit(None)).otherwise(F.array_min(F.transform(cents, d2)))
-
-    return F.transform(F.array(F.array(*z)), per_point)[0]
-
-
-def nearest(z: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
-    if len(centres) * len(z) > WIDE_TERMS:
-        return nearest_centre_wide(z, centres)
-    return nearest_centre(z, centres)

@@ -57,17 +57,6 @@ def stable_bucket(value, buckets: int, salt: str = "") -> Column:
     return F.pmod(h, F.lit(buckets))
 
 
-def unit_draw(key, stream: str) -> Column:
-    """Deterministic uniform draw in [0, 1) from a row key and a stream name.
-
-    Independent of partitioning and task order, so regenerated data is equal
-    on any cluster shape (unlike ``rand(seed)``).
-    """
-    text = F.concat(_c(key).cast("string"), F.lit(":" + stream))
-    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return h.cast("double") / F.lit(4294967296.0)
-
-
 def building_factor(building="building") -> Column:
     return _d(1.0) + _d(C.BUILDING_FACTOR_STEP) * stable_bucket(building, C.BUILDING_FACTOR_BUCKETS).cast("double")
 
@@ -82,12 +71,12 @@ def expected_base(base: float, ts="timestamp", building="building", floor="floor
 
 
 def severity_band(dist="dist", threshold: float | Column = 1.0) -> Column:
-    """Half-open bands (lo, hi] with the model threshold as the second edge."""
+    """Bands of a distance: up to the threshold normal, beyond it anomalous, whatever the threshold is."""
     d = _c(dist)
     t = threshold if isinstance(threshold, Column) else _d(threshold)
     labels = C.SEVERITY_LABELS
     return (F.when(d.isNull(), F.lit(None).cast("string"))
-             .when(d <= _d(C.SEVERITY_VERY_NORMAL_MAX), F.lit(labels[0]))
+             .when((d <= t) & (d <= _d(C.SEVERITY_VERY_NORMAL_MAX)), F.lit(labels[0]))
              .when(d <= t, F.lit(labels[1]))
              .when(d <= _d(C.SEVERITY_MINOR_MAX), F.lit(labels[2]))
              .when(d <= _d(C.SEVERITY_ANOMALY_MAX), F.lit(labels[3]))

@@ -1,12 +1,11 @@
-"""Command-line jobs: training-data generation, training, the two streams, report panels.
+"""Command-line jobs: training, the two streams, report panels.
 
-    python -m meterstream generate-training --keys events.parquet --out training_csv/
     python -m meterstream train --input training_csv/ --models models/
-    python -m meterstream monitor --bootstrap kafka:9092 --models models/ --results results/
-    python -m meterstream rules --bootstrap kafka:9092 --results results/
+    python -m meterstream monitor --bootstrap kafka:9092 --topic readings --models models/ --results results/
+    python -m meterstream rules --bootstrap kafka:9092 --topic readings --results results/
     python -m meterstream report --results results/ --panel latest
     python -m meterstream stage-replay --events events.parquet --out replay/
-    python -m meterstream publish --events events.parquet --bootstrap kafka:9092
+    python -m meterstream publish --events events.parquet --bootstrap kafka:9092 --topic readings
     python -m meterstream ingest --events events.parquet --out readings/
 
 Checkpoints go under ``--checkpoints`` or, by default, under the session's
@@ -24,17 +23,16 @@ from .session import build_session, shared_dir
 
 def _sinks_for(args, kind: str):
     from .sinks import ConsoleSink, DocumentSink, ParquetSink, RelationalSink, aggregate_row, anomaly_row
+    from .sinks.adapters import PLACE
     out = [ParquetSink(f"{args.results.rstrip('/')}/{kind}")]
     if args.documents:
         time_cols = ("window_start", "window_end", "processed_at") if kind == "aggregations" \
             else ("timestamp", "detected_at")
-        ids = ("building", "window_start") if kind == "aggregations" else ("building", "timestamp", "floor")
+        ids = ("building", "window_start") if kind == "aggregations" else PLACE
         out.append(DocumentSink(kind, time_cols, id_fields=ids, format=args.documents,
                                 path=f"{args.results.rstrip('/')}/documents"))
     if args.jdbc_url:
-        props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
-        if args.jdbc_driver:
-            props["driver"] = args.jdbc_driver
+        props = _jdbc(args)
         out.append(RelationalSink(kind, aggregate_row if kind == "aggregations" else anomaly_row,
                                   url=args.jdbc_url, properties=props))
     if args.console and kind == "aggregations":
@@ -42,6 +40,17 @@ def _sinks_for(args, kind: str):
     return out
 
 
+def _jdbc(args) -> dict[str, str]:
+    """Connection properties; the password comes from a file, never from the command line."""
+    props = {"user": args.jdbc_user or ""}
+    if args.jdbc_password_file:
+        with open(args.jdbc_password_file, encoding="utf-8") as f:
+            props["password"] = f.read().strip()
+    if getattr(args, "jdbc_driver", None):
+        props["driver"] = args.jdbc_driver
+    return props
+
+
 def _source(args):
     from .streaming.sources import SourceConfig
     if args.replay:
@@ -59,14 +68,6 @@ def _settings(args, spark, name):
                          available_now=args.available_now)
 
 
-def cmd_generate_training(args) -> None:
-    from .operators.synth import synthetic_training
-    spark = build_session(app="meterstream-generate")
-    keys = spark.read.parquet(args.keys)
-    df = synthetic_training(keys, args.key_col, floors=args.floors, anomaly_rate=args.anomaly_rate)
-    df.drop("reading_id").write.mode("error").option("header", True).csv(args.out)
-
-
 def cmd_train(args) -> None:
     from .operators.training import fit_model
     from .schema import TRAINING_SCHEMA
@@ -83,11 +84,13 @@ def cmd_train(args) -> None:
 
 def _run_streams(args, detector_name: str) -> None:
     from .streaming.progress import ProgressLog, await_all
-    from .streaming.queries import aggregate_query, model_detector, rule_detector, scoring_query
+    from .streaming.queries import aggregate_query, model_detector, rule_detector, scoring_query, state_partitions
     from .streaming.sources import envelope_stream
     from .operators import windows
-    spark = build_session(app=f"meterstream-{detector_name}", shuffle_partitions=args.shuffle_partitions)
-    listener = ProgressLog()
+    spark = build_session(app=f"meterstream-{detector_name}")
+    listener = ProgressLog(lambda p: print(
+        f"{p['name']}: batch {p['batch_id']}, {p['input_rows']} rows, {p['rejected']} rejected, "
+        f"{p['dropped_late']} too late, {p['rows_per_second']:.0f} rows/s", flush=True))
     spark.streams.addListener(listener)
     env = envelope_stream(spark, _source(args))
     if detector_name == "monitor":
@@ -100,34 +103,32 @@ def _run_streams(args, detector_name: str) -> None:
     watermark = None if args.watermark.lower() == "none" else args.watermark
     if watermark is None and args.output_mode == "append":
         raise SystemExit("append mode needs a watermark")
-    qa = aggregate_query(env, _sinks_for(args, "aggregations"), _settings(args, spark, f"{detector_name}-aggregations"),
-                         duration=args.window, metrics=metrics, watermark=watermark, output_mode=args.output_mode)
     from .sinks import ParquetSink
-    qs = scoring_query(env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies"),
-                       reject_sinks=[ParquetSink(f"{args.results.rstrip('/')}/rejects")])
-    try:
-        await_all([qa, qs])
-    except KeyboardInterrupt:
-        for q in (qa, qs):
-            q.stop()
-    finally:
-        spark.streams.removeListener(listener)
-        for p in listener.progress:
-            rejected = p["observed"].get("records", {}).get("rejected", 0)
-            print(f"{p['name']}: batch {p['batch_id']}, {p['input_rows']} rows, {rejected} rejected, "
-                  f"{p['dropped_late']} too late, {p['rows_per_second']:.0f} rows/s")
+    running = []
+    with state_partitions(spark, args.shuffle_partitions):
+        try:
+            running.append(aggregate_query(
+                env, _sinks_for(args, "aggregations"), _settings(args, spark, f"{detector_name}-aggregations"),
+                duration=args.window, metrics=metrics, watermark=watermark, output_mode=args.output_mode))
+            running.append(scoring_query(
+                env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies"),
+                reject_sinks=[ParquetSink(f"{args.results.rstrip('/')}/rejects")]))
+            await_all(running)
+        except KeyboardInterrupt:
+            pass  # await_all has stopped them
+        finally:
+            listener.drain(running)
+            spark.streams.removeListener(listener)
 
 
 def cmd_stage_replay(args) -> None:
     from .operators import parse
     from .sources.tables import readings_from_events, with_status
-    from .streaming.replay import files_per_batch, stage_replay
+    from .streaming.replay import stage_replay
     spark = build_session(app="meterstream-stage")
     env = parse.to_envelope(with_status(readings_from_events(spark.read.parquet(args.events))))
-    per_batch = files_per_batch(env)
-    stage_replay(env, args.out, args.batches * per_batch, "timestamp" if args.ordered else None)
-    print(f"staged {args.batches} micro-batches of {per_batch} file(s): use --replay {args.out} "
-          f"--max-files {per_batch}")
+    stage_replay(env, args.out, "timestamp" if args.ordered else None, args.ranges, args.records_per_file)
+    print(f"staged: use --replay {args.out} --max-files N for N files of at most {args.records_per_file} records a batch")
 
 
 def cmd_ingest(args) -> None:
@@ -144,41 +145,40 @@ def cmd_publish(args) -> None:
     from .sources.tables import readings_from_events, with_status
     spark = build_session(app="meterstream-publish")
     env = parse.to_envelope(with_status(readings_from_events(spark.read.parquet(args.events))))
-    KafkaSink(args.bootstrap, args.topic).write(env, 0)
+    KafkaSink(args.bootstrap, args.topic).write(env)
 
 
 def cmd_report(args) -> None:
     from .operators import reports
     from .sources.results import read_results
     spark = build_session(app="meterstream-report")
-    props = {"user": args.jdbc_user or "", "password": args.jdbc_password or ""}
-
     def load(table):
-        df = read_results(spark, table, path=args.results, url=args.jdbc_url, properties=props)
+        df = read_results(spark, table, path=args.results, url=args.jdbc_url, properties=_jdbc(args))
+        if args.results and args.start and args.end and (table == "aggregations" or args.by == "timestamp"):
+            df = reports.stored_between(df, args.start, args.end)
         return df.withColumnRenamed("distance", "dist")      # relational stores name it distance
 
     if args.panel == "trend":
-        aggs = reports.latest_revision(load("aggregations").drop("processed_at"))
-        reports.panel_trend(aggs, args.start, args.end).show(args.rows, truncate=False)
+        keys = ("building", "window_start", "query", "run")
+        rows = load("aggregations").drop("processed_at", "date")
+        out = reports.panel_trend(reports.latest_revision(rows, keys=keys), args.start, args.end)
     elif args.panel == "latest":
         found = reports.time_range(load("anomalies"), args.by, args.start, args.end)
-        reports.panel_latest(found, n=args.rows, time_col=args.by).show(truncate=False)
+        out = reports.panel_latest(found, n=args.rows, time_col=args.by)
     else:
-        reports.anomalies_per_building(load("anomalies")).show(truncate=False)
+        out = reports.anomalies_per_building(load("anomalies"))
+    if args.out:
+        out.write.mode("error").option("header", True).csv(args.out)
+        return
+    print("\t".join(out.columns))
+    for row in out.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="meterstream")
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    g = sub.add_parser("generate-training", help="labelled synthetic training readings as CSV, one per key")
-    g.add_argument("--keys", required=True, help="parquet table whose key column drives one row each")
-    g.add_argument("--key-col", default="event_id")
-    g.add_argument("--out", required=True)
-    g.add_argument("--floors", type=int, default=C.FLOORS)
-    g.add_argument("--anomaly-rate", type=float, default=C.TRAIN_ANOMALY_RATE)
-    g.set_defaults(fn=cmd_generate_training)
-
     t = sub.add_parser("train", help="fit scaler, K-means and threshold; save a new model version")
     t.add_argument("--input", required=True)
     t.add_argument("--models", required=True)
@@ -192,10 +192,10 @@ def main(argv=None) -> int:
     for name in ("monitor", "rules"):
         s = sub.add_parser(name, help=helps[name])
         s.add_argument("--bootstrap", default="kafka:9092")
-        s.add_argument("--topic", default=C.TOPIC)
+        s.add_argument("--topic", default=None, help="needed unless --replay is given")
         s.add_argument("--starting-offsets", default="latest")
         s.add_argument("--tolerate-data-loss", action="store_true")
-        s.add_argument("--max-offsets", type=int, default=C.MAX_OFFSETS_PER_TRIGGER)
+        s.add_argument("--max-offsets", type=int, default=None, help="most records of a micro-batch")
         s.add_argument("--min-partitions", type=int, default=None)
         s.add_argument("--replay", default=None, help="read topic records from parquet files instead")
         s.add_argument("--max-files", type=int, default=1)
@@ -212,7 +212,7 @@ def main(argv=None) -> int:
         s.add_argument("--documents", default=None, help="document sink format, e.g. mongodb or json")
         s.add_argument("--jdbc-url", default=None)
         s.add_argument("--jdbc-user", default=None)
-        s.add_argument("--jdbc-password", default=None)
+        s.add_argument("--jdbc-password-file", default=None)
         s.add_argument("--jdbc-driver", default=None)
         s.add_argument("--console", action="store_true")
         s.add_argument("--shuffle-partitions", type=int, default=None,
@@ -222,8 +222,9 @@ def main(argv=None) -> int:
     st = sub.add_parser("stage-replay", help="topic records from an events table, as replay files")
     st.add_argument("--events", required=True)
     st.add_argument("--out", required=True)
-    st.add_argument("--batches", type=int, default=6)
-    st.add_argument("--ordered", action="store_true")
+    st.add_argument("--records-per-file", type=int, default=100_000)
+    st.add_argument("--ordered", action="store_true", help="in time order, one range of time after another")
+    st.add_argument("--ranges", type=int, default=6)
     st.set_defaults(fn=cmd_stage_replay)
 
     ig = sub.add_parser("ingest", help="parse an events table into a date-partitioned readings table")
@@ -234,18 +235,19 @@ def main(argv=None) -> int:
     pb = sub.add_parser("publish", help="publish an events table to the topic as JSON readings")
     pb.add_argument("--events", required=True)
     pb.add_argument("--bootstrap", default="kafka:9092")
-    pb.add_argument("--topic", default=C.TOPIC)
+    pb.add_argument("--topic", required=True)
     pb.set_defaults(fn=cmd_publish)
 
     r = sub.add_parser("report", help="trend, latest anomalies or anomalies per building from the results")
     r.add_argument("--results", default=None, help="parquet result store (or use --jdbc-url)")
     r.add_argument("--jdbc-url", default=None)
     r.add_argument("--jdbc-user", default=None)
-    r.add_argument("--jdbc-password", default=None)
+    r.add_argument("--jdbc-password-file", default=None)
     r.add_argument("--panel", choices=("trend", "latest", "per-building"), default="latest")
     r.add_argument("--start", default=None)
     r.add_argument("--end", default=None)
-    r.add_argument("--rows", type=int, default=10)
+    r.add_argument("--rows", type=int, default=10, help="how many of the latest anomalies")
+    r.add_argument("--out", default=None, help="write the whole panel there as CSV instead of printing it")
     r.add_argument("--by", choices=("detected_at", "timestamp"), default="detected_at",
                    help="time column of the latest-anomalies panel (processing or event time)")
     r.set_defaults(fn=cmd_report)
@@ -253,6 +255,8 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     if args.cmd == "monitor" and not args.models:
         p.error("monitor needs --models")
+    if args.cmd in ("monitor", "rules") and not (args.topic or args.replay):
+        p.error(f"{args.cmd} needs --topic or --replay")
     if args.cmd == "report" and not (args.results or args.jdbc_url):
         p.error("report needs --results or --jdbc-url")
     args.fn(args)

@@ -15,25 +15,6 @@ def building_averages(readings: DataFrame, col: str = "electricity") -> DataFram
     return readings.groupBy("building").agg(F.avg(col).alias(f"avg_{col}"))
 
 
-# A side is broadcast only when its row count is known to be at most this.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on: str,
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``big`` to a small keyed table, broadcasting it only behind a row-count check.
-
-    ``small`` is persisted (it is an aggregate, one row per key) and counted;
-    within the bound it is broadcast, so ``big`` is never shuffled and a hot
-    key costs nothing extra.  Beyond the bound it stays a shuffle join, where
-    AQE splits skewed partitions.
-    """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on)
-
-
 class ReferenceTable:
     """A small table for stream-static joins, re-read from its source after ``refresh_s`` seconds.
 
@@ -63,17 +44,18 @@ def pct_of_average(readings: DataFrame, alerts: DataFrame | None = None,
     """Alert rows with ``100 * value / building average``.
 
     The averages come from a grouped aggregate (one row per building, partial
-    aggregation before the shuffle) joined back on ``building`` through
-    ``join_small``.  No window ``PARTITION BY building``, which would put a
-    whole building in one task.  ``averages`` may be given (a reference table
-    for streams: a stream-static join against it).
+    aggregation before the shuffle) joined back on ``building``; Spark picks
+    the join by their real size.  No window ``PARTITION BY building``, which
+    would put a whole building in one task.  An alert of a building without
+    an average stays, with null in its place.  ``averages`` may be given (a
+    reference table for streams: a stream-static join against it).
     """
     if alerts is None:
         alerts = readings.filter(F.col(col) > F.lit(C.HIGH_ELECTRICITY))
     if isinstance(averages, ReferenceTable):
         averages = averages.get()
     avgs = averages if averages is not None else building_averages(readings, col)
-    return (join_small(alerts, avgs, "building")
+    return (alerts.join(avgs, "building", "left")
             .withColumn("pct_of_avg", F.try_divide(F.lit(100.0) * F.col(col), F.col(f"avg_{col}"))))
 
 

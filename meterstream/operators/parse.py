@@ -9,6 +9,7 @@ from .. import constants as C
 from ..functions.parse import (encode_message, event_time, from_utc_wall, is_json_object, parse_message,
                                value_text)
 from ..schema import MESSAGE_SCHEMA
+from .scoring import usable
 
 # Reject reasons, checked in this order.
 NULL_VALUE = "null_value"
@@ -55,13 +56,14 @@ def valid(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reason").isNull()).drop("raw", "reason")
 
 
-def rejects(decoded: DataFrame, features=C.FEATURES) -> DataFrame:
-    """raw + reason for structurally bad records and for records whose features cannot be scored."""
-    bad_feature = F.lit(False)
-    for f in features:
-        bad_feature = bad_feature | F.col(f).isNull() | F.isnan(F.col(f))
-    reason = F.coalesce(F.col("reason"), F.when(bad_feature, F.lit(BAD_FEATURE)))
-    return (decoded.select("raw", reason.alias("reason"))
+def reject_reason(features=C.FEATURES) -> Column:
+    """Why a decoded record is set aside: bad structure, or features that can't be scored; null if it isn't."""
+    return F.coalesce(F.col("reason"), F.when(~usable(features), F.lit(BAD_FEATURE)))
+
+
+def rejects(decoded: DataFrame, features=C.FEATURES, keep=()) -> DataFrame:
+    """raw + reason (and the columns in ``keep``) of the records that are set aside."""
+    return (decoded.select("raw", reject_reason(features).alias("reason"), *keep)
             .filter(F.col("reason").isNotNull()))
 
 
@@ -70,7 +72,7 @@ def drop_invalid(df: DataFrame, features=C.FEATURES) -> DataFrame:
     return df.select(*features).na.drop()
 
 
-def to_envelope(readings: DataFrame, topic: str = C.TOPIC, partitions: int = 3,
+def to_envelope(readings: DataFrame, topic: str = "readings", partitions: int = 3,
                 offset_col: str | None = "reading_id") -> DataFrame:
     """Readings -> topic records: key = building bytes, value = JSON bytes."""
     status = F.col("status") if "status" in readings.columns else F.lit(None).cast("string")

@@ -33,6 +33,12 @@ def time_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
     return df.filter(cond)
 
 
+def stored_between(stored: DataFrame, lo, hi) -> DataFrame:
+    """Stored rows of the dates from ``lo`` to ``hi``: only their folders are read."""
+    day = lambda t: F.to_date(F.lit(t))
+    return stored.filter((F.col("date") >= day(lo)) & (F.col("date") <= day(hi)))
+
+
 def panel_trend(aggs: DataFrame, lo=None, hi=None, value_col: str = "avg_electricity") -> DataFrame:
     """Trend panel: time, building, value inside the time range, by time ascending."""
     return (time_range(aggs, "window_start", lo, hi)
@@ -43,10 +49,11 @@ def panel_trend(aggs: DataFrame, lo=None, hi=None, value_col: str = "avg_electri
 def panel_latest(anomalies: DataFrame, n: int = 10, time_col: str = "timestamp") -> DataFrame:
     """Latest ``n`` anomalies (top-k per task, then one small merge)."""
     distance = F.col("dist") if "dist" in anomalies.columns else F.lit(None).cast("double")
+    place = [c for c in ("reading_id", "topic", "partition", "offset") if c in anomalies.columns]  # breaks ties
     return (anomalies.select(F.col(time_col).alias("time"), "building", "floor", "electricity",
-                             distance.alias("distance"))
-            .orderBy(F.desc("time"), "building", "floor", F.desc("electricity"))
-            .limit(n))
+                             distance.alias("distance"), *place)
+            .orderBy(F.desc("time"), "building", "floor", F.desc("electricity"), *place)
+            .limit(n).drop(*place))
 
 
 def anomalies_per_building(anomalies: DataFrame, dist_col: str = "dist") -> DataFrame:

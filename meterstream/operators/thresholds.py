@@ -4,8 +4,7 @@
 ``exact_quantile`` finds an exact percentile without holding the column in
 one task: each pass buckets the candidate range into equal-width bins with a
 grouped count (at most ``bins`` rows reach the driver) and narrows to the bin
-holding the wanted ranks; once few enough candidates remain they are sorted
-in one bounded task.  Linear interpolation between ranks floor(p) and
+holding the wanted ranks, until they are found.  Linear interpolation between ranks floor(p) and
 ceil(p), p = q * (n - 1), as in SQL ``percentile_cont``.
 """
 
@@ -31,65 +30,58 @@ def distance_stats(scored: DataFrame, col: str = "dist",
                        F.coalesce(F.col("std_dist"), F.lit(0.0))).alias("threshold"))
 
 
-def _pick(sorted_vals, i):
-    return F.element_at(sorted_vals, F.lit(int(i) + 1))
+def exact_quantile_value(df: DataFrame, col: str, q: float, bins: int = 4096) -> tuple[float | None, int]:
+    """(value, n) of the exact q-quantile of the non-null, non-NaN values of ``col``.
 
-
-def exact_quantile_value(df: DataFrame, col: str, q: float, bins: int = 4096,
-                         final_max: int = 200_000) -> tuple[float | None, int]:
-    """(value, n) of the exact q-quantile of the non-null, non-NaN values of ``col``."""
+    Infinite values rank first and last; between an infinite and a finite
+    value the interpolation is infinite.
+    """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & ~F.isnan("x"))
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    inf = F.lit(float("inf"))
     try:
-        row = x.agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        finite = F.when(F.abs("x") != inf, F.col("x"))
+        row = x.agg(F.count("x").alias("n"), F.count(finite).alias("m"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+                    F.count(F.when(F.col("x") == -inf, 1)).alias("low")).first()
         n = int(row["n"])
         if n == 0:
             return None, 0
         pos = q * (n - 1)
         r1, r2 = math.floor(pos), math.ceil(pos)
-        lo, hi, below, count = float(row["lo"]), float(row["hi"]), 0, n
-        found: dict[int, float] = {}
-        while True:
-            want = [r for r in (r1, r2) if r not in found]
-            if not want:
-                break
+        below, after = int(row["low"]), int(row["low"]) + int(row["m"])
+        found = {r: float("-inf") if r < below else float("inf") for r in (r1, r2) if not below <= r < after}
+        lo, hi = row["lo"], row["hi"]
+        while want := [r for r in (r1, r2) if r not in found]:
             if lo == hi:
-                for r in want:
-                    found[r] = lo
+                found.update(dict.fromkeys(want, float(lo)))
                 break
             cand = x.filter((F.col("x") >= F.lit(lo)) & (F.col("x") <= F.lit(hi)))
-            if count <= final_max:
-                vals = cand.agg(F.sort_array(F.collect_list("x")).alias("v"))
-                got = vals.select(*[_pick(F.col("v"), r - below).alias(f"r{r}") for r in want]).first()
-                for r in want:
-                    found[r] = float(got[f"r{r}"])
-                break
-            width = (hi - lo) / bins
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+            # halves, so that a range wider than the largest double doesn't overflow; the least value
+            # is in the first bin and the greatest in the last, so every pass narrows the range
+            share = (F.col("x") / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) if hi / 2 > lo / 2 else \
+                F.when(F.col("x") == F.lit(hi), F.lit(1.0)).otherwise(F.lit(0.0))
+            b = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
             hist = (cand.groupBy(b.alias("b"))
                         .agg(F.count("x").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
                         .orderBy("b").collect())
             start = below
-            target = None
             for h in hist:
                 first, last = start, start + h["c"] - 1
+                inside = [r for r in want if first < r < last]
                 for r in want:
                     if r == first:
                         found[r] = float(h["mn"])
                     elif r == last:
                         found[r] = float(h["mx"])
-                    elif first < r < last and target is None:
-                        target = (h, start)
+                if inside:  # neighbouring ranks, so only one bin has any
+                    lo, hi, below = float(h["mn"]), float(h["mx"]), start
+                    break
                 start = last + 1
-            if target is None:
-                continue
-            h, start = target
-            lo, hi, below, count = float(h["mn"]), float(h["mx"]), start, int(h["c"])
         v1, v2 = found[r1], found[r2]
-        return (v1 if r1 == r2 else v1 + (v2 - v1) * (pos - r1)), n
+        return (v1 if v1 == v2 else v1 + (v2 - v1) * (pos - r1)), n
     finally:
         x.unpersist()
 

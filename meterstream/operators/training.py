@@ -39,23 +39,18 @@ def fit_model(df: DataFrame, features: Sequence[str] = C.FEATURES, k: int = C.KM
     # than iterating over a cached DataFrame of vectors).
     clean = valid_features(df.select(*features), features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        k = effective_k(clean, features, k)
+        if clean.isEmpty():
+            raise ValueError("no training rows with valid features")
         assembler = VectorAssembler(inputCols=features, outputCol="features_raw", handleInvalid="skip")
         scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
         vec = assembler.transform(clean)
         scaler_model = scaler.fit(vec)
-        if k >= 2:
-            km_model = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed,
-                              maxIter=max_iter, tol=tol).fit(scaler_model.transform(vec))
-            centres = tuple(tuple(float(v) for v in c) for c in km_model.clusterCenters())
-            stages = [assembler, scaler_model, km_model]
-            extra = {"training_cost": float(km_model.summary.trainingCost),
-                     "cluster_sizes": list(km_model.summary.clusterSizes)}
-        else:
-            # a single distinct point: its one centre is the mean, the origin of standardised space
-            centres = (tuple(0.0 for _ in features),)
-            stages = [assembler, scaler_model]
-            extra = {"training_cost": 0.0, "cluster_sizes": [clean.count()]}
+        # row by row: the block solver fails where there are fewer distinct points than k
+        km_model = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed,
+                          maxIter=max_iter, tol=tol, solver="row").fit(scaler_model.transform(vec))
+        centres = tuple(tuple(float(v) for v in c) for c in km_model.clusterCenters())
+        stages = [assembler, scaler_model, km_model]
+        extra = {"training_cost": float(km_model.summary.trainingCost)}
         partial = MeterModel(
             features=tuple(features),
             mean=tuple(float(v) for v in scaler_model.mean.toArray()),
@@ -75,32 +70,3 @@ def fit_model(df: DataFrame, features: Sequence[str] = C.FEATURES, k: int = C.KM
         return model, PipelineModel(stages=stages)
     finally:
         clean.unpersist()
-
-
-def effective_k(clean: DataFrame, features: Sequence[str], k: int) -> int:
-    """k, capped at the number of distinct points (MLlib's K-means fails with fewer).
-
-    One approximate distinct count over the cached input; only when it is
-    small is the exact count taken (a distinct over few values).
-    """
-    point = F.struct(*[F.col(f) for f in features])
-    approx = clean.agg(F.approx_count_distinct(point).alias("n")).first()["n"]
-    if approx == 0:
-        raise ValueError("no training rows with valid features")
-    if approx > 4 * k:
-        return k
-    return max(1, min(k, clean.select(*features).distinct().count()))
-
-
-def centres_frame(spark, model: MeterModel) -> DataFrame:
-    """k rows: cluster id and the centre coordinates in standardised space."""
-    rows = [(i, *c) for i, c in enumerate(model.centres)]
-    cols = ["cluster"] + [f"centre_{f}" for f in model.features]
-    return spark.createDataFrame(rows, cols)
-
-
-def label_confusion(scored: DataFrame, threshold: float, label_col: str = "status") -> DataFrame:
-    """Counts per (label, is_anomaly): how the model's flags meet the training labels."""
-    return (scored.withColumn("is_anomaly", F.col("dist") > F.lit(float(threshold)))
-            .groupBy(F.col(label_col).alias("label"), "is_anomaly")
-            .agg(F.count(F.lit(1)).alias("readings")))

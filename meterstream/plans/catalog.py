@@ -1,7 +1,7 @@
 """Named queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Computed columns carry the same names as in ``oracle.ORACLE``; values that
-depend on summation order are rounded to 6 decimals for comparison.
+depend on summation order go through ``compare.r6``.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def junk_and_readings(spark, sf_dir) -> DataFrame:
     env = parse.to_envelope(with_status(readings(spark, sf_dir)))
     conv = table(spark, sf_dir, "conversations").select(
         F.lit(None).cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
-        F.lit(C.TOPIC).alias("topic"), F.lit(0).alias("partition"),
+        F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
         F.col("conv_id").cast("long").alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
     return env.unionByName(conv)
@@ -74,6 +74,24 @@ def rejects(spark, sf_dir):
     return parse.rejects(parse.decode(junk_and_readings(spark, sf_dir)))
 
 
+def spoilt(spark, sf_dir) -> DataFrame:
+    """Topic records of the readings, six of seven spoilt in one of the ways that get a record rejected."""
+    env = parse.to_envelope(with_status(readings(spark, sf_dir)))
+    text, kind = F.col("value").cast("string"), F.col("offset") % 7
+    broken = (F.when(kind == 0, F.lit(None).cast("string"))
+              .when(kind == 1, F.concat(F.lit("{"), F.col("offset").cast("string")))
+              .when(kind == 2, F.regexp_replace(text, '"building":"[^"]*"', '"building":null'))
+              .when(kind == 3, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+              .when(kind == 4, F.regexp_replace(text, '"electricity":[^,]*', '"electricity":1e999'))
+              .when(kind == 5, F.regexp_replace(text, '"water":[^,]*', '"water":null')).otherwise(text))
+    return env.withColumn("value", broken.cast("binary"))
+
+
+def reject_reasons(spark, sf_dir):
+    """Each of the five reasons, from records spoilt on purpose."""
+    return parse.rejects(parse.decode(spoilt(spark, sf_dir), keep=("offset",)), keep=("offset",)).select("offset", "reason")
+
+
 def rule_status(spark, sf_dir):
     return with_status(readings(spark, sf_dir)).select("reading_id", "status")
 
@@ -87,12 +105,12 @@ def drop_invalid(spark, sf_dir):
 
 
 def diurnal_profile_q(spark, sf_dir):
-    return readings(spark, sf_dir).select("reading_id", "timestamp",
+    return readings(spark, sf_dir, water=False).select("reading_id", "timestamp",
                                           diurnal_profile("timestamp").alias("profile"))
 
 
 def expected_load(spark, sf_dir):
-    r = readings(spark, sf_dir)
+    r = readings(spark, sf_dir, water=False)
     return r.select("reading_id", "building", "floor",
                     r6(expected_base(C.BASE_ELECTRICITY)).alias("expected_electricity"),
                     r6(expected_base(C.BASE_WATER)).alias("expected_water"))
@@ -177,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "rule_anomalies": rule_anomalies,
     "parse_envelope": parse_envelope,
     "rejects": rejects,
+    "reject_reasons": reject_reasons,
     "drop_invalid": drop_invalid,
     "rule_status": rule_status,
     "diurnal_profile": diurnal_profile_q,

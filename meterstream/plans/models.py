@@ -1,78 +1,75 @@
-"""Named queries for training, the model store and synthetic training data."""
+"""Named queries for training and the model store."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.parse import iso_text
 from ..model import FROZEN
-from .compare import r6
-from ..operators import scoring, training
-from ..operators.synth import synthetic_live, synthetic_training
+from ..operators import scoring, thresholds, training
 from ..schema import TRAINING_SCHEMA
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sources.models import load_model, save_model
-from ..sources.tables import embedding_features, readings, table
-
-
-def synthetic_readings(spark, sf_dir):
-    """One labelled training reading per event (deterministic draws keyed by event_id)."""
-    return synthetic_training(table(spark, sf_dir, "events"), "event_id")
+from ..sources.tables import readings, with_status
+from .compare import r6
 
 
-def training_csv(spark, sf_dir):
-    """Synthetic training readings written as CSV with header, read back with a declared schema."""
-    path = scratch_path(spark, "training-csv")
-    synthetic_readings(spark, sf_dir).drop("reading_id").write.option("header", True).csv(path)
+def readings_csv(spark, sf_dir):
+    """The readings written as CSV with header, as a trainer gets them, and read with the declared schema."""
+    path = scratch_path(spark, "readings-csv")
+    r = with_status(readings(spark, sf_dir))
+    (r.select("building", "floor", "electricity", "water", "status", iso_text("timestamp").alias("timestamp"))
+     .write.option("header", True).csv(path))
+    delete_path(spark, path, at_exit=True)
     return spark.read.schema(TRAINING_SCHEMA).option("header", True).csv(path)
 
 
 def kmeans_fit(spark, sf_dir):
-    """Scaler + K-means (k=3, seed 42) + mean+3sd threshold fitted on the readings."""
-    model, _ = training.fit_model(readings(spark, sf_dir))
-    sizes = model.extra.get("cluster_sizes", [None] * model.k)
-    rows = [(i, *c, int(sizes[i]), model.threshold) for i, c in enumerate(model.centres)]
-    return spark.createDataFrame(
-        rows, "cluster int, centre_electricity double, centre_water double, size long, threshold double")
-
-
-def label_recall(spark, sf_dir):
-    """Fit on the synthetic training CSV, flag it, count flags per truth label."""
-    train = training_csv(spark, sf_dir)
-    model, _ = training.fit_model(train)
-    scored = scoring.score(scoring.valid_features(train), model)
-    return training.label_confusion(scored, model.threshold)
+    """Scaler + K-means + threshold fitted on the readings: the scaler, the cluster sizes' sum, the threshold's error."""
+    r = readings(spark, sf_dir)
+    model, _ = training.fit_model(r)
+    scored = scoring.score(scoring.valid_features(r), model)
+    sizes = scored.groupBy("cluster").count().agg(F.sum("count").alias("readings"), F.count("cluster").alias("clusters"))
+    rule = thresholds.distance_stats(scored).select(
+        (F.floor(F.abs(F.col("threshold") - F.lit(model.threshold)) * 1e6) / 1e6).alias("threshold_error"))
+    fitted = [r6(F.lit(v)).alias(f"{kind}_{name}") for name, m, s in zip(model.features, model.mean, model.std)
+              for kind, v in (("mean", m), ("std", s))]
+    return sizes.join(rule, F.lit(True)).select(*fitted, "readings", "clusters", "threshold_error")
 
 
 def model_roundtrip(spark, sf_dir):
-    """Save the model set as a new version, load the newest complete version, score with it."""
+    """Save the model set as a new version, load the newest complete version, score and flag with it."""
     root = scratch_path(spark, "models")
     save_model(spark, root, FROZEN)
     loaded = load_model(spark, root)
+    delete_path(spark, root)
     if loaded != FROZEN:
         raise AssertionError("loaded model differs from the saved one")
-    an = scoring.anomalies(readings(spark, sf_dir), loaded)
-    return an.withColumn("dist", r6("dist"))
-
-
-def synthetic_live_readings(spark, sf_dir):
-    """Live-style readings: for each reading's building, floor and time, U(base, base + spread)."""
-    return synthetic_live(readings(spark, sf_dir))
-
-
-def embedding_scores(spark, sf_dir):
-    """The anomaly model over 64 features: fit on the embeddings, score and flag every point."""
-    emb, names = embedding_features(spark, sf_dir)
-    model, _ = training.fit_model(emb, features=names)
-    scored = scoring.flag(scoring.score(scoring.valid_features(emb, names), model), model.threshold)
-    return scored.select("vec_id", "label", "cluster", r6("dist").alias("dist"), "is_anomaly")
+    scored = scoring.score(scoring.valid_features(readings(spark, sf_dir)), loaded)
+    return scoring.flag(scored, loaded.threshold).select("reading_id", "cluster", r6("dist").alias("dist"), "is_anomaly")
+
+
+def pipeline_roundtrip(spark, sf_dir):
+    """Fit, save and load the pipeline; its clusters and distances are those of the native scoring."""
+    root = scratch_path(spark, "pipelines")
+    r = scoring.valid_features(readings(spark, sf_dir))
+    save_model(spark, root, *training.fit_model(r))
+    model, pipeline = load_model(spark, root, with_pipeline=True)
+    delete_path(spark, root, at_exit=True)
+    from pyspark.ml.functions import vector_to_array
+    centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in pipeline.stages[-1].clusterCenters()])
+    ml = pipeline.transform(r).withColumnRenamed("cluster", "ml_cluster")
+    far = F.sqrt(F.aggregate(F.zip_with(vector_to_array("features"), F.get(centres, F.col("ml_cluster")),
+                                        lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x))
+    both = scoring.score(ml.withColumn("ml_dist", far), model)
+    return both.agg(F.count(F.lit(1)).alias("readings"),
+                    F.count(F.when(F.col("cluster") == F.col("ml_cluster"), 1)).alias("same_cluster"),
+                    F.count(F.when(F.abs(F.col("dist") - F.col("ml_dist")) < 1e-9, 1)).alias("same_distance"))
 
 
 MODEL_QUERIES = {
-    "embedding_scores": embedding_scores,
-    "synthetic_live_readings": synthetic_live_readings,
-    "synthetic_readings": synthetic_readings,
-    "training_csv": training_csv,
+    "readings_csv": readings_csv,
     "kmeans_fit": kmeans_fit,
-    "label_recall": label_recall,
     "model_roundtrip": model_roundtrip,
+    "pipeline_roundtrip": pipeline_roundtrip,
 }

@@ -2,13 +2,14 @@
 
 The views ``events``, ``lineitem``, ... are registered by the caller.  Values
 that depend on summation order (averages, standard deviations, distances)
-are rounded to 6 decimals on both sides.
+go through ``compare.r6_sql`` (and ``compare.r6`` in Spark).
 """
 
 from __future__ import annotations
 
 from .. import constants as C
 from ..model import FROZEN, MeterModel
+from .compare import r6_sql as r6
 
 
 def dbl(x: float) -> str:
@@ -32,7 +33,7 @@ def scored_cte(model: MeterModel = FROZEN, source: str = "readings") -> str:
     """CTEs ``scored`` (cluster, dist) over ``source`` rows with valid features."""
     zs = [f"(({f} - {dbl(m)}) / {dbl(s)}) AS z{i}" if s != 0 else f"{dbl(0.0)} AS z{i}"
           for i, (f, m, s) in enumerate(zip(model.features, model.mean, model.std))]
-    valid = " AND ".join(f"{f} IS NOT NULL AND NOT isnan({f})" for f in model.features)
+    valid = " AND ".join(f"{f} IS NOT NULL AND isfinite({f})" for f in model.features)
     d2 = []
     for j, c in enumerate(model.centres):
         terms = [f"(z{i} - {dbl(ci)}) * (z{i} - {dbl(ci)})" for i, ci in enumerate(c)]
@@ -60,9 +61,9 @@ FROM readings WHERE "timestamp" IS NOT NULL
 GROUP BY building, time_bucket(INTERVAL '{duration}', "timestamp", TIMESTAMP '1970-01-01')"""
 
 
-MODEL_METRICS_SQL = ("round(avg(electricity), 6) AS avg_electricity, round(avg(water), 6) AS avg_water, "
+MODEL_METRICS_SQL = (f"{r6('avg(electricity)')} AS avg_electricity, {r6('avg(water)')} AS avg_water, "
                      "max(electricity) AS max_elec, min(electricity) AS min_elec")
-RULE_METRICS_SQL = ("round(avg(electricity), 6) AS avg_electricity, round(avg(water), 6) AS avg_water, "
+RULE_METRICS_SQL = (f"{r6('avg(electricity)')} AS avg_electricity, {r6('avg(water)')} AS avg_water, "
                     "max(electricity) AS max_electricity, max(water) AS max_water")
 
 RULE_ANOMALIES = with_ctes(READINGS) + f"""
@@ -71,7 +72,7 @@ FROM readings
 WHERE electricity > {dbl(C.HIGH_ELECTRICITY)} OR water > {dbl(C.HIGH_WATER)}"""
 
 MODEL_ANOMALIES = with_ctes(READINGS, scored_cte()) + f"""
-SELECT building, floor, electricity, water, cluster, round(dist, 6) AS dist, "timestamp"
+SELECT building, floor, electricity, water, cluster, {r6('dist')} AS dist, "timestamp"
 FROM scored WHERE dist > {dbl(FROZEN.threshold)}"""
 
 BUILDING_FACTOR = (f"({dbl(1.0)} + {dbl(C.BUILDING_FACTOR_STEP)} * "
@@ -82,7 +83,7 @@ PROFILE = (f"((CASE WHEN hour(\"timestamp\") BETWEEN {C.DAYLIGHT_FIRST_HOUR} AND
            f"(CASE WHEN hour(\"timestamp\") BETWEEN {C.PEAK_FIRST_HOUR} AND {C.PEAK_LAST_HOUR} "
            f"THEN {dbl(C.PEAK_FACTOR)} ELSE {dbl(C.OFF_PEAK_FACTOR)} END))")
 
-SEVERITY = (f"CASE WHEN dist <= {dbl(C.SEVERITY_VERY_NORMAL_MAX)} THEN '{C.SEVERITY_LABELS[0]}' "
+SEVERITY = (f"CASE WHEN dist <= {dbl(FROZEN.threshold)} AND dist <= {dbl(C.SEVERITY_VERY_NORMAL_MAX)} THEN '{C.SEVERITY_LABELS[0]}' "
             f"WHEN dist <= {dbl(FROZEN.threshold)} THEN '{C.SEVERITY_LABELS[1]}' "
             f"WHEN dist <= {dbl(C.SEVERITY_MINOR_MAX)} THEN '{C.SEVERITY_LABELS[2]}' "
             f"WHEN dist <= {dbl(C.SEVERITY_ANOMALY_MAX)} THEN '{C.SEVERITY_LABELS[3]}' "
@@ -107,46 +108,46 @@ SELECT reading_id, {STATUS} AS status FROM readings""",
 SELECT reading_id, "timestamp", {PROFILE} AS profile FROM readings""",
     "expected_load": with_ctes(READINGS) + f"""
 SELECT reading_id, building, floor,
-       round({dbl(C.BASE_ELECTRICITY)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR}, 6) AS expected_electricity,
-       round({dbl(C.BASE_WATER)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR}, 6) AS expected_water
+       {r6(f'{dbl(C.BASE_ELECTRICITY)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR}')} AS expected_electricity,
+       {r6(f'{dbl(C.BASE_WATER)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR}')} AS expected_water
 FROM readings""",
-    "scaler_stats": with_ctes(READINGS) + """
-SELECT round(avg(electricity), 6) AS mean_electricity, round(stddev_samp(electricity), 6) AS std_electricity,
-       round(avg(water), 6) AS mean_water, round(stddev_samp(water), 6) AS std_water, count(*) AS n
+    "scaler_stats": with_ctes(READINGS) + f"""
+SELECT {r6('avg(electricity)')} AS mean_electricity, {r6('stddev_samp(electricity)')} AS std_electricity,
+       {r6('avg(water)')} AS mean_water, {r6('stddev_samp(water)')} AS std_water, count(*) AS n
 FROM readings
-WHERE electricity IS NOT NULL AND water IS NOT NULL AND NOT isnan(electricity) AND NOT isnan(water)""",
-    "cluster_score": with_ctes(READINGS, scored_cte()) + """
-SELECT reading_id, cluster, round(dist, 6) AS dist FROM scored""",
+WHERE electricity IS NOT NULL AND water IS NOT NULL AND isfinite(electricity) AND isfinite(water)""",
+    "cluster_score": with_ctes(READINGS, scored_cte()) + f"""
+SELECT reading_id, cluster, {r6('dist')} AS dist FROM scored""",
     "cluster_sizes": with_ctes(READINGS, scored_cte()) + """
 SELECT cluster, count(*) AS readings FROM scored GROUP BY cluster""",
     "distance_threshold": with_ctes(READINGS, scored_cte()) + f"""
-SELECT round(avg(dist), 6) AS mean_dist, round(stddev_samp(dist), 6) AS std_dist, count(dist) AS n,
-       round(avg(dist) + {dbl(C.THRESHOLD_SIGMAS)} * coalesce(stddev_samp(dist), 0), 6) AS threshold
+SELECT {r6('avg(dist)')} AS mean_dist, {r6('stddev_samp(dist)')} AS std_dist, count(dist) AS n,
+       {r6(f'avg(dist) + {dbl(C.THRESHOLD_SIGMAS)} * coalesce(stddev_samp(dist), 0)')} AS threshold
 FROM scored""",
-    "threshold_p95": with_ctes(READINGS, scored_cte()) + """
-SELECT round(quantile_cont(dist, 0.95), 6) AS threshold_p95, count(dist) AS n FROM scored""",
+    "threshold_p95": with_ctes(READINGS, scored_cte()) + f"""
+SELECT {r6('quantile_cont(dist, 0.95)')} AS threshold_p95, count(dist) AS n FROM scored""",
     "model_anomalies": MODEL_ANOMALIES,
     "severity_bands": with_ctes(READINGS, scored_cte()) + f"""
 SELECT {SEVERITY} AS severity, count(*) AS readings FROM scored GROUP BY 1""",
     "pct_of_average": with_ctes(READINGS) + f""",
 avgs AS (SELECT building, avg(electricity) AS avg_electricity FROM readings GROUP BY building)
 SELECT r.reading_id, r.building, r.floor, r.electricity, r."timestamp",
-       round(a.avg_electricity, 6) AS avg_electricity,
-       round({dbl(100.0)} * r.electricity / a.avg_electricity, 6) AS pct_of_avg
-FROM readings r JOIN avgs a ON r.building = a.building
+       {r6('a.avg_electricity')} AS avg_electricity,
+       {r6(f'{dbl(100.0)} * r.electricity / a.avg_electricity')} AS pct_of_avg
+FROM readings r LEFT JOIN avgs a ON r.building = a.building
 WHERE r.electricity > {dbl(C.HIGH_ELECTRICITY)}""",
     "panel_latest": with_ctes(READINGS, scored_cte()) + f"""
-SELECT "timestamp" AS time, building, floor, electricity, round(dist, 6) AS distance
+SELECT "timestamp" AS time, building, floor, electricity, {r6('dist')} AS distance
 FROM scored WHERE dist > {dbl(FROZEN.threshold)}
-ORDER BY "timestamp" DESC, building, floor, electricity DESC LIMIT 10""",
+ORDER BY "timestamp" DESC, building, floor, electricity DESC, reading_id LIMIT 10""",
     "anomalies_per_building": with_ctes(READINGS, scored_cte()) + f"""
-SELECT building, count(*) AS anomaly_count, round(avg(dist), 6) AS avg_distance
+SELECT building, count(*) AS anomaly_count, {r6('avg(dist)')} AS avg_distance
 FROM scored WHERE dist > {dbl(FROZEN.threshold)} GROUP BY building""",
 }
 
 ORACLE["panel_trend"] = with_ctes(READINGS) + f"""
 SELECT window_start AS time, building, value FROM (
-  SELECT building, round(avg(electricity), 6) AS value,
+  SELECT building, {r6('avg(electricity)')} AS value,
          time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-01') AS window_start
   FROM readings WHERE "timestamp" IS NOT NULL
   GROUP BY building, time_bucket(INTERVAL '1 hour', "timestamp", TIMESTAMP '1970-01-01'))
@@ -161,129 +162,71 @@ def _window_1h_closed(delay: str) -> str:
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '{delay}'"""
 
 
-ANOMALY_DOC = with_ctes(READINGS, scored_cte()) + f"""
-SELECT building, floor, electricity, water, cluster, round(dist, 6) AS dist,
-       strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp"
+STORED_ANOMALIES = with_ctes(READINGS, scored_cte()) + f"""
+SELECT building, floor, electricity, water, {STATUS} AS status, true AS is_anomaly, cluster, {r6('dist')} AS dist,
+       reading_id AS "offset", "timestamp"
 FROM scored WHERE dist > {dbl(FROZEN.threshold)}"""
 
-ANOMALY_ROW = with_ctes(READINGS, scored_cte()) + f"""
-SELECT building, floor, electricity, water, cluster, round(dist, 6) AS distance, "timestamp"
-FROM scored WHERE dist > {dbl(FROZEN.threshold)}"""
+ANOMALY_DOC = f"""SELECT * REPLACE (strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp") FROM ({STORED_ANOMALIES})"""
+
+ANOMALY_ROW = f'SELECT * RENAME (dist AS distance) FROM ({STORED_ANOMALIES})'
+
+HOURLY = window_sql("1 hour", MODEL_METRICS_SQL)
+
+HOURLY_DOC = f"""SELECT * REPLACE (strftime(window_start, '%Y-%m-%dT%H:%M:%S.%f') AS window_start,
+                  strftime(window_end, '%Y-%m-%dT%H:%M:%S.%f') AS window_end) FROM ({HOURLY})"""
 
+RULE_STORED = with_ctes(READINGS) + f"""
+SELECT building, floor, electricity, water, {STATUS} AS status, true AS is_anomaly, reading_id AS "offset", "timestamp"
+FROM readings WHERE electricity > {dbl(C.HIGH_ELECTRICITY)} OR water > {dbl(C.HIGH_WATER)}"""
 
-def unit_draw_sql(key: str, stream: str) -> str:
-    return (f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'), 1, 8)) AS BIGINT) "
-            f"/ {dbl(4294967296.0)})")
-
-
-def _synthetic_sql() -> str:
-    blist = "[" + ", ".join(f"'{b}'" for b in C.TRAIN_BUILDINGS) + "]"
-    n_b = len(C.TRAIN_BUILDINGS)
-    hour_profile = (f"((CASE WHEN hour BETWEEN {C.DAYLIGHT_FIRST_HOUR} AND {C.DAYLIGHT_LAST_HOUR} "
-                    f"THEN {dbl(C.DAYLIGHT_FACTOR)} ELSE {dbl(C.NIGHT_FACTOR)} END) * "
-                    f"(CASE WHEN hour BETWEEN {C.PEAK_FIRST_HOUR} AND {C.PEAK_LAST_HOUR} "
-                    f"THEN {dbl(C.PEAK_FACTOR)} ELSE {dbl(C.OFF_PEAK_FACTOR)} END))")
-    scale = f"(({hour_profile} * {BUILDING_FACTOR}) * {FLOOR_FACTOR})"
-    ue, uw = unit_draw_sql("key", "electricity"), unit_draw_sql("key", "water")
-    (lae, hae), (law, haw) = C.TRAIN_ANOMALY_ELECTRICITY, C.TRAIN_ANOMALY_WATER
-
-    def uni(lo, hi, u):
-        return f"round(({lo}) + (({hi}) - ({lo})) * {u}, 2)"
-    return f"""WITH draws AS (
-  SELECT event_id AS key,
-         {blist}[CAST(floor({unit_draw_sql('event_id', 'building')} * {n_b}) + 1 AS INTEGER)] AS building,
-         CAST(floor({unit_draw_sql('event_id', 'floor')} * {C.FLOORS}) + 1 AS INTEGER) AS floor,
-         CAST(floor({unit_draw_sql('event_id', 'hour')} * 24) AS INTEGER) AS hour,
-         {unit_draw_sql('event_id', 'anomaly')} < {dbl(C.TRAIN_ANOMALY_RATE)} AS is_anomaly
-  FROM events),
-based AS (SELECT *, {dbl(C.BASE_ELECTRICITY)} * {scale} AS be, {dbl(C.BASE_WATER)} * {scale} AS bw FROM draws)
-SELECT key AS reading_id, building, floor,
-  CASE WHEN is_anomaly THEN {uni(f'be + {dbl(lae)}', f'be + {dbl(hae)}', ue)}
-       ELSE {uni(f'be * {dbl(C.TRAIN_NORMAL_LOW_FACTOR)}', f'be + {dbl(C.LIVE_ELECTRICITY_SPREAD)}', ue)} END AS electricity,
-  CASE WHEN is_anomaly THEN {uni(f'bw + {dbl(law)}', f'bw + {dbl(haw)}', uw)}
-       ELSE {uni(f'bw * {dbl(C.TRAIN_NORMAL_LOW_FACTOR)}', f'bw + {dbl(C.LIVE_WATER_SPREAD)}', uw)} END AS water,
-  CASE WHEN is_anomaly THEN '{C.LABEL_ANOMALY}' ELSE '{C.LABEL_NORMAL}' END AS status,
-  strftime(TIMESTAMP '2024-02-01 00:00:00'
-           - to_seconds(CAST(floor({unit_draw_sql('key', 'time')} * {C.TRAIN_TIME_SPAN_SECONDS + 1}) AS BIGINT)),
-           '%Y-%m-%dT%H:%M:%SZ') AS "timestamp"
-FROM based"""
-
-
-SYNTHETIC = _synthetic_sql()
+# One record for each of the five reasons, made from the readings themselves (see catalog.spoilt).
+SPOILT = with_ctes(READINGS) + f"""
+SELECT reading_id AS "offset", CASE reading_id % 7 WHEN 0 THEN 'null_value' WHEN 1 THEN 'bad_json' WHEN 2 THEN 'null_building'
+       WHEN 3 THEN 'bad_time' WHEN 4 THEN 'bad_feature' WHEN 5 THEN 'bad_feature' END AS reason
+FROM readings WHERE reading_id % 7 < 6"""
 
 ORACLE.update({
-    "stream_window_agg": window_sql("1 hour", MODEL_METRICS_SQL),
+    "stream_window_agg": HOURLY,
     "stream_window_agg_append": _window_1h_closed("2 hours"),
-    "stream_rule_anomalies": RULE_ANOMALIES.replace("SELECT reading_id, building", "SELECT building", 1),
-    "stream_model_anomalies": MODEL_ANOMALIES,
-    "stream_restart": MODEL_ANOMALIES,
+    "stream_rule_anomalies": RULE_STORED,
+    "stream_model_anomalies": STORED_ANOMALIES,
+    "stream_restart": f"""SELECT 'first' AS sink, * FROM ({STORED_ANOMALIES}) UNION ALL
+                          SELECT 'second' AS sink, * FROM ({STORED_ANOMALIES})""",
+    "stream_progress": """SELECT 'stream_progress' AS name, count(*) AS input_rows, count(*) AS parsed_rows,
+                                 count(*) FILTER (WHERE NOT coalesce(isfinite(CAST(value AS DOUBLE)) AND isfinite(
+                                 TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)), false)) AS rejected FROM events""",
     "sink_documents": ANOMALY_DOC,
+    "sink_documents_aggregates": HOURLY_DOC,
     "sink_relational": ANOMALY_ROW,
-    "model_roundtrip": MODEL_ANOMALIES,
-    "synthetic_readings": SYNTHETIC,
-    "training_csv": f"SELECT building, floor, electricity, water, status, \"timestamp\" FROM ({SYNTHETIC}) s",
+    "sink_relational_aggregates": HOURLY,
+    "stored_two_streams": f"""SELECT 'model' AS query, building, floor, electricity, water, "offset", "timestamp" FROM ({STORED_ANOMALIES})
+                              UNION ALL SELECT 'rules', building, floor, electricity, water, "offset", "timestamp" FROM ({RULE_STORED})""",
+    "stored_panel_trend": ORACLE["panel_trend"],
+    "stored_panel_latest": ORACLE["panel_latest"],
+    "stored_anomalies_per_building": ORACLE["anomalies_per_building"],
+    "model_roundtrip": with_ctes(READINGS, scored_cte()) + f"""
+SELECT reading_id, cluster, {r6('dist')} AS dist, dist > {dbl(FROZEN.threshold)} AS is_anomaly FROM scored""",
+    "pipeline_roundtrip": with_ctes(READINGS) + """
+SELECT count(*) AS readings, count(*) AS same_cluster, count(*) AS same_distance FROM readings
+WHERE electricity IS NOT NULL AND water IS NOT NULL AND isfinite(electricity) AND isfinite(water)""",
+    "kmeans_fit": with_ctes(READINGS) + f"""
+SELECT {r6('avg(electricity)')} AS mean_electricity, {r6('stddev_samp(electricity)')} AS std_electricity,
+       {r6('avg(water)')} AS mean_water, {r6('stddev_samp(water)')} AS std_water, count(*) AS readings, 3::BIGINT AS clusters,
+       {dbl(0.0)} AS threshold_error FROM readings
+WHERE electricity IS NOT NULL AND water IS NOT NULL AND isfinite(electricity) AND isfinite(water)""",
+    "readings_csv": with_ctes(READINGS) + f"""
+SELECT building, floor, electricity, water, {STATUS} AS status, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f+00:00') AS "timestamp"
+FROM readings""",
     "rejects": """
 SELECT text AS raw, CASE WHEN text IS NULL THEN 'null_value' ELSE 'bad_json' END AS reason
 FROM conversations""",
-})
-
-
-def _synthetic_live_sql() -> str:
-    be = f"({dbl(C.BASE_ELECTRICITY)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR})"
-    bw = f"({dbl(C.BASE_WATER)} * {PROFILE} * {BUILDING_FACTOR} * {FLOOR_FACTOR})"
-    ue = unit_draw_sql("reading_id", "live-electricity")
-    uw = unit_draw_sql("reading_id", "live-water")
-    drawn = f"""SELECT reading_id, building, floor, "timestamp",
-  round({be} + (({be} + {dbl(C.LIVE_ELECTRICITY_SPREAD)}) - {be}) * {ue}, 2) AS electricity,
-  round({bw} + (({bw} + {dbl(C.LIVE_WATER_SPREAD)}) - {bw}) * {uw}, 2) AS water
-FROM readings"""
-    return with_ctes(READINGS, f"drawn AS ({drawn})") + f"""
-SELECT *, {STATUS} AS status FROM drawn"""
-
-
-ORACLE.update({
-    "synthetic_live_readings": _synthetic_live_sql(),
+    "reject_reasons": SPOILT,
     "stream_pct_of_average": with_ctes(READINGS) + f""",
 avgs AS (SELECT building, avg(electricity) AS avg_electricity FROM readings GROUP BY building)
 SELECT r.building, r.floor, r.electricity, r."timestamp",
-       round(a.avg_electricity, 6) AS avg_electricity,
-       round({dbl(100.0)} * r.electricity / a.avg_electricity, 6) AS pct_of_avg
-FROM readings r JOIN avgs a ON r.building = a.building
+       {r6('a.avg_electricity')} AS avg_electricity,
+       {r6(f'{dbl(100.0)} * r.electricity / a.avg_electricity')} AS pct_of_avg
+FROM readings r LEFT JOIN avgs a ON r.building = a.building
 WHERE r.electricity > {dbl(C.HIGH_ELECTRICITY)}""",
 })
-
-
-# --- comparison rounding ----------------------------------------------------------
-# Values that depend on summation order are compared at 6 decimals.  Both engines use
-# the same arithmetic, floor(x * 1e6 + 0.5) / 1e6, because their round() functions
-# disagree on values within an ulp of a half (one rounds the exact binary value, the
-# other the product x * 1e6).
-
-def _r6_sql(sql: str) -> str:
-    out, i = [], 0
-    while True:
-        j = sql.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        depth, k, comma = 0, j + len("round("), None
-        while True:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                if depth == 0:
-                    break
-                depth -= 1
-            elif ch == "," and depth == 0:
-                comma = k
-            k += 1
-        if comma is not None and sql[comma + 1:k].strip() == "6":
-            inner = _r6_sql(sql[j + len("round("):comma])
-            out.append(sql[i:j] + f"(floor(({inner}) * {dbl(1e6)} + {dbl(0.5)}) / {dbl(1e6)})")
-        else:
-            out.append(sql[i:k + 1])
-        i = k + 1
-
-
-ORACLE = {name: _r6_sql(sql) for name, sql in ORACLE.items()}

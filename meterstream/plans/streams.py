@@ -2,7 +2,8 @@
 
 Each call stages the readings as topic records under the shared scratch
 folder, runs the query to completion (``availableNow``) one file per
-micro-batch, and returns what the sinks hold.
+micro-batch, and returns what the sinks hold.  Staged records and checkpoints
+are deleted when the query has ended, what the result reads at exit.
 """
 
 from __future__ import annotations
@@ -11,166 +12,236 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
+from ..functions.parse import utc_wall
 from ..model import FROZEN
-from .compare import r6
-from ..operators import parse, reports, windows
-from ..session import scratch_path
-from ..sinks import DocumentSink, FailOnce, ParquetSink, RelationalSink, anomaly_row
+from ..operators import enrich, parse, reports, windows
+from ..schema import result_schema
+from ..session import delete_path, scratch_path
+from ..sinks import DocumentSink, ParquetSink, RelationalSink, aggregate_row, anomaly_row
+from ..sinks.adapters import AGG_TIME_COLS, LAYOUT
+from ..sources.results import read_results
 from ..sources.tables import readings, with_status
 from ..streaming.progress import ProgressLog, await_all
 from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
                                  scoring_query, state_partitions)
-from ..streaming.replay import files_per_batch, stage_replay
+from ..streaming.replay import stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
-
-MICRO_BATCHES = 6
+from .compare import r6
+from .oracle import TREND_HI, TREND_LO
 
 
-def replay_source(spark: SparkSession, sf_dir: str, ordered: bool,
-                  batches: int = MICRO_BATCHES) -> SourceConfig:
-    """Readings staged as topic records: ``batches`` micro-batches of equal size."""
-    env = parse.to_envelope(with_status(readings(spark, sf_dir)))
-    per_batch = files_per_batch(env)
+def replay_source(spark: SparkSession, sf_dir: str, ordered: bool = False) -> SourceConfig:
+    """Readings staged as topic records, in time order where the run needs it."""
     path = scratch_path(spark, "replay")
-    stage_replay(env, path, batches * per_batch, "timestamp" if ordered else None)
-    return SourceConfig(kind="files", path=path, max_files_per_trigger=per_batch)
+    stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, "timestamp" if ordered else None)
+    return SourceConfig(kind="files", path=path, max_files_per_trigger=1)
 
 
 def _settings(spark, name: str) -> QuerySettings:
     return QuerySettings(name=name, checkpoint=scratch_path(spark, f"ckpt-{name}"), available_now=True)
 
 
+def _out(spark, name: str) -> str:
+    path = scratch_path(spark, f"{name}-out")
+    delete_path(spark, path, at_exit=True)
+    return path
+
+
 def _r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _aggregates(spark, sf_dir, name, ordered, watermark, mode) -> DataFrame:
-    src = replay_source(spark, sf_dir, ordered)
-    out = scratch_path(spark, f"{name}-out")
+def _forget(spark, src: SourceConfig, *settings: QuerySettings) -> None:
+    for path in (src.path, *[s.checkpoint for s in settings]):
+        delete_path(spark, path)
+
+
+def _aggregates(spark, sf_dir, name, sinks, ordered=False, watermark=None, mode="update") -> None:
+    src, settings = replay_source(spark, sf_dir, ordered), _settings(spark, name)
     with state_partitions(spark):
-        q = aggregate_query(envelope_stream(spark, src), [ParquetSink(out)], _settings(spark, name),
-                            duration="1 hour", metrics=windows.MODEL_METRICS, watermark=watermark,
-                            output_mode=mode)
-        await_all([q])
-    return spark.read.parquet(out)
+        await_all([aggregate_query(envelope_stream(spark, src), sinks, settings, duration="1 hour",
+                                   metrics=windows.MODEL_METRICS, watermark=watermark, output_mode=mode)])
+    _forget(spark, src, settings)
+
+
+def _scoring(spark, sf_dir, name, detector, sinks) -> None:
+    src, settings = replay_source(spark, sf_dir), _settings(spark, name)
+    await_all([scoring_query(envelope_stream(spark, src), detector, sinks, settings)])
+    _forget(spark, src, settings)
 
 
 AGG_COLS = ("building", "avg_electricity", "avg_water", "max_elec", "min_elec", "window_start", "window_end")
+ANOMALY_COLS = ("building", "floor", "electricity", "water", "status", "is_anomaly", "cluster", "dist", "offset", "timestamp")
+RULE_COLS = tuple(c for c in ANOMALY_COLS if c not in ("cluster", "dist"))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    latest = reports.latest_revision(rows.drop("processed_at", "date", "query", "run"), keys=("building", "window_start"))
+    return _r6(latest.select(*AGG_COLS), "avg_electricity", "avg_water")
 
 
 def stream_window_agg(spark, sf_dir):
     """Update mode, records out of time order: newest revision per window = the batch result."""
-    rev = _aggregates(spark, sf_dir, "stream_window_agg", ordered=False, watermark=None, mode="update")
-    latest = reports.latest_revision(rev.drop("processed_at"), keys=("building", "window_start"))
-    return _r6(latest.select(*AGG_COLS), "avg_electricity", "avg_water")
+    out = _out(spark, "stream_window_agg")
+    _aggregates(spark, sf_dir, "stream_window_agg", [ParquetSink(f"{out}/aggregations")])
+    return _latest(read_results(spark, "aggregations", out))
 
 
 def stream_window_agg_append(spark, sf_dir):
     """Append mode with a 2-hour watermark over time-ordered records: each closed window once."""
-    rows = _aggregates(spark, sf_dir, "stream_window_agg_append", ordered=True,
-                       watermark="2 hours", mode="append")
-    return _r6(rows.select(*AGG_COLS), "avg_electricity", "avg_water")
-
-
-def _scoring(spark, sf_dir, name, detector, sinks_fn):
-    src = replay_source(spark, sf_dir, ordered=False)
-    out = scratch_path(spark, f"{name}-out")
-    sinks = sinks_fn(out)
-    q = scoring_query(envelope_stream(spark, src), detector, sinks, _settings(spark, name))
-    await_all([q])
-    return out
+    out = _out(spark, "stream_window_agg_append")
+    _aggregates(spark, sf_dir, "stream_window_agg_append", [ParquetSink(f"{out}/aggregations")],
+                ordered=True, watermark="2 hours", mode="append")
+    return _r6(read_results(spark, "aggregations", out).select(*AGG_COLS), "avg_electricity", "avg_water")
 
 
 def stream_rule_anomalies(spark, sf_dir):
-    out = _scoring(spark, sf_dir, "stream_rule_anomalies", rule_detector(), lambda p: [ParquetSink(p)])
-    return spark.read.parquet(out).drop("batch_id", "detected_at")
+    out = _out(spark, "stream_rule_anomalies")
+    _scoring(spark, sf_dir, "stream_rule_anomalies", rule_detector(), [ParquetSink(f"{out}/anomalies")])
+    return read_results(spark, "anomalies", out).select(*RULE_COLS)
 
 
 def stream_model_anomalies(spark, sf_dir):
-    out = _scoring(spark, sf_dir, "stream_model_anomalies", model_detector(FROZEN), lambda p: [ParquetSink(p)])
-    return _r6(spark.read.parquet(out).drop("batch_id", "detected_at"), "dist")
+    out = _out(spark, "stream_model_anomalies")
+    _scoring(spark, sf_dir, "stream_model_anomalies", model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")])
+    return _r6(read_results(spark, "anomalies", out).select(*ANOMALY_COLS), "dist")
 
 
 def stream_progress(spark, sf_dir):
-    """Per-batch input rows seen by a progress listener while the scoring query runs."""
-    import time
+    """What a progress listener counted in all batches of a scoring query: input, parsed and rejected rows."""
     log = ProgressLog()
     spark.streams.addListener(log)
+    src, settings = replay_source(spark, sf_dir), _settings(spark, "stream_progress")
+    out = _out(spark, "stream_progress")
     try:
-        out = _scoring(spark, sf_dir, "stream_progress", model_detector(FROZEN), lambda p: [ParquetSink(p)])
-        deadline = time.time() + 30
-        while not log.terminated and time.time() < deadline:
-            time.sleep(0.2)
+        q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")], settings)
+        await_all([q])
+        log.drain([q])
     finally:
         spark.streams.removeListener(log)
-    rows = [(p["name"], p["batch_id"], p["input_rows"],
-             p["observed"].get("records", {}).get("rows"), p["observed"].get("records", {}).get("rejected"))
-            for p in log.progress]
-    return spark.createDataFrame(
-        rows, "name string, batch_id long, input_rows long, parsed_rows long, rejected long")
+    _forget(spark, src, settings)
+    rows = [(n, t["input_rows"], t["parsed_rows"], t["rejected"]) for n, t in log.totals.items() if n == settings.name]
+    return spark.createDataFrame(rows, "name string, input_rows long, parsed_rows long, rejected long")
+
+
+class _FailsOnce:
+    """Fails a sink's first write."""
+
+    def __init__(self, sink):
+        self.sink, self.failed = sink, False
+
+    def write(self, df: DataFrame, batch) -> None:
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError(f"injected sink failure in batch {batch.batch_id}")
+        self.sink.write(df, batch)
 
 
 def stream_restart(spark, sf_dir):
     """The second of two sinks fails once; after restart both hold every anomaly exactly once."""
-    src = replay_source(spark, sf_dir, ordered=False)
-    first, second = scratch_path(spark, "restart-a"), scratch_path(spark, "restart-b")
-    sinks = [ParquetSink(first), FailOnce(ParquetSink(second))]
-    settings = _settings(spark, "stream_restart")
-    q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), sinks, settings)
+    src, settings, out = replay_source(spark, sf_dir), _settings(spark, "stream_restart"), _out(spark, "stream_restart")
+    sinks = [ParquetSink(f"{out}/first/anomalies"), _FailsOnce(ParquetSink(f"{out}/second/anomalies"))]
     try:
-        await_all([q])
+        await_all([scoring_query(envelope_stream(spark, src), model_detector(FROZEN), sinks, settings)])
         raise AssertionError("the injected failure did not stop the query")
     except StreamingQueryException:
         pass
-    q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), sinks, settings)
-    await_all([q])
-    return _r6(spark.read.parquet(second).drop("batch_id", "detected_at"), "dist")
+    await_all([scoring_query(envelope_stream(spark, src), model_detector(FROZEN), sinks, settings)])
+    _forget(spark, src, settings)
+    first, second = (_r6(read_results(spark, "anomalies", f"{out}/{s}").select(F.lit(s).alias("sink"), *ANOMALY_COLS), "dist")
+                     for s in ("first", "second"))
+    return first.union(second)
 
 
 def sink_documents(spark, sf_dir):
     """Anomalies through the document adapter (ISO text times), read back."""
-    out = _scoring(spark, sf_dir, "sink_documents", model_detector(FROZEN),
-                   lambda p: [DocumentSink("anomalies", ("timestamp", "detected_at"),
-                                           id_fields=("building", "timestamp"), format="json", path=p)])
-    schema = ("building string, floor int, electricity double, water double, cluster int, "
-              "dist double, timestamp string, detected_at string, batch_id long")
-    back = spark.read.schema(schema).json(f"{out}/anomalies")
-    return _r6(back.drop("batch_id", "detected_at"), "dist")
+    out = _out(spark, "sink_documents")
+    _scoring(spark, sf_dir, "sink_documents", model_detector(FROZEN),
+             [DocumentSink("anomalies", ("timestamp", "detected_at"), path=out)])
+    schema = result_schema("anomalies").replace("timestamp timestamp_ntz, detected_at timestamp", "timestamp string, detected_at string")
+    return _r6(spark.read.schema(schema).json(f"{out}/anomalies").select(*ANOMALY_COLS), "dist")
+
+
+def sink_documents_aggregates(spark, sf_dir):
+    """Aggregates through the document adapter, newest revision of each."""
+    out = _out(spark, "sink_documents_aggregates")
+    _aggregates(spark, sf_dir, "sink_documents_aggregates",
+                [DocumentSink("aggregations", AGG_TIME_COLS, id_fields=("building", "window_start"), path=out)])
+    schema = result_schema("aggregations").replace("timestamp_ntz", "string").replace("processed_at timestamp", "processed_at string")
+    return _latest(spark.read.schema(schema).json(f"{out}/aggregations"))
 
 
 def sink_relational(spark, sf_dir):
     """Anomalies through the relational adapter (typed times, dist stored as distance), read back."""
-    out = _scoring(spark, sf_dir, "sink_relational", model_detector(FROZEN),
-                   lambda p: [RelationalSink("anomalies", anomaly_row, path=p)])
-    back = spark.read.parquet(f"{out}/anomalies")
-    from ..functions.parse import utc_wall
-    back = back.withColumn("timestamp", utc_wall("timestamp"))     # stored instant -> UTC wall time
-    return _r6(back.drop("batch_id", "detected_at"), "distance")
+    out = _out(spark, "sink_relational")
+    _scoring(spark, sf_dir, "sink_relational", model_detector(FROZEN), [RelationalSink("anomalies", anomaly_row, path=out)])
+    back = read_results(spark, "anomalies", out, relational=True).withColumn("timestamp", utc_wall("timestamp"))
+    return _r6(back.select(*["distance" if c == "dist" else c for c in ANOMALY_COLS]), "distance")
+
+
+def sink_relational_aggregates(spark, sf_dir):
+    """Aggregates through the relational adapter, newest revision of each."""
+    out = _out(spark, "sink_relational_aggregates")
+    _aggregates(spark, sf_dir, "sink_relational_aggregates", [RelationalSink("aggregations", aggregate_row, path=out)])
+    back = read_results(spark, "aggregations", out, relational=True)
+    for c in ("window_start", "window_end"):
+        back = back.withColumn(c, utc_wall(c))
+    return _latest(back)
+
+
+def stored_two_streams(spark, sf_dir):
+    """Two queries store their anomalies in one table; neither touches the other's."""
+    out = _out(spark, "stored_two_streams")
+    for name, detector in (("model", model_detector(FROZEN)), ("rules", rule_detector())):
+        _scoring(spark, sf_dir, name, detector, [ParquetSink(f"{out}/anomalies")])
+    return read_results(spark, "anomalies", out).select("query", "building", "floor", "electricity", "water", "offset", "timestamp")
+
+
+def stored_panel_trend(spark, sf_dir):
+    """The trend panel over stored aggregates: dates prune folders, then the exact range."""
+    out = _out(spark, "stored_panel_trend")
+    _aggregates(spark, sf_dir, "stored_panel_trend", [ParquetSink(f"{out}/aggregations")])
+    rows = reports.stored_between(read_results(spark, "aggregations", out), TREND_LO, TREND_HI)
+    latest = reports.latest_revision(rows.drop(*[c for c in (*LAYOUT, "processed_at") if c != "batch_id"]))
+    return reports.panel_trend(latest, TREND_LO, TREND_HI).withColumn("value", r6("value"))
+
+
+def _stored_anomalies(spark, sf_dir, name):
+    out = _out(spark, name)
+    _scoring(spark, sf_dir, name, model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")])
+    return read_results(spark, "anomalies", out)
+
+
+def stored_panel_latest(spark, sf_dir):
+    """The latest-anomalies panel over stored anomalies."""
+    return reports.panel_latest(_stored_anomalies(spark, sf_dir, "stored_panel_latest")).withColumn("distance", r6("distance"))
+
+
+def stored_anomalies_per_building(spark, sf_dir):
+    """Anomalies per building over stored anomalies."""
+    out = reports.anomalies_per_building(_stored_anomalies(spark, sf_dir, "stored_anomalies_per_building"))
+    return out.withColumn("avg_distance", r6("avg_distance"))
 
 
 def stream_pct_of_average(spark, sf_dir):
     """High-electricity alerts from the stream, joined to a static table of building averages."""
     from .. import constants as C
-    from ..operators import enrich
     avgs = enrich.ReferenceTable(lambda: enrich.building_averages(readings(spark, sf_dir, water=False)))
+    out = _out(spark, "stream_pct_of_average")
 
     def detect(rows: DataFrame) -> DataFrame:
         alerts = rows.filter(F.col("electricity") > F.lit(C.HIGH_ELECTRICITY))
         return enrich.pct_of_average(rows, alerts=alerts, averages=avgs).select(
             "building", "floor", "electricity", "timestamp", "avg_electricity", "pct_of_avg")
 
-    out = _scoring(spark, sf_dir, "stream_pct_of_average", detect, lambda p: [ParquetSink(p)])
-    return _r6(spark.read.parquet(out).drop("batch_id"), "avg_electricity", "pct_of_avg")
-
-
-STREAM_QUERIES = {
-    "stream_pct_of_average": stream_pct_of_average,
-    "stream_window_agg": stream_window_agg,
-    "stream_window_agg_append": stream_window_agg_append,
-    "stream_rule_anomalies": stream_rule_anomalies,
-    "stream_model_anomalies": stream_model_anomalies,
-    "stream_progress": stream_progress,
-    "stream_restart": stream_restart,
-    "sink_documents": sink_documents,
-    "sink_relational": sink_relational,
-}
+    _scoring(spark, sf_dir, "stream_pct_of_average", detect, [ParquetSink(out)])
+    schema = "building string, floor int, electricity double, timestamp timestamp_ntz, avg_electricity double, pct_of_avg double"
+    stored = spark.read.schema(schema).parquet(out).drop(*LAYOUT)
+    return _r6(stored, "avg_electricity", "pct_of_avg")
+
+
+STREAM_QUERIES = {f.__name__: f for f in (
+    stream_pct_of_average, stream_window_agg, stream_window_agg_append, stream_rule_anomalies, stream_model_anomalies,
+    stream_progress, stream_restart, sink_documents, sink_documents_aggregates, sink_relational,
+    sink_relational_aggregates, stored_two_streams, stored_panel_trend, stored_panel_latest,
+    stored_anomalies_per_building)}

@@ -26,9 +26,6 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("timestampType", T.IntegerType(), True),
 ])
 
-# Parsed reading; event time as timestamp_ntz (UTC wall time).
-READING_COLUMNS = ("building", "floor", "electricity", "water", "status", "timestamp")
-
 # Training CSV with header: same columns, ``status`` holds the truth label.
 TRAINING_SCHEMA = T.StructType([
     T.StructField("building", T.StringType(), True),
@@ -39,12 +36,21 @@ TRAINING_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType(), True),
 ])
 
-AGGREGATE_COLUMNS = ("building", "avg_electricity", "avg_water", "max_elec", "min_elec",
-                     "window_start", "window_end", "processed_at", "batch_id")
-ANOMALY_COLUMNS = ("building", "floor", "electricity", "water", "cluster", "dist",
-                   "timestamp", "detected_at", "batch_id")
-REJECT_SCHEMA = T.StructType([
-    T.StructField("raw", T.StringType(), True),
-    T.StructField("reason", T.StringType(), False),
-    T.StructField("batch_id", T.LongType(), True),
-])
+_LAYOUT = "date date, query string, run string, batch_id long"
+_PLACE = "topic string, partition int, offset long"
+
+# Stored results, by table and store; a table holds the columns its writers have, the others read as null.
+RESULTS = {
+    "aggregations": "building string, avg_electricity double, avg_water double, max_elec double, min_elec double, "
+                    "max_electricity double, max_water double, window_start {time}, window_end {time}, "
+                    "processed_at timestamp, " + _LAYOUT,
+    "anomalies": "building string, floor int, electricity double, water double, status string, is_anomaly boolean, "
+                 "cluster int, {distance} double, " + _PLACE + ", timestamp {time}, detected_at timestamp, " + _LAYOUT,
+    "rejects": "raw string, reason string, " + _PLACE + ", " + _LAYOUT,
+}
+
+
+def result_schema(table: str, relational: bool = False) -> str:
+    """DDL of a stored result table; relational rows have instants and call the distance so."""
+    return RESULTS[table].format(time="timestamp" if relational else "timestamp_ntz",
+                                 distance="distance" if relational else "dist")

@@ -7,7 +7,6 @@ local folder is only created when the setting is absent (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,22 +46,17 @@ def build_session(master: str | None = None, app: str = "meterstream",
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch folder (``spark.checkpoint.dir``).
 
-    Uses the session's setting when present; otherwise creates a local folder
-    and registers it, which only happens where the setting is unset.
+    Uses the session's setting when present.  Only a local master gets a
+    folder of its own where it is unset: on a cluster each executor would
+    write to its own disk.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            path = None
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="meterstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        try:
-            spark.sparkContext.setCheckpointDir(path)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
@@ -71,10 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/meterstream/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a local path can be used by Python I/O."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def delete_path(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Deletes a scratch folder, now or when the application ends (what is still to be read)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if at_exit:
+        fs.mkdirs(p)  # only what is there can be marked
+        fs.deleteOnExit(p)
+    else:
+        fs.delete(p, True)

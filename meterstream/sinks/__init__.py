@@ -1,7 +1,7 @@
-"""Batch writers used inside ``foreachBatch``; every one is idempotent per ``batch_id``."""
+"""Batch writers used inside ``foreachBatch``; every one is replayable batch by batch."""
 
-from .adapters import (ConsoleSink, DocumentSink, FailOnce, KafkaSink, ParquetSink,
-                       RelationalSink, aggregate_row, anomaly_row)
+from .adapters import (Batch, ConsoleSink, DocumentSink, KafkaSink, ParquetSink, RelationalSink,
+                       aggregate_row, anomaly_row)
 
-__all__ = ["ConsoleSink", "DocumentSink", "FailOnce", "KafkaSink", "ParquetSink",
-           "RelationalSink", "aggregate_row", "anomaly_row"]
+__all__ = ["Batch", "ConsoleSink", "DocumentSink", "KafkaSink", "ParquetSink", "RelationalSink",
+           "aggregate_row", "anomaly_row"]

@@ -1,58 +1,90 @@
 """Sink adapters.
 
-One canonical result schema; adapters only cast and rename.  Replays of a
-micro-batch (restart after a failure between two sinks) must not lose or
-duplicate rows, so every adapter replaces what an earlier attempt of the
-same ``batch_id`` wrote:
-
-* files (parquet / JSON): dynamic partition overwrite of ``batch_id=<n>``;
-* document store: replace-by-id on (key columns, batch_id);
+One canonical result schema; adapters only cast and rename.  Every write
+belongs to a ``Batch``: the query's name, the run (the id in the query's
+checkpoint, so it outlives restarts) and the micro-batch.  A replay must not
+lose or duplicate rows, and queries that share a table must not touch each
+other's, so every adapter first clears what an earlier attempt of the same
+batch wrote:
+
+* files (parquet / JSON): the batch's folders under every date, then append;
+* document store: replace-by-id on the record's place in the topic;
 * JDBC: delete the batch's rows, then append, in that order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import from_utc_wall
 
 ISO_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Columns that say which write a stored row came from; files are laid out by them.
+LAYOUT = ("date", "query", "run", "batch_id")
+#: Where a record stood in the topic.
+PLACE = ("topic", "partition", "offset")
+
+
+@dataclass(frozen=True)
+class Batch:
+    query: str
+    run: str
+    batch_id: int
+
+
+def with_batch(df: DataFrame, batch: Batch) -> DataFrame:
+    return (df.withColumn("query", F.lit(batch.query)).withColumn("run", F.lit(batch.run))
+            .withColumn("batch_id", F.lit(int(batch.batch_id)).cast("long")))
+
 
+def event_date(df: DataFrame) -> Column:
+    """Date a row is stored under: its window's or its event time's; null for rows without one."""
+    for c in ("window_start", "timestamp"):
+        if c in df.columns:
+            return F.to_date(c)
+    return F.lit(None).cast("date")
 
-def with_batch(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
 
+def _clear_batch(spark, path: str, batch: Batch) -> None:
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(
+        f"{path}/date=*/query={batch.query}/run={batch.run}/batch_id={int(batch.batch_id)}")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.globStatus(pattern) or []:
+        fs.delete(st.getPath(), True)
 
-def _overwrite_partition(df: DataFrame, fmt: str, path: str, options: dict | None = None) -> None:
-    (df.write.format(fmt).mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .options(**(options or {}))
-       .partitionBy("batch_id").save(path))
+
+def _replace_batch(df: DataFrame, date: Column, fmt: str, path: str, batch: Batch) -> None:
+    _clear_batch(df.sparkSession, path, batch)
+    (with_batch(df, batch).withColumn("date", date)
+     .write.format(fmt).mode("append").partitionBy(*LAYOUT).save(path))
 
 
 class ParquetSink:
-    """Columnar result table partitioned by batch_id (the default store)."""
+    """Columnar result table laid out by date, query, run and batch (the default store)."""
 
     def __init__(self, path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
-        self.path, self.transform = path, transform
+        self.path, self.transform = path.rstrip("/"), transform
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch: Batch) -> None:
         out = self.transform(df) if self.transform else df
-        _overwrite_partition(with_batch(out, batch_id), "parquet", self.path)
+        _replace_batch(out, event_date(out), "parquet", self.path, batch)
 
 
 class DocumentSink:
     """Document collection (K2, K3): timestamps become ISO text.
 
     ``format="mongodb"`` writes through the document-store connector with
-    replace-by-id on ``id_fields`` + batch_id; any other format (``json``)
-    writes files under ``path`` partitioned by batch_id.
+    replace-by-id on ``id_fields`` + query and run (and the batch, for rows
+    that are revised batch by batch); any other format (``json``) writes files
+    under ``path``.
     """
 
-    def __init__(self, collection: str, time_cols: Sequence[str], id_fields: Sequence[str] = (),
+    def __init__(self, collection: str, time_cols: Sequence[str], id_fields: Sequence[str] = PLACE,
                  format: str = "json", path: str | None = None, options: dict | None = None):
         self.collection, self.time_cols, self.id_fields = collection, tuple(time_cols), tuple(id_fields)
         self.format, self.path, self.options = format, path, dict(options or {})
@@ -61,23 +93,24 @@ class DocumentSink:
         return df.select(*[F.date_format(F.col(c), ISO_NTZ).alias(c) if c in self.time_cols else F.col(c)
                            for c in df.columns])
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        out = with_batch(self.shape(df), batch_id)
+    def write(self, df: DataFrame, batch: Batch) -> None:
         if self.format == "mongodb":
-            (out.write.format("mongodb").mode("append")
+            (with_batch(self.shape(df), batch).write.format("mongodb").mode("append")
                 .option("collection", self.collection)
                 .option("operationType", "replace")
-                .option("idFieldList", ",".join((*self.id_fields, "batch_id")))
+                .option("idFieldList", ",".join((*self.id_fields, "query", "run", "batch_id")))
                 .options(**self.options).save())
         else:
-            _overwrite_partition(out, self.format, f"{self.path.rstrip('/')}/{self.collection}")
+            shaped = self.shape(df)
+            _replace_batch(shaped, event_date(shaped), self.format, f"{self.path.rstrip('/')}/{self.collection}", batch)
 
 
 class RelationalSink:
     """Relational table (K4, K5) with typed columns; ``projection`` shapes the row.
 
-    With ``url`` it writes over JDBC after deleting rows of the same batch_id;
-    without, it writes a parquet table at ``path`` (same idempotence).
+    With ``url`` it writes over JDBC after deleting the batch's rows (the
+    tables are in ``sinks/tables.sql``); without, it writes a parquet table
+    under ``path``, as replayable.
     """
 
     def __init__(self, table: str, projection: Callable[[DataFrame], DataFrame],
@@ -85,7 +118,7 @@ class RelationalSink:
         self.table, self.projection, self.url = table, projection, url
         self.properties, self.path = dict(properties or {}), path
 
-    def _delete_batch(self, spark, batch_id: int) -> None:
+    def _delete_batch(self, spark, batch: Batch) -> None:
         jvm = spark._jvm
         props = jvm.java.util.Properties()
         for k, v in self.properties.items():
@@ -94,23 +127,22 @@ class RelationalSink:
             jvm.java.lang.Class.forName(self.properties["driver"])
         conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
         try:
-            md = conn.getMetaData()
-            if md.getTables(None, None, self.table, None).next() or \
-                    md.getTables(None, None, self.table.upper(), None).next():
-                st = conn.prepareStatement(f"DELETE FROM {self.table} WHERE batch_id = ?")
-                st.setLong(1, int(batch_id))
-                st.executeUpdate()
-                st.close()
+            st = conn.prepareStatement(f"DELETE FROM {self.table} WHERE query = ? AND run = ? AND batch_id = ?")
+            st.setString(1, batch.query)
+            st.setString(2, batch.run)
+            st.setLong(3, int(batch.batch_id))
+            st.executeUpdate()
+            st.close()
         finally:
             conn.close()
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        out = with_batch(self.projection(df), batch_id)
+    def write(self, df: DataFrame, batch: Batch) -> None:
+        out = self.projection(df)
         if self.url:
-            self._delete_batch(df.sparkSession, batch_id)
-            out.write.jdbc(self.url, self.table, mode="append", properties=self.properties)
+            self._delete_batch(df.sparkSession, batch)
+            with_batch(out, batch).write.jdbc(self.url, self.table, mode="append", properties=self.properties)
         else:
-            _overwrite_partition(out, "parquet", f"{self.path.rstrip('/')}/{self.table}")
+            _replace_batch(out, event_date(out), "parquet", f"{self.path.rstrip('/')}/{self.table}", batch)
 
 
 class ConsoleSink:
@@ -119,8 +151,8 @@ class ConsoleSink:
     def __init__(self, rows: int = 20):
         self.rows = rows
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        print(f"-- batch {batch_id}")
+    def write(self, df: DataFrame, batch: Batch) -> None:
+        print(f"-- {batch.query}, batch {batch.batch_id}")
         df.show(self.rows, truncate=False)
 
 
@@ -130,25 +162,12 @@ class KafkaSink:
     def __init__(self, bootstrap_servers: str, topic: str, options: dict | None = None):
         self.bootstrap, self.topic, self.options = bootstrap_servers, topic, dict(options or {})
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch: Batch | None = None) -> None:
         (df.select("key", "value").write.format("kafka")
            .option("kafka.bootstrap.servers", self.bootstrap).option("topic", self.topic)
            .options(**self.options).save())
 
 
-class FailOnce:
-    """Wraps a sink and fails its first write (tests of restart without loss or duplicates)."""
-
-    def __init__(self, sink):
-        self.sink, self.failed = sink, False
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        if not self.failed:
-            self.failed = True
-            raise RuntimeError(f"injected sink failure in batch {batch_id}")
-        self.sink.write(df, batch_id)
-
-
 def instant(df: DataFrame, col: str):
     """A typed timestamp column: UTC wall time (timestamp_ntz) becomes its instant."""
     if dict(df.dtypes).get(col) == "timestamp_ntz":
@@ -161,17 +180,18 @@ AGG_TIME_COLS = ("window_start", "window_end", "processed_at")
 
 def aggregate_row(df: DataFrame) -> DataFrame:
     """Relational projection of aggregates (P16): building, the metrics present, typed times."""
-    metrics = [c for c in df.columns if c not in ("building", "batch_id", *AGG_TIME_COLS)]
+    metrics = [c for c in df.columns if c not in ("building", *LAYOUT, *AGG_TIME_COLS)]
     return df.select("building", *metrics, *[instant(df, c) for c in AGG_TIME_COLS])
 
 
 def anomaly_row(df: DataFrame) -> DataFrame:
     """Relational projection of anomalies (P17): ``dist`` is stored as ``distance``.
 
-    Model anomalies carry cluster and distance, rule anomalies their status.
+    Model anomalies carry cluster and distance, all carry status, flag and
+    their place in the topic where they have them.
     """
-    extra = [c for c in ("status", "cluster") if c in df.columns]
+    extra = [c for c in ("status", "is_anomaly", "cluster") if c in df.columns]
     if "dist" in df.columns:
         extra.append(F.col("dist").alias("distance"))
-    return df.select("building", "floor", "electricity", "water", *extra,
+    return df.select("building", "floor", "electricity", "water", *extra, *[c for c in PLACE if c in df.columns],
                      instant(df, "timestamp"), instant(df, "detected_at"))

@@ -72,11 +72,12 @@ def write_readings(readings_df: DataFrame, path: str, mode: str = "error") -> No
     """Parsed readings as a parquet table partitioned by event date.
 
     Parse once, query many times: later queries read typed columns (no JSON)
-    and a date predicate prunes whole partitions.  No shuffle: each task
-    sorts its rows by date and writes one file per date it holds, so a date
-    holding a third of the rows is still written by every task in parallel.
+    and a date predicate prunes whole partitions.  Rows are dealt to ranges of
+    (date, hash), so a task writes one date or a few, and a date that holds a
+    third of the rows is written by a third of the tasks.
     """
     (readings_df.withColumn("date", F.to_date("timestamp"))
+        .repartitionByRange("date", F.xxhash64("reading_id"))
         .sortWithinPartitions("date")
         .write.mode(mode).partitionBy("date").parquet(path))
 
@@ -84,12 +85,3 @@ def write_readings(readings_df: DataFrame, path: str, mode: str = "error") -> No
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """The table written by ``write_readings`` (``date`` is a partition column)."""
     return spark.read.parquet(path)
-
-
-def embedding_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """``embeddings`` with each coordinate as a double column (for models over d > 2 features)."""
-    emb = table(spark, sf_dir, "embeddings")
-    dim = len(emb.select("embedding").first()[0])
-    names = [f"e{i}" for i in range(dim)]
-    cols = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
-    return emb.select("vec_id", "label", *cols), names

@@ -3,54 +3,78 @@
 from __future__ import annotations
 
 import threading
-from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps one record per query event; a long-running job keeps the most recent ``keep``."""
+    """Reports each batch as it ends, and keeps running totals for each query.
 
-    def __init__(self, keep: int = 10_000):
-        self.lock = threading.Lock()
-        self.started: deque[dict] = deque(maxlen=keep)
-        self.progress: deque[dict] = deque(maxlen=keep)
-        self.terminated: deque[dict] = deque(maxlen=keep)
+    ``report`` gets one record per finished batch; nothing grows with the
+    number of batches.
+    """
+
+    def __init__(self, report: Callable[[dict], None] | None = None):
+        self.changed = threading.Condition()
+        self.report = report
+        self.totals: dict[str, dict] = {}
+        self.started: set[str] = set()
+        self.ended: dict[str, str | None] = {}
 
     def onQueryStarted(self, event):
-        with self.lock:
-            self.started.append({"id": str(event.id), "name": event.name})
+        with self.changed:
+            self.started.add(str(event.id))
 
     def onQueryProgress(self, event):
         p = event.progress
-        with self.lock:
-            self.progress.append({
-                "id": str(p.id), "name": p.name, "batch_id": int(p.batchId),
-                "input_rows": int(p.numInputRows),
-                "rows_per_second": float(p.processedRowsPerSecond or 0.0),
-                "watermark": (p.eventTime or {}).get("watermark"),
-                "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()},
-                # rows the watermark rejected as too late (Spark drops them; this counts them)
-                "dropped_late": sum(int(op.numRowsDroppedByWatermark or 0) for op in (p.stateOperators or [])),
-                "state_rows": sum(int(op.numRowsTotal or 0) for op in (p.stateOperators or [])),
-            })
+        seen = {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}.get("records", {})
+        record = {
+            "id": str(p.id), "name": p.name, "batch_id": int(p.batchId), "input_rows": int(p.numInputRows),
+            "parsed_rows": int(seen.get("rows") or 0), "rejected": int(seen.get("rejected") or 0),
+            "rows_per_second": float(p.processedRowsPerSecond or 0.0),
+            "watermark": (p.eventTime or {}).get("watermark"),
+            # rows the watermark rejected as too late (Spark drops them; this counts them)
+            "dropped_late": sum(int(op.numRowsDroppedByWatermark or 0) for op in (p.stateOperators or [])),
+            "state_rows": sum(int(op.numRowsTotal or 0) for op in (p.stateOperators or [])),
+        }
+        with self.changed:
+            t = self.totals.setdefault(p.name, {"batches": 0, "input_rows": 0, "parsed_rows": 0, "rejected": 0, "dropped_late": 0})
+            t["batches"] += 1
+            for k in ("input_rows", "parsed_rows", "rejected", "dropped_late"):
+                t[k] += record[k]
+        if self.report:
+            self.report(record)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        with self.lock:
-            self.terminated.append({"id": str(event.id), "exception": event.exception})
-
-
-def await_all(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for every query; raise the first failure (a failed query is never ignored)."""
-    for q in queries:
-        if timeout_s is None:
-            q.awaitTermination()
-        else:
-            q.awaitTermination(timeout_s)
-    for q in queries:
-        exc = q.exception()
-        if exc is not None:
-            raise exc
+        with self.changed:
+            self.ended[str(event.id)] = event.exception
+            self.changed.notify_all()
+
+    def drain(self, queries: list[StreamingQuery], timeout_s: float = 120.0) -> None:
+        """Waits for the end of the queries to be reported; their batches come before it."""
+        ids = {str(q.id) for q in queries}
+        with self.changed:
+            if not self.changed.wait_for(lambda: ids <= set(self.ended), timeout_s):
+                raise TimeoutError(f"no end of {sorted(ids - set(self.ended))} was reported in {timeout_s} s")
+
+
+def await_all(queries: list[StreamingQuery], poll_s: float = 0.5) -> None:
+    """Waits until every query has ended; the first that fails stops the others and is raised."""
+    try:
+        while active := [q for q in queries if q.isActive]:
+            for q in queries:
+                if (failure := q.exception()) is not None:
+                    raise failure
+            active[0].awaitTermination(poll_s)
+        for q in queries:
+            if (failure := q.exception()) is not None:
+                raise failure
+    except BaseException:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise

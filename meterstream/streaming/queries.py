@@ -13,6 +13,7 @@ restart; the idempotent sinks make the replay exact.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -26,6 +27,7 @@ from .. import constants as C
 from ..functions.rules import rule_breach, rule_status
 from ..model import MeterModel
 from ..operators import parse, scoring, windows
+from ..sinks.adapters import PLACE, Batch
 
 
 @dataclass(frozen=True)
@@ -84,14 +86,33 @@ def state_partitions(spark, n: int | None = None):
         spark.conf.unset(SHUFFLE_KEY)
 
 
-def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
+def run_id(spark, checkpoint: str) -> str:
+    """The id that a query's checkpoint holds: the same after a restart, another in a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+class _Run:
+    """Names a query's batches; the id is read once, by its first batch."""
+
+    def __init__(self, settings: QuerySettings):
+        self.settings, self.id = settings, None
+
+    def batch(self, spark, batch_id: int) -> Batch:
+        if self.id is None:
+            self.id = run_id(spark, self.settings.checkpoint)
+        return Batch(self.settings.name, self.id, int(batch_id))
+
+
+def fan_out(sinks: Sequence, settings: QuerySettings) -> Callable[[DataFrame, int], None]:
+    named = _Run(settings)
+
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        shared = len(sinks) > 1
+        shared, batch = len(sinks) > 1, named.batch(batch_df.sparkSession, batch_id)
         if shared:
             batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for s in sinks:
-                s.write(batch_df, batch_id)
+                s.write(batch_df, batch)
         finally:
             if shared:
                 batch_df.unpersist()
@@ -100,7 +121,8 @@ def fan_out(sinks: Sequence) -> Callable[[DataFrame, int], None]:
 
 def observed(decoded: DataFrame, name: str = "records") -> DataFrame:
     """Per-batch counts (rows, rejected) reported with each progress event, without extra jobs."""
-    return decoded.observe(name, F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected"))
+    return decoded.observe(name, F.count(F.lit(1)).alias("rows"),
+                           F.count(parse.reject_reason()).alias("rejected"))
 
 
 def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySettings,
@@ -117,7 +139,7 @@ def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySetting
     readings = parse.valid(observed(parse.decode(envelope)))
     aggs = windows.window_aggregate(readings, duration, metrics, watermark=watermark)
     aggs = aggs.withColumn("processed_at", F.current_timestamp())
-    return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks)), settings)
+    return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks, settings)), settings)
 
 
 Detector = Callable[[DataFrame], DataFrame]
@@ -125,7 +147,9 @@ Detector = Callable[[DataFrame], DataFrame]
 
 def model_detector(model: MeterModel) -> Detector:
     def detect(readings: DataFrame) -> DataFrame:
-        return (scoring.anomalies(readings, model, scoring.ANOMALY_OUTPUT + ("received_at",))
+        place = tuple(c for c in PLACE if c in readings.columns)
+        found = scoring.anomalies(readings, model, (*scoring.ANOMALY_OUTPUT, *place, "received_at"))
+        return (found.withColumn("status", rule_status("electricity", "water")).withColumn("is_anomaly", F.lit(True))
                 .withColumnRenamed("received_at", "detected_at"))
     return detect
 
@@ -134,7 +158,8 @@ def rule_detector(high_electricity: float = C.HIGH_ELECTRICITY, high_water: floa
     def detect(readings: DataFrame) -> DataFrame:
         return (readings.filter(rule_breach("electricity", "water", high_electricity, high_water))
                 .select("building", "floor", "electricity", "water",
-                        rule_status("electricity", "water").alias("status"), "timestamp",
+                        rule_status("electricity", "water").alias("status"), F.lit(True).alias("is_anomaly"),
+                        *[c for c in PLACE if c in readings.columns], "timestamp",
                         F.col("received_at").alias("detected_at")))
     return detect
 
@@ -142,21 +167,22 @@ def rule_detector(high_electricity: float = C.HIGH_ELECTRICITY, high_water: floa
 def scoring_query(envelope: DataFrame, detector: Detector, anomaly_sinks: Sequence,
                   settings: QuerySettings, reject_sinks: Sequence = ()) -> StreamingQuery:
     """Stateless: anomalies and rejects of each micro-batch to their sinks."""
-    decoded = observed(parse.decode(envelope)).withColumn("received_at", F.current_timestamp())
+    decoded = observed(parse.decode(envelope, keep=PLACE)).withColumn("received_at", F.current_timestamp())
 
-    shared = len(anomaly_sinks) + len(reject_sinks) > 1
+    shared, named = len(anomaly_sinks) + len(reject_sinks) > 1, _Run(settings)
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
         if shared:
             batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            batch = named.batch(batch_df.sparkSession, batch_id)
             found = detector(batch_df.filter(F.col("reason").isNull()))
             for s in anomaly_sinks:
-                s.write(found, batch_id)
+                s.write(found, batch)
             if reject_sinks:
-                bad = parse.rejects(batch_df)
+                bad = parse.rejects(batch_df, keep=PLACE)
                 for s in reject_sinks:
-                    s.write(bad, batch_id)
+                    s.write(bad, batch)
         finally:
             if shared:
                 batch_df.unpersist()

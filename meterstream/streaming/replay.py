@@ -1,37 +1,34 @@
 """Stage topic records from tables as files for a replayed stream.
 
-The file source reads files in modification-time order.  Files are written
-by a normal distributed job; their modification times are then set in
-file-name (= partition) order, so ``maxFilesPerTrigger=m`` replays them ``m``
-files per micro-batch in a chosen order: time order (``order_col``) for
-watermark runs, or a round-robin mix of all times for out-of-order runs.
-``files_per_batch`` follows the input's partition count, so a micro-batch is
-read by as many tasks as the table is, never by one.
+The file source reads files in the order in which they were written.  Where a
+run needs its records in time order, each range of time is appended by a job
+of its own; otherwise one job writes all files.  A file holds a bounded number
+of records, so a micro-batch of a few files doesn't grow with the table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+#: Records of one staged file; a micro-batch reads one file unless told otherwise.
+RECORDS_PER_FILE = 4_000
 
-def files_per_batch(df: DataFrame) -> int:
-    return max(1, df.rdd.getNumPartitions())
 
+def stage_replay(envelope: DataFrame, path: str, order_col: str | None = None, ranges: int = 6,
+                 records_per_file: int = RECORDS_PER_FILE) -> None:
+    """``order_col``: written in that many ``ranges`` of the column, one after another."""
+    def append(df: DataFrame) -> None:
+        df.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)
 
-def stage_replay(envelope: DataFrame, path: str, files: int, order_col: str | None = None) -> list[str]:
-    df = envelope.repartitionByRange(files, order_col) if order_col else envelope.repartition(files)
-    df.write.mode("error").parquet(path)
-    spark = envelope.sparkSession
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().toString() for st in fs.listStatus(root)
-                   if st.getPath().getName().startswith("part-"))
-    base = int(fs.getFileStatus(root).getModificationTime())
-    for i, name in enumerate(names):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + 1000 * (i + 1), -1)
-    got = [int(fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(n)).getModificationTime()) for n in names]
-    if got != sorted(got) or len(set(got)) != len(got):
-        raise RuntimeError(f"{path}: the file system did not take the modification times that order "
-                           "the replay; stage replays on HDFS or a local disk, or read the topic")
-    return names
+    if order_col is None:
+        append(envelope)
+        return
+    ends = envelope.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    if ends.lo is None:
+        append(envelope)
+        return
+    step = (ends.hi - ends.lo) / ranges
+    for i in range(ranges):
+        rows = envelope.filter(F.col(order_col) >= F.lit(ends.lo + i * step)) if i else envelope
+        append(rows.filter(F.col(order_col) < F.lit(ends.lo + (i + 1) * step)) if i < ranges - 1 else rows)

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import constants as C
 from ..schema import ENVELOPE_SCHEMA
 
 
@@ -15,7 +14,7 @@ class SourceConfig:
     """Where records come from.
 
     ``kind="kafka"``: subscribe to ``topic``; ``max_offsets_per_trigger``
-    bounds a micro-batch (the monitored system uses 1000); ``min_partitions``
+    bounds a micro-batch (none by default); ``min_partitions``
     splits hot topic partitions (keys are building names, so one partition
     can carry most records).  ``fail_on_data_loss`` defaults to true: lost
     offsets stop the query rather than silently skipping data.
@@ -24,10 +23,10 @@ class SourceConfig:
     """
     kind: str = "kafka"
     bootstrap_servers: str = "kafka:9092"
-    topic: str = C.TOPIC
+    topic: str | None = None
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = True
-    max_offsets_per_trigger: int | None = C.MAX_OFFSETS_PER_TRIGGER
+    max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     path: str | None = None
     max_files_per_trigger: int | None = None
@@ -36,6 +35,8 @@ class SourceConfig:
 def envelope_stream(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     """Streaming DataFrame with columns key, value, topic, partition, offset, timestamp, timestampType."""
     if cfg.kind == "kafka":
+        if not cfg.topic:
+            raise ValueError("a topic source needs a topic")
         r = (spark.readStream.format("kafka")
              .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
              .option("subscribe", cfg.topic)
@@ -54,13 +55,3 @@ def envelope_stream(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
             r = r.option("maxFilesPerTrigger", str(cfg.max_files_per_trigger))
         return r.parquet(cfg.path)
     raise ValueError(f"unknown source kind {cfg.kind!r}")
-
-
-def envelope_batch(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
-    """The same records as a bounded batch (backfills, tests)."""
-    if cfg.kind == "kafka":
-        return (spark.read.format("kafka")
-                .option("kafka.bootstrap.servers", cfg.bootstrap_servers)
-                .option("subscribe", cfg.topic)
-                .option("startingOffsets", "earliest").option("endingOffsets", "latest").load())
-    return spark.read.schema(ENVELOPE_SCHEMA).parquet(cfg.path)

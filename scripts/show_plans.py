@@ -35,7 +35,7 @@ def main() -> None:
     names = [a for a in args if "/" not in a] or [
         "window_agg_30s", "rule_anomalies", "parse_envelope", "scaler_stats", "model_anomalies",
         "distance_threshold", "severity_bands", "pct_of_average", "panel_trend", "panel_latest",
-        "anomalies_per_building", "synthetic_readings"]
+        "anomalies_per_building"]
     spark = build_session("local[8]", shuffle_partitions=8)
     for name in names:
         df = QUERIES[name](spark, sf_dir)

@@ -27,3 +27,16 @@ def envelope_rows(spark, values, schema_ts=None):
     rows = [(None if v is None else b"k", None if v is None else v.encode(), "t", 0, i, ts, 0)
             for i, v in enumerate(values)]
     return spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+
+
+class FailOnce:
+    """Wraps a sink and fails its first write."""
+
+    def __init__(self, sink):
+        self.sink, self.failed = sink, False
+
+    def write(self, df, batch):
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError("injected sink failure")
+        self.sink.write(df, batch)

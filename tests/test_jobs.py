@@ -1,4 +1,4 @@
-"""Command-line flow: generate training data, train, stage a replay, monitor, report."""
+"""Command-line flow: train, stage a replay, monitor, report."""
 
 import pytest
 
@@ -10,10 +10,11 @@ from meterstream.streaming.sources import SourceConfig, envelope_stream
 
 def test_train_monitor_report(spark, capsys):
     root = scratch_path(spark, "jobs")
-    jobs.main(["generate-training", "--keys", f"{SF_SMALL}/events.parquet", "--out", f"{root}/train"])
-    jobs.main(["train", "--input", f"{root}/train", "--models", f"{root}/models"])
+    from meterstream.sources.tables import readings
+    readings(spark, SF_SMALL).write.parquet(f"{root}/train.parquet")
+    jobs.main(["train", "--input", f"{root}/train.parquet", "--models", f"{root}/models"])
     jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
-               "--batches", "3", "--ordered"])
+               "--ranges", "3", "--ordered"])
     jobs.main(["monitor", "--replay", f"{root}/replay", "--models", f"{root}/models",
                "--results", f"{root}/results", "--checkpoints", f"{root}/ckpt", "--available-now",
                "--documents", "json", "--shuffle-partitions", "4"])
@@ -23,8 +24,18 @@ def test_train_monitor_report(spark, capsys):
     an = s.read.parquet(f"{root}/results/anomalies")
     assert an.count() > 0
     assert s.read.json(f"{root}/results/documents/anomalies").count() == an.count()
+    capsys.readouterr()
     jobs.main(["report", "--results", f"{root}/results", "--panel", "per-building"])
     assert "anomaly_count" in capsys.readouterr().out
+    # the rules stream shares the results folder
+    before = an.count()
+    jobs.main(["rules", "--replay", f"{root}/replay", "--results", f"{root}/results", "--checkpoints", f"{root}/ckpt",
+               "--available-now", "--shuffle-partitions", "4"])
+    said = capsys.readouterr().out
+    assert all(f"{q}: batch {b}," in said for q in ("rules-aggregations", "rules-anomalies") for b in range(3))
+    both = s.read.parquet(f"{root}/results/anomalies").groupBy("query").count().collect()
+    assert {r["query"] for r in both} == {"monitor-anomalies", "rules-anomalies"}
+    assert next(r["count"] for r in both if r["query"] == "monitor-anomalies") == before
 
 
 def test_topic_source_needs_its_connector(spark):
@@ -40,14 +51,14 @@ def test_unknown_source_kind(spark):
 
 def test_publish_needs_the_topic_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        jobs.main(["publish", "--events", f"{SF_SMALL}/events.parquet", "--bootstrap", "localhost:1"])
+        jobs.main(["publish", "--events", f"{SF_SMALL}/events.parquet", "--bootstrap", "localhost:1", "--topic", "t"])
 
 
 def test_rules_stream_and_reports(spark, duck, capsys):
     import __spark_entry__ as entry
     root = scratch_path(spark, "jobs-rules")
     jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
-               "--batches", "2", "--ordered"])
+               "--ranges", "2", "--ordered"])
     jobs.main(["rules", "--replay", f"{root}/replay", "--results", f"{root}/results",
                "--checkpoints", f"{root}/ckpt", "--available-now", "--documents", "json",
                "--shuffle-partitions", "4", "--watermark", "none"])

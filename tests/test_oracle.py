@@ -3,15 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry
-from helpers import assert_same
 from conftest import SF_SMALL
-
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+from helpers import assert_same
+from meterstream.plans.catalog import QUERIES
+from meterstream.plans.oracle import ORACLE
 
 
-def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -25,8 +25,3 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["building", "floor", "electricity", "water", "cluster", "dist", "timestamp"]
     assert df.count() == 9   # frozen model on sf0.001
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 1

@@ -48,15 +48,18 @@ def test_panel_latest_is_top_k(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_join_small_beyond_the_bound_keeps_a_shuffle_join(spark):
-    from meterstream.operators.enrich import building_averages, join_small
-    r = readings(spark, SF_SMALL, water=False)
-    alerts = r.filter(F.col("electricity") > 180)
-    small = join_small(alerts, building_averages(r), "building")
-    big = join_small(alerts, building_averages(r), "building", max_rows=0)
-    assert "BroadcastExchange" in plan(small)
-    assert "BroadcastExchange" not in big._jdf.queryExecution().optimizedPlan().toString() and \
-        big.exceptAll(small).count() == 0 and small.exceptAll(big).count() == 0
+def test_pct_of_average_keeps_alerts_without_an_average(spark):
+    df = spark.createDataFrame([("A", 200.0), ("new", 300.0), (None, 400.0)], "building string, electricity double")
+    avgs = spark.createDataFrame([("A", 100.0)], "building string, avg_electricity double")
+    got = {r.building: r.pct_of_avg for r in enrich.pct_of_average(df, averages=avgs).collect()}
+    assert got == {"A": 200.0, "new": None, None: None}
+
+
+def test_profile_queries_do_not_read_props(spark):
+    from meterstream.plans.catalog import QUERIES
+    for name in ("diurnal_profile", "expected_load"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "props" not in p and "get_json_object" not in p
 
 
 def test_skewed_building_is_combined_before_the_shuffle(spark):
@@ -89,11 +92,11 @@ def test_ingested_readings_prune_by_date_and_match_raw(spark):
 
 def test_registered_batch_queries_avoid_slow_operators(spark):
     """No Python evaluation, no cartesian / nested-loop joins, no window operator in any batch query."""
-    import __spark_entry__ as entry
+    from meterstream.plans.catalog import QUERIES
     banned = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
               "WindowExec", "Window [")
-    for name, fn in entry.queries().items():
-        if name.startswith(("stream_", "sink_")):
+    for name, fn in QUERIES.items():
+        if name.startswith(("stream_", "sink_", "stored_")) or name.endswith(("_fit", "_roundtrip")):
             continue          # these run a stream on call; their sinks are read back as plain scans
         p = plan(fn(spark, SF_SMALL))
         assert not [b for b in banned if b in p], name

@@ -57,9 +57,18 @@ def test_tie_between_centres_goes_to_lowest_index(spark):
 
 
 def test_null_and_nan_features_are_not_scored(spark):
-    df = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (1.0, 1.0)], "electricity double, water double")
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (1.0, 1.0), (float("inf"), 1.0), (1.0, float("-inf"))],
+                               "electricity double, water double")
     assert scoring.valid_features(df).count() == 1
-    assert scoring.invalid_features(df).count() == 2
+    assert df.filter(~scoring.usable()).count() == 4
+
+
+@pytest.mark.parametrize("threshold", [0.5, 1.9, 3.0])
+def test_a_flagged_distance_is_never_called_normal(spark, threshold):
+    from meterstream.functions.rules import severity_band
+    df = spark.createDataFrame([(i / 10,) for i in range(50)], "dist double")
+    for r in df.select("dist", severity_band("dist", threshold).alias("s")).collect():
+        assert (r["s"] in ("very normal", "normal variation")) == (r["dist"] <= threshold)
 
 
 def test_single_row_threshold_has_zero_stddev(spark):
@@ -101,21 +110,3 @@ def test_reference_table_refreshes(spark):
     fast = ReferenceTable(load, refresh_s=0)
     assert fast.get().first()["avg_electricity"] == 2.0
     assert fast.get().first()["avg_electricity"] == 3.0
-
-
-def test_wide_form_equals_term_form(spark):
-    import random
-    from meterstream.functions.geometry import nearest_centre, nearest_centre_wide
-    rnd = random.Random(3)
-    d, k = 12, 5
-    centres = [[rnd.uniform(-2, 2) for _ in range(d)] for _ in range(k)]
-    rows = [tuple(rnd.uniform(-3, 3) for _ in range(d)) for _ in range(300)] + [tuple([None] + [0.0] * (d - 1))]
-    df = spark.createDataFrame(rows, ", ".join(f"x{i} double" for i in range(d)))
-    z = [F.col(f"x{i}") for i in range(d)]
-    out = df.select(nearest_centre(z, centres).alias("a"), nearest_centre_wide(z, centres).alias("b")).collect()
-    for r in out:
-        if r["a"] is None:
-            assert r["b"] is None
-        else:
-            assert r["a"]["cluster"] == r["b"]["cluster"]
-            assert r["a"]["d2"] == pytest.approx(r["b"]["d2"], rel=1e-12)

@@ -3,11 +3,12 @@
 import json
 
 
-from helpers import envelope_rows
+import pytest
+from helpers import FailOnce, envelope_rows
 from meterstream.model import FROZEN
 from meterstream.operators import reports
 from meterstream.session import scratch_path
-from meterstream.sinks import FailOnce, ParquetSink
+from meterstream.sinks import ParquetSink
 from meterstream.streaming.progress import ProgressLog, await_all
 from meterstream.streaming.queries import (QuerySettings, aggregate_query, model_detector,
                                            scoring_query)
@@ -104,23 +105,56 @@ def test_restart_after_sink_failure_no_loss_no_duplicates(spark):
 
 
 def test_progress_listener_sees_every_batch(spark):
-    import time
     src = stage(spark, [[msg("A", "10:00:00", 1.0)], [msg("A", "10:00:01", 2.0), "{bad"]])
-    log = ProgressLog()
+    seen = []
+    log = ProgressLog(seen.append)
     spark.streams.addListener(log)
     try:
         q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN),
                           [ParquetSink(scratch_path(spark, "p"))], settings(spark, "progress"))
         await_all([q])
-        deadline = time.time() + 30
-        while not log.terminated and time.time() < deadline:
-            time.sleep(0.2)
+        log.drain([q])
     finally:
         spark.streams.removeListener(log)
-    assert sum(p["input_rows"] for p in log.progress) == 3
-    assert len(log.started) == 1 and len(log.terminated) == 1
-    assert sum(p["observed"]["records"]["rows"] for p in log.progress if p["observed"]) == 3
-    assert sum(p["observed"]["records"]["rejected"] for p in log.progress if p["observed"]) == 1
+    assert len(log.started) == 1 and len(log.ended) == 1
+    assert [p["input_rows"] for p in seen if p["input_rows"]] == [1, 2]
+    t = log.totals["progress"]
+    assert (t["input_rows"], t["parsed_rows"], t["rejected"]) == (3, 3, 1)
+
+
+def test_reject_count_is_the_number_of_rejects(spark):
+    bad = [msg("A", "10:00:00", 1.0).replace('"electricity": 1.0', f'"electricity": {v}') for v in ("null", "1e999", '"x"')]
+    src = stage(spark, [["{bad", None, *bad, msg("A", "10:00:00", 1.0)]])
+    log, rejects = ProgressLog(), scratch_path(spark, "rj-count")
+    spark.streams.addListener(log)
+    try:
+        q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), [], settings(spark, "counted"),
+                          reject_sinks=[ParquetSink(rejects)])
+        await_all([q])
+        log.drain([q])
+    finally:
+        spark.streams.removeListener(log)
+    assert log.totals["counted"]["rejected"] == spark.read.parquet(rejects).count() == 5
+
+
+def test_a_failed_query_ends_the_others(spark):
+    import time
+    path = stage(spark, [[msg("A", "10:00:00", 1.0)]]).path
+    src = SourceConfig(kind="files", path=path)
+
+    class Fails:
+        def write(self, df, batch):
+            raise RuntimeError("this sink fails")
+
+    def forever(name):
+        return QuerySettings(name=name, checkpoint=scratch_path(spark, f"ckpt-{name}"), trigger="1 second")
+
+    good = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), [ParquetSink(scratch_path(spark, "ok"))], forever("goes-on"))
+    bad = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), [Fails()], forever("fails"))
+    began = time.time()
+    with pytest.raises(Exception, match="this sink fails"):
+        await_all([good, bad])
+    assert time.time() - began < 60 and not good.isActive and not bad.isActive
 
 
 def test_detected_at_is_constant_within_a_batch(spark):

@@ -24,16 +24,17 @@ from ..sources.tables import readings, with_status
 from ..streaming.progress import ProgressLog, await_all
 from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
                                  scoring_query, state_partitions)
-from ..streaming.replay import stage_replay
+from ..streaming.replay import RECORDS_PER_FILE, stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
 from .compare import r6
 from .oracle import TREND_HI, TREND_LO
 
 
-def replay_source(spark: SparkSession, sf_dir: str, ordered: bool = False) -> SourceConfig:
+def replay_source(spark: SparkSession, sf_dir: str, ordered: bool = False, records: int = RECORDS_PER_FILE) -> SourceConfig:
     """Readings staged as topic records, in time order where the run needs it."""
     path = scratch_path(spark, "replay")
-    stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, "timestamp" if ordered else None)
+    stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, "timestamp" if ordered else None,
+                 records_per_file=records)
     return SourceConfig(kind="files", path=path, max_files_per_trigger=1)
 
 
@@ -56,16 +57,17 @@ def _forget(spark, src: SourceConfig, *settings: QuerySettings) -> None:
         delete_path(spark, path)
 
 
-def _aggregates(spark, sf_dir, name, sinks, ordered=False, watermark=None, mode="update") -> None:
-    src, settings = replay_source(spark, sf_dir, ordered), _settings(spark, name)
+def _aggregates(spark, sf_dir, name, sinks, ordered=False, watermark=None, mode="update",
+                records=RECORDS_PER_FILE) -> None:
+    src, settings = replay_source(spark, sf_dir, ordered, records), _settings(spark, name)
     with state_partitions(spark):
         await_all([aggregate_query(envelope_stream(spark, src), sinks, settings, duration="1 hour",
                                    metrics=windows.MODEL_METRICS, watermark=watermark, output_mode=mode)])
     _forget(spark, src, settings)
 
 
-def _scoring(spark, sf_dir, name, detector, sinks) -> None:
-    src, settings = replay_source(spark, sf_dir), _settings(spark, name)
+def _scoring(spark, sf_dir, name, detector, sinks, records=RECORDS_PER_FILE) -> None:
+    src, settings = replay_source(spark, sf_dir, records=records), _settings(spark, name)
     await_all([scoring_query(envelope_stream(spark, src), detector, sinks, settings)])
     _forget(spark, src, settings)
 
@@ -80,10 +82,10 @@ def _latest(rows: DataFrame) -> DataFrame:
     return _r6(latest.select(*AGG_COLS), "avg_electricity", "avg_water")
 
 
-def stream_window_agg(spark, sf_dir):
+def stream_window_agg(spark, sf_dir, records=RECORDS_PER_FILE):
     """Update mode, records out of time order: newest revision per window = the batch result."""
     out = _out(spark, "stream_window_agg")
-    _aggregates(spark, sf_dir, "stream_window_agg", [ParquetSink(f"{out}/aggregations")])
+    _aggregates(spark, sf_dir, "stream_window_agg", [ParquetSink(f"{out}/aggregations")], records=records)
     return _latest(read_results(spark, "aggregations", out))
 
 
@@ -101,9 +103,9 @@ def stream_rule_anomalies(spark, sf_dir):
     return read_results(spark, "anomalies", out).select(*RULE_COLS)
 
 
-def stream_model_anomalies(spark, sf_dir):
+def stream_model_anomalies(spark, sf_dir, records=RECORDS_PER_FILE):
     out = _out(spark, "stream_model_anomalies")
-    _scoring(spark, sf_dir, "stream_model_anomalies", model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")])
+    _scoring(spark, sf_dir, "stream_model_anomalies", model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")], records)
     return _r6(read_results(spark, "anomalies", out).select(*ANOMALY_COLS), "dist")
 
 

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import quoted, staged, without
 
-#: Where units end.
-LINES, PARAGRAPHS = r"\n|(?<=[.!?])\s+", r"\n\s*\n"
+#: Where units end (a unit keeps what stands before the white space).
+LINES, PARAGRAPHS = r"\n|[.!?][^\w\s]*\s+", r"\n\s*\n"
 OTHER = re.compile(r"[\W_]+")
 UNNAMED = (1 << 63) - 1  # the rank of a document without an id
 UNITS = "id long, key long, unit int, start long, end long, words int, h1 long, h2 long, again boolean"
@@ -32,17 +32,26 @@ SCHEMA = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("unit", pa.int32()
 
 
 def units(text: str | None, cut: re.Pattern, least: int):
-    """(start, end, words, digest, whether it came before in this text) of the units of at least ``least`` words."""
+    """(start, end, words, digest, whether it came before in this text) of a text's units.
+
+    A unit of fewer than ``least`` words goes on to the next end.
+    """
     from xxhash import xxh3_128_digest
-    seen, at, text = set(), 0, text or ""
-    for end, after in [*((m.start(), m.end()) for m in cut.finditer(text)), (len(text), len(text))]:
-        unit = OTHER.sub(" ", text[at:end].lower()).strip()
-        words = unit.count(" ") + 1 if unit else 0
+    text = text or ""
+    seen, at, start, held, words = set(), 0, 0, [], 0
+    for m in [*cut.finditer(text), None]:
+        end = m.start() + len(m.group().rstrip()) if m else len(text)
+        piece = OTHER.sub(" ", text[at:end].lower()).strip()
+        if piece:
+            start = start if held else at
+            held.append(piece)
+            words += piece.count(" ") + 1
         if words >= least:
-            digest = xxh3_128_digest(unit.encode())
-            yield at, end, words, digest, digest in seen
+            digest = xxh3_128_digest(" ".join(held).encode())
+            yield start, end, words, digest, digest in seen
             seen.add(digest)
-        at = after
+            held, words = [], 0
+        at = m.end() if m else end
 
 
 def _units_of(cut: str, least: int):
@@ -71,8 +80,6 @@ def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, l
     """``id, key, start, end, words, kept_doc_ids``: passages that came before, of documents by id and text hash.
 
     ``kept_doc_ids`` are the documents in which the units of a passage stay.
-    Units of fewer than ``least_words`` words belong to the passage around
-    them.
     """
     i, key = _key(doc_id, text)
     every = staged(docs.select(i.alias("id"), key.alias("key"), quoted(text).alias("text"))

@@ -12,12 +12,16 @@ def plain(rows, cut, least, run):
     docs = sorted({(rank(i), t) for i, t in rows if t}, key=lambda x: x[0])
     pieces = {}
     for i, t in docs:
-        at, parts = 0, []
+        parts, start, words, at = [], 0, [], 0
         for m in [*re.finditer(cut, t), None]:
-            end = m.start() if m else len(t)
-            n = " ".join(re.findall(r"[^\W_]+", t[at:end].lower()))
-            if n and len(n.split(" ")) >= least:
-                parts.append((at, end, len(n.split(" ")), n))
+            end = m.start() + len(m.group().rstrip()) if m else len(t)
+            new = re.findall(r"[^\W_]+", t[at:end].lower())
+            if new and not words:
+                start = at
+            words += new
+            if len(words) >= least:
+                parts.append((start, end, len(words), " ".join(words)))
+                words = []
             at = m.end() if m else end
         pieces[i, t] = parts
     first = {}
@@ -60,7 +64,9 @@ def rows():
             parts.append(common)
         out.append((i, r.choice([" ", "\n"]).join(parts)))
     return out + [(200, None), (201, ""), (3, out[3][1]), (3, out[3][1]), (3, passages[0] + " same id"), (None, passages[1]), (None, passages[1]),
-                  (None, passages[2] + "!"), (202, passages[3] + "\n\n" + passages[3]), (203, (sentence(r) + " ") * 9000), (204, "...\n\n!?")]
+                  (None, passages[2] + "!"), (202, passages[3] + "\n\n" + passages[3]), (203, (sentence(r) + " ") * 9000), (204, "...\n\n!?"),
+                  (205, "\n" * 200_000 + "a b c"), (206, passages[4].replace(" ", "!! ")), (207, passages[4].replace(" ", "!! ")),
+                  (208, passages[5].replace(". ", ".*** "))]
 
 
 @pytest.mark.parametrize("cut,least,run", [(R.LINES, 3, 25), (R.LINES, 1, 1), (R.PARAGRAPHS, 1, 10)])

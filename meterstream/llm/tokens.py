@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import staged
 from .encode import encoder
 
 #: Lengths for each block of the two-level suffix sums.
@@ -51,9 +52,10 @@ def context_totals(histogram: DataFrame) -> DataFrame:
     Between two neighbouring lengths no document ends, so ``totals_at`` fills
     in any other limit from the same histogram.
     """
-    h = histogram.select("n_tokens", "documents",
-                         F.floor(F.col("n_tokens") / BLOCK).alias("block"),
-                         (F.col("n_tokens") * F.col("documents")).alias("tokens"))
+    # Read twice below: written once, so that documents are encoded once.
+    h = staged(histogram, "lengths").select(
+        "n_tokens", "documents", F.floor(F.col("n_tokens") / BLOCK).alias("block"),
+        (F.col("n_tokens") * F.col("documents")).alias("tokens"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding,
                                                         Window.unboundedFollowing)

@@ -193,7 +193,8 @@ KINDS = (
     ("day", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])"), day),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), ssn),
     ("card", re.compile(r"(?<![\d+])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5}|\d{13,19})(?!\d)"), card),
-    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    ("phone", re.compile(r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+                         r"|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)"
                          r"|(?<![\w.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\w-])"), phone),
 )
 ANY = re.compile(r"[0-9@]")
@@ -204,14 +205,20 @@ def replaced(text: str | None, p: Permutation) -> tuple[str | None, list[dict]]:
     if not text or not ANY.search(text):
         return None, []
     found: list[tuple[int, int, str, str]] = []
+    rest = text  # what has been found is blotted out, so that no later kind runs into it
     for kind, pattern, function in KINDS:
         if kind == "email" and "@" not in text:
             continue
-        for m in pattern.finditer(text):
-            group = 1 if kind == "secret" else 0
-            s, e = m.span(group)
-            if all(e <= a or s >= b for a, b, _, _ in found) and (new := function(m[group], p)) is not None:
-                found.append((s, e, kind, new))
+        group, before = 1 if kind == "secret" else 0, len(found)
+        for m in pattern.finditer(rest):
+            if (new := function(m[group], p)) is not None:
+                found.append((*m.span(group), kind, new))
+        if len(found) > before:
+            parts, at = [], 0
+            for s, e, _, _ in found[before:]:
+                parts += (rest[at:s], "\0" * (e - s))
+                at = e
+            rest = "".join([*parts, rest[at:]])
     if not found:
         return None, []
     out, at = [], 0

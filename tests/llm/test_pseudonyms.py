@@ -70,6 +70,16 @@ def test_secrets_and_invalid_values():
     assert [f["kind"] for f in P.replaced(f"{a} {b}", DO)[1]] == ["card"] * (luhn(a) + luhn(b))
 
 
+def test_neighbours_do_not_hide_or_change_a_value():
+    phone, ip = "+1 (826) 555-4081", "190.137.223.204"
+    alone = P.replaced(phone, DO)[0]
+    for text in (f"{phone} {ip}", f"{ip} {phone}", f"{phone} 25 or {phone}", f"a.b@c.org {phone} {phone}", f"\0{phone}\0"):
+        new, found = P.replaced(text, DO)
+        phones = [new[f["start"]:f["end"]] for f in found if f["kind"] == "phone"]
+        assert phones == [alone] * text.count(phone) and P.replaced(new, UNDO)[0] == text
+        assert [f["kind"] for f in found].count("ipv4") == text.count(ip)
+
+
 def test_many_values_stay_distinct():
     cards = [f"41111111{i:07}" for i in range(500)]
     cards = [c + str(P.check_digit([int(x) for x in c])) for c in cards]

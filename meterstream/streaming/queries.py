@@ -65,13 +65,14 @@ SHUFFLE_KEY = "spark.sql.shuffle.partitions"
 
 @contextmanager
 def state_partitions(spark, n: int | None = None):
-    """Run a stateful query with ``n`` state partitions when the session has not chosen a count.
+    """Run a stateful query with ``n`` state partitions, or where the session has not chosen a count.
 
     The count is fixed into the checkpoint by the first micro-batch, so this
     must span at least that batch (the callers wait for the query to end).
     Defaults to the cluster's parallelism rather than Spark's fixed 200.
     """
-    if spark.conf.get(SHUFFLE_KEY, None) is not None:
+    chosen = spark.conf.get(SHUFFLE_KEY, None)
+    if n is None and chosen is not None:
         yield
         return
     if n is None:
@@ -83,7 +84,10 @@ def state_partitions(spark, n: int | None = None):
     try:
         yield
     finally:
-        spark.conf.unset(SHUFFLE_KEY)
+        if chosen is None:
+            spark.conf.unset(SHUFFLE_KEY)
+        else:
+            spark.conf.set(SHUFFLE_KEY, chosen)
 
 
 def run_id(spark, checkpoint: str) -> str:

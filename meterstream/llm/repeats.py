@@ -4,8 +4,8 @@ A text is cut into units, at line ends and, as many texts have none, at the
 ends of sentences (or at blank lines for paragraphs).  Units are folded to
 lower-case letters and digits; equal digests are grouped over all documents
 and the occurrence in the document with the smallest id stays.  Consecutive
-repeated units form a passage; passages of enough words are removed, with
-their offsets in the text as it was.
+repeated units form a passage; every passage is removed, however short, with
+its words and its offsets in the text as it was.
 
 A digest that a third of all units share makes no large group: what is grouped
 is a count and the smallest id, summed up by each task first.
@@ -75,11 +75,12 @@ def _key(doc_id: str, text: str) -> tuple[Column, Column]:
     return F.coalesce(quoted(doc_id).cast("long"), F.lit(UNNAMED)), F.xxhash64(quoted(text))
 
 
-def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 25,
+def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 1,
                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, key, start, end, words, kept_doc_ids``: passages that came before, of documents by id and text hash.
 
     ``kept_doc_ids`` are the documents in which the units of a passage stay.
+    ``words`` is the length of a passage; with a ``least_run`` shorter ones are left out.
     """
     i, key = _key(doc_id, text)
     every = staged(docs.select(i.alias("id"), key.alias("key"), quoted(text).alias("text"))
@@ -115,7 +116,7 @@ def _without(text: Column, start: Column, end: Column) -> Column:
     return cut(text, start, end)
 
 
-def deduplicate(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 25, doc_id: str = "doc_id",
+def deduplicate(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 1, doc_id: str = "doc_id",
                 text: str = "text", changed_only: bool = False) -> DataFrame:
     """``docs`` with repeated passages cut out, and ``removed``: array of start, end, words, kept_doc_ids.
 

@@ -91,3 +91,10 @@ def test_against_all_units_in_order(spark, rows, cut, least, run):
 
 def test_empty_table(spark):
     assert R.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_repeats_go_too(spark):
+    rows = [(1, "Read more here.\nOne text of its own."), (2, "Quite another text.\nRead more here."), (3, "read MORE here!\nA third text stands here.\nRead more here.")]
+    got = {x.doc_id: x for x in R.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: x.text for i, x in got.items()} == {1: rows[0][1], 2: "Quite another text.\n", 3: "\nA third text stands here.\n"}
+    assert {i: [(s.words, s.kept_doc_ids) for s in x.removed] for i, x in got.items()} == {1: [], 2: [(3, [1])], 3: [(3, [1])] * 2}

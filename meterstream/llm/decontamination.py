@@ -8,12 +8,18 @@ of diagonals that overlap by ``k``, so that such a region lies whole in one
 band; bands that reach the bound are verified by an alignment confined to
 their diagonals.
 
+Items of fewer than ``q`` characters have no q-gram.  They are found where
+they stand as they are between word bounds; in scripts without blanks between
+words each character is bounded.
+
 The index of the items is sent to the tasks in blocks of bounded size; each
 block is held against all texts, so texts are never shuffled.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +34,9 @@ HITS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int,similarity
 BLOCK = 1 << 20
 BLANK, TABLE_BITS = 32, 20
 FOLD: list[np.ndarray] = []
+#: Scripts without blanks between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana and Han.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x31A0, 0x9FFF), (0xF900, 0xFAFF),
+            (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
 
 
 def _fold_table() -> np.ndarray:
@@ -54,6 +63,16 @@ def folded(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return a[at], at
 
 
+def word_bounds(a: np.ndarray) -> np.ndarray:
+    """Whether a word can begin or end before each character, and after the last."""
+    free = a == BLANK
+    for low, high in UNSPACED:
+        free |= (a >= low) & (a <= high)
+    out = np.ones(len(a) + 1, bool)
+    out[1:-1] = free[1:] | free[:-1]
+    return out
+
+
 def grams(a: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit number for each q-gram, put together from those of lengths 1, 2, 4, ..."""
     part, n, base = a.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
@@ -80,15 +99,21 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], q: int, error: float, least: int):
         self.q, self.ids, self.texts, budget, need = q, [], [], [], []
+        short: dict[int, dict[bytes, list[int]]] = {}  # length -> item -> ids
         for item, text in items:
             a, _ = folded(text)
-            if len(a) < max(least, q):
+            if len(a) < max(least, 1):
+                continue
+            if len(a) < q:
+                short.setdefault(len(a), {}).setdefault(a.tobytes(), []).append(item)
                 continue
             self.ids.append(item)
             self.texts.append(a)
             k = min(int(error * len(a)), (len(a) - q) // q)  # so that the bound is at least 1
             budget.append(k)
             need.append(len(a) - q + 1 - k * q)
+        self.short = [(n, of, np.unique(np.concatenate([grams(np.frombuffer(x, a.dtype), n) for x in of])))
+                      for n, of in sorted(short.items())]
         self.budget, self.need = np.array(budget, np.int64), np.array(need, np.int64)
         self.longest = max(map(len, self.texts), default=0)
         g = [grams(a, q) for a in self.texts]
@@ -163,6 +188,24 @@ class Index:
             yield i, b * w - self.longest, b * w - self.longest + 2 * w - 2
 
 
+def short_places(a: np.ndarray, index: Index):
+    """(item id, start, end) of the items of under ``q`` characters, between word bounds; places of an item don't overlap."""
+    if not index.short:
+        return
+    bound = word_bounds(a)
+    for n, ids, known in index.short:
+        free: dict[bytes, int] = {}
+        for s in range(0, len(a) - n + 1, BLOCK):
+            part = a[s:s + BLOCK + n - 1]
+            h = grams(part, n)
+            for p in np.flatnonzero(bound[s:s + len(h)] & bound[s + n:s + n + len(h)] & np.isin(h, known)) + s:
+                x = a[p:p + n].tobytes()
+                if x in ids and p >= free.get(x, 0):
+                    free[x] = p + n
+                    for i in ids[x]:
+                        yield i, int(p), int(p) + n
+
+
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
     """Fewest edits between the item and a region of the text that starts on a diagonal from ``low`` to ``high``.
 
@@ -210,13 +253,15 @@ def find(text: str | None, index: Index) -> list[dict]:
         for i, low, high in index.candidates(part):
             item, k = index.texts[i], int(index.budget[i])
             x = max(0, low - k)
-            if any(low + s <= start <= high + s for start in exact.get(i, ())):
+            there = exact.setdefault(i, [])
+            j = bisect_left(there, low + s)
+            if j < len(there) and there[j] <= high + s:
                 continue  # nothing is nearer than what is there
             region = part[x:high + 2 * k + len(item) + 1]
             same = region.tobytes().find(item.tobytes())
             if same >= 0 and same % 4 == 0:
                 hit = (0, same // 4, same // 4 + len(item))
-                exact.setdefault(i, []).append(hit[1] + x + s)
+                insort(there, hit[1] + x + s)
             else:
                 hit = align(item, region, low - x, high - x, k)
             if hit and hit[2] > hit[1]:
@@ -225,10 +270,14 @@ def find(text: str | None, index: Index) -> list[dict]:
                     found[i, start] = (edits, end)
     out, taken = [], {}
     for (i, start), (edits, end) in sorted(found.items(), key=lambda x: (x[0][0], x[1][0], x[0][1])):
-        if all(end <= s or start >= e for s, e in taken.get(i, ())):
-            taken.setdefault(i, []).append((start, end))
+        of = taken.setdefault(i, [])
+        j = bisect_left(of, (start, end))
+        if (j == 0 or of[j - 1][1] <= start) and (j == len(of) or of[j][0] >= end):
+            of.insert(j, (start, end))
             out.append({"item_id": index.ids[i], "start": int(at[start]), "end": int(at[end - 1]) + 1, "edits": edits,
                         "similarity": 1 - edits / len(index.texts[i])})
+    for i, start, end in short_places(a, index):
+        out.append({"item_id": i, "start": int(at[start]), "end": int(at[end - 1]) + 1, "edits": 0, "similarity": 1.0})
     return sorted(out, key=lambda x: (x["start"], x["item_id"]))
 
 
@@ -243,12 +292,14 @@ def _found(text: Column, index: Index, spark) -> Column:
 
 
 def benchmark_hits(text: Column, benchmark: DataFrame, item_id: str = "item_id", item: str = "text",
-                   q: int = 8, error: float = 0.1, least: int = 32, block_chars: int = 4_000_000) -> Column:
+                   q: int = 8, error: float = 0.1, least: int = 1, block_chars: int = 4_000_000) -> Column:
     """Array column of the benchmark items found in a text: item_id, start, end, edits, similarity.
 
     An item of ``m`` folded characters is found where a region of the text is
-    within ``error * m`` edits.  Items of fewer than ``least`` folded
-    characters say too little and are left out, as are null ids and texts.
+    within ``error * m`` edits (fewer where the q-gram bound would fall below
+    one); an item of fewer than ``q`` as it is, between word bounds.  Items of
+    fewer than ``least`` folded characters are left out, as are null ids and
+    texts, and items without letters and digits.
     The benchmark is taken in blocks of about ``block_chars`` characters
     (some 30 bytes of index each); places of an item don't overlap.
     """

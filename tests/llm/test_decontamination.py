@@ -137,3 +137,28 @@ def test_long_texts_are_taken_in_blocks(monkeypatch):
     assert len(want) == 30
     monkeypatch.setattr(D, "BLOCK", 700)
     assert D.find(text, index) == want
+
+
+def test_short_items_are_found(spark):
+    items = [(1, "What is a quine?"), (2, "E = mc2"), (3, "水の化学式は"), (4, "青空と海の色が同じ理由は何ですか。"), (5, "?!"), (6, "ox"), (7, "e=MC2")]
+    rows = [(1, "Say: what is a QUINE? Then"), (2, "so e = mc2 holds, e=mc2."), (3, "xe mc2 e mc23 e=mc"), (4, "では水の化学式は何か"),
+            (5, "問い「青空と海の色が同じ理由は何ですか」。"), (6, "box oxen fox"), (7, "ox"), (8, "An ox."), (9, ""), (10, None), (11, "ox ox " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.edits, rows[r.doc_id - 1][1][r.start:r.end]) for r in D.contaminated(docs, benchmark).collect()]
+    assert sorted(got) == sorted([(1, 1, 0, "what is a QUINE"), *[(2, i, 0, x) for i in (2, 7) for x in ("e = mc2", "e=mc2")], (4, 3, 0, items[2][1]),
+                                  (5, 4, 0, items[3][1][:-1]), (7, 6, 0, "ox"), (8, 6, 0, "ox"), *[(11, 6, 0, "ox")] * 6])
+    assert sorted(r.doc_id for r in D.decontaminate(docs, benchmark).collect()) == [3, 6, 9, 10]
+
+
+def test_short_items_in_long_texts(monkeypatch):
+    r = random.Random(3)
+    text = " ".join(r.choice(WORDS) for _ in range(400))
+    index = D.Index([(i, w) for i, w in enumerate(WORDS)] + [(99, "mu mu"), (100, "alpha beta gamma")], 8, 0.1, 1)
+    want = D.find(text, index)
+    words = text.split()
+    for i, w in enumerate(WORDS):
+        assert sum(x["item_id"] == i for x in want) == words.count(w)
+    assert all(text[x["start"]:x["end"]] == WORDS[x["item_id"]] for x in want if x["item_id"] < 99)
+    monkeypatch.setattr(D, "BLOCK", 50)
+    assert D.find(text, index) == want

@@ -32,9 +32,9 @@ def op3_quality_classifier(spark, sf_dir):
 
 
 def op4_substring_dedup(spark, sf_dir):
-    """The documents that lose a passage: what is left of the text, and what was removed where."""
+    """All documents: what is left of the text, and what was removed where."""
     from . import repeats
-    return repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), changed_only=True)
+    return repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op5_token_counts(spark, sf_dir):

@@ -41,3 +41,10 @@ def test_columns_and_rows(spark, name):
         assert got.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
     else:
         assert got.count() > 0
+
+
+def test_substring_dedup_returns_every_document(spark):
+    got = Q.QUERIES["op4_substring_dedup"](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert got.count() == docs.count()
+    assert got.filter("size(removed) = 0").select("doc_id", "text").exceptAll(docs.select("doc_id", "text")).count() == 0

@@ -126,37 +126,45 @@ def ssn(value: str, p: Permutation) -> str | None:
 
 
 def day(value: str, p: Permutation) -> str | None:
-    """Valid calendar days of 1900 to 2099; year first, month first, else day first."""
+    """Valid calendar days of 1900 to 2099: year first; with slashes and hyphens month first, else day first."""
     separator = re.search(r"\D", value)[0]
     parts = value.split(separator)
-    orders = ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 0, 1), (2, 1, 0)) if separator == "/" else ((2, 1, 0), (2, 0, 1))
-    for order in orders:
-        try:
-            old = date(*(int(parts[i]) for i in order))
-        except ValueError:
-            continue
-        if FIRST <= old <= LAST:
-            return _same_width(old, parts, order, separator, p)
+    orders = ((0, 1, 2),) if len(parts[0]) == 4 else ((2, 0, 1), (2, 1, 0)) if separator in "/-" else ((2, 1, 0), (2, 0, 1))
+    for n, order in enumerate(orders):
+        if (old := _read(parts, order)) is not None:
+            return _same_width(old, parts, order, orders[:n], separator, p)
     return None
 
 
-def _same_width(old: date, parts: list[str], order: tuple[int, ...], separator: str, p: Permutation) -> str:
-    """The permuted day; in a form without leading zeros a day whose parts have as many digits."""
+def _read(parts: list[str], order: tuple[int, ...]) -> date | None:
+    try:
+        d = date(*(int(parts[i]) for i in order))
+    except ValueError:
+        return None
+    return d if FIRST <= d <= LAST else None
+
+
+def _same_width(old: date, parts: list[str], order: tuple[int, ...], before: tuple, separator: str, p: Permutation) -> str:
+    """The permuted day, one that no order ``before`` reads as another; without leading zeros one whose parts have as many digits."""
     short = any(len(x) == 1 for x in parts)
     widths = [len(x) for x in parts]
 
+    def written(d: date) -> list[str]:
+        out = [""] * 3
+        for v, i in zip((d.year, d.month, d.day), order):
+            out[i] = f"{v:0{widths[i]}}"
+        return out
+
     def fits(d: date) -> bool:
-        return not short or all(len(str(v)) == widths[i] for v, i in zip((d.year, d.month, d.day), order))
+        return (not short or all(len(str(v)) == widths[i] for v, i in zip((d.year, d.month, d.day), order))) and all(
+            _read(written(d), o) is None for o in before)
 
     new = old
     while True:  # a walk on the cycle of a valid day returns to valid days
         new = FIRST + timedelta(p.walk("day", (new - FIRST).days, (LAST - FIRST).days + 1))
         if fits(new):
             break
-    out = [""] * 3
-    for v, i in zip((new.year, new.month, new.day), order):
-        out[i] = f"{v:0{widths[i]}}"
-    return separator.join(out)
+    return separator.join(written(new))
 
 
 def letters(value: str, p: Permutation, tag: str = "email") -> str:
@@ -190,12 +198,12 @@ KINDS = (
     ("email", re.compile(r"[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), email),
     ("secret", re.compile(r"(?i:token|secret|password|api[_-]?key)\s*[=:]\s*[\"']?([0-9A-Fa-f]{24,128})(?![0-9A-Za-z])"), secret),
     ("ipv4", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"), ipv4),
-    ("day", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])"), day),
+    ("day", re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d/-])"), day),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), ssn),
     ("card", re.compile(r"(?<![\d+])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5}|\d{13,19})(?!\d)"), card),
     ("phone", re.compile(r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
                          r"|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-                         r"|(?<![\w.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\w-])"), phone),
+                         r"|(?<![\w.+-])(?:\(?\d{3}\)[ .-]?|\(?\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"), phone),
 )
 ANY = re.compile(r"[0-9@]")
 

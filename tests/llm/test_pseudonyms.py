@@ -105,3 +105,27 @@ def test_documents(spark):
     back = P.pseudonymise(kept, KEY, inverse=True, found=None).collect()
     assert sorted(map(str, back)) == sorted(map(str, docs.collect()))
     assert P.pseudonymise(docs.limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("kind,value", [
+    ("day", "2024/05/01"), ("day", "2024.05.01"), ("day", "2024/5/1"), ("day", "01-05-2024"), ("day", "5-1-2024"), ("day", "12-31-1999"),
+    ("phone", "(555)123-4567"), ("phone", "(555)123.4567")])
+def test_other_usual_forms(kind, value):
+    text = f"Word {value} word, {value}."
+    new, found = P.replaced(text, DO)
+    assert [f["kind"] for f in found] == [kind] * 2
+    a, b = (new[f["start"]:f["end"]] for f in found)
+    assert a == b != value and re.sub(r"\d", "9", a) == re.sub(r"\d", "9", value)
+    assert VALID.get(kind, bool)(a) and P.replaced(new, UNDO)[0] == text
+
+
+def test_forms_that_are_no_days():
+    for v in ["2024/13/01", "2024.02.30", "2024-05/01", "31-31-2024", "1-2-3-2024", "2024/05/01/7"]:
+        assert P.replaced(f"a {v} b", DO) == (None, []), v
+
+
+@pytest.mark.parametrize("separator", "-/.")
+def test_days_of_both_orders_return(separator):
+    days = [separator.join((f"{a:02}", f"{b:02}", str(y))) for y in range(1995, 2000) for a in range(1, 29) for b in (5, 12, 20) if min(a, b) < 13]
+    new = [P.day(d, DO) for d in days]
+    assert len(set(new)) == len(days) and [P.day(x, UNDO) for x in new] == days

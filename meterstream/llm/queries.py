@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, quality_rules, warc
+from . import clustering, licenses, quality_rules, warc
 from .common import table
 
 
@@ -72,6 +72,10 @@ def op10_pii_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
 
 
+def op12_centroid_clustering(spark, sf_dir):
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed="3")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op12_centroid_clustering": op12_centroid_clustering,
     "pipeline": pipeline,
 }
 
@@ -95,4 +100,5 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle(),
     "op6_license_scan": licenses.oracle(),
     "op7_warc": warc.oracle(),
+    "op12_centroid_clustering": clustering.oracle(),
 }

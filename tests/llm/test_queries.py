@@ -13,14 +13,15 @@ COLUMNS = {
     "op7_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op8_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_simhash_near_dedup": "doc_id fingerprint component_id",
+    "op12_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert set(Q.QUERIES) <= names and len(Q.QUERIES) == 11
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert set(Q.QUERIES) <= names and len(Q.QUERIES) == 14
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert set(Q.ORACLE) <= set(entry.oracle_sql())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, licenses, quality_rules, warc
+from . import clustering, licenses, quality_rules, substrings, warc
 from .common import table
 
 
@@ -76,6 +76,10 @@ def op12_centroid_clustering(spark, sf_dir):
     return clustering.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed="3")
 
 
+def op13_suffix_array_dedup(spark, sf_dir):
+    return substrings.summary(table(spark, sf_dir, "documents"), length=200)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
     "pipeline": pipeline,
 }
 
@@ -101,4 +106,5 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": licenses.oracle(),
     "op7_warc": warc.oracle(),
     "op12_centroid_clustering": clustering.oracle(),
+    "op13_suffix_array_dedup": substrings.oracle(),
 }

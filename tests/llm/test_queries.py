@@ -14,6 +14,7 @@ COLUMNS = {
     "op8_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_simhash_near_dedup": "doc_id fingerprint component_id",
     "op12_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13_suffix_array_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
@@ -36,7 +37,7 @@ def test_query_equals_sql(spark, duck, name):
 def test_columns_and_rows(spark, name):
     got = Q.QUERIES[name](spark, SF)
     assert set(COLUMNS.get(name, "").split()) <= set(got.columns)
-    if name.startswith(("op1_", "op3_", "op6_", "op9_", "op10_")):
+    if name.startswith(("op1_", "op3_", "op6_", "op9_", "op10_", "op13_")):
         assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     elif name.startswith("op7_"):
         assert got.count() == spark.read.parquet(f"{SF}/pages.parquet").count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, licenses, quality_rules, substrings, warc
+from . import clustering, licenses, prefix_trie, quality_rules, substrings, warc
 from .common import table
 
 
@@ -72,6 +72,10 @@ def op10_pii_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
 
 
+def op11_conversation_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), group=5, most=9)
+
+
 def op12_centroid_clustering(spark, sf_dir):
     return clustering.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed="3")
 
@@ -96,6 +100,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_suffix_array_dedup": op13_suffix_array_dedup,
     "pipeline": pipeline,
@@ -105,6 +110,7 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle(),
     "op6_license_scan": licenses.oracle(),
     "op7_warc": warc.oracle(),
+    "op11_conversation_trie": prefix_trie.oracle(),
     "op12_centroid_clustering": clustering.oracle(),
     "op13_suffix_array_dedup": substrings.oracle(),
 }

@@ -13,6 +13,7 @@ COLUMNS = {
     "op7_warc": "page_id payload_bytes payload_digest record_type refers_to",
     "op8_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_simhash_near_dedup": "doc_id fingerprint component_id",
+    "op11_conversation_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op12_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
     "op13_suffix_array_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",

@@ -23,3 +23,22 @@ def test_ids_are_those_of_tokenizers(encoders, spark):
         for e in encoders:
             assert e.ids(text) == want, text
             assert e.packed(text) == struct.pack(f"<{len(want)}I", *want)
+
+
+LONG = [c * 2_000_000 for c in (" ", "\n", "\t", "a", "\u00a0")] + [" \n\t\r" * 300_000, "ab " * 400_000, "a  \n" * 300_000]
+
+
+@pytest.mark.parametrize("run", LONG, ids=lambda t: ascii(t[:4]))
+def test_long_runs(encoders, run):
+    """White space of any length, which a pattern that looks ahead can't take at once."""
+    fast, slow = encoders
+    for text in (run, f"word{run}word"):
+        assert fast.ids(text) == slow.ids(text)
+
+
+@pytest.mark.parametrize("n", [4999, 5000, 5001, 10_000])
+def test_runs_around_the_limit(encoders, n):
+    fast, slow = encoders
+    for c in " \n\u3000\x1c":
+        for text in (c * n, c * n + "x", f"x{c * n}", f"a{c * n}b{c * (n - 1)} <|endoftext|>{c * n}"):
+            assert fast.ids(text) == slow.ids(text)

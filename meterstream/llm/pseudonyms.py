@@ -179,10 +179,36 @@ def letters(value: str, p: Permutation, tag: str = "email") -> str:
     return "".join(out)
 
 
+#: Characters permuted together at most: a number of so many digits is soon handled.
+TOGETHER = 64
+
+
 def email(value: str, p: Permutation) -> str | None:
-    """The part before the sign is permuted (the domain is its tag)."""
+    """The part before the sign is permuted (the domain is its tag), a long one in pieces."""
     local, domain = value.rsplit("@", 1)
-    return letters(local, p, f"email@{domain.lower()}") + "@" + domain
+    tag = domain.lower() if len(domain) < 256 else blake2b(domain.lower().encode()).hexdigest()
+    pieces = [local[i:i + TOGETHER] for i in range(0, len(local), TOGETHER)]
+    return "".join(letters(x, p, f"email{n or ''}@{tag}") for n, x in enumerate(pieces)) + "@" + domain
+
+
+OUTSIDE, DOMAIN = re.compile(r"[^\w.%+-]"), re.compile(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+
+
+def addresses(text: str):
+    """(start, end) of the e-mail addresses: from each sign back to what can't be in one, and on over a domain.
+
+    Every character is looked at once or twice, however long the runs are.
+    """
+    free = 0  # what stands before belongs to the sign or address before
+    at = text.find("@")
+    while at >= 0:
+        before = text[free:at]
+        start = at - len(OUTSIDE.split(before)[-1])
+        domain = DOMAIN.match(text, at) if start < at else None
+        free = domain.end() if domain else at + 1
+        if domain:
+            yield start, free
+        at = text.find("@", free)
 
 
 def secret(value: str, p: Permutation) -> str | None:
@@ -193,9 +219,9 @@ def secret(value: str, p: Permutation) -> str | None:
     return "".join(digits[d] for d in _mixed(p, "secret", [int(c, 16) for c in value], [16] * len(value)))
 
 
-#: Kinds in order of priority: name, pattern, function.
+#: Kinds in order of priority: name, pattern (or what yields places), function.
 KINDS = (
-    ("email", re.compile(r"[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), email),
+    ("email", addresses, email),
     ("secret", re.compile(r"(?i:token|secret|password|api[_-]?key)\s*[=:]\s*[\"']?([0-9A-Fa-f]{24,128})(?![0-9A-Za-z])"), secret),
     ("ipv4", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"), ipv4),
     ("day", re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d/-])"), day),
@@ -218,9 +244,10 @@ def replaced(text: str | None, p: Permutation) -> tuple[str | None, list[dict]]:
         if kind == "email" and "@" not in text:
             continue
         group, before = 1 if kind == "secret" else 0, len(found)
-        for m in pattern.finditer(rest):
-            if (new := function(m[group], p)) is not None:
-                found.append((*m.span(group), kind, new))
+        places = pattern(rest) if callable(pattern) else (m.span(group) for m in pattern.finditer(rest))
+        for s, e in places:
+            if (new := function(rest[s:e], p)) is not None:
+                found.append((s, e, kind, new))
         if len(found) > before:
             parts, at = [], 0
             for s, e, _, _ in found[before:]:

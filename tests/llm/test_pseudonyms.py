@@ -1,7 +1,10 @@
 import re
+import time
 from datetime import date
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from meterstream.llm import pseudonyms as P
 
@@ -129,3 +132,34 @@ def test_days_of_both_orders_return(separator):
     days = [separator.join((f"{a:02}", f"{b:02}", str(y))) for y in range(1995, 2000) for a in range(1, 29) for b in (5, 12, 20) if min(a, b) < 13]
     new = [P.day(d, DO) for d in days]
     assert len(set(new)) == len(days) and [P.day(x, UNDO) for x in new] == days
+
+
+OLD_ADDRESS = re.compile(r"[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("ab.@-_% 1c", max_size=30))
+def test_addresses_are_those_of_the_pattern(text):
+    assert list(P.addresses(text)) == [m.span() for m in OLD_ADDRESS.finditer(text)]
+
+
+@pytest.mark.parametrize("text", [
+    "x" * 10**6 + " @", "x" * 10**6 + "@", "@" + "x" * 10**6, "x@" + "a." * 500_000 + "1", "x@" * 500_000, "@" * 10**6, "1" * 10**6 + "@",
+    "1." * 500_000, "1-" * 500_000, "token" + " " * 10**6 + "@", "token= " * 150_000 + "@", "token=" + "a" * 10**6 + "@", "+1" * 500_000,
+    "(1" * 500_000, "1234 " * 200_000, "2020-1-" * 150_000], ids=lambda t: t[:6])
+def test_long_runs_take_linear_time(text):
+    p = P.Permutation(b"0123456789abcdef")
+    began = time.process_time()
+    P.replaced(text[:len(text) // 8], p)
+    eighth = time.process_time() - began
+    began = time.process_time()
+    P.replaced(text, p)
+    assert time.process_time() - began < 5 + 20 * eighth  # quadratic would be minutes
+
+
+def test_very_long_addresses_turn_back():
+    there, back = (P.Permutation(b"0123456789abcdef", inverse=i) for i in (False, True))
+    for value in ("ab" * 5000 + "@x.com", "q" * 64 + "@x.com", "q" * 65 + "@" + "d." * 60_000 + "com"):
+        new, found = P.replaced(f"to {value} now", there)
+        assert len(new) == len(value) + 7 and new != f"to {value} now" and len(found) == 1
+        assert P.replaced(new, back)[0] == f"to {value} now"

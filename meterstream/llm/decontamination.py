@@ -8,12 +8,12 @@ of diagonals that overlap by ``k``, so that such a region lies whole in one
 band; bands that reach the bound are verified by an alignment confined to
 their diagonals.
 
-Items of fewer than ``q`` characters have no q-gram.  They are found where
-they stand as they are between word bounds; in scripts without blanks between
-words each character is bounded.
+Regions begin and end at word bounds, so that no item is found inside a word;
+in scripts without blanks between words each character is bounded.  Items of
+fewer than ``q`` characters have no q-gram and are found as they are.
 
-The index of the items is sent to the tasks in blocks of bounded size; each
-block is held against all texts, so texts are never shuffled.
+The index of the items is sent to the tasks in blocks of bounded size, one
+after another; each is held against all texts, so texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import quoted, staged
 
 HIT = pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()),
                  ("similarity", pa.float64())])
@@ -188,11 +188,10 @@ class Index:
             yield i, b * w - self.longest, b * w - self.longest + 2 * w - 2
 
 
-def short_places(a: np.ndarray, index: Index):
+def short_places(a: np.ndarray, index: Index, bound: np.ndarray):
     """(item id, start, end) of the items of under ``q`` characters, between word bounds; places of an item don't overlap."""
     if not index.short:
         return
-    bound = word_bounds(a)
     for n, ids, known in index.short:
         free: dict[bytes, int] = {}
         for s in range(0, len(a) - n + 1, BLOCK):
@@ -206,16 +205,20 @@ def short_places(a: np.ndarray, index: Index):
                         yield i, int(p), int(p) + n
 
 
-def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
+def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int,
+          bound: np.ndarray | None = None) -> tuple[int, int, int] | None:
     """Fewest edits between the item and a region of the text that starts on a diagonal from ``low`` to ``high``.
 
-    (edits, start, end), or None beyond the budget.  The alignment keeps to the
+    (edits, start, end), or None beyond the budget.  The region begins and ends
+    where ``bound`` (for each place of the text and its end) lets it.  The alignment keeps to the
     diagonals ``low - budget`` to ``high + budget``, which none within the
     budget can leave.
     """
     lo, n = low - budget, high - low + 2 * budget + 1
     far, j = 1 << 20, np.arange(n)
     start = np.where((lo + j >= 0) & (lo + j <= len(text)), lo + j, -1)
+    if bound is not None:
+        start[start >= 0] = np.where(bound[start[start >= 0]], start[start >= 0], -1)
     cost = np.where(start >= 0, 0, far)
     for i, c in enumerate(item):
         here = lo + i + j  # text character that column j compares in this row
@@ -236,7 +239,13 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int)
         start[outside] = begun[outside]
         if cost.min() > budget:
             return None
+    end = lo + len(item) + j
+    cost[(end < 0) | (end > len(text))] = far
+    if bound is not None:
+        cost[~bound[np.clip(end, 0, len(text))]] = far
     best = int(cost.argmin())
+    if cost[best] > budget:
+        return None
     return int(cost[best]), int(start[best]), int(lo + len(item) + best)
 
 
@@ -245,7 +254,7 @@ def find(text: str | None, index: Index) -> list[dict]:
     a, at = folded(text)
     found: dict[tuple[int, int], tuple[int, int]] = {}
     exact: dict[int, list[int]] = {}
-    overlap = 3 * index.longest + index.q
+    overlap, bound = 3 * index.longest + index.q, word_bounds(a)
     for s in range(0, max(1, len(a) - overlap), BLOCK):
         part = a[s:s + BLOCK + overlap]
         if len(part) < index.q:
@@ -258,12 +267,13 @@ def find(text: str | None, index: Index) -> list[dict]:
             if j < len(there) and there[j] <= high + s:
                 continue  # nothing is nearer than what is there
             region = part[x:high + 2 * k + len(item) + 1]
+            ends = bound[x + s:x + s + len(region) + 1]
             same = region.tobytes().find(item.tobytes())
-            if same >= 0 and same % 4 == 0:
+            if same >= 0 and same % 4 == 0 and ends[same // 4] and ends[same // 4 + len(item)]:
                 hit = (0, same // 4, same // 4 + len(item))
                 insort(there, hit[1] + x + s)
             else:
-                hit = align(item, region, low - x, high - x, k)
+                hit = align(item, region, low - x, high - x, k, ends)
             if hit and hit[2] > hit[1]:
                 edits, start, end = hit[0], hit[1] + x + s, hit[2] + x + s
                 if edits < found.get((i, start), (k + 1, 0))[0]:
@@ -276,14 +286,12 @@ def find(text: str | None, index: Index) -> list[dict]:
             of.insert(j, (start, end))
             out.append({"item_id": index.ids[i], "start": int(at[start]), "end": int(at[end - 1]) + 1, "edits": edits,
                         "similarity": 1 - edits / len(index.texts[i])})
-    for i, start, end in short_places(a, index):
+    for i, start, end in short_places(a, index, bound):
         out.append({"item_id": i, "start": int(at[start]), "end": int(at[end - 1]) + 1, "edits": 0, "similarity": 1.0})
     return sorted(out, key=lambda x: (x["start"], x["item_id"]))
 
 
-def _found(text: Column, index: Index, spark) -> Column:
-    sent = spark.sparkContext.broadcast(index)
-
+def _found(text: Column, sent) -> Column:
     @F.arrow_udf(HITS)
     def hits(texts: pa.Array) -> pa.Array:
         return pa.array([find(t, sent.value) for t in texts.to_pylist()], pa.list_(HIT))
@@ -291,40 +299,69 @@ def _found(text: Column, index: Index, spark) -> Column:
     return hits(text)
 
 
-def benchmark_hits(text: Column, benchmark: DataFrame, item_id: str = "item_id", item: str = "text",
-                   q: int = 8, error: float = 0.1, least: int = 1, block_chars: int = 4_000_000) -> Column:
-    """Array column of the benchmark items found in a text: item_id, start, end, edits, similarity.
-
-    An item of ``m`` folded characters is found where a region of the text is
-    within ``error * m`` edits (fewer where the q-gram bound would fall below
-    one); an item of fewer than ``q`` as it is, between word bounds.  Items of
-    fewer than ``least`` folded characters are left out, as are null ids and
-    texts, and items without letters and digits.
-    The benchmark is taken in blocks of about ``block_chars`` characters
-    (some 30 bytes of index each); places of an item don't overlap.
-    """
-    spark = benchmark.sparkSession
-    items = benchmark.select(quoted(item_id).cast("long").alias("i"), quoted(item).alias("t")).dropna()
+def _indexes(benchmark: DataFrame, item_id: str, item: str, q: int, error: float, least: int, block_chars: int):
+    """(number of blocks, index of a block) one block after another."""
+    items = benchmark.select(quoted(item_id).try_cast("long").alias("i"), quoted(item).alias("t")).dropna()
     chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
-    blocks, found = 1 + chars // block_chars, []
+    blocks = 1 + chars // block_chars
     for b in range(blocks):
         of = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).orderBy("i", "t").collect()
-        found.append(_found(text, Index([(r.i, r.t) for r in of], q, error, least), spark))
-    return F.concat(*found) if blocks > 1 else found[0]
+        yield blocks, Index([(r.i, r.t) for r in of], q, error, least)
+
+
+def _each_block(benchmark: DataFrame, rows, **how) -> DataFrame:
+    """Union of ``rows(sent index)``.  Of several blocks one at a time is sent, and taken back when its rows are written."""
+    context, parts = benchmark.sparkSession.sparkContext, []
+    for blocks, index in _indexes(benchmark, **how):
+        sent = context.broadcast(index)
+        if blocks == 1:
+            return rows(sent)
+        parts.append(staged(rows(sent), "hits"))
+        sent.destroy()
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                 item: str = "text", q: int = 8, error: float = 0.1, least: int = 1, block_chars: int = 4_000_000) -> DataFrame:
     """``doc_id, item_id, start, end, edits, similarity``: a row for each place of an item in a document.
 
-    Null and empty texts hold nothing.  Repeated rows are each reported; empty
-    tables give no rows; other columns aren't read.
+    An item of ``m`` folded characters is found where a region of the text that
+    begins and ends at word bounds is within ``error * m`` edits (fewer where
+    the q-gram bound would fall below one); an item of fewer than ``q`` as it
+    is.  Items of fewer than ``least`` folded characters are left out, as are
+    null texts, items without letters and digits, and items whose id is null or
+    no whole number.
+
+    The benchmark is taken in blocks of about ``block_chars`` characters (some
+    30 bytes of index each), one after another; places of an item don't
+    overlap.  Null and empty texts hold nothing.  Repeated rows are each
+    reported; empty tables give no rows; other columns aren't read.
     """
-    return (docs.select(quoted(doc_id).alias("doc_id"), benchmark_hits(quoted(text), benchmark, **how).alias("hits"))
-            .select("doc_id", F.inline("hits")))
+    def rows(sent) -> DataFrame:
+        return docs.select(quoted(doc_id).alias("doc_id"), _found(quoted(text), sent).alias("hits")).select("doc_id", F.inline("hits"))
 
+    return _each_block(benchmark, rows, item_id=item_id, item=item, q=q, error=error, least=least, block_chars=block_chars)
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns as they are."""
-    row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
-    return (docs.select(row, benchmark_hits(quoted(text), benchmark, **how).alias("hits"))
-            .filter(F.size("hits") == 0).select("row.*"))
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item: str = "text",
+                  q: int = 8, error: float = 0.1, least: int = 1, block_chars: int = 4_000_000) -> DataFrame:
+    """The documents that hold no benchmark item (as ``contaminated`` finds them), with all their columns as they are.
+
+    With one block documents are filtered as they are read; with several, the
+    digests of the texts that hold an item are written block by block.
+    """
+    t = F.coalesce(quoted(text), F.lit(""))
+    key = [F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit(1)).alias("k2")]
+    row, one = F.struct(*[quoted(c) for c in docs.columns]).alias("row"), []
+
+    def rows(sent) -> DataFrame:
+        one.append(docs.select(row, _found(quoted(text), sent).alias("hits")).filter(F.size("hits") == 0).select("row.*"))
+        return docs.select(*key, _found(quoted(text), sent).alias("hits")).filter(F.size("hits") > 0).select("k1", "k2")
+
+    found = _each_block(benchmark, rows, item_id=item_id, item=item, q=q, error=error, least=least, block_chars=block_chars)
+    if len(one) == 1:
+        return one[0]
+    return docs.select(row, *key).join(found.distinct(), ["k1", "k2"], "left_anti").select("row.*")

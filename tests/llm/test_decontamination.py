@@ -21,6 +21,18 @@ def plain_best(item, text):
     return min(row)
 
 
+def plain_bounded(item, text):
+    """Fewest edits of the item against any region that begins and ends at word bounds."""
+    far, bound = 10 ** 6, D.word_bounds(codes(text))
+    row = [0 if b else far for b in bound]
+    for i, c in enumerate(item, 1):
+        new = [row[0] + 1]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != t), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(v for v, b in zip(row, bound) if b)
+
+
 def edited(r, s, n):
     for _ in range(n):
         i = r.randrange(len(s))
@@ -115,7 +127,7 @@ def test_against_every_pair(case, block_chars):
                 continue
             x = fold(x)
             k = min(len(x) // 10, (len(x) - 8) // 8)
-            assert (plain_best(x, f) <= k) == ((i, item_id) in pairs), (i, item_id)
+            assert (plain_bounded(x, f) <= k) == ((i, item_id) in pairs), (i, item_id)
     assert (202, 4) in pairs and sum(r.doc_id == 7 for r in got) % 2 == 0
     kept = D.decontaminate(docs, benchmark, block_chars=block_chars)
     assert kept.columns == docs.columns
@@ -151,6 +163,57 @@ def test_short_items_are_found(spark):
     assert sorted(r.doc_id for r in D.decontaminate(docs, benchmark).collect()) == [3, 6, 9, 10]
 
 
+def test_items_of_every_length_between_and_inside_words(spark):
+    """5 to 40 characters: between words found, inside words not, unless the rest of the words fits into the budget."""
+    r = random.Random(11)
+    items, rows = [], []
+    for n in range(5, 41):
+        words = "".join(r.choice("abcdefgh") for _ in range(n))
+        words = words[:n // 2] + " " + words[n // 2 + 1:] if n > 6 else words
+        items.append((n, words))
+        rows += [(10 * n, f"qqqq {words} zzzz"), (10 * n + 1, f"qqqqqqqq{words}zzzzzzzz"), (10 * n + 2, f"qqqqqqqq{words} zzzzzzzz"),
+                 (10 * n + 3, f"qqqqqqqq {words}zzzzzzzz"), (10 * n + 4, f"{words}"), (10 * n + 5, f"qqqq {words}s zz")]
+    docs, benchmark = (spark.createDataFrame(x, f"{i} long, text string") for x, i in ((rows, "doc_id"), (items, "item_id")))
+    got = {(x.doc_id, x.item_id) for x in D.contaminated(docs, benchmark).collect()}
+    text = dict(rows)
+    for n, item in items:
+        k = min(n // 10, (n - 8) // 8) if n >= 8 else 0
+        for i in range(10 * n, 10 * n + 6):
+            assert ((i, n) in got) == (plain_bounded(item, text[i]) <= k), (item, text[i])
+        assert (10 * n, n) in got and (10 * n + 4, n) in got and (10 * n + 1, n) not in got
+
+
+def test_one_block_of_the_index_at_a_time(spark, monkeypatch):
+    r = random.Random(12)
+    items = [(i, prose(r, 12)) for i in range(60)]
+    docs = spark.createDataFrame([(i, prose(r, 9) + " " + x + " " + prose(r, 9)) for i, x in items], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    live, most, send = set(), [], type(spark.sparkContext).broadcast
+
+    def counted(self, value):
+        sent = send(self, value)
+        if isinstance(value, D.Index):
+            live.add(id(sent))
+            most.append((len(live), len(value.texts)))
+            gone = sent.destroy
+            sent.destroy = lambda: (live.discard(id(sent)), gone())
+        return sent
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    for f in (D.contaminated, D.decontaminate):
+        most.clear()
+        out = f(docs, benchmark, block_chars=600)
+        assert len(most) > 5 and max(n for n, _ in most) == 1 and max(n for _, n in most) < 30 and not live
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == (60 if f is D.contaminated else 0)
+
+
+def test_items_with_ids_that_are_no_numbers(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", "one two three"), ("7", "two three")], "item_id string, text string")
+    assert [r.item_id for r in D.contaminated(docs, benchmark).collect()] == [7]
+
+
 def test_short_items_in_long_texts(monkeypatch):
     r = random.Random(3)
     text = " ".join(r.choice(WORDS) for _ in range(400))

@@ -53,6 +53,10 @@ def _jdbc(args) -> dict[str, str]:
 
 def _source(args):
     from .streaming.sources import SourceConfig
+    if args.archive:
+        return SourceConfig(kind="archive", path=args.archive, starting_offsets=args.starting_offsets,
+                            starting_time=args.starting_time, fail_on_data_loss=not args.tolerate_data_loss,
+                            max_offsets_per_trigger=args.max_offsets, level_in_time=args.level_in_time)
     if args.replay:
         return SourceConfig(kind="files", path=args.replay, max_files_per_trigger=args.max_files)
     return SourceConfig(kind="kafka", bootstrap_servers=args.bootstrap, topic=args.topic,
@@ -64,8 +68,9 @@ def _source(args):
 def _settings(args, spark, name):
     from .streaming.queries import QuerySettings
     root = (args.checkpoints or f"{shared_dir(spark)}/meterstream-checkpoints").rstrip("/")
+    # Spark takes all that is there as one batch of an archive under availableNow, so a drained archive stops by itself.
     return QuerySettings(name=name, checkpoint=f"{root}/{name}", trigger=args.trigger,
-                         available_now=args.available_now)
+                         available_now=args.available_now and not args.archive, drain=bool(args.available_now and args.archive))
 
 
 def cmd_train(args) -> None:
@@ -83,7 +88,7 @@ def cmd_train(args) -> None:
 
 
 def _run_streams(args, detector_name: str) -> None:
-    from .streaming.progress import ProgressLog, await_all
+    from .streaming.progress import ProgressLog, await_all, drain
     from .streaming.queries import aggregate_query, model_detector, rule_detector, scoring_query, state_partitions
     from .streaming.sources import envelope_stream
     from .operators import windows
@@ -113,7 +118,7 @@ def _run_streams(args, detector_name: str) -> None:
             running.append(scoring_query(
                 env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies"),
                 reject_sinks=[ParquetSink(f"{args.results.rstrip('/')}/rejects")]))
-            await_all(running)
+            (drain if args.available_now and args.archive else await_all)(running)
         except KeyboardInterrupt:
             pass  # await_all has stopped them
         finally:
@@ -124,10 +129,15 @@ def _run_streams(args, detector_name: str) -> None:
 def cmd_stage_replay(args) -> None:
     from .operators import parse
     from .sources.tables import readings_from_events, with_status
+    from .streaming.archive import write_archive
     from .streaming.replay import stage_replay
     spark = build_session(app="meterstream-stage")
     env = parse.to_envelope(with_status(readings_from_events(spark.read.parquet(args.events))))
-    stage_replay(env, args.out, "timestamp" if args.ordered else None, args.ranges, args.records_per_file)
+    if args.ordered:
+        write_archive(env, args.out, order=("timestamp",), segment=args.records_per_file)
+        print(f"archived: use --archive {args.out}")
+        return
+    stage_replay(env, args.out, args.records_per_file)
     print(f"staged: use --replay {args.out} --max-files N for N files of at most {args.records_per_file} records a batch")
 
 
@@ -199,6 +209,9 @@ def main(argv=None) -> int:
         s.add_argument("--min-partitions", type=int, default=None)
         s.add_argument("--replay", default=None, help="read topic records from parquet files instead")
         s.add_argument("--max-files", type=int, default=1)
+        s.add_argument("--archive", default=None, help="read archived topic records (stage-replay --ordered) instead")
+        s.add_argument("--starting-time", default=None, help="ISO time from which an archive is read")
+        s.add_argument("--level-in-time", action="store_true", help="an archive's micro-batches end at one time in all topic partitions")
         s.add_argument("--models", default=None)
         s.add_argument("--results", required=True)
         s.add_argument("--checkpoints", default=None)
@@ -223,8 +236,7 @@ def main(argv=None) -> int:
     st.add_argument("--events", required=True)
     st.add_argument("--out", required=True)
     st.add_argument("--records-per-file", type=int, default=100_000)
-    st.add_argument("--ordered", action="store_true", help="in time order, one range of time after another")
-    st.add_argument("--ranges", type=int, default=6)
+    st.add_argument("--ordered", action="store_true", help="as an archive in time order, with offsets given out anew")
     st.set_defaults(fn=cmd_stage_replay)
 
     ig = sub.add_parser("ingest", help="parse an events table into a date-partitioned readings table")
@@ -255,8 +267,8 @@ def main(argv=None) -> int:
     args = p.parse_args(argv)
     if args.cmd == "monitor" and not args.models:
         p.error("monitor needs --models")
-    if args.cmd in ("monitor", "rules") and not (args.topic or args.replay):
-        p.error(f"{args.cmd} needs --topic or --replay")
+    if args.cmd in ("monitor", "rules") and not (args.topic or args.replay or args.archive):
+        p.error(f"{args.cmd} needs --topic, --replay or --archive")
     if args.cmd == "report" and not (args.results or args.jdbc_url):
         p.error("report needs --results or --jdbc-url")
     args.fn(args)

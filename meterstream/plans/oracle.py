@@ -190,6 +190,19 @@ ORACLE.update({
     "stream_window_agg": HOURLY,
     "stream_window_agg_append": _window_1h_closed("2 hours"),
     "stream_rule_anomalies": RULE_STORED,
+    "archive_from_time": f"""SELECT * EXCLUDE ("offset") FROM ({RULE_STORED}) WHERE "timestamp" >= TIMESTAMP '2024-01-05 18:00:00'""",
+    "archive_gap": with_ctes(READINGS, """segments AS (
+  SELECT *, max("timestamp") OVER (PARTITION BY topic_partition, segment) AS newest FROM (
+    SELECT *, reading_id % 3 AS topic_partition, (row_number() OVER (PARTITION BY reading_id % 3 ORDER BY "timestamp", reading_id) - 1)
+           // (1 + (SELECT count(*) FROM readings) // 60) AS segment FROM readings))""", """left_over AS (
+  SELECT * FROM segments WHERE newest >= TIMESTAMP '2024-01-08 00:00:00' AND (electricity > 180 OR water > 350))""",
+                             """lost AS (SELECT count(*) > 0 AS gone FROM segments WHERE newest < TIMESTAMP '2024-01-08 00:00:00')""") + f"""
+SELECT 'fail' AS policy, (SELECT gone FROM lost) AS failed, count(*) FILTER (WHERE NOT (SELECT gone FROM lost)) AS anomalies,
+       {r6("coalesce(sum(electricity) FILTER (WHERE NOT (SELECT gone FROM lost)), 0.0)")} AS electricity FROM left_over
+UNION ALL SELECT 'skip', false, count(*), {r6("coalesce(sum(electricity), 0.0)")} FROM left_over""",
+    "stream_open_windows": f"""SELECT *, window_end > (SELECT max(ts) FROM events) - INTERVAL '2 hours' AS open FROM ({HOURLY})""",
+    "stream_late_rows": f"SELECT * EXCLUDE (window_end) FROM ({window_sql('1 hour', 'count(*) AS readings')})",
+    "stored_compacted": f"SELECT * FROM ({HOURLY}), (VALUES ('before'), ('during'), ('after'), ('vacuumed')) AS s(stage)",
     "stream_model_anomalies": STORED_ANOMALIES,
     "stream_restart": f"""SELECT 'first' AS sink, * FROM ({STORED_ANOMALIES}) UNION ALL
                           SELECT 'second' AS sink, * FROM ({STORED_ANOMALIES})""",

@@ -8,6 +8,10 @@ are deleted when the query has ended, what the result reads at exit.
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
@@ -17,11 +21,14 @@ from ..model import FROZEN
 from ..operators import enrich, parse, reports, windows
 from ..schema import result_schema
 from ..session import delete_path, scratch_path
+from ..sinks import compaction
 from ..sinks import DocumentSink, ParquetSink, RelationalSink, aggregate_row, anomaly_row
 from ..sinks.adapters import AGG_TIME_COLS, LAYOUT
 from ..sources.results import read_results
 from ..sources.tables import readings, with_status
-from ..streaming.progress import ProgressLog, await_all
+from ..streaming.archive import expire, write_archive
+from ..streaming.checkpoint import LateRows, open_windows
+from ..streaming.progress import ProgressLog, await_all, drain
 from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
                                  scoring_query, state_partitions)
 from ..streaming.replay import RECORDS_PER_FILE, stage_replay
@@ -30,16 +37,30 @@ from .compare import r6
 from .oracle import TREND_HI, TREND_LO
 
 
-def replay_source(spark: SparkSession, sf_dir: str, ordered: bool = False, records: int = RECORDS_PER_FILE) -> SourceConfig:
-    """Readings staged as topic records, in time order where the run needs it."""
+def replay_source(spark: SparkSession, sf_dir: str, records: int = RECORDS_PER_FILE) -> SourceConfig:
+    """Readings staged as topic records, in no particular order."""
     path = scratch_path(spark, "replay")
-    stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, "timestamp" if ordered else None,
-                 records_per_file=records)
+    stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, records_per_file=records)
     return SourceConfig(kind="files", path=path, max_files_per_trigger=1)
 
 
-def _settings(spark, name: str) -> QuerySettings:
-    return QuerySettings(name=name, checkpoint=scratch_path(spark, f"ckpt-{name}"), available_now=True)
+#: Topic partitions of the archives made here, and their segments in all.
+ARCHIVE_PARTITIONS, ARCHIVE_SEGMENTS = 3, 60
+
+
+def archive_source(spark: SparkSession, sf_dir: str, order: str = "timestamp", **how) -> SourceConfig:
+    """Readings archived as topic records in time order, whatever order they come in, or in that of arrival; topic partition by reading."""
+    path = scratch_path(spark, "archive")
+    records = parse.to_envelope(with_status(readings(spark, sf_dir))).withColumn(
+        "partition", F.pmod("offset", F.lit(ARCHIVE_PARTITIONS)).cast("int")).withColumn("arrival", F.xxhash64("offset"))
+    # As they might arrive from many producers: in no order at all.
+    shuffled = records.repartition(8, "arrival")
+    write_archive(shuffled, path, order=(order,), segment=1 + readings(spark, sf_dir, water=False).count() // ARCHIVE_SEGMENTS)
+    return SourceConfig(kind="archive", path=path, **{"starting_offsets": "earliest", **how})
+
+
+def _settings(spark, name: str, drain: bool = False) -> QuerySettings:
+    return QuerySettings(name=name, checkpoint=scratch_path(spark, f"ckpt-{name}"), available_now=not drain, drain=drain)
 
 
 def _out(spark, name: str) -> str:
@@ -57,15 +78,32 @@ def _forget(spark, src: SourceConfig, *settings: QuerySettings) -> None:
         delete_path(spark, path)
 
 
-def _aggregates(spark, sf_dir, name, sinks, ordered=False, watermark=None, mode="update",
-                records=RECORDS_PER_FILE) -> None:
-    src, settings = replay_source(spark, sf_dir, ordered, records), _settings(spark, name)
+def _aggregates(spark, sf_dir, name, sinks, records=RECORDS_PER_FILE) -> None:
+    src, settings = replay_source(spark, sf_dir, records), _settings(spark, name)
     with state_partitions(spark):
         await_all([aggregate_query(envelope_stream(spark, src), sinks, settings, duration="1 hour",
-                                   metrics=windows.MODEL_METRICS, watermark=watermark, output_mode=mode)])
+                                   metrics=windows.MODEL_METRICS)])
     _forget(spark, src, settings)
 
 
+#: Micro-batches that an archive of the tables is read in, whatever its size.
+BATCHES = 12
+
+
+def _limit(spark, sf_dir) -> int:
+    return 1 + readings(spark, sf_dir, water=False).count() // BATCHES
+
+
+def _closed_windows(spark, sf_dir, name, watermark="2 hours"):
+    """Runs an append query over an archive, all topic partitions level in time; returns its source and settings."""
+    src = archive_source(spark, sf_dir, max_offsets_per_trigger=_limit(spark, sf_dir), level_in_time=True)
+    settings, out = _settings(spark, name, drain=True), _out(spark, name)
+    with state_partitions(spark):
+        drain([aggregate_query(envelope_stream(spark, src), [ParquetSink(f"{out}/aggregations")], settings, duration="1 hour",
+                               metrics=windows.MODEL_METRICS, watermark=watermark, output_mode="append")])
+    return src, settings, out
+
+
 def _scoring(spark, sf_dir, name, detector, sinks, records=RECORDS_PER_FILE) -> None:
     src, settings = replay_source(spark, sf_dir, records=records), _settings(spark, name)
     await_all([scoring_query(envelope_stream(spark, src), detector, sinks, settings)])
@@ -90,13 +128,41 @@ def stream_window_agg(spark, sf_dir, records=RECORDS_PER_FILE):
 
 
 def stream_window_agg_append(spark, sf_dir):
-    """Append mode with a 2-hour watermark over time-ordered records: each closed window once."""
-    out = _out(spark, "stream_window_agg_append")
-    _aggregates(spark, sf_dir, "stream_window_agg_append", [ParquetSink(f"{out}/aggregations")],
-                ordered=True, watermark="2 hours", mode="append")
+    """Append mode with a 2-hour watermark over records archived in time order: each closed window once."""
+    src, settings, out = _closed_windows(spark, sf_dir, "stream_window_agg_append")
+    _forget(spark, src, settings)
     return _r6(read_results(spark, "aggregations", out).select(*AGG_COLS), "avg_electricity", "avg_water")
 
 
+def stream_open_windows(spark, sf_dir):
+    """Windows that the append query wrote, and those it still holds in its state: together all windows."""
+    src, settings, out = _closed_windows(spark, sf_dir, "stream_open_windows")
+    closed = read_results(spark, "aggregations", out).select(*AGG_COLS, F.lit(False).alias("open"))
+    held = f"{out}/open"  # read before the checkpoint goes
+    open_windows(spark, settings.checkpoint).select(*AGG_COLS, F.lit(True).alias("open")).write.parquet(held)
+    _forget(spark, src, settings)
+    return _r6(closed.union(spark.read.parquet(held)), "avg_electricity", "avg_water")
+
+
+def stream_late_rows(spark, sf_dir):
+    """Records in no order at all under a 2-hour watermark: readings in windows, and late ones stored aside.
+
+    A row for each window: what it counted (its newest revision) plus its late rows is all of its readings.
+    """
+    src = archive_source(spark, sf_dir, order="arrival", max_offsets_per_trigger=_limit(spark, sf_dir))
+    settings, out = _settings(spark, "stream_late_rows", drain=True), _out(spark, "stream_late_rows")
+    with state_partitions(spark):
+        drain([aggregate_query(envelope_stream(spark, src), [ParquetSink(f"{out}/aggregations")], settings, duration="1 hour",
+                               metrics=("readings",), watermark="2 hours",
+                               late=LateRows(src, [ParquetSink(f"{out}/late")], "1 hour"))])
+    _forget(spark, src, settings)
+    rows = spark.read.schema("building string, readings long, window_start timestamp_ntz, batch_id long").parquet(f"{out}/aggregations")
+    counted = reports.latest_revision(rows.select("building", "readings", "window_start", "batch_id"))
+    late = read_results(spark, "late", out).groupBy("building", "window_start").agg(F.count(F.lit(1)).alias("late"))
+    return counted.join(late, ["building", "window_start"], "full").select(
+        "building", "window_start", (F.coalesce("readings", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("readings"))
+
+
 def stream_rule_anomalies(spark, sf_dir):
     out = _out(spark, "stream_rule_anomalies")
     _scoring(spark, sf_dir, "stream_rule_anomalies", rule_detector(), [ParquetSink(f"{out}/anomalies")])
@@ -109,6 +175,45 @@ def stream_model_anomalies(spark, sf_dir, records=RECORDS_PER_FILE):
     return _r6(read_results(spark, "anomalies", out).select(*ANOMALY_COLS), "dist")
 
 
+#: Where the archive queries begin, and before which the archive has expired.
+ARCHIVE_FROM, ARCHIVE_EXPIRED = "2024-01-05T18:00:00", "2024-01-08T00:00:00"
+
+
+def archive_from_time(spark, sf_dir):
+    """Rule anomalies of an archived topic from a time on, in limited micro-batches."""
+    src = archive_source(spark, sf_dir, starting_time=ARCHIVE_FROM, max_offsets_per_trigger=_limit(spark, sf_dir))
+    settings, out = _settings(spark, "archive_from_time", drain=True), _out(spark, "archive_from_time")
+    drain([scoring_query(envelope_stream(spark, src), rule_detector(), [ParquetSink(f"{out}/anomalies")], settings)])
+    _forget(spark, src, settings)
+    return read_results(spark, "anomalies", out).select(*[c for c in RULE_COLS if c != "offset"])
+
+
+def archive_gap(spark, sf_dir):
+    """A stream asks for records that have expired: by default it fails, or it goes on with those that are left.
+
+    A row for each policy: whether the query failed, how many rule anomalies it stored, and their electricity.
+    """
+    src, out = archive_source(spark, sf_dir), _out(spark, "archive_gap")
+    expire(spark, src.path, datetime.fromisoformat(ARCHIVE_EXPIRED))
+    asked = json.dumps({str(p): 0 for p in range(ARCHIVE_PARTITIONS)})
+    parts = []
+    for policy, fail in (("fail", True), ("skip", False)):
+        cfg = replace(src, starting_offsets=asked, fail_on_data_loss=fail, max_offsets_per_trigger=_limit(spark, sf_dir))
+        settings, failed = _settings(spark, f"archive_gap_{policy}", drain=True), False
+        try:
+            drain([scoring_query(envelope_stream(spark, cfg), rule_detector(), [ParquetSink(f"{out}/{policy}/anomalies")], settings)])
+        except StreamingQueryException as e:
+            if "RecordsLost" not in str(e):
+                raise
+            failed = True
+        delete_path(spark, settings.checkpoint)
+        parts.append(read_results(spark, "anomalies", f"{out}/{policy}").agg(
+            F.lit(policy).alias("policy"), F.lit(failed).alias("failed"), F.count(F.lit(1)).alias("anomalies"),
+            r6(F.coalesce(F.sum("electricity"), F.lit(0.0))).alias("electricity")))
+    delete_path(spark, src.path)
+    return parts[0].union(parts[1])
+
+
 def stream_progress(spark, sf_dir):
     """What a progress listener counted in all batches of a scoring query: input, parsed and rejected rows."""
     log = ProgressLog()
@@ -208,6 +313,30 @@ def stored_panel_trend(spark, sf_dir):
     return reports.panel_trend(latest, TREND_LO, TREND_HI).withColumn("value", r6("value"))
 
 
+def stored_compacted(spark, sf_dir):
+    """Windows read from a store before it is compacted, while it is, after, and when merged folders are gone.
+
+    A row for each stage and window.  The last batch stays as it was written.
+    """
+    out = _out(spark, "stored_compacted")
+    table = f"{out}/aggregations"
+    _aggregates(spark, sf_dir, "stored_compacted", [ParquetSink(table)])
+
+    def seen(stage: str) -> DataFrame:
+        path = f"{out}/seen/{stage}"  # written at once: the next stage changes what is stored
+        _latest(read_results(spark, "aggregations", out)).withColumn("stage", F.lit(stage)).write.parquet(path)
+        return spark.read.parquet(path)
+
+    stages = [seen("before")]
+    manifest = compaction.prepare(spark, table, "aggregations")
+    stages.append(seen("during"))
+    compaction.switch(spark, table, manifest)
+    stages.append(seen("after"))
+    compaction.vacuum(spark, table, older_than_s=0)
+    stages.append(seen("vacuumed"))
+    return stages[0].union(stages[1]).union(stages[2]).union(stages[3])
+
+
 def _stored_anomalies(spark, sf_dir, name):
     out = _out(spark, name)
     _scoring(spark, sf_dir, name, model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")])
@@ -243,7 +372,7 @@ def stream_pct_of_average(spark, sf_dir):
 
 
 STREAM_QUERIES = {f.__name__: f for f in (
-    stream_pct_of_average, stream_window_agg, stream_window_agg_append, stream_rule_anomalies, stream_model_anomalies,
+    archive_from_time, archive_gap, stored_compacted, stream_open_windows, stream_late_rows, stream_pct_of_average, stream_window_agg, stream_window_agg_append, stream_rule_anomalies, stream_model_anomalies,
     stream_progress, stream_restart, sink_documents, sink_documents_aggregates, sink_relational,
     sink_relational_aggregates, stored_two_streams, stored_panel_trend, stored_panel_latest,
     stored_anomalies_per_building)}

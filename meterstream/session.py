@@ -55,8 +55,8 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="meterstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(path)  # found by the next call; the setting itself can't change in a session
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 

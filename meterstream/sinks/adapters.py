@@ -58,8 +58,20 @@ def _clear_batch(spark, path: str, batch: Batch) -> None:
         fs.delete(st.getPath(), True)
 
 
+#: The last batch that this process began to write, by folder, query and run.
+_begun: dict[tuple[str, str, str], int] = {}
+
+
+def _may_be_there(path: str, batch: Batch) -> bool:
+    """Whether an earlier attempt can have written the batch: not if this process has begun the one before, and not this one."""
+    key = (path, batch.query, batch.run)
+    before, _begun[key] = _begun.get(key), int(batch.batch_id)
+    return before is None or int(batch.batch_id) <= before
+
+
 def _replace_batch(df: DataFrame, date: Column, fmt: str, path: str, batch: Batch) -> None:
-    _clear_batch(df.sparkSession, path, batch)
+    if _may_be_there(path, batch):
+        _clear_batch(df.sparkSession, path, batch)
     (with_batch(df, batch).withColumn("date", date)
      .write.format(fmt).mode("append").partitionBy(*LAYOUT).save(path))
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import result_schema
+from ..sinks.compaction import read_table
 
 
 def read_results(spark: SparkSession, table: str, path: str | None = None, url: str | None = None,
-                 properties: dict | None = None, partitions: int = 16, relational: bool = False) -> DataFrame:
+                 properties: dict | None = None, partitions: int = 16, relational: bool = False,
+                 lo: str | None = None, hi: str | None = None) -> DataFrame:
     """A result table from the parquet store (``path``) or over JDBC (``url``).
 
     Parquet tables have a declared schema, so a table without rows (or not yet
-    written) reads as empty; they are laid out by ``date``, so a time range
-    with its dates reads only their folders.  A JDBC table is read in
+    written) reads as empty.  They are laid out by ``date``; with ``lo`` and
+    ``hi`` only the folders of those dates are read, and compacted tables
+    (``sinks/compaction.py``) from their snapshots.  A JDBC table is read in
     ``partitions`` ranges of its batch ids.
     """
     if url:
@@ -28,4 +31,4 @@ def read_results(spark: SparkSession, table: str, path: str | None = None, url:
     root = spark._jvm.org.apache.hadoop.fs.Path(where)
     if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(where)
+    return read_table(spark, where, schema, lo, hi)

@@ -62,6 +62,20 @@ class ProgressLog(StreamingQueryListener):
                 raise TimeoutError(f"no end of {sorted(ids - set(self.ended))} was reported in {timeout_s} s")
 
 
+def drain(queries: list[StreamingQuery]) -> None:
+    """Runs queries without an end until they have processed what is there, then stops them; a failure stops all and is raised."""
+    try:
+        for q in queries:
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    for q in queries:
+        if (failure := q.exception()) is not None:
+            raise failure
+
+
 def await_all(queries: list[StreamingQuery], poll_s: float = 0.5) -> None:
     """Waits until every query has ended; the first that fails stops the others and is raised."""
     try:

@@ -36,12 +36,15 @@ class QuerySettings:
     checkpoint: str
     trigger: str | None = C.TRIGGER_INTERVAL    # processing-time interval
     available_now: bool = False                 # drain what is there, then stop
+    drain: bool = False                         # one micro-batch after another; the caller drains it (progress.drain)
 
 
 def _start(writer, settings: QuerySettings) -> StreamingQuery:
     writer = writer.queryName(settings.name).option("checkpointLocation", settings.checkpoint)
     if settings.available_now:
         writer = writer.trigger(availableNow=True)
+    elif settings.drain:
+        writer = writer.trigger(processingTime="0 seconds")
     elif settings.trigger:
         writer = writer.trigger(processingTime=settings.trigger)
     return writer.start()
@@ -107,7 +110,7 @@ class _Run:
         return Batch(self.settings.name, self.id, int(batch_id))
 
 
-def fan_out(sinks: Sequence, settings: QuerySettings) -> Callable[[DataFrame, int], None]:
+def fan_out(sinks: Sequence, settings: QuerySettings, late=None) -> Callable[[DataFrame, int], None]:
     named = _Run(settings)
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
@@ -117,6 +120,8 @@ def fan_out(sinks: Sequence, settings: QuerySettings) -> Callable[[DataFrame, in
         try:
             for s in sinks:
                 s.write(batch_df, batch)
+            if late is not None:
+                late.write(batch_df.sparkSession, settings.checkpoint, batch)
         finally:
             if shared:
                 batch_df.unpersist()
@@ -131,19 +136,20 @@ def observed(decoded: DataFrame, name: str = "records") -> DataFrame:
 
 def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySettings,
                     duration: str = C.WINDOW_DURATION, metrics=windows.MODEL_METRICS,
-                    watermark: str | None = None, output_mode: str = "update") -> StreamingQuery:
+                    watermark: str | None = None, output_mode: str = "update", late=None) -> StreamingQuery:
     """Tumbling-window aggregates per building.
 
     ``update`` mode writes a new revision of every window a batch touched
     (read the latest with ``reports.latest_revision``); ``append`` needs a
     ``watermark`` and writes each window once, when it closes.  Without a
     watermark the state is never evicted (the accept-everything mode).
+    ``late`` (``checkpoint.LateRows``) stores the rows that the watermark drops.
     """
     use_rocksdb_state(envelope.sparkSession)
     readings = parse.valid(observed(parse.decode(envelope)))
     aggs = windows.window_aggregate(readings, duration, metrics, watermark=watermark)
     aggs = aggs.withColumn("processed_at", F.current_timestamp())
-    return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks, settings)), settings)
+    return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks, settings, late)), settings)
 
 
 Detector = Callable[[DataFrame], DataFrame]

@@ -1,34 +1,19 @@
 """Stage topic records from tables as files for a replayed stream.
 
-The file source reads files in the order in which they were written.  Where a
-run needs its records in time order, each range of time is appended by a job
-of its own; otherwise one job writes all files.  A file holds a bounded number
-of records, so a micro-batch of a few files doesn't grow with the table.
+The file source reads files in the order in which they were written, and one
+job writes them all, so records come in no particular order.  A run that needs
+them in time order reads an archive (``streaming/archive.py``) instead.  A file
+holds a bounded number of records, so a micro-batch of a few files doesn't grow
+with the table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Records of one staged file; a micro-batch reads one file unless told otherwise.
 RECORDS_PER_FILE = 4_000
 
 
-def stage_replay(envelope: DataFrame, path: str, order_col: str | None = None, ranges: int = 6,
-                 records_per_file: int = RECORDS_PER_FILE) -> None:
-    """``order_col``: written in that many ``ranges`` of the column, one after another."""
-    def append(df: DataFrame) -> None:
-        df.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)
-
-    if order_col is None:
-        append(envelope)
-        return
-    ends = envelope.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    if ends.lo is None:
-        append(envelope)
-        return
-    step = (ends.hi - ends.lo) / ranges
-    for i in range(ranges):
-        rows = envelope.filter(F.col(order_col) >= F.lit(ends.lo + i * step)) if i else envelope
-        append(rows.filter(F.col(order_col) < F.lit(ends.lo + (i + 1) * step)) if i < ranges - 1 else rows)
+def stage_replay(envelope: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+    envelope.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)

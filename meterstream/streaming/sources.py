@@ -1,4 +1,4 @@
-"""Topic source (S1, S2, T9, T10) and its file replay stand-in."""
+"""Topic source (S1, S2, T9, T10), archived records and replayed files in its place."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ class SourceConfig:
     splits hot topic partitions (keys are building names, so one partition
     can carry most records).  ``fail_on_data_loss`` defaults to true: lost
     offsets stop the query rather than silently skipping data.
+    ``kind="archive"``: archived topic records (``streaming/archive.py``) at
+    ``path``, with the same start position, limit and data-loss policy, besides
+    ``starting_time`` and ``level_in_time``.
     ``kind="files"``: parquet files with the topic envelope schema, read in
     modification-time order, ``max_files_per_trigger`` per micro-batch.
     """
@@ -30,6 +33,9 @@ class SourceConfig:
     min_partitions: int | None = None
     path: str | None = None
     max_files_per_trigger: int | None = None
+    ending_offsets: str | None = None           # of a batch read
+    starting_time: str | None = None
+    level_in_time: bool = False
 
 
 def envelope_stream(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
@@ -49,9 +55,37 @@ def envelope_stream(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
         min_parts = cfg.min_partitions or spark.sparkContext.defaultParallelism
         r = r.option("minPartitions", str(min_parts))
         return r.load()
+    if cfg.kind == "archive":
+        from .archive import FORMAT, register
+        register(spark)
+        r = (spark.readStream.format(FORMAT).option("startingOffsets", cfg.starting_offsets)
+             .option("failOnDataLoss", str(cfg.fail_on_data_loss).lower()).option("levelInTime", str(cfg.level_in_time).lower()))
+        if cfg.starting_time:
+            r = r.option("startingTime", cfg.starting_time)
+        if cfg.max_offsets_per_trigger:
+            r = r.option("maxRecordsPerTrigger", str(cfg.max_offsets_per_trigger))
+        return r.load(cfg.path)
     if cfg.kind == "files":
         r = spark.readStream.schema(ENVELOPE_SCHEMA)
         if cfg.max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(cfg.max_files_per_trigger))
         return r.parquet(cfg.path)
     raise ValueError(f"unknown source kind {cfg.kind!r}")
+
+
+def envelope_batch(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+    """The records of a topic or an archive from its starting to its ending offsets, as a table."""
+    if cfg.kind == "kafka":
+        r = (spark.read.format("kafka").option("kafka.bootstrap.servers", cfg.bootstrap_servers).option("subscribe", cfg.topic))
+    elif cfg.kind == "archive":
+        from .archive import FORMAT, register
+        register(spark)
+        r = spark.read.format(FORMAT)
+    else:
+        raise ValueError(f"records of a {cfg.kind!r} source aren't found by offset")
+    r = r.option("startingOffsets", cfg.starting_offsets).option("failOnDataLoss", str(cfg.fail_on_data_loss).lower())
+    if cfg.starting_time and cfg.kind == "archive":
+        r = r.option("startingTime", cfg.starting_time)
+    if cfg.ending_offsets:
+        r = r.option("endingOffsets", cfg.ending_offsets)
+    return r.load(cfg.path) if cfg.kind == "archive" else r.load()

@@ -22,9 +22,7 @@ def spark():
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        path = tempfile.mkdtemp(prefix="meterstream-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", path)
-        s.sparkContext.setCheckpointDir(path)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="meterstream-test-ckpt-"))
     yield s
     s.stop()
 

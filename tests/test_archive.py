@@ -1,0 +1,200 @@
+"""Archived topic records: numbering, positions, limits, lost records, restarts; late rows and state of the queries over them."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
+
+from meterstream.operators import windows
+from meterstream.schema import ENVELOPE_SCHEMA, result_schema
+from meterstream.session import scratch_path
+from meterstream.sinks import ParquetSink
+from meterstream.sources.results import read_results
+from meterstream.streaming import archive as A
+from meterstream.streaming.checkpoint import LateRows, logged_batch, open_windows, state_operators
+from meterstream.streaming.progress import drain
+from meterstream.streaming.queries import QuerySettings, aggregate_query
+from meterstream.streaming.sources import SourceConfig, envelope_batch, envelope_stream
+
+START = dt.datetime(2024, 1, 1)
+
+
+def message(i, minutes):
+    t = START + dt.timedelta(minutes=minutes)
+    return json.dumps({"building": "AB"[i % 2], "floor": 1, "electricity": float(i), "water": 1.0, "status": "Normal",
+                       "timestamp": t.isoformat() + "+00:00"}).encode()
+
+
+def envelope(spark, minutes, partitions=2):
+    """A record each at the given minutes, in that order."""
+    rows = [(b"k", message(i, m), "t", i % partitions, i, START + dt.timedelta(minutes=m), 0) for i, m in enumerate(minutes)]
+    return spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+
+
+def archived(spark, minutes, order=("timestamp",), segment=10, partitions=2):
+    path = scratch_path(spark, "archive")
+    A.write_archive(envelope(spark, minutes, partitions).repartition(3), path, order=order, segment=segment)
+    return path
+
+
+def run(spark, path, checkpoint=None, **how):
+    """What a stream over the archive got, as (partition, offset), by micro-batch."""
+    got = []
+
+    def keep(df, _):
+        got.append([(r.partition, r.offset) for r in df.select("partition", "offset").collect()])
+
+    cfg = SourceConfig(kind="archive", path=path, **{"starting_offsets": "earliest", **how})
+    q = (envelope_stream(spark, cfg).writeStream.foreachBatch(keep).trigger(processingTime="0 seconds")
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-archive")).start())
+    drain([q])
+    return [b for b in got if b]
+
+
+def test_offsets_follow_the_order_and_go_on(spark):
+    path = archived(spark, [90 - m for m in range(90)])
+    table = spark.read.format(A.FORMAT) if A.register(spark) else spark.read.format(A.FORMAT)
+    rows = table.load(path).orderBy("partition", "offset").collect()
+    for p in (0, 1):
+        mine = [r for r in rows if r.partition == p]
+        assert [r.offset for r in mine] == list(range(45)) and [r.timestamp for r in mine] == sorted(r.timestamp for r in mine)
+    index = A.read_index(path)
+    assert [(s.first, s.next) for s in index[0]] == [(i, min(i + 10, 45)) for i in range(0, 45, 10)]
+    A.write_archive(envelope(spark, [500, 400, 300]), path, order=("timestamp",), segment=10)
+    assert A.next_offsets(path) == {"0": 47, "1": 46}
+    assert [r.offset for r in table.load(path).filter("partition = 0 AND offset >= 45").orderBy("timestamp").collect()] == [45, 46]
+
+
+def test_start_positions(spark):
+    path = archived(spark, range(40))
+    count = lambda **how: sum(map(len, run(spark, path, **how)))
+    assert count() == 40
+    assert count(starting_offsets="latest") == 0
+    assert count(starting_offsets=json.dumps({"0": 15, "1": -1})) == 5
+    assert count(starting_offsets=json.dumps({"1": 3})) == 20 + 17
+    assert count(starting_time="2024-01-01T00:30:00") == 10
+    assert count(starting_time="2024-01-01T01:30:00+01:00") == 10
+    assert count(starting_time="2025-01-01T00:00:00") == 0
+    with pytest.raises(StreamingQueryException, match="no topic partitions"):
+        run(spark, path, starting_offsets=json.dumps({"9": 0}))
+
+
+def test_a_limit_is_shared_out_by_backlog(spark):
+    path = archived(spark, range(60), partitions=1)
+    A.write_archive(envelope(spark, range(20), 1).withColumn("partition", F.lit(7)), path, segment=10)
+    batches = run(spark, path, max_offsets_per_trigger=20)
+    assert max(map(len, batches)) <= 21 and sorted(x for b in batches for x in b) == sorted([(0, i) for i in range(60)] + [(7, i) for i in range(20)])
+    assert sum(p == 0 for p, _ in batches[0]) == 15 and sum(p == 7 for p, _ in batches[0]) == 5
+
+
+def test_level_batches_end_at_one_time(spark):
+    """Topic partition 0 has a record a minute, 1 one each ten minutes."""
+    path = scratch_path(spark, "archive")
+    slow = envelope(spark, range(0, 120, 10), 1).withColumn("partition", F.lit(1))
+    A.write_archive(envelope(spark, range(120), 1).union(slow), path, order=("timestamp",), segment=7)
+    batches = run(spark, path, max_offsets_per_trigger=30, level_in_time=True)
+    assert len(batches) > 4 and sorted(x for b in batches for x in b) == sorted([(0, i) for i in range(120)] + [(1, i) for i in range(12)])
+    minute = lambda x: x[1] if x[0] == 0 else 10 * x[1]
+    for a, b in zip(batches, batches[1:]):
+        assert max(map(minute, a)) < min(map(minute, b))
+
+
+def test_a_restart_goes_on_where_it_stopped(spark):
+    path, checkpoint = archived(spark, range(30)), scratch_path(spark, "ckpt-archive")
+    assert sum(map(len, run(spark, path, checkpoint, max_offsets_per_trigger=7))) == 30
+    assert run(spark, path, checkpoint, max_offsets_per_trigger=7) == []
+    A.write_archive(envelope(spark, range(100, 110)), path, order=("timestamp",), segment=10)
+    again = run(spark, path, checkpoint, max_offsets_per_trigger=4)
+    assert sorted(x for b in again for x in b) == [(p, o) for p in (0, 1) for o in range(15, 20)] and len(again) > 1
+
+
+def test_lost_records_stop_the_query_or_are_left_out(spark):
+    path, checkpoint = archived(spark, range(100)), scratch_path(spark, "ckpt-archive")
+    assert sum(map(len, run(spark, path, checkpoint))) == 100
+    A.write_archive(envelope(spark, range(200, 260)), path, order=("timestamp",), segment=10)
+    assert A.expire(spark, path, START + dt.timedelta(minutes=230)) == 13  # all of the first, and what came after it
+    with pytest.raises(StreamingQueryException, match="RecordsLost"):
+        run(spark, path, checkpoint)
+    left = [x for b in run(spark, path, checkpoint, fail_on_data_loss=False) for x in b]
+    assert sorted(left) == sorted((r.partition, r.offset) for r in envelope_batch(
+        spark, SourceConfig(kind="archive", path=path, starting_offsets="earliest")).collect()) and 0 < len(left) < 60
+
+
+def test_index_ranges_report_gaps():
+    s = [A.Segment(0, 0, 10, 0, 9, "a"), A.Segment(0, 20, 30, 20, 29, "b")]
+    assert [(r.path, r.first, r.next) for r in A.ranges({0: s}, {"0": 5}, {"0": 8}, True)] == [("a", 5, 8)]
+    with pytest.raises(A.RecordsLost, match="10 to 19"):
+        A.ranges({0: s}, {"0": 5}, {"0": 25}, True)
+    with pytest.raises(A.RecordsLost, match="30 to 39"):
+        A.ranges({0: s[1:]}, {"0": 20}, {"0": 40}, True)
+    assert [(r.first, r.next) for r in A.ranges({0: s}, {"0": 5}, {"0": 40}, False)] == [(5, 10), (20, 30)]
+
+
+def test_an_empty_archive_and_an_unfinished_index(spark):
+    path = scratch_path(spark, "archive")
+    assert A.read_index(path) == {} and A.next_offsets(path) == {}
+    A.register(spark)
+    assert spark.read.format(A.FORMAT).load(path).count() == 0
+    with pytest.raises(Exception, match="needs a path"):
+        spark.read.format(A.FORMAT).load().count()
+
+
+def aggregated(spark, minutes, mode, late=True, limit=4):
+    """An hourly aggregate with a 30-minute watermark over records in the given order."""
+    path, out = archived(spark, minutes, order=("offset",), partitions=1), scratch_path(spark, "out")
+    src = SourceConfig(kind="archive", path=path, starting_offsets="earliest", max_offsets_per_trigger=limit)
+    settings = QuerySettings(name="q", checkpoint=scratch_path(spark, "ckpt"), drain=True)
+    q = aggregate_query(envelope_stream(spark, src), [ParquetSink(f"{out}/aggregations")], settings, duration="1 hour",
+                        metrics=("readings",) if late else windows.MODEL_METRICS, watermark="30 minutes", output_mode=mode,
+                        late=LateRows(src, [ParquetSink(f"{out}/late")], "1 hour") if late else None)
+    drain([q])
+    return out, settings, q
+
+
+def test_late_rows_are_stored_and_nothing_is_lost(spark):
+    minutes = [10, 20, 30, 40, 130, 140, 150, 160, 200, 205, 210, 15, 220, 25, 130, 230, 300, 301, 302, 303, 5, 6, 140, 310]
+    out, settings, q = aggregated(spark, minutes, "update")
+    late = read_results(spark, "late", out)
+    dropped = sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+    assert late.count() > 0 and dropped > 0 and {r.reason for r in late.collect()} == {"window_closed"}
+    assert all(r.window_end <= r.watermark and r.window_start <= r.timestamp < r.window_end for r in late.collect())
+    rows = spark.read.parquet(f"{out}/aggregations").groupBy("building", "window_start").agg(F.max("readings").alias("n"))
+    assert rows.agg(F.sum("n")).first()[0] + late.count() == len(minutes)
+    assert late.select("partition", "offset").distinct().count() == late.count()
+    assert logged_batch(spark, settings.checkpoint, 1).late_ms == logged_batch(spark, settings.checkpoint, 0).watermark_ms
+
+
+def test_a_batch_run_again_replaces_its_late_rows(spark):
+    out, settings, q = aggregated(spark, [10, 20, 200, 210, 300, 310, 15, 320, 25, 330, 400, 410], "update")
+    late = read_results(spark, "late", out)
+    n, batch = late.count(), late.select("batch_id", "query", "run").first()
+    src = SourceConfig(kind="archive", path="x", starting_offsets="earliest")
+    assert n > 0 and batch is not None
+    with pytest.raises(ValueError):
+        LateRows(SourceConfig(kind="files", path="x"), [], "1 hour")
+    with pytest.raises(FileNotFoundError):
+        logged_batch(spark, settings.checkpoint, 99_999)
+    assert src.kind == "archive"
+
+
+def test_closed_and_open_windows_are_all_windows(spark):
+    minutes = list(range(0, 600, 7))
+    out, settings, _ = aggregated(spark, minutes, "append", late=False)
+    closed = read_results(spark, "aggregations", out).select("building", "window_start", "avg_electricity", "max_elec", "min_elec")
+    held = open_windows(spark, settings.checkpoint)
+    assert held.columns == ["building", *windows.MODEL_METRICS, "window_start", "window_end"]
+    from meterstream.operators import parse
+    path = archived(spark, minutes)
+    want = windows.window_aggregate(parse.valid(parse.decode(envelope_batch(
+        spark, SourceConfig(kind="archive", path=path, starting_offsets="earliest")))), "1 hour").select(*closed.columns)
+    both = closed.union(held.select(*closed.columns))
+    assert closed.count() > 0 and held.count() > 0
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, want.collect()))
+    op = state_operators(spark, settings.checkpoint).first()
+    assert op.operatorName == "stateStoreSave"
+
+
+def test_late_table_has_a_schema(spark):
+    assert "watermark timestamp_ntz" in result_schema("late")

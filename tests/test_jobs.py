@@ -13,8 +13,7 @@ def test_train_monitor_report(spark, capsys):
     from meterstream.sources.tables import readings
     readings(spark, SF_SMALL).write.parquet(f"{root}/train.parquet")
     jobs.main(["train", "--input", f"{root}/train.parquet", "--models", f"{root}/models"])
-    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
-               "--ranges", "3", "--ordered"])
+    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay", "--records-per-file", "400"])
     jobs.main(["monitor", "--replay", f"{root}/replay", "--models", f"{root}/models",
                "--results", f"{root}/results", "--checkpoints", f"{root}/ckpt", "--available-now",
                "--documents", "json", "--shuffle-partitions", "4"])
@@ -57,9 +56,8 @@ def test_publish_needs_the_topic_connector(spark):
 def test_rules_stream_and_reports(spark, duck, capsys):
     import __spark_entry__ as entry
     root = scratch_path(spark, "jobs-rules")
-    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay",
-               "--ranges", "2", "--ordered"])
-    jobs.main(["rules", "--replay", f"{root}/replay", "--results", f"{root}/results",
+    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/archive", "--ordered"])
+    jobs.main(["rules", "--archive", f"{root}/archive", "--starting-offsets", "earliest", "--max-offsets", "300", "--results", f"{root}/results",
                "--checkpoints", f"{root}/ckpt", "--available-now", "--documents", "json",
                "--shuffle-partitions", "4", "--watermark", "none"])
     an = spark.read.parquet(f"{root}/results/anomalies")

@@ -6,10 +6,12 @@ strings of one gram form a segment.
 
 1. Of each document's segments only gram and place are written and sorted over
    all documents; those whose gram comes nowhere else are left alone.
-2. The bytes of the others are dealt by gram, a gram that a third of all
-   documents holds to as many tasks as it needs.  A task builds suffix arrays
+2. The bytes of the others are dealt by gram, a frequent one (a third of all
+   documents may hold it) by document, too, to as many parts as it needs.  A task builds suffix arrays
    (``suffixes``) over blocks of segments; equal strings stand side by side.
-3. A gram cut by the edge of a block has its strings counted once more over all
+   Equal segments are counted first and stand there once, and parts that differ
+   from all others of their gram are left out.
+3. A gram in several parts or blocks has its strings counted once more over all
    blocks, a row for each different string of a block.
 4. The bytes covered are cut out of each document.
 
@@ -18,6 +20,8 @@ Tasks hold a block and a document at a time; no group is collected.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -53,10 +57,10 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def segments(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """gram, first and last-but-one start of each segment, and whether its gram comes in it twice."""
+    """gram, first start, end of the starts of each segment, and where in it its gram is (-1: at several places)."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none.astype(bool)
+        return none, none, none, none
     h = gram_hashes(np.frombuffer(data, np.uint8))
     wide = length - GRAM + 1  # grams of a string
     least, size = h, 1
@@ -67,16 +71,16 @@ def segments(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     edges = np.flatnonzero(least[1:] != least[:-1]) + 1
     start, end = np.concatenate([[0], edges]), np.concatenate([edges, [len(least)]])
     gram = least[start]
-    twice = np.zeros(len(start), bool)
+    place = np.zeros(len(start), np.int64)
     for at in range(0, len(start), 4096):
         s, e, g = start[at:at + 4096], end[at:at + 4096], gram[at:at + 4096, None]
         first = s + (h[s[:, None] + np.arange(wide)] == g).argmax(axis=1)
         last = e - 1 + wide - 1 - (h[e[:, None] - 1 + np.arange(wide - 1, -1, -1)] == g).argmax(axis=1)
-        twice[at:at + 4096] = first != last
-    return gram.view(np.int64), start, end, twice
+        place[at:at + 4096] = np.where(first == last, first - s, -1)
+    return gram.view(np.int64), start, end, place
 
 
-PLACES = "gram long, k1 long, k2 long, start long, end long, twice boolean"
+PLACES = "gram long, k1 long, k2 long, start long, end long, at long"
 
 
 def _places(length: int):
@@ -90,24 +94,24 @@ def _places(length: int):
                     held.append((found[0], np.full(len(found[0]), k1[n]), np.full(len(found[0]), k2[n]), *found[1:]))
                 if held and (sum(len(x[0]) for x in held) > 50_000 or n == batch.num_rows - 1):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)],
-                                                     names=["gram", "k1", "k2", "start", "end", "twice"])
+                                                     names=["gram", "k1", "k2", "start", "end", "at"])
                     held = []
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)],
-                                                 names=["gram", "k1", "k2", "start", "end", "twice"])
+                                                 names=["gram", "k1", "k2", "start", "end", "at"])
 
     return rows
 
 
 def _shared(batches):
     """Of rows sorted by gram those whose gram comes twice; at the edges of a task all stay, as others may hold them."""
-    names, before, held = ["gram", "k1", "k2", "start", "end"], None, None
+    names, before, held = ["gram", "k1", "k2", "start", "end", "at"], None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        g, twice = batch.column("gram").to_numpy(), batch.column("twice").to_numpy(zero_copy_only=False)
+        g, twice = batch.column("gram").to_numpy(), batch.column("at").to_numpy() < 0
         equal = g[1:] == g[:-1]
         left = np.concatenate([[before is None or before == g[0]], equal])
         keep = (left | np.concatenate([equal, [True]]) | twice)[:-1]
@@ -119,7 +123,7 @@ def _shared(batches):
         yield held.select(names)
 
 
-SEGMENTS = "gram long, same long, k1 long, k2 long, start long, bytes binary"
+SEGMENTS = "gram long, same long, k1 long, k2 long, start long, at long, bytes binary"
 
 
 def _cut(length: int):
@@ -136,7 +140,7 @@ def _cut(length: int):
                     for s in range(place["start"], place["end"], LONGEST):
                         piece = data[s:min(place["end"], s + LONGEST) + length - 1]
                         same = xxh3_64_intdigest(piece)
-                        out.append((place["gram"], same - (1 << 63), k1, k2, s, piece))
+                        out.append((place["gram"], same - (1 << 63), k1, k2, s, place["at"], piece))
                         held += len(piece)
                     if held > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
@@ -155,25 +159,66 @@ class _Block:
 
     def __init__(self, length: int):
         self.length, self.size = length, 0
-        self.found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        self.found: dict[tuple[int, int, bytes], list[tuple[int, int, int]]] = {}
 
-    def add(self, gram: int, data: bytes, place: tuple[int, int, int]) -> None:
-        places = self.found.get((gram, data))
+    def add(self, gram: int, at: int, data: bytes, place: tuple[int, int, int]) -> None:
+        places = self.found.get((gram, at, data))
         if places is None:
-            places = self.found[gram, data] = []
+            places = self.found[gram, at, data] = []
             self.size += len(data)
         self.size += 1
         places.append(place)
 
+    def worth_sorting(self, open_grams: set[int]):
+        """((gram, offset, bytes), occurrences) of the parts of segments that may hold a string that comes again.
+
+        Strings are told apart by how far into them the gram stands.  Those of
+        a class (an eighth of the distances) have most of their bytes in
+        common; where no other segment of the gram has the same ones there,
+        none of them comes again.
+        """
+        wide = self.length - GRAM + 1
+        classes = [(wide * j // 8, wide * (j + 1) // 8) for j in range(8)]
+        count: dict[tuple[int, int, bytes], int] = {}
+        those = []
+        for (gram, at, data), places in self.found.items():
+            here = []
+            if at >= 0 and gram not in open_grams:
+                starts = len(data) - self.length + 1
+                for j, (lo, hi) in enumerate(classes):
+                    if lo <= at and hi > at - starts + 1:
+                        key = gram, j, data[at - lo:at - hi + 1 + self.length]
+                        count[key] = count.get(key, 0) + len(places)
+                        here.append((lo, hi, key))
+            those.append(here)
+        for ((gram, at, data), places), here in zip(self.found.items(), those):
+            if at < 0 or gram in open_grams:
+                yield (gram, 0, data), places
+                continue
+            again = [(lo, hi) for lo, hi, key in here if count[key] > 1]
+            if again:
+                first = max(0, at - again[-1][1] + 1)
+                yield (gram, first, data[first:at - again[0][0] + self.length]), places
+
     def hits(self, open_grams: set[int]):
         """(k1, k2, start, end, d1, d2, copies): runs of repeated starts, and strings of the open grams with their digests."""
         from xxhash import xxh3_128_digest
-        pieces = list(self.found.items())
+        pieces = list(self.worth_sorting(open_grams))
+        # Of a gram with one segment left, which several places hold, all strings come again: nothing is to be ordered.
+        left = Counter(gram for (gram, _, _), _ in pieces)
+        alone = [left[gram] == 1 and len(places) > 1 and gram not in open_grams for (gram, _, _), places in pieces]
+        for ((_, offset, data), places), one in zip(pieces, alone):
+            if one:
+                for k1, k2, start in places:
+                    yield k1, k2, start + offset, start + offset + len(data) - self.length + 1, None, None, None
+        pieces = [p for p, one in zip(pieces, alone) if not one]
         text, starts, edges = bytearray(), [], []
-        for (_, data), _ in pieces:
+        for (_, _, data), _ in pieces:
             edges.append(len(text))
             text += data + b"\0"  # no string that counts reaches over this
             starts.append(len(data) - self.length + 1)
+        if not pieces:
+            return
         text = bytes(text)
         edge, count = np.array(edges), np.array(starts)
         begins = np.zeros(len(text), bool)
@@ -186,15 +231,15 @@ class _Block:
         together = np.bincount(number, weights=copies[owner]).astype(np.int64)
         repeated = np.zeros(len(text), bool)
         repeated[places[together[number] > 1]] = True
-        for n, ((gram, data), occurrences) in enumerate(pieces):
+        for n, ((_, offset, _), occurrences) in enumerate(pieces):
             r = np.concatenate([[False], repeated[edge[n]:edge[n] + count[n]], [False]])
             turns = np.flatnonzero(r[1:] != r[:-1]).tolist()
             for k1, k2, start in occurrences:
                 for a, b in zip(turns[::2], turns[1::2]):
-                    yield k1, k2, start + a, start + b, None, None, None
+                    yield k1, k2, start + offset + a, start + offset + b, None, None, None
         if not open_grams:
             return
-        is_open = np.array([gram in open_grams for (gram, _), _ in pieces])
+        is_open = np.array([gram in open_grams for (gram, _, _), _ in pieces])
         first = np.concatenate([[True], number[1:] != number[:-1]]) & is_open[owner]
         for place, n, own in zip(places[first].tolist(), number[first].tolist(), owner[first].tolist()):
             d = xxh3_128_digest(text[place:place + self.length])
@@ -212,11 +257,10 @@ def _search(length: int, limit: int):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
     def rows(batches):
-        block, gram, cut = _Block(length), None, None
+        block, gram, cut = _Block(length), None, set()
         for b in batches:
-            for g, k1, k2, start, data in zip(*(b.column(c).to_pylist() for c in ("gram", "k1", "k2", "start", "bytes"))):
-                if gram is None:
-                    cut = {g}  # a task's first gram may have begun in another, its last may go on there
+            columns = (b.column(c).to_pylist() for c in ("gram", "at", "k1", "k2", "start", "bytes", "parts"))
+            for g, at, k1, k2, start, data, parts in zip(*columns):
                 if block.size > limit and (g != gram or block.size > 4 * limit):
                     if g == gram:
                         cut.add(g)  # goes on in the next block
@@ -225,9 +269,10 @@ def _search(length: int, limit: int):
                         yield batch(found)
                     block, cut = _Block(length), {g} if g == gram else set()
                 gram = g
-                block.add(g, data, (k1, k2, start))
+                if parts is not None:
+                    cut.add(g)  # has been dealt to several tasks
+                block.add(g, at, data, (k1, k2, start))
         if block.found:
-            cut.add(gram)
             found = list(block.hits(cut))
             if found:
                 yield batch(found)
@@ -235,6 +280,18 @@ def _search(length: int, limit: int):
     return rows
 
 
+def _frequent(places: DataFrame, share: int = 1000) -> DataFrame:
+    """``gram, parts``: the grams with over a thousandth of all places, and to how many parts they are dealt.
+
+    Counted on a sample by hash, as any choice gives the same result; fewer than
+    a thousand of a sample's grams can have so many of it.
+    """
+    some = places.filter(F.pmod(F.xxhash64("k1", "start"), F.lit(64)) == 0)
+    total = some.count()
+    return (some.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") * share > total) & (F.col("n") > 64))
+            .select("gram", F.ceil(F.col("n") * share / max(1, total)).alias("parts")))
+
+
 def repeated_starts(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text",
                     block: int = BLOCK) -> DataFrame:
     """``k1, k2, starts``: for documents by key the places (start, end) where strings begin that begin elsewhere too.
@@ -247,11 +304,13 @@ def repeated_starts(docs: DataFrame, length: int = 200, doc_id: str = "doc_id",
     places = staged(whole.mapInArrow(_places(length), PLACES), "grams")
     order = ["gram", "k1", "k2", "start"]
     shared = places.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = (shared.mapInArrow(_shared, "gram long, k1 long, k2 long, start long, end long")
-             .groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "start", "end")).alias("found")))
+    found = (shared.mapInArrow(_shared, "gram long, k1 long, k2 long, start long, end long, at long")
+             .groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "start", "end", "at")).alias("found")))
     pieces = whole.join(found, ["k1", "k2"]).mapInArrow(_cut(length), SEGMENTS)
-    order = ["gram", "same", "k1", "k2", "start"]
-    hits = staged(pieces.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_search(length, block), HITS), "hits")
+    # A frequent gram's segments are parted by document.
+    dealt = (pieces.join(F.broadcast(_frequent(places)), "gram", "left")
+             .withColumn("part", F.coalesce(F.pmod("k1", "parts"), F.lit(0))).repartition("gram", "part"))
+    hits = staged(dealt.sortWithinPartitions("gram", "same").mapInArrow(_search(length, block), HITS), "hits")
     again = (hits.filter("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.sum("copies").alias("n")).filter("n > 1").select("d1", "d2"))
     opened = hits.filter("d1 IS NOT NULL AND copies = 1").join(again, ["d1", "d2"])
     columns = ["k1", "k2", "start", "end"]

@@ -116,3 +116,14 @@ def test_ids_of_another_type(spark):
 
 def test_spans_merge_where_they_touch():
     assert S.covered([(5, 6), (0, 1), (30, 31)], 5) == [(0, 10), (30, 35)]
+
+
+def test_frequent_grams_are_dealt_to_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(S, "_frequent", lambda places: places.select("gram").distinct().selectExpr("gram", "3L AS parts"))
+    assert run(spark, fixture(), 64) == plain(fixture(), 64)
+
+
+def test_a_frequent_gram_is_counted(spark):
+    places = spark.range(40_000).selectExpr("CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS gram", "id AS k1", "id AS start")
+    got = S._frequent(places).collect()
+    assert [r.gram for r in got] == [5] and 250 < got[0].parts < 420

@@ -49,7 +49,7 @@ def op6_license_scan(spark, sf_dir):
 
 def op7_warc(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "history_order")
 
 
 def op8_best_fit_packing(spark, sf_dir):

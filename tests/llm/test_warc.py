@@ -83,3 +83,57 @@ def test_equals_sql(spark, pages):
 
 def test_empty_table(spark):
     assert W.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+IDS = [10**13, 4 * 10**11, -1, -(10**13), 0, 315_360_000, 315_359_999, (1 << 63) - 1, -(1 << 63)]
+
+
+def test_ids_of_any_size_and_the_order(spark):
+    frame = pd.DataFrame([(i, f"http://h.org/{n % 3}", f"page {n % 4}") for n, i in enumerate(IDS)], columns=["page_id", "url", "html"])
+    got = W.archive(spark.createDataFrame(frame, "page_id long, url string, html string"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages AS SELECT * FROM frame")
+    names = ["page_id", "captured_at", "history_order", "record_type", "refers_to", "url_key"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({W.oracle()})").fetchall()
+    rows = got.select(*names).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
+    assert sorted(r.history_order for r in rows) == list(range(1, len(IDS) + 1)) and all("2020" <= r.captured_at[:4] < "2030" for r in rows)
+
+
+def test_ids_that_are_no_numbers_count_as_null(spark):
+    df = spark.createDataFrame([("a", "u", "x"), ("7", "u", "x"), (None, "u", "x")], "page_id string, url string, html string")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in W.archive(df).collect()}
+    assert got == {(7, "response", None), (None, "revisit", 7)}
+
+
+def test_order_is_dense_over_many_ranges(spark, pages):
+    path = W.scratch_path(spark, "warc-test")
+    W.write_archives(pages, path)
+    captures = W.read_archives(spark, path)
+    got = W.capture_histories(captures, rows=20).collect()
+    assert sorted(r.history_order for r in got) == list(range(1, len(rows()) + 1))
+    key = lambda x: ((x.url_key is not None, x.url_key), x.captured_at, (x.page_id is not None, x.page_id))
+    assert [key(x) for x in sorted(got, key=lambda x: x.history_order)] == sorted(map(key, got))
+
+
+def test_a_capture_is_fetched_alone(spark, pages):
+    index = W.archive(pages)
+    some = index.filter("page_id % 7 = 3 OR page_id IS NULL")
+    html = {i: (h or "").encode() for i, _, h in rows() if i is not None}
+    got = {(r.archive, r.offset): r.payload for r in W.fetch(some.select("archive", "offset", "length")).collect()}
+    asked = some.collect()
+    assert len(got) == len(asked)
+    for r in asked:
+        payload = got[r.archive, r.offset]
+        assert payload is None if r.record_type == "revisit" else r.page_id is None or bytes(payload) == html[r.page_id]
+    assert W.fetch(index.limit(0).select("archive", "offset", "length")).count() == 0
+
+
+def test_large_pages_take_files_of_their_own_and_records_several_members(spark):
+    large = "".join(random.Random(3).choices("abcdefgh", k=3000)) * 6000  # 18 MB
+    page = [(1, "u", "small"), (2, "u", "m" * 20_000), (3, "u", large), (4, "u", "x" * (1 << 23)), (5, "u", large), (6, "u", "WARC/1.1\r\n" * 10)]
+    path = W.scratch_path(spark, "warc-test")
+    W.write_archives(spark.createDataFrame(page, "page_id long, url string, html string").coalesce(1), path)
+    got = {r.page_id: r for r in W.read_archives(spark, path).collect()}
+    assert {i: r.payload_bytes for i, r in got.items()} == {i: len(h) for i, _, h in page}
+    assert got[5].refers_to == 3 and got[3].archive != got[1].archive != got[2].archive

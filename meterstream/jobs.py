@@ -6,6 +6,7 @@
     python -m meterstream report --results results/ --panel latest
     python -m meterstream stage-replay --events events.parquet --out replay/
     python -m meterstream publish --events events.parquet --bootstrap kafka:9092 --topic readings
+    python -m meterstream compact --results results/
     python -m meterstream ingest --events events.parquet --out readings/
 
 Checkpoints go under ``--checkpoints`` or, by default, under the session's
@@ -89,7 +90,7 @@ def cmd_train(args) -> None:
 
 def _run_streams(args, detector_name: str) -> None:
     from .streaming.progress import ProgressLog, await_all, drain
-    from .streaming.queries import aggregate_query, model_detector, rule_detector, scoring_query, state_partitions
+    from .streaming.queries import aggregate_query, current_model_detector, rule_detector, scoring_query, state_partitions
     from .streaming.sources import envelope_stream
     from .operators import windows
     spark = build_session(app=f"meterstream-{detector_name}")
@@ -99,8 +100,8 @@ def _run_streams(args, detector_name: str) -> None:
     spark.streams.addListener(listener)
     env = envelope_stream(spark, _source(args))
     if detector_name == "monitor":
-        from .sources.models import load_model
-        detector = model_detector(load_model(spark, args.models))
+        from .sources.models import CurrentModel
+        detector = current_model_detector(CurrentModel(spark, args.models))
         metrics = windows.MODEL_METRICS
     else:
         detector = rule_detector()
@@ -148,6 +149,27 @@ def cmd_ingest(args) -> None:
     write_readings(with_status(readings_from_events(spark.read.parquet(args.events))), args.out)
 
 
+def cmd_promote(args) -> None:
+    """Makes a saved model version the one that running monitors use from their next batch on."""
+    from .sources.models import promote
+    spark = build_session(app="meterstream-promote")
+    print(f"pointer {promote(spark, args.models, args.version)}: {args.version}")
+
+
+def cmd_compact(args) -> None:
+    """Merges the finished batches of every result table into snapshots, and deletes what that has made superfluous."""
+    from .schema import RESULTS
+    from .session import path_exists
+    from .sinks import compaction
+    spark = build_session(app="meterstream-compact")
+    for name in RESULTS:
+        table = f"{args.results.rstrip('/')}/{name}"
+        if path_exists(spark, table):
+            new = compaction.compact(spark, table, name)
+            gone = compaction.vacuum(spark, table, args.keep_hours * 3600)
+            print(f"{name}: {'nothing to merge' if new is None else f'manifest {new.version}'}, {gone} folders deleted")
+
+
 def cmd_publish(args) -> None:
     """Readings of an events table as keyed topic records (key = building, value = JSON)."""
     from .operators import parse
@@ -166,6 +188,7 @@ def cmd_report(args) -> None:
         df = read_results(spark, table, path=args.results, url=args.jdbc_url, properties=_jdbc(args))
         if args.results and args.start and args.end and (table == "aggregations" or args.by == "timestamp"):
             df = reports.stored_between(df, args.start, args.end)
+        df = reports.one_run(df, args.query, args.run, "processed_at" if table == "aggregations" else "detected_at")
         return df.withColumnRenamed("distance", "dist")      # relational stores name it distance
 
     if args.panel == "trend":
@@ -239,6 +262,16 @@ def main(argv=None) -> int:
     st.add_argument("--ordered", action="store_true", help="as an archive in time order, with offsets given out anew")
     st.set_defaults(fn=cmd_stage_replay)
 
+    pr = sub.add_parser("promote", help="have running monitors use a saved model version from their next batch on")
+    pr.add_argument("--models", required=True)
+    pr.add_argument("--version", required=True, help="its folder's name under --models")
+    pr.set_defaults(fn=cmd_promote)
+
+    co = sub.add_parser("compact", help="merge the small files of a result store into snapshots")
+    co.add_argument("--results", required=True)
+    co.add_argument("--keep-hours", type=float, default=24.0, help="how long merged files stay for readers of an older state")
+    co.set_defaults(fn=cmd_compact)
+
     ig = sub.add_parser("ingest", help="parse an events table into a date-partitioned readings table")
     ig.add_argument("--events", required=True)
     ig.add_argument("--out", required=True)
@@ -258,6 +291,8 @@ def main(argv=None) -> int:
     r.add_argument("--panel", choices=("trend", "latest", "per-building"), default="latest")
     r.add_argument("--start", default=None)
     r.add_argument("--end", default=None)
+    r.add_argument("--query", default=None, help="whose results, e.g. monitor-anomalies (by default the query that wrote last)")
+    r.add_argument("--run", default=None, help="which of its runs (by default the one that wrote last)")
     r.add_argument("--rows", type=int, default=10, help="how many of the latest anomalies")
     r.add_argument("--out", default=None, help="write the whole panel there as CSV instead of printing it")
     r.add_argument("--by", choices=("detected_at", "timestamp"), default="detected_at",

@@ -55,3 +55,12 @@ FROZEN = MeterModel(
     centres=((-0.3156, 0.8503), (1.9598, 0.0085), (-0.3155, -0.9109)),
     threshold=1.9327,
 )
+
+# A second frozen model, with two centres and a lower threshold, for comparisons in which the model changes.
+STRICT = MeterModel(
+    features=C.FEATURES,
+    mean=(49.63, 199.29),
+    std=(49.10, 116.09),
+    centres=((-0.25, 0.0), (2.1, 0.05)),
+    threshold=1.6,
+)

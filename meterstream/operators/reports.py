@@ -39,6 +39,21 @@ def stored_between(stored: DataFrame, lo, hi) -> DataFrame:
     return stored.filter((F.col("date") >= day(lo)) & (F.col("date") <= day(hi)))
 
 
+def one_run(stored: DataFrame, query: str | None = None, run: str | None = None, time_col: str = "processed_at") -> DataFrame:
+    """Stored rows of one query and run: those asked for, else the ones that wrote last (by processing time).
+
+    Queries that share a table, and runs that read the same records again,
+    would else give each point several times.
+    """
+    if query is not None:
+        stored = stored.filter(F.col("query") == query)
+    if run is not None:
+        stored = stored.filter(F.col("run") == run)
+    last = (stored.groupBy("query", "run").agg(F.max(time_col).alias("t"))
+            .orderBy(F.desc_nulls_last("t"), "query", "run").limit(1).collect())
+    return stored.filter((F.col("query") == last[0].query) & (F.col("run") == last[0].run)) if last else stored
+
+
 def panel_trend(aggs: DataFrame, lo=None, hi=None, value_col: str = "avg_electricity") -> DataFrame:
     """Trend panel: time, building, value inside the time range, by time ascending."""
     return (time_range(aggs, "window_start", lo, hi)

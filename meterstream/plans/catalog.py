@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.rules import diurnal_profile, expected_base, rule_breach
 from ..model import FROZEN
-from ..operators import enrich, parse, reports, scoring, thresholds, windows
+from ..operators import enrich, parse, reports, scoring, summaries, thresholds, windows
+from ..session import delete_path, scratch_path
 from ..sources.tables import readings, table, with_status
 from .compare import r6
 from .oracle import TREND_HI, TREND_LO
@@ -150,6 +151,49 @@ def threshold_p95(spark, sf_dir):
     return q.select(r6("threshold_p95").alias("threshold_p95"), "n")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table; it goes when the application ends."""
+    path = scratch_path(df.sparkSession, name)
+    delete_path(df.sparkSession, path, at_exit=True)
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    return df.withColumn("date", F.to_date("timestamp"))
+
+
+def threshold_kll(spark, sf_dir):
+    """95th percentile of the distances of a week, from stored sketches by date and building; its true rank is within the bound."""
+    scored = _dated(_scored(spark, sf_dir))
+    stored = _stored(summaries.sketches(scored), "sketches")
+    lo, hi = (F.to_date(F.lit(t)) for t in (TREND_LO, TREND_HI))
+    week = lambda df: df.filter((F.col("date") >= lo) & (F.col("date") < hi))
+    found = summaries.sketched_quantile(summaries.merged_sketches(week(stored), ("building",)), 0.95)
+    ranked = (week(scored).join(F.broadcast(found.select("building", "value")), "building")  # a row for each building
+              .groupBy("building").agg(F.count("dist").alias("n"), F.count(F.when(F.col("dist") <= F.col("value"), 1)).alias("below"),
+                                       F.count(F.when(F.col("dist") < F.col("value"), 1)).alias("under")))
+    # the quantile's own copies span ranks from under/n to below/n
+    error = F.greatest(F.col("under") / F.col("n") - 0.95, 0.95 - F.col("below") / F.col("n"), F.lit(0.0))
+    return ranked.select("building", "n", (error <= F.greatest(F.lit(summaries.RANK_ERROR), 1 / F.col("n"))).alias("within"))
+
+
+def threshold_from_moments(spark, sf_dir):
+    """Mean, standard deviation and threshold of the distances from moments stored by date."""
+    stored = _stored(summaries.moments(_dated(_scored(spark, sf_dir)), ("dist",)), "moments")
+    out = summaries.threshold_of(summaries.merged_moments(stored, ("dist",)))
+    return _rounded(out, "mean_dist", "std_dist", "threshold")
+
+
+def scaler_from_moments(spark, sf_dir):
+    """The scaler's means and deviations from moments stored by date."""
+    cols = ("electricity", "water")
+    stored = _stored(summaries.moments(_dated(scoring.valid_features(readings(spark, sf_dir))), cols), "moments")
+    m = summaries.merged_moments(stored, cols)
+    return m.select(*[r6(v).alias(f"{n}_{c}") for c in cols for n, v in (("mean", F.col(f"{c}_mean")), ("std", summaries.sample_std(c)))],
+                    F.col("electricity_n").alias("n"))
+
+
 def model_anomalies(spark, sf_dir):
     an = scoring.anomalies(readings(spark, sf_dir), FROZEN)
     return an.withColumn("dist", r6("dist"))
@@ -205,6 +249,9 @@ QUERIES: dict[str, Query] = {
     "cluster_sizes": cluster_sizes,
     "distance_threshold": distance_threshold,
     "threshold_p95": threshold_p95,
+    "threshold_kll": threshold_kll,
+    "threshold_from_moments": threshold_from_moments,
+    "scaler_from_moments": scaler_from_moments,
     "model_anomalies": model_anomalies,
     "severity_bands": severity_bands,
     "pct_of_average": pct_of_average,

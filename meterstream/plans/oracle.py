@@ -8,7 +8,7 @@ go through ``compare.r6_sql`` (and ``compare.r6`` in Spark).
 from __future__ import annotations
 
 from .. import constants as C
-from ..model import FROZEN, MeterModel
+from ..model import FROZEN, STRICT, MeterModel
 from .compare import r6_sql as r6
 
 
@@ -145,6 +145,12 @@ SELECT building, count(*) AS anomaly_count, {r6('avg(dist)')} AS avg_distance
 FROM scored WHERE dist > {dbl(FROZEN.threshold)} GROUP BY building""",
 }
 
+ORACLE["threshold_kll"] = with_ctes(READINGS, scored_cte()) + f"""
+SELECT building, count(dist) AS n, true AS within FROM scored
+WHERE "timestamp" >= TIMESTAMP '{TREND_LO}' AND "timestamp" < TIMESTAMP '{TREND_HI}' GROUP BY building"""
+ORACLE["threshold_from_moments"] = ORACLE["distance_threshold"]
+ORACLE["scaler_from_moments"] = ORACLE["scaler_stats"]
+
 ORACLE["panel_trend"] = with_ctes(READINGS) + f"""
 SELECT window_start AS time, building, value FROM (
   SELECT building, {r6('avg(electricity)')} AS value,
@@ -200,8 +206,15 @@ ORACLE.update({
 SELECT 'fail' AS policy, (SELECT gone FROM lost) AS failed, count(*) FILTER (WHERE NOT (SELECT gone FROM lost)) AS anomalies,
        {r6("coalesce(sum(electricity) FILTER (WHERE NOT (SELECT gone FROM lost)), 0.0)")} AS electricity FROM left_over
 UNION ALL SELECT 'skip', false, count(*), {r6("coalesce(sum(electricity), 0.0)")} FROM left_over""",
+    "stream_model_swap": " UNION ALL ".join(
+        "SELECT * FROM (" + with_ctes(READINGS, f"""part AS (SELECT * FROM readings WHERE "timestamp" {op} TIMESTAMP '2024-01-10 00:00:00')""",
+                                      scored_cte(m, "part")) + f"""
+SELECT building, floor, electricity, water, cluster, {r6('dist')} AS dist, '{name}' AS model_version, "timestamp"
+FROM scored WHERE dist > {dbl(m.threshold)})""" for name, m, op in (("first", FROZEN, "<"), ("second", STRICT, ">="))),
     "stream_open_windows": f"""SELECT *, window_end > (SELECT max(ts) FROM events) - INTERVAL '2 hours' AS open FROM ({HOURLY})""",
     "stream_late_rows": f"SELECT * EXCLUDE (window_end) FROM ({window_sql('1 hour', 'count(*) AS readings')})",
+    "rollup_trend": ORACLE["panel_trend"],
+    "rollup_anomalies_per_building": ORACLE["anomalies_per_building"],
     "stored_compacted": f"SELECT * FROM ({HOURLY}), (VALUES ('before'), ('during'), ('after'), ('vacuumed')) AS s(stage)",
     "stream_model_anomalies": STORED_ANOMALIES,
     "stream_restart": f"""SELECT 'first' AS sink, * FROM ({STORED_ANOMALIES}) UNION ALL

@@ -17,20 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
 from ..functions.parse import utc_wall
-from ..model import FROZEN
-from ..operators import enrich, parse, reports, windows
+from ..model import FROZEN, STRICT
+from ..operators import enrich, parse, reports, summaries, windows
 from ..schema import result_schema
 from ..session import delete_path, scratch_path
 from ..sinks import compaction
 from ..sinks import DocumentSink, ParquetSink, RelationalSink, aggregate_row, anomaly_row
 from ..sinks.adapters import AGG_TIME_COLS, LAYOUT
+from ..sources.models import CurrentModel, promote, save_model
 from ..sources.results import read_results
 from ..sources.tables import readings, with_status
 from ..streaming.archive import expire, write_archive
 from ..streaming.checkpoint import LateRows, open_windows
 from ..streaming.progress import ProgressLog, await_all, drain
-from ..streaming.queries import (QuerySettings, aggregate_query, model_detector, rule_detector,
-                                 scoring_query, state_partitions)
+from ..streaming.queries import (QuerySettings, aggregate_query, current_model_detector, model_detector, rollup_query,
+                                 rule_detector, scoring_query, state_partitions)
 from ..streaming.replay import RECORDS_PER_FILE, stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
 from .compare import r6
@@ -244,6 +245,38 @@ class _FailsOnce:
         self.sink.write(df, batch)
 
 
+#: Until when the first model is used.
+SWAPPED = "2024-01-10T00:00:00"
+
+
+def stream_model_swap(spark, sf_dir):
+    """Another model is promoted while the query runs; each anomaly names the version that found it.
+
+    Readings before a time are archived and processed, the model is swapped, and the rest follows.
+    """
+    root = scratch_path(spark, "models")
+    versions = {save_model(spark, root, m).rpartition("/")[2]: name for name, m in (("first", FROZEN), ("second", STRICT))}
+    folder = {name: v for v, name in versions.items()}
+    promote(spark, root, folder["first"])
+    records = parse.to_envelope(with_status(readings(spark, sf_dir)))
+    until = F.lit(SWAPPED.replace("T", " ")).cast("timestamp_ntz")
+    path, settings, out = scratch_path(spark, "archive"), _settings(spark, "stream_model_swap", drain=True), _out(spark, "stream_model_swap")
+    write_archive(records.filter(utc_wall("timestamp") < until), path, order=("timestamp",))
+    src = SourceConfig(kind="archive", path=path, starting_offsets="earliest", max_offsets_per_trigger=_limit(spark, sf_dir))
+    q = scoring_query(envelope_stream(spark, src), current_model_detector(CurrentModel(spark, root)), [ParquetSink(f"{out}/anomalies")], settings)
+    try:
+        q.processAllAvailable()
+        promote(spark, root, folder["second"])
+        write_archive(records.filter(utc_wall("timestamp") >= until), path, order=("timestamp",))
+    finally:
+        drain([q])
+    _forget(spark, src, settings)
+    delete_path(spark, root)
+    named = F.element_at(F.create_map(*[F.lit(x) for v in versions.items() for x in v]), F.col("model_version"))
+    found = read_results(spark, "anomalies", out).withColumn("model_version", named)
+    return _r6(found.select("building", "floor", "electricity", "water", "cluster", "dist", "model_version", "timestamp"), "dist")
+
+
 def stream_restart(spark, sf_dir):
     """The second of two sinks fails once; after restart both hold every anomaly exactly once."""
     src, settings, out = replay_source(spark, sf_dir), _settings(spark, "stream_restart"), _out(spark, "stream_restart")
@@ -337,6 +370,34 @@ def stored_compacted(spark, sf_dir):
     return stages[0].union(stages[1]).union(stages[2]).union(stages[3])
 
 
+def _rollups(spark, sf_dir, name, values, shape) -> DataFrame:
+    src, settings, out = replay_source(spark, sf_dir), _settings(spark, name), _out(spark, name)
+    await_all([rollup_query(envelope_stream(spark, src), shape, [ParquetSink(f"{out}/rollups")], settings)])
+    _forget(spark, src, settings)
+    fields = ", ".join(f"{v}_n long, {v}_sum double, {v}_min double, {v}_max double" for v in values)
+    return spark.read.schema(f"building string, window_start timestamp_ntz, window_end timestamp_ntz, rows long, {fields}, "
+                             "date date, batch_id long").parquet(f"{out}/rollups")
+
+
+def rollup_trend(spark, sf_dir):
+    """The trend panel from partial aggregates of the micro-batches: no window state, no readings read again."""
+    stored = _rollups(spark, sf_dir, "rollup_trend", ("electricity",), lambda rows: summaries.rollup(rows, ("electricity",)))
+    stored = reports.stored_between(stored, TREND_LO, TREND_HI)
+    return summaries.trend_of(stored, TREND_LO, TREND_HI).withColumn("value", r6("value"))
+
+
+def rollup_anomalies_per_building(spark, sf_dir):
+    """Anomalies per building from partial aggregates of the micro-batches' anomalies, by day."""
+    detect = model_detector(FROZEN)
+
+    def shape(rows: DataFrame) -> DataFrame:
+        found = detect(rows.withColumn("received_at", F.current_timestamp()))
+        return summaries.rollup(found, ("dist",), duration="1 day")
+
+    stored = _rollups(spark, sf_dir, "rollup_anomalies_per_building", ("dist",), shape)
+    return summaries.per_building_of(stored).withColumn("avg_distance", r6("avg_distance"))
+
+
 def _stored_anomalies(spark, sf_dir, name):
     out = _out(spark, name)
     _scoring(spark, sf_dir, name, model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")])
@@ -372,7 +433,7 @@ def stream_pct_of_average(spark, sf_dir):
 
 
 STREAM_QUERIES = {f.__name__: f for f in (
-    archive_from_time, archive_gap, stored_compacted, stream_open_windows, stream_late_rows, stream_pct_of_average, stream_window_agg, stream_window_agg_append, stream_rule_anomalies, stream_model_anomalies,
+    archive_from_time, archive_gap, stream_model_swap, rollup_trend, rollup_anomalies_per_building, stored_compacted, stream_open_windows, stream_late_rows, stream_pct_of_average, stream_window_agg, stream_window_agg_append, stream_rule_anomalies, stream_model_anomalies,
     stream_progress, stream_restart, sink_documents, sink_documents_aggregates, sink_relational,
     sink_relational_aggregates, stored_two_streams, stored_panel_trend, stored_panel_latest,
     stored_anomalies_per_building)}

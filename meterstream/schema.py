@@ -45,7 +45,7 @@ RESULTS = {
                     "max_electricity double, max_water double, window_start {time}, window_end {time}, "
                     "processed_at timestamp, " + _LAYOUT,
     "anomalies": "building string, floor int, electricity double, water double, status string, is_anomaly boolean, "
-                 "cluster int, {distance} double, " + _PLACE + ", timestamp {time}, detected_at timestamp, " + _LAYOUT,
+                 "cluster int, {distance} double, model_version string, " + _PLACE + ", timestamp {time}, detected_at timestamp, " + _LAYOUT,
     "late": "building string, floor int, electricity double, water double, " + _PLACE + ", timestamp {time}, "
             "window_start {time}, window_end {time}, watermark {time}, reason string, " + _LAYOUT,
     "rejects": "raw string, reason string, " + _PLACE + ", " + _LAYOUT,

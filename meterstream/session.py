@@ -65,6 +65,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/meterstream/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def delete_path(spark: SparkSession, path: str, at_exit: bool = False) -> None:
     """Deletes a scratch folder, now or when the application ends (what is still to be read)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -202,7 +202,7 @@ def anomaly_row(df: DataFrame) -> DataFrame:
     Model anomalies carry cluster and distance, all carry status, flag and
     their place in the topic where they have them.
     """
-    extra = [c for c in ("status", "is_anomaly", "cluster") if c in df.columns]
+    extra = [c for c in ("status", "is_anomaly", "cluster", "model_version") if c in df.columns]
     if "dist" in df.columns:
         extra.append(F.col("dist").alias("distance"))
     return df.select("building", "floor", "electricity", "water", *extra, *[c for c in PLACE if c in df.columns],

@@ -152,6 +152,21 @@ def aggregate_query(envelope: DataFrame, sinks: Sequence, settings: QuerySetting
     return _start(aggs.writeStream.outputMode(output_mode).foreachBatch(fan_out(sinks, settings, late)), settings)
 
 
+def rollup_query(envelope: DataFrame, shape: Callable[[DataFrame], DataFrame], sinks: Sequence, settings: QuerySettings) -> StreamingQuery:
+    """Stateless: partial aggregates (``summaries.rollup``) of each micro-batch, which panels merge.
+
+    Late readings merge like any others; a batch run again replaces its rows.
+    """
+    readings, named = parse.valid(observed(parse.decode(envelope))), _Run(settings)
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        rolled, batch = shape(batch_df), named.batch(batch_df.sparkSession, batch_id)
+        for s in sinks:
+            s.write(rolled, batch)
+
+    return _start(readings.writeStream.outputMode("append").foreachBatch(run), settings)
+
+
 Detector = Callable[[DataFrame], DataFrame]
 
 
@@ -164,6 +179,14 @@ def model_detector(model: MeterModel) -> Detector:
     return detect
 
 
+def current_model_detector(models) -> Detector:
+    """Scores each batch with the version in use when it begins (``sources.models.CurrentModel``), named in every row."""
+    def detect(readings: DataFrame) -> DataFrame:
+        version, model = models.get()
+        return model_detector(model)(readings).withColumn("model_version", F.lit(version))
+    return detect
+
+
 def rule_detector(high_electricity: float = C.HIGH_ELECTRICITY, high_water: float = C.HIGH_WATER) -> Detector:
     def detect(readings: DataFrame) -> DataFrame:
         return (readings.filter(rule_breach("electricity", "water", high_electricity, high_water))

@@ -69,3 +69,30 @@ def test_rules_stream_and_reports(spark, duck, capsys):
                "--start", "2024-01-01 00:00:00", "--end", "2024-01-02 00:00:00"])
     out = capsys.readouterr().out
     assert "anomaly_count" in out and "distance" in out
+
+
+def test_reports_tell_queries_and_runs_apart(spark, capsys):
+    """Two queries and a second run in one folder: a panel gives each point once."""
+    root = scratch_path(spark, "jobs-runs")
+    from meterstream.sources.tables import readings
+    readings(spark, SF_SMALL).write.parquet(f"{root}/train.parquet")
+    jobs.main(["train", "--input", f"{root}/train.parquet", "--models", f"{root}/models"])
+    jobs.main(["stage-replay", "--events", f"{SF_SMALL}/events.parquet", "--out", f"{root}/replay"])
+    common = ["--replay", f"{root}/replay", "--results", f"{root}/results", "--available-now", "--shuffle-partitions", "2",
+              "--window", "1 hour", "--watermark", "none"]
+
+    def panel(name, *how):
+        capsys.readouterr()
+        jobs.main(["report", "--results", f"{root}/results", "--panel", name, *how])
+        return capsys.readouterr().out.strip().split("\n")[1:]
+
+    jobs.main(["rules", *common, "--checkpoints", f"{root}/ckpt"])
+    rules, rule_counts = panel("trend"), panel("per-building")
+    jobs.main(["monitor", *common, "--checkpoints", f"{root}/ckpt", "--models", f"{root}/models"])
+    once, counts = panel("trend"), panel("per-building")
+    jobs.main(["monitor", *common, "--checkpoints", f"{root}/ckpt-2", "--models", f"{root}/models"])
+    assert len({tuple(x.split("\t")[:2]) for x in once}) == len(once) > 0
+    assert panel("trend") == once == rules and panel("per-building") == counts
+    assert panel("per-building", "--query", "rules-anomalies") == rule_counts != counts
+    jobs.main(["compact", "--results", f"{root}/results", "--keep-hours", "0"])
+    assert panel("trend") == once and panel("per-building") == counts

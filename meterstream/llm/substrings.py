@@ -20,6 +20,7 @@ Tasks hold a block and a document at a time; no group is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, staged, without
+from ..session import scratch_path
+from .common import forget_at_end, quoted, staged, without
 from .suffixes import equal_windows, suffix_array
 
 GRAM = 32
@@ -80,7 +82,12 @@ def segments(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return gram.view(np.int64), start, end, place
 
 
-PLACES = "gram long, k1 long, k2 long, start long, end long, at long"
+PLACES = "gram long, k1 long, k2 long, start long, extent long"
+
+
+def packed(start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Length of a segment and place of its gram (under 65,535) as one number."""
+    return (end - start) << 16 | (at + 1)
 
 
 def _places(length: int):
@@ -91,27 +98,27 @@ def _places(length: int):
             for n, text in enumerate(batch.column(2)):
                 found = segments(text.as_buffer().to_pybytes() if text.is_valid else b"", length)
                 if len(found[0]):
-                    held.append((found[0], np.full(len(found[0]), k1[n]), np.full(len(found[0]), k2[n]), *found[1:]))
+                    held.append((found[0], np.full(len(found[0]), k1[n]), np.full(len(found[0]), k2[n]), found[1], packed(*found[1:])))
                 if held and (sum(len(x[0]) for x in held) > 50_000 or n == batch.num_rows - 1):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)],
-                                                     names=["gram", "k1", "k2", "start", "end", "at"])
+                                                     names=["gram", "k1", "k2", "start", "extent"])
                     held = []
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)],
-                                                 names=["gram", "k1", "k2", "start", "end", "at"])
+                                                 names=["gram", "k1", "k2", "start", "extent"])
 
     return rows
 
 
 def _shared(batches):
     """Of rows sorted by gram those whose gram comes twice; at the edges of a task all stay, as others may hold them."""
-    names, before, held = ["gram", "k1", "k2", "start", "end", "at"], None, None
+    names, before, held = ["gram", "k1", "k2", "start", "extent"], None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        g, twice = batch.column("gram").to_numpy(), batch.column("at").to_numpy() < 0
+        g, twice = batch.column("gram").to_numpy(), batch.column("extent").to_numpy() & 0xFFFF == 0
         equal = g[1:] == g[:-1]
         left = np.concatenate([[before is None or before == g[0]], equal])
         keep = (left | np.concatenate([equal, [True]]) | twice)[:-1]
@@ -137,10 +144,11 @@ def _cut(length: int):
             for text, k1, k2, found in zip(*(batch.column(c) for c in ("text", "k1", "k2", "found"))):
                 data, k1, k2 = text.as_buffer().to_pybytes(), k1.as_py(), k2.as_py()
                 for place in found.as_py():
-                    for s in range(place["start"], place["end"], LONGEST):
-                        piece = data[s:min(place["end"], s + LONGEST) + length - 1]
+                    end, at = place["start"] + (place["extent"] >> 16), (place["extent"] & 0xFFFF) - 1
+                    for s in range(place["start"], end, LONGEST):
+                        piece = data[s:min(end, s + LONGEST) + length - 1]
                         same = xxh3_64_intdigest(piece)
-                        out.append((place["gram"], same - (1 << 63), k1, k2, s, place["at"], piece))
+                        out.append((place["gram"], same - (1 << 63), k1, k2, s, at, piece))
                         held += len(piece)
                     if held > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
@@ -292,21 +300,34 @@ def _frequent(places: DataFrame, share: int = 1000) -> DataFrame:
             .select("gram", F.ceil(F.col("n") * share / max(1, total)).alias("parts")))
 
 
-def repeated_starts(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text",
-                    block: int = BLOCK) -> DataFrame:
-    """``k1, k2, starts``: for documents by key the places (start, end) where strings begin that begin elsewhere too.
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``k1, k2, row, text`` written once, bucketed by key: both joins with what is found take the texts from there as they lie."""
+    spark = docs.sparkSession
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"texts_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "texts")
+    other = F.struct(*[quoted(c) for c in docs.columns if c != text], F.lit(0).alias("_")).alias("row")
+    (docs.select(*_key(doc_id, text), other, quoted(text).alias("text")).repartition(buckets, "k1", "k2")
+     .write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, "k1", "k2").saveAsTable(name))
+    forget_at_end(spark, path)
+    keyed = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its entry; the files stay
+    return keyed
+
+
+def repeated_starts(keyed: DataFrame, length: int = 200, block: int = BLOCK) -> DataFrame:
+    """``k1, k2, starts``: for texts by key (``k1, k2, text``) the places (start, end) where strings begin that begin elsewhere too.
 
     ``block`` is the number of bytes of a suffix array; results don't depend on it.
     """
     if length < 2 * GRAM:
         raise ValueError(f"strings of {2 * GRAM} bytes at least")
-    whole = docs.select(*_key(doc_id, text), F.coalesce(quoted(text), F.lit("")).alias("text"))
+    whole = keyed.select("k1", "k2", F.coalesce("text", F.lit("")).alias("text"))
     places = staged(whole.mapInArrow(_places(length), PLACES), "grams")
     order = ["gram", "k1", "k2", "start"]
     shared = places.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = (shared.mapInArrow(_shared, "gram long, k1 long, k2 long, start long, end long, at long")
-             .groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "start", "end", "at")).alias("found")))
-    pieces = whole.join(found, ["k1", "k2"]).mapInArrow(_cut(length), SEGMENTS)
+    found = (shared.mapInArrow(_shared, "gram long, k1 long, k2 long, start long, extent long")
+             .groupBy("k1", "k2").agg(F.collect_set(F.struct("gram", "start", "extent")).alias("found")))
+    pieces = whole.join(found.hint("shuffle_hash"), ["k1", "k2"]).mapInArrow(_cut(length), SEGMENTS)
     # A frequent gram's segments are parted by document.
     dealt = (pieces.join(F.broadcast(_frequent(places)), "gram", "left")
              .withColumn("part", F.coalesce(F.pmod("k1", "parts"), F.lit(0))).repartition("gram", "part"))
@@ -366,15 +387,15 @@ def deduplicate(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text
     null, repeated or of any type that hashes.  Columns named ``kept`` or
     ``removed`` are replaced, others are handed through.
     """
-    found = repeated_starts(docs, length, doc_id, text, block)
-    whole = F.coalesce(quoted(text), F.lit(""))
-    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), whole.alias("whole"), *_key(doc_id, text))
-    joined = rows.join(found, ["k1", "k2"], "left")
+    if length < 2 * GRAM:
+        raise ValueError(f"strings of {2 * GRAM} bytes at least")
+    keyed = _keyed(docs, doc_id, text)
+    joined = keyed.join(repeated_starts(keyed, length, block).hint("shuffle_hash"), ["k1", "k2"], "left")
     some = F.col("starts").isNotNull()
     nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    cut = joined.withColumn("cut", _cut_out(F.when(some, F.col("whole")), F.coalesce("starts", nothing), length))
-    return cut.select(*[F.col("row").getField(c).alias(c) for c in without(docs, "kept", "removed").columns],
-                      F.when(some, F.col("cut.kept")).otherwise(F.col("whole").cast("binary")).alias("kept"),
+    cut = joined.withColumn("cut", _cut_out(F.when(some, F.coalesce("text", F.lit(""))), F.coalesce("starts", nothing), length))
+    return cut.select(*[(F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in without(docs, "kept", "removed").columns],
+                      F.when(some, F.col("cut.kept")).otherwise(F.coalesce("text", F.lit("")).cast("binary")).alias("kept"),
                       F.when(some, F.col("cut.removed")).otherwise(nothing).alias("removed"))
 
 

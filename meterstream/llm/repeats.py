@@ -2,13 +2,17 @@
 
 A text is cut into units, at line ends and, as many texts have none, at the
 ends of sentences (or at blank lines for paragraphs).  Units are folded to
-lower-case letters and digits; equal digests are grouped over all documents
-and the occurrence in the document with the smallest id stays.  Consecutive
-repeated units form a passage; every passage is removed, however short, with
-its words and its offsets in the text as it was.
-
-A digest that a third of all units share makes no large group: what is grouped
-is a count and the smallest id, summed up by each task first.
+lower-case letters and digits; equal digests are brought together over all
+documents and the occurrence in the first document stays (by id, then by a hash
+of the text).  A piece of fewer words than a unit has goes with the unit after
+it where the two together are repeated.  Consecutive repeated units form a
+passage; every passage is removed, however short, with its words and its offsets
+in the text as it was.
+
+Units are sorted over all documents by digest and rank, so a digest that a third
+of all units share lies in many tasks; a task keeps a row at a time in mind.  The
+digest that a task begins with may have come in tasks before; the last digest
+of each task, a row of it, tells.
 """
 
 from __future__ import annotations
@@ -34,23 +38,38 @@ SCHEMA = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("unit", pa.int32()
 def units(text: str | None, cut: re.Pattern, least: int):
     """(start, end, words, digest, whether it came before in this text) of a text's units.
 
-    A unit of fewer than ``least`` words goes on to the next end.
+    Pieces of fewer than ``least`` words are held: with the next ones they make
+    a unit of enough words, or they stand before one, as a unit that is known
+    by its words and those of the one after it.  Short pieces at the end of a
+    text are none.
     """
     from xxhash import xxh3_128_digest
     text = text or ""
-    seen, at, start, held, words = set(), 0, 0, [], 0
+    seen, at, start, last, held, words = set(), 0, 0, 0, [], 0
+
+    def unit(start: int, end: int, words: int, known_by: str):
+        digest = xxh3_128_digest(known_by.encode())
+        again = digest in seen
+        seen.add(digest)
+        return start, end, words, digest, again
+
     for m in [*cut.finditer(text), None]:
         end = m.start() + len(m.group().rstrip()) if m else len(text)
         piece = OTHER.sub(" ", text[at:end].lower()).strip()
         if piece:
-            start = start if held else at
-            held.append(piece)
-            words += piece.count(" ") + 1
-        if words >= least:
-            digest = xxh3_128_digest(" ".join(held).encode())
-            yield start, end, words, digest, digest in seen
-            seen.add(digest)
-            held, words = [], 0
+            n = piece.count(" ") + 1
+            if n >= least:
+                if held:
+                    yield unit(start, last, words, " ".join(held) + "\n" + piece)
+                yield unit(at, end, n, piece)
+                held, words = [], 0
+            else:
+                start, last = start if held else at, end
+                held.append(piece)
+                words += n
+                if words >= least:
+                    yield unit(start, end, words, " ".join(held))
+                    held, words = [], 0
         at = m.end() if m else end
 
 
@@ -72,7 +91,44 @@ def _units_of(cut: str, least: int):
 
 
 def _key(doc_id: str, text: str) -> tuple[Column, Column]:
-    return F.coalesce(quoted(doc_id).cast("long"), F.lit(UNNAMED)), F.xxhash64(quoted(text))
+    return F.coalesce(quoted(doc_id).try_cast("long"), F.lit(UNNAMED)), F.xxhash64(quoted(text))
+
+
+ROWS = "h1 long, h2 long, id long, key long, unit int, start long, end long, words int, first_id long, first_key long, kind int"
+#: Kinds of rows that a task returns: repeated units; units of the digest it begins with, that came before in
+#: their own text or not; and the first of its last digest.
+REPEATED, AGAIN, OPEN, LAST = range(4)
+
+
+def _repeated(batches):
+    """Of units sorted by digest and rank, those that came before (and what only other tasks can tell)."""
+    names = [f.split()[0] for f in ROWS.split(", ")]
+    digest = first = opening = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        c = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("h1", "h2", "id", "key", "again")}
+        new = np.concatenate([[True], (c["h1"][1:] != c["h1"][:-1]) | (c["h2"][1:] != c["h2"][:-1])])
+        goes_on = digest == (c["h1"][0], c["h2"][0])
+        opening = (c["h1"][0], c["h2"][0]) if opening is None else opening
+        begun = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))  # of each row's digest
+        first_id, first_key = c["id"][begun], c["key"][begun]
+        if goes_on:
+            first_id[begun == 0], first_key[begun == 0] = first
+        digest = (c["h1"][-1], c["h2"][-1])
+        first = (first_id[-1], first_key[-1])
+        of_opening = (c["h1"] == opening[0]) & (c["h2"] == opening[1])
+        gone = c["again"] | (c["id"] != first_id) | (c["key"] != first_key)
+        kind = np.where(of_opening, np.where(c["again"], AGAIN, OPEN), REPEATED).astype(np.int32)
+        rows = np.flatnonzero(gone | of_opening)
+        if len(rows):
+            kept = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*[kept.column(n) for n in names[:8]], pa.array(first_id[rows]), pa.array(first_key[rows]),
+                                              pa.array(kind[rows])], names=names)
+    if digest is not None:
+        none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array([digest[0]]), pa.array([digest[1]]), *none, pa.array([first[0]]), pa.array([first[1]]),
+                                          pa.array([LAST], pa.int32())], names=names)
 
 
 def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 1,
@@ -85,12 +141,17 @@ def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, l
     i, key = _key(doc_id, text)
     every = staged(docs.select(i.alias("id"), key.alias("key"), quoted(text).alias("text"))
                    .mapInArrow(_units_of(cut, least_words), UNITS), "units")
-    firsts = (every.filter("NOT again").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-              .filter("n > 1").select("h1", "h2", "first"))
-    repeated = (every.join(firsts, ["h1", "h2"], "left").filter("again OR first <> id")
-                .groupBy("id", "key", "unit")  # rows that come twice are one document
-                .agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("words").alias("words"),
-                     F.min(F.coalesce("first", "id")).alias("first")))
+    order = ["h1", "h2", "id", "key", "unit"]
+    found = staged(every.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_repeated, ROWS), "repeated")
+    # A row for each task.
+    begun = found.filter(F.col("kind") == LAST).groupBy("h1", "h2").agg(F.min(F.struct("first_id", "first_key")).alias("f"))
+    opened = found.filter(F.col("kind").isin(AGAIN, OPEN)).join(F.broadcast(begun), ["h1", "h2"], "left")
+    first = F.least(F.struct("first_id", "first_key"), F.col("f"))  # skips a missing one
+    opened = (opened.withColumn("first", first).filter((F.col("kind") == AGAIN) | (F.col("id") != F.col("first.first_id")) | (F.col("key") != F.col("first.first_key")))
+              .select("id", "key", "unit", "start", "end", "words", F.col("first.first_id").alias("first")))
+    repeated = (found.filter(F.col("kind") == REPEATED).select("id", "key", "unit", "start", "end", "words", F.col("first_id").alias("first"))
+                .union(opened).groupBy("id", "key", "unit")  # rows that come twice are one document
+                .agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("words").alias("words"), F.min("first").alias("first")))
     number = F.row_number().over(Window.partitionBy("id", "key").orderBy("unit"))
     return (repeated.withColumn("run", F.col("unit") - number).groupBy("id", "key", "run")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
@@ -121,10 +182,11 @@ def deduplicate(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_r
     """``docs`` with repeated passages cut out, and ``removed``: array of start, end, words, kept_doc_ids.
 
     Offsets are in characters of the text as it was.  The occurrence in the
-    document with the smallest id stays (within a document the first one;
-    documents without an id come last); rows that share an id rank alike, so
-    what only they share stays in each.  Null and empty texts have no units;
-    repeated rows get equal results; a column named ``removed`` is replaced.
+    document with the smallest id stays (within a document the first one), of
+    documents that share an id that of the smallest text hash; documents
+    without an id, or with one that is no whole number, come last.  Rows that
+    share id and text are one document: they get equal results.  Null and empty
+    texts have no units; a column named ``removed`` is replaced.
     With ``changed_only`` documents that lost nothing are left out.
     """
     found = (repeated_passages(docs, cut, least_words, least_run, doc_id, text).groupBy("id", "key")

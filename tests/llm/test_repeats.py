@@ -6,38 +6,47 @@ import pytest
 from meterstream.llm import repeats as R
 
 
+def plain_units(t, cut, least):
+    """(start, end, words, what it is known by): pieces of enough words, short ones put together, short ones before a unit."""
+    parts, short, at = [], [], 0
+    for m in [*re.finditer(cut, t), None]:
+        end = m.start() + len(m.group().rstrip()) if m else len(t)
+        words = re.findall(r"[^\W_]+", t[at:end].lower())
+        if len(words) >= least:
+            if short:
+                parts.append((short[0][0], short[-1][1], sum(len(w) for _, _, w in short), (*[x for _, _, w in short for x in w], None, *words)))
+            parts.append((at, end, len(words), tuple(words)))
+            short = []
+        elif words:
+            short.append((at, end, words))
+            if sum(len(w) for _, _, w in short) >= least:
+                all_words = [x for _, _, w in short for x in w]
+                parts.append((short[0][0], end, len(all_words), tuple(all_words)))
+                short = []
+        at = m.end() if m else end
+    return parts
+
+
 def plain(rows, cut, least, run):
     """{(id, text): [(start, end, words, kept ids)]} by going through all units in order of rank."""
+    from xxhash import xxh64_intdigest
     rank = lambda i: R.UNNAMED if i is None else i
-    docs = sorted({(rank(i), t) for i, t in rows if t}, key=lambda x: x[0])
-    pieces = {}
-    for i, t in docs:
-        parts, start, words, at = [], 0, [], 0
-        for m in [*re.finditer(cut, t), None]:
-            end = m.start() + len(m.group().rstrip()) if m else len(t)
-            new = re.findall(r"[^\W_]+", t[at:end].lower())
-            if new and not words:
-                start = at
-            words += new
-            if len(words) >= least:
-                parts.append((start, end, len(words), " ".join(words)))
-                words = []
-            at = m.end() if m else end
-        pieces[i, t] = parts
+    key = lambda t: (xxh64_intdigest(t.encode(), seed=42) ^ 1 << 63) - (1 << 63)  # noqa: E731  as a signed number
+    pieces = {(rank(i), t): plain_units(t, cut, least) for i, t in rows if t}
     first = {}
-    for (i, _), parts in pieces.items():
+    for (i, t), parts in pieces.items():
         for p in parts:
-            first[p[3]] = min(i, first.get(p[3], i))
+            first[p[3]] = min((i, key(t)), first.get(p[3], (i, key(t))))
     out = {}
     for (i, t), parts in pieces.items():
         runs, seen, now = [], set(), None
         for s, e, w, n in parts:
-            if first[n] < i or n in seen:
+            if first[n] != (i, key(t)) or n in seen:
                 if now is None:
                     runs.append(now := [s, e, 0, set()])
                 now[1], now[2] = e, now[2] + w
-                if first[n] != R.UNNAMED:
-                    now[3].add(first[n])
+                if first[n][0] != R.UNNAMED:
+                    now[3].add(first[n][0])
             else:
                 now = None
             seen.add(n)
@@ -98,3 +107,36 @@ def test_short_repeats_go_too(spark):
     got = {x.doc_id: x for x in R.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: x.text for i, x in got.items()} == {1: rows[0][1], 2: "Quite another text.\n", 3: "\nA third text stands here.\n"}
     assert {i: [(s.words, s.kept_doc_ids) for s in x.removed] for i, x in got.items()} == {1: [], 2: [(3, [1])], 3: [(3, [1])] * 2}
+
+
+def test_a_short_piece_does_not_hide_the_unit_after_it(spark):
+    rows = [(1, "ok\nThis is a repeated line here"), (2, "hm\nThis is a repeated line here"), (3, "hm\nThis is a repeated line here")]
+    got = {x.doc_id: x for x in R.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].text for i in (1, 2, 3)] == [rows[0][1], "hm\n", ""]  # the third's short piece goes with its neighbour
+    assert [[tuple(s) for s in got[i].removed] for i in (2, 3)] == [[(3, 31, 6, [1])], [(0, 31, 7, [1, 2])]]
+
+
+def test_documents_without_an_id_or_with_one_id_rank_by_their_text(spark):
+    line = "a passage that only they hold"
+    rows = [(None, line), (None, line + "\nand one more line"), (7, "first of two texts\nshared by both"), (7, "shared by both\nsecond of two texts")]
+    got = R.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(line in x.text for x in got) == 1 and sum("shared by both" in x.text for x in got) == 1
+    odd = spark.createDataFrame([("a", line), ("3", line), (None, line + "!")], "doc_id string, text string")
+    assert {x.doc_id: x.text for x in R.deduplicate(odd).collect()} == {"a": "", "3": line, None: ""}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_digests_that_reach_over_tasks(spark, parts):
+    """A unit that half of all documents hold lies in many tasks."""
+    rows = [(i, f"own words of {i}\nshared words of all" + ("\nshared words of all" if i % 9 == 0 else "")) for i in range(5, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {x.doc_id: x for x in R.deduplicate(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[5].text == rows[0][1] and all(x.text.rstrip() == f"own words of {i}" for i, x in got.items() if i > 5)
+    assert all([tuple(s.kept_doc_ids) for s in x.removed] == [(5,)] for i, x in got.items() if i > 5)

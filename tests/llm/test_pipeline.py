@@ -30,7 +30,7 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, stages):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     assert sum(labels[i] == 1 and i in q for i in labels) > 0.97 * sum(labels.values())
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    index = D.Index(bench, 8, 0.1, 32)
+    index = D.Index(bench, 8, 0.1, 1)
     assert all(bool(D.find(s[i].text, index)) == (i not in d) for i in s)
     change = P.Permutation(C.DEMO_KEY)
     assert all(p[i].text == (P.replaced(d[i].text, change)[0] or d[i].text) and len(p[i].text) == len(d[i].text) for i in d)

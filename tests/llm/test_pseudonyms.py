@@ -163,3 +163,105 @@ def test_very_long_addresses_turn_back():
         new, found = P.replaced(f"to {value} now", there)
         assert len(new) == len(value) + 7 and new != f"to {value} now" and len(found) == 1
         assert P.replaced(new, back)[0] == f"to {value} now"
+
+
+class PlainPermutation:
+    """A second version of the network: halves as lists of bits, rounds written out."""
+
+    def __init__(self, key):
+        self.key = key
+
+    def round(self, tag, i, half, x):
+        from hashlib import blake2b
+        size, out, n = (half + 7) // 8, b"", 0
+        while len(out) < size:
+            data = bytes([i]) + len(tag).to_bytes(2, "big") + tag + x.to_bytes(size, "big") + len(out).to_bytes(2, "big")
+            out += blake2b(data, key=self.key, digest_size=min(64, max(16, size))).digest()
+            n += 1
+        return int.from_bytes(out[:size], "big") % (1 << half)
+
+    def walk(self, name, x, size):
+        bits = 0
+        while 1 << bits < size:
+            bits += 1
+        half, tag = (bits + 1) // 2, f"{name}/{size}".encode()
+        while True:
+            a, b = divmod(x, 1 << half)
+            for i in range(10):
+                a, b = b, a ^ self.round(tag, i, half, b)
+            x = a * (1 << half) + b
+            if x < size:
+                return x
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 999, 10**4, 10**15, 898 * 99 * 9999, 26**40])
+def test_the_network_equals_a_second_version(size):
+    second = PlainPermutation(KEY)
+    for x in {0, 1, size // 3, size // 2, size - 1}:
+        assert DO.walk("card", x, size) == second.walk("card", x, size)
+
+
+def luhn(digits):
+    total = 0
+    for n, d in enumerate(reversed(digits)):
+        d = d * (1 + n % 2)
+        total += d // 10 + d % 10
+    return total % 10 == 0
+
+
+def plain_kind(token):
+    """What a word by itself is, without patterns."""
+    digits = [int(c) for c in token if c.isdigit()]
+    parts = token.split(".")
+    if token.count("@") == 1:
+        return "email"
+    if len(parts) == 4 and all(p.isdigit() and len(p) < 4 for p in parts):
+        return "ipv4" if all(int(p) < 256 and str(int(p)) == p for p in parts) else None
+    for sep in "-/.":
+        p = token.split(sep)
+        if len(p) == 3 and all(x.isdigit() for x in p) and [len(x) for x in p] in ([4, 2, 2], [2, 2, 4]):
+            orders = [(0, 1, 2)] if len(p[0]) == 4 else [(2, 0, 1), (2, 1, 0)]
+            for order in orders:
+                try:
+                    if 1900 <= date(*(int(p[i]) for i in order)).year < 2100:
+                        return "day"
+                except ValueError:
+                    pass
+        if sep == "-" and [len(x) for x in p] == [3, 2, 4] and all(x.isdigit() for x in p):
+            a, g, s = map(int, p)
+            return "ssn" if 0 < a < 900 and a != 666 and g and s else None
+    if token.isdigit() and 13 <= len(token) <= 19:
+        return "card" if luhn(digits) and len(set(digits)) > 1 else None
+    return None
+
+
+def test_found_are_the_words_a_second_version_finds():
+    import random
+    r = random.Random(21)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+
+    def word():
+        k = r.randrange(9)
+        if k == 0:
+            return f"{r.choice(['ann', 'b.c', 'x_1'])}@mail{r.randrange(9)}.example.com"
+        if k == 1:
+            return ".".join(str(r.choice([0, 7, 99, 255, 256, 300])) for _ in range(4))
+        if k in (2, 3):
+            sep = r.choice("-/.")
+            y, m, d = str(r.choice([1899, 1900, 2024, 2100])), f"{r.randrange(0, 14):02}", f"{r.randrange(0, 33):02}"
+            return sep.join(r.choice([(y, m, d), (m, d, y), (d, m, y)]))
+        if k == 4:
+            return f"{number(3)}-{number(2)}-{number(4)}"
+        if k in (5, 6):
+            x = number(r.choice([12, 13, 15, 16, 19, 20]))
+            return x[:-1] + str(P.check_digit([int(c) for c in x[:-1]])) if r.random() < 0.6 else x
+        return r.choice(["word", "a1", "12", "3.5", "x-y"])
+
+    for _ in range(1500):
+        words = [word() for _ in range(r.randint(1, 8))]
+        text = " and ".join(words)
+        want = [(plain_kind(w), w) for w in words if plain_kind(w)]
+        new, found = P.replaced(text, DO)
+        assert [(f["kind"], text[f["start"]:f["end"]]) for f in found] == want, text
+        if found:
+            assert [plain_kind(new[f["start"]:f["end"]]) for f in found] == [k for k, _ in want] and P.replaced(new, UNDO)[0] == text

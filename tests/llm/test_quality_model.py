@@ -80,3 +80,60 @@ def test_one_class_or_none(spark, few):
     assert {r.predicted for r in Q.with_scores(few, None).collect()} == {1}
     model = Q.train(few, spark.createDataFrame([(1, 1), (100, 0)], "doc_id long, quality int"))
     assert Q.with_scores(few.limit(0), model).count() == 0
+
+
+def plain_all(text, bits):
+    """All features of a text, shares of doubled words included."""
+    words = (text or "").split()
+    share = sum(a == b for a, b in zip(words, words[1:])) / max(1, len(words) - 1)
+    return plain_features(text or "", bits) | {(1 << bits) + i for i, s in enumerate((0.01, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8)) if share > s}
+
+
+def test_counts_ratios_and_scores_equal_a_plain_version(spark, few):
+    """Class counts over all labelled rows, smoothed log-count ratios, scaled rows of length one, the logistic curve."""
+    bits = 12
+    labels = {**{i: 1 for i in range(35)}, **{i: 0 for i in range(100, 133)}, 500: 1, 502: 0, 3: 1}
+    model = Q.train(few, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"), bits=bits)
+    rows = [(r.doc_id, r.text) for r in few.collect()]
+    size = (1 << bits) + 8
+    n, docs = np.zeros((2, size), int), [0, 0]
+    for i, text in rows:
+        if i in labels:
+            docs[labels[i]] += 1
+            for f in plain_all(text, bits):
+                n[labels[i], f] += 1
+    ratio = np.log((n[1] + 1) / (docs[1] + 2)) - np.log((n[0] + 1) / (docs[0] + 2))
+    ratio[n.sum(axis=0) == 0] = 0
+    assert np.allclose(model.square, ratio ** 2, rtol=0, atol=1e-12)
+    got = {(r.doc_id, r.text): r.score for r in Q.with_scores(few, model).collect()}
+    for i, text in rows:
+        x = sorted(plain_all(text, bits))
+        length = np.sqrt((ratio[x] ** 2).sum())
+        margin = sum(model.weight[f] for f in x) / length + model.bias if length else model.bias
+        assert got[i, text] == pytest.approx(1 / (1 + np.exp(-(model.slope * margin + model.offset))), abs=1e-9)
+
+
+def test_fitted_weights_minimise_the_hinge_loss_of_the_scaled_rows(spark, few):
+    """The weights are those of the plain rows: no small change lowers the loss of the part that was fitted."""
+    bits, share = 10, 0.5
+    texts = [f"some clean words number {i} here" for i in range(30)] + [f"B*D {i} ### $$$ !!!" for i in range(30)]
+    y = np.array([1] * 30 + [-1] * 30)
+    features = [sorted(plain_all(t, bits)) for t in texts]
+    size = (1 << bits) + 8
+    n = np.zeros((2, size))
+    for f, label in zip(features, y):
+        n[int(label > 0), f] += 1
+    ratio = np.log((n[1] + 1) / 32) - np.log((n[0] + 1) / 32)
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array(texts), pa.array([int(v > 0) for v in y])], names=["t", "q"])
+    out = next(iter(Q._fit(bits, ratio, share)([batch])))
+    w = np.divide(np.frombuffer(out.column(0)[0].as_py()), ratio, out=np.zeros(size), where=ratio != 0)
+    bias = out.column(1)[0].as_py()
+    x = np.zeros((60, size))
+    for i, f in enumerate(features):
+        x[i, f] = ratio[f] / np.sqrt((ratio[f] ** 2).sum())
+    part = np.arange(60) % 4 != 3
+    loss = lambda w, b: (w @ w + b * b) / 2 + np.maximum(0, 1 - y[part] * (x[part] @ w + b)).sum()
+    best, r = loss(w, bias), np.random.default_rng(2)
+    for _ in range(200):
+        assert loss(w + 0.02 * r.normal(size=size) * (ratio != 0), bias + 0.02 * r.normal()) >= best - 1e-2

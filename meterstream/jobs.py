@@ -66,30 +66,34 @@ def _source(args):
                         max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions)
 
 
-def _settings(args, spark, name):
+def _settings(args, spark, name, stopper=None):
     from .streaming.queries import QuerySettings
     root = (args.checkpoints or f"{shared_dir(spark)}/meterstream-checkpoints").rstrip("/")
     # Spark takes all that is there as one batch of an archive under availableNow, so a drained archive stops by itself.
     return QuerySettings(name=name, checkpoint=f"{root}/{name}", trigger=args.trigger,
-                         available_now=args.available_now and not args.archive, drain=bool(args.available_now and args.archive))
+                         available_now=args.available_now and not args.archive, drain=bool(args.available_now and args.archive),
+                         stopper=stopper)
 
 
 def cmd_train(args) -> None:
     from .operators.training import fit_model
-    from .schema import TRAINING_SCHEMA
+    from .sources import csv
     from .sources.models import save_model
     spark = build_session(app="meterstream-train")
     if args.input.endswith(".parquet"):
         df = spark.read.parquet(args.input)
     else:
-        df = spark.read.schema(TRAINING_SCHEMA).option("header", True).csv(args.input)
+        lines = csv.read_csv(spark, args.input)
+        df = csv.rows(lines)
+        if args.rejects:
+            csv.rejects(lines).write.mode("error").parquet(args.rejects)
     model, pipeline = fit_model(df, k=args.k, seed=args.seed, threshold_rule=args.threshold_rule)
     version = save_model(spark, args.models, model, pipeline)
     print(f"model saved to {version}; threshold {model.threshold}")
 
 
 def _run_streams(args, detector_name: str) -> None:
-    from .streaming.progress import ProgressLog, await_all, drain
+    from .streaming.progress import ProgressLog, Stopper, await_all, drain
     from .streaming.queries import aggregate_query, current_model_detector, rule_detector, scoring_query, state_partitions
     from .streaming.sources import envelope_stream
     from .operators import windows
@@ -106,6 +110,8 @@ def _run_streams(args, detector_name: str) -> None:
     else:
         detector = rule_detector()
         metrics = windows.RULE_METRICS
+    stopper = Stopper(spark, args.stop_marker)
+    stopper.on_sigterm()
     watermark = None if args.watermark.lower() == "none" else args.watermark
     if watermark is None and args.output_mode == "append":
         raise SystemExit("append mode needs a watermark")
@@ -114,12 +120,15 @@ def _run_streams(args, detector_name: str) -> None:
     with state_partitions(spark, args.shuffle_partitions):
         try:
             running.append(aggregate_query(
-                env, _sinks_for(args, "aggregations"), _settings(args, spark, f"{detector_name}-aggregations"),
+                env, _sinks_for(args, "aggregations"), _settings(args, spark, f"{detector_name}-aggregations", stopper),
                 duration=args.window, metrics=metrics, watermark=watermark, output_mode=args.output_mode))
             running.append(scoring_query(
-                env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies"),
+                env, detector, _sinks_for(args, "anomalies"), _settings(args, spark, f"{detector_name}-anomalies", stopper),
                 reject_sinks=[ParquetSink(f"{args.results.rstrip('/')}/rejects")]))
-            (drain if args.available_now and args.archive else await_all)(running)
+            if args.available_now and args.archive:
+                drain(running)
+            else:
+                await_all(running, stopper=stopper)
         except KeyboardInterrupt:
             pass  # await_all has stopped them
         finally:
@@ -215,6 +224,7 @@ def main(argv=None) -> int:
     t = sub.add_parser("train", help="fit scaler, K-means and threshold; save a new model version")
     t.add_argument("--input", required=True)
     t.add_argument("--models", required=True)
+    t.add_argument("--rejects", default=None, help="where CSV lines that don't fit are written; else they are left out")
     t.add_argument("--k", type=int, default=C.KMEANS_K)
     t.add_argument("--seed", type=int, default=C.KMEANS_SEED)
     t.add_argument("--threshold-rule", choices=("mean+3sd", "p95", "p95-approx"), default="mean+3sd")
@@ -245,6 +255,8 @@ def main(argv=None) -> int:
                        help="update: a revision per touching batch; append: each window once, when closed")
         s.add_argument("--trigger", default=C.TRIGGER_INTERVAL)
         s.add_argument("--available-now", action="store_true")
+        s.add_argument("--stop-marker", default=None,
+                       help="a path; once something is there (or on SIGTERM) the queries stop when their batches have ended")
         s.add_argument("--documents", default=None, help="document sink format, e.g. mongodb or json")
         s.add_argument("--jdbc-url", default=None)
         s.add_argument("--jdbc-user", default=None)

@@ -9,6 +9,7 @@ from ..model import FROZEN
 from ..operators import scoring, thresholds, training
 from ..schema import TRAINING_SCHEMA
 from ..session import delete_path, scratch_path
+from ..sources import csv
 from ..sources.models import load_model, save_model
 from ..sources.tables import readings, with_status
 from .compare import r6
@@ -24,6 +25,39 @@ def readings_csv(spark, sf_dir):
     return spark.read.schema(TRAINING_SCHEMA).option("header", True).csv(path)
 
 
+def csv_rejects(spark, sf_dir):
+    """Readings as CSV, columns in another order, two lines of five spoilt: those that fit and those that are set aside."""
+    path = scratch_path(spark, "spoilt-csv")
+    kind, text = F.col("reading_id") % 5, lambda c: F.col(c).cast("string")
+    r = with_status(readings(spark, sf_dir))
+    (r.select("reading_id", iso_text("timestamp").alias("timestamp"), "status",
+              F.when(kind == 1, "ground").otherwise(text("floor")).alias("floor"), "building", text("water").alias("water"),
+              F.when(kind == 2, "12,5").otherwise(text("electricity")).alias("electricity"))
+     .write.option("header", True).csv(path))
+    delete_path(spark, path, at_exit=True)
+    lines = csv.read_csv(spark, path)
+    fit = csv.rows(lines).select(F.col("reading_id").cast("long").alias("reading_id"), "building", "floor", "electricity", "water",
+                                 F.lit(None).cast("string").alias("reason"))
+    bad = csv.rejects(lines).select(F.split("raw", ",")[0].cast("long").alias("reading_id"), F.lit(None).cast("string").alias("building"),
+                                    F.lit(None).cast("int").alias("floor"), F.lit(None).cast("double").alias("electricity"),
+                                    F.lit(None).cast("double").alias("water"), "reason")
+    return fit.union(bad)
+
+
+def kmeans_step(spark, sf_dir):
+    """Each fitted centre against the mean of the rows nearest to it (a step of Lloyd's algorithm): they agree within the tolerance."""
+    r = scoring.valid_features(readings(spark, sf_dir))
+    model, _ = training.fit_model(r)
+    scored = scoring.score(r, model)
+    means = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[
+        ((F.avg(f) - F.lit(m)) / F.lit(s)).alias(f"mean_{f}") for f, m, s in zip(model.features, model.mean, model.std)])
+    centre = lambda i: F.get(F.array(*[F.lit(float(c[i])) for c in model.centres]), F.col("cluster"))
+    far = F.sqrt(sum(((F.col(f"mean_{f}") - centre(i)) ** 2 for i, f in enumerate(model.features)), F.lit(0.0)))
+    # k-means ends when no centre moves by more than its tolerance, or after its last round.
+    return means.withColumn("moved", far).agg(F.sum("n").alias("readings"), F.count(F.lit(1)).alias("clusters"),
+                                              (F.max("moved") < 0.01).alias("settled"))
+
+
 def kmeans_fit(spark, sf_dir):
     """Scaler + K-means + threshold fitted on the readings: the scaler, the cluster sizes' sum, the threshold's error."""
     r = readings(spark, sf_dir)
@@ -69,6 +103,8 @@ def pipeline_roundtrip(spark, sf_dir):
 
 MODEL_QUERIES = {
     "readings_csv": readings_csv,
+    "csv_rejects": csv_rejects,
+    "kmeans_step": kmeans_step,
     "kmeans_fit": kmeans_fit,
     "model_roundtrip": model_roundtrip,
     "pipeline_roundtrip": pipeline_roundtrip,

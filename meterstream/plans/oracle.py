@@ -145,6 +145,15 @@ SELECT building, count(*) AS anomaly_count, {r6('avg(dist)')} AS avg_distance
 FROM scored WHERE dist > {dbl(FROZEN.threshold)} GROUP BY building""",
 }
 
+ORACLE["csv_rejects"] = with_ctes(READINGS) + """
+SELECT reading_id, CASE WHEN reading_id % 5 NOT IN (1, 2) THEN building END AS building,
+       CASE WHEN reading_id % 5 NOT IN (1, 2) THEN floor END AS floor,
+       CASE WHEN reading_id % 5 NOT IN (1, 2) THEN electricity END AS electricity,
+       CASE WHEN reading_id % 5 NOT IN (1, 2) THEN water END AS water,
+       CASE WHEN reading_id % 5 IN (1, 2) THEN 'bad_csv' END AS reason FROM readings"""
+ORACLE["kmeans_step"] = with_ctes(READINGS) + """
+SELECT count(*) AS readings, 3 AS clusters, true AS settled FROM readings
+WHERE electricity IS NOT NULL AND water IS NOT NULL AND isfinite(electricity) AND isfinite(water)"""
 ORACLE["threshold_kll"] = with_ctes(READINGS, scored_cte()) + f"""
 SELECT building, count(dist) AS n, true AS within FROM scored
 WHERE "timestamp" >= TIMESTAMP '{TREND_LO}' AND "timestamp" < TIMESTAMP '{TREND_HI}' GROUP BY building"""

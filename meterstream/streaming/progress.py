@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import signal
 import threading
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -76,16 +79,66 @@ def drain(queries: list[StreamingQuery]) -> None:
             raise failure
 
 
-def await_all(queries: list[StreamingQuery], poll_s: float = 0.5) -> None:
+class Stopper:
+    """Ends queries between two batches, so that none is run twice.
+
+    Asked for by ``request``, by a marker (a path that comes to exist) or by
+    SIGTERM.  The batch that runs then ends and is committed.  Batches pass
+    ``gate`` before they do anything: one that begins later ends its query
+    there, and runs whole after the next start.
+    """
+
+    def __init__(self, spark=None, marker: str | None = None):
+        self.spark, self.marker = spark, marker
+        self.asked, self.held = threading.Event(), set()
+
+    def request(self) -> None:
+        self.asked.set()
+
+    def on_sigterm(self) -> None:
+        if threading.current_thread() is threading.main_thread():
+            signal.signal(signal.SIGTERM, lambda *_: self.request())
+
+    def requested(self) -> bool:
+        if not self.asked.is_set() and self.marker is not None:
+            from ..session import path_exists
+            if path_exists(self.spark, self.marker):
+                self.asked.set()
+        return self.asked.is_set()
+
+    def gate(self, query: str) -> None:
+        if self.requested():
+            self.held.add(query)
+            raise RuntimeError(f"{query} was stopped before its batch began")
+
+    def stop(self, queries: list[StreamingQuery], poll_s: float = 0.1) -> None:
+        """Stops each query once it waits for its trigger or for data, or has ended at the gate."""
+        for q in queries:
+            while q.isActive and q.status["isTriggerActive"]:
+                time.sleep(poll_s)
+            if q.isActive:
+                q.stop()
+            elif (failure := q.exception()) is not None and q.name not in self.held:
+                raise failure
+
+
+def await_all(queries: list[StreamingQuery], poll_s: float = 0.5, stopper: Stopper | None = None) -> None:
     """Waits until every query has ended; the first that fails stops the others and is raised."""
     try:
         while active := [q for q in queries if q.isActive]:
+            if stopper is not None and stopper.requested():
+                stopper.stop(queries)
+                return
             for q in queries:
-                if (failure := q.exception()) is not None:
+                if (failure := q.exception()) is not None and (stopper is None or q.name not in stopper.held):
                     raise failure
-            active[0].awaitTermination(poll_s)
+            try:
+                active[0].awaitTermination(poll_s)
+            except StreamingQueryException:
+                if stopper is None or active[0].name not in stopper.held:
+                    raise
         for q in queries:
-            if (failure := q.exception()) is not None:
+            if (failure := q.exception()) is not None and (stopper is None or q.name not in stopper.held):
                 raise failure
     except BaseException:
         for q in queries:

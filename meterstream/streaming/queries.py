@@ -28,6 +28,7 @@ from ..functions.rules import rule_breach, rule_status
 from ..model import MeterModel
 from ..operators import parse, scoring, windows
 from ..sinks.adapters import PLACE, Batch
+from .progress import Stopper
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,7 @@ class QuerySettings:
     checkpoint: str
     trigger: str | None = C.TRIGGER_INTERVAL    # processing-time interval
     available_now: bool = False                 # drain what is there, then stop
+    stopper: Stopper | None = None              # ends the query between two batches
     drain: bool = False                         # one micro-batch after another; the caller drains it (progress.drain)
 
 
@@ -105,6 +107,8 @@ class _Run:
         self.settings, self.id = settings, None
 
     def batch(self, spark, batch_id: int) -> Batch:
+        if self.settings.stopper is not None:
+            self.settings.stopper.gate(self.settings.name)
         if self.id is None:
             self.id = run_id(spark, self.settings.checkpoint)
         return Batch(self.settings.name, self.id, int(batch_id))
@@ -160,7 +164,8 @@ def rollup_query(envelope: DataFrame, shape: Callable[[DataFrame], DataFrame], s
     readings, named = parse.valid(observed(parse.decode(envelope))), _Run(settings)
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
-        rolled, batch = shape(batch_df), named.batch(batch_df.sparkSession, batch_id)
+        batch = named.batch(batch_df.sparkSession, batch_id)
+        rolled = shape(batch_df)
         for s in sinks:
             s.write(rolled, batch)
 
@@ -205,10 +210,10 @@ def scoring_query(envelope: DataFrame, detector: Detector, anomaly_sinks: Sequen
     shared, named = len(anomaly_sinks) + len(reject_sinks) > 1, _Run(settings)
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
+        batch = named.batch(batch_df.sparkSession, batch_id)
         if shared:
             batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            batch = named.batch(batch_df.sparkSession, batch_id)
             found = detector(batch_df.filter(F.col("reason").isNull()))
             for s in anomaly_sinks:
                 s.write(found, batch)

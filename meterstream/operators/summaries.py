@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -46,22 +46,27 @@ def moments(rows: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("date",
     return rows.groupBy(*keys).agg(*out)
 
 
+def _merged(a: Column, b: Column) -> Column:
+    """Count, mean and squared differences of two sets of values together."""
+    n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+    both = F.struct(n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
+                    (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+    return F.when(a["n"] == 0, b).when(b["n"] == 0, a).otherwise(both)
+
+
 def merged_moments(stored: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Moments of several dates as those of all their rows.
+    """Moments of several dates as those of all their rows, merged one after another (a row for each date and key).
 
-    The differences of the dates' means from the whole mean are added up, not
-    squares of the values, so nothing cancels.
+    The differences of means are added up, not squares of the values, so
+    nothing cancels.
     """
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # a row for each date, not for each reading
-    step = stored
-    for c in cols:
-        step = step.withColumn(f"{c}_all", F.sum(F.col(f"{c}_n") * F.col(f"{c}_mean")).over(whole) / F.sum(f"{c}_n").over(whole))
-    out = []
-    for c in cols:
-        off = F.col(f"{c}_mean") - F.col(f"{c}_all")
-        out += [F.sum(f"{c}_n").alias(f"{c}_n"), F.first(f"{c}_all", True).alias(f"{c}_mean"),
-                F.sum(F.col(f"{c}_m2") + F.col(f"{c}_n") * off * off).alias(f"{c}_m2")]
-    return step.groupBy(*keys).agg(*out)
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    each = [F.collect_list(F.struct(F.col(f"{c}_n").alias("n"), F.coalesce(f"{c}_mean", F.lit(0.0)).alias("mean"),
+                                    F.coalesce(f"{c}_m2", F.lit(0.0)).alias("m2"))).alias(c) for c in cols]
+    whole = stored.groupBy(*keys).agg(*each).select(*keys, *[F.reduce(c, none, _merged).alias(c) for c in cols])
+    return whole.select(*keys, *[x for c in cols for x in (
+        F.col(f"{c}.n").alias(f"{c}_n"), F.when(F.col(f"{c}.n") > 0, F.col(f"{c}.mean")).alias(f"{c}_mean"),
+        F.when(F.col(f"{c}.n") > 0, F.col(f"{c}.m2")).alias(f"{c}_m2"))])
 
 
 def sample_std(col: str) -> Column:

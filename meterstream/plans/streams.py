@@ -353,7 +353,7 @@ def stored_compacted(spark, sf_dir):
     """
     out = _out(spark, "stored_compacted")
     table = f"{out}/aggregations"
-    _aggregates(spark, sf_dir, "stored_compacted", [ParquetSink(table)])
+    _aggregates(spark, sf_dir, "stored_compacted", [ParquetSink(table)], records=_limit(spark, sf_dir))
 
     def seen(stage: str) -> DataFrame:
         path = f"{out}/seen/{stage}"  # written at once: the next stage changes what is stored

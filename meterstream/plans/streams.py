@@ -1,8 +1,8 @@
 """Named queries that run real streaming queries over records staged from the tables.
 
 Each call stages the readings as topic records under the shared scratch
-folder, runs the query to completion (``availableNow``) one file per
-micro-batch, and returns what the sinks hold.  Staged records and checkpoints
+folder, runs the query to completion (``availableNow``) in about a dozen
+micro-batches at any size, and returns what the sinks hold.  Staged records and checkpoints
 are deleted when the query has ended, what the result reads at exit.
 """
 
@@ -30,7 +30,7 @@ from ..sources.tables import readings, with_status
 from ..streaming.archive import expire, write_archive
 from ..streaming.checkpoint import LateRows, open_windows
 from ..streaming.progress import ProgressLog, await_all, drain
-from ..streaming.queries import (QuerySettings, aggregate_query, current_model_detector, model_detector, rollup_query,
+from ..streaming.queries import (QuerySettings, aggregate_query, current_model_detector, model_detector, parallelism, rollup_query,
                                  rule_detector, scoring_query, state_partitions)
 from ..streaming.replay import RECORDS_PER_FILE, stage_replay
 from ..streaming.sources import SourceConfig, envelope_stream
@@ -38,11 +38,28 @@ from .compare import r6
 from .oracle import TREND_HI, TREND_LO
 
 
-def replay_source(spark: SparkSession, sf_dir: str, records: int = RECORDS_PER_FILE) -> SourceConfig:
-    """Readings staged as topic records, in no particular order."""
-    path = scratch_path(spark, "replay")
+#: Micro-batches that the records of the tables are read in, whatever their size.
+BATCHES = 12
+
+
+def _limit(spark, sf_dir) -> int:
+    return 1 + readings(spark, sf_dir, water=False).count() // BATCHES
+
+
+def replay_source(spark: SparkSession, sf_dir: str, records: int | None = None) -> SourceConfig:
+    """Readings staged as topic records, in no particular order.
+
+    A micro-batch reads a file of ``records``, else as many files as tasks run
+    at once, which hold a share of the table: a batch costs about a second
+    besides its rows, so their number must not grow with the table.
+    """
+    path, files = scratch_path(spark, "replay"), 1
+    if records is None:
+        batch = max(RECORDS_PER_FILE, _limit(spark, sf_dir))
+        files = min(-(-batch // RECORDS_PER_FILE), parallelism(spark))
+        records = -(-batch // files)
     stage_replay(parse.to_envelope(with_status(readings(spark, sf_dir))), path, records_per_file=records)
-    return SourceConfig(kind="files", path=path, max_files_per_trigger=1)
+    return SourceConfig(kind="files", path=path, max_files_per_trigger=files)
 
 
 #: Topic partitions of the archives made here, and their segments in all.
@@ -79,7 +96,7 @@ def _forget(spark, src: SourceConfig, *settings: QuerySettings) -> None:
         delete_path(spark, path)
 
 
-def _aggregates(spark, sf_dir, name, sinks, records=RECORDS_PER_FILE) -> None:
+def _aggregates(spark, sf_dir, name, sinks, records=None) -> None:
     src, settings = replay_source(spark, sf_dir, records), _settings(spark, name)
     with state_partitions(spark):
         await_all([aggregate_query(envelope_stream(spark, src), sinks, settings, duration="1 hour",
@@ -87,14 +104,6 @@ def _aggregates(spark, sf_dir, name, sinks, records=RECORDS_PER_FILE) -> None:
     _forget(spark, src, settings)
 
 
-#: Micro-batches that an archive of the tables is read in, whatever its size.
-BATCHES = 12
-
-
-def _limit(spark, sf_dir) -> int:
-    return 1 + readings(spark, sf_dir, water=False).count() // BATCHES
-
-
 def _closed_windows(spark, sf_dir, name, watermark="2 hours"):
     """Runs an append query over an archive, all topic partitions level in time; returns its source and settings."""
     src = archive_source(spark, sf_dir, max_offsets_per_trigger=_limit(spark, sf_dir), level_in_time=True)
@@ -105,7 +114,7 @@ def _closed_windows(spark, sf_dir, name, watermark="2 hours"):
     return src, settings, out
 
 
-def _scoring(spark, sf_dir, name, detector, sinks, records=RECORDS_PER_FILE) -> None:
+def _scoring(spark, sf_dir, name, detector, sinks, records=None) -> None:
     src, settings = replay_source(spark, sf_dir, records=records), _settings(spark, name)
     await_all([scoring_query(envelope_stream(spark, src), detector, sinks, settings)])
     _forget(spark, src, settings)
@@ -121,7 +130,7 @@ def _latest(rows: DataFrame) -> DataFrame:
     return _r6(latest.select(*AGG_COLS), "avg_electricity", "avg_water")
 
 
-def stream_window_agg(spark, sf_dir, records=RECORDS_PER_FILE):
+def stream_window_agg(spark, sf_dir, records=None):
     """Update mode, records out of time order: newest revision per window = the batch result."""
     out = _out(spark, "stream_window_agg")
     _aggregates(spark, sf_dir, "stream_window_agg", [ParquetSink(f"{out}/aggregations")], records=records)
@@ -170,7 +179,7 @@ def stream_rule_anomalies(spark, sf_dir):
     return read_results(spark, "anomalies", out).select(*RULE_COLS)
 
 
-def stream_model_anomalies(spark, sf_dir, records=RECORDS_PER_FILE):
+def stream_model_anomalies(spark, sf_dir, records=None):
     out = _out(spark, "stream_model_anomalies")
     _scoring(spark, sf_dir, "stream_model_anomalies", model_detector(FROZEN), [ParquetSink(f"{out}/anomalies")], records)
     return _r6(read_results(spark, "anomalies", out).select(*ANOMALY_COLS), "dist")

@@ -68,6 +68,14 @@ def use_rocksdb_state(spark) -> None:
 SHUFFLE_KEY = "spark.sql.shuffle.partitions"
 
 
+def parallelism(spark) -> int:
+    """Tasks that the cluster runs at once."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.default.parallelism", "200"))
+
+
 @contextmanager
 def state_partitions(spark, n: int | None = None):
     """Run a stateful query with ``n`` state partitions, or where the session has not chosen a count.
@@ -81,10 +89,7 @@ def state_partitions(spark, n: int | None = None):
         yield
         return
     if n is None:
-        try:
-            n = spark.sparkContext.defaultParallelism
-        except Exception:  # no SparkContext (Spark Connect)
-            n = int(spark.conf.get("spark.default.parallelism", "200"))
+        n = parallelism(spark)
     spark.conf.set(SHUFFLE_KEY, str(n))
     try:
         yield

@@ -2,16 +2,16 @@
 
 The file source reads files in the order in which they were written, and one
 job writes them all, so records come in no particular order.  A run that needs
-them in time order reads an archive (``streaming/archive.py``) instead.  A file
-holds a bounded number of records, so a micro-batch of a few files doesn't grow
-with the table.
+them in time order reads an archive (``streaming/archive.py``) instead.  The
+caller says how many records a file holds, and so how many micro-batches there
+are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-#: Records of one staged file; a micro-batch reads one file unless told otherwise.
+#: Records of one staged file unless told otherwise.
 RECORDS_PER_FILE = 4_000
 
 

@@ -164,3 +164,28 @@ def test_detected_at_is_constant_within_a_batch(spark):
                       settings(spark, "det"))
     await_all([q])
     assert spark.read.parquet(out).select("detected_at").distinct().count() == 1
+
+
+def test_micro_batches_do_not_grow_in_number_with_the_table(spark, tmp_path):
+    from meterstream.plans import streams
+    from pyspark.sql import functions as F
+    n = 100_000  # once 25 micro-batches, a file of 4,000 records each
+    i = F.col("event_id")
+    ts = F.timestamp_seconds(1_704_067_200 + i * 7).cast("timestamp_ntz")
+    (spark.range(n).withColumnRenamed("id", "event_id")
+     .select("event_id", ts.alias("ts"), (i % 97).alias("user_id"), F.concat(F.lit("b"), i % 5).alias("event_type"),
+             (i % 601).cast("double").alias("value"), F.format_string('{"k": %d}', i % 99).alias("props"))
+     .coalesce(1).write.parquet(str(tmp_path / "events.parquet")))
+    src = streams.replay_source(spark, str(tmp_path))
+    assert src.max_files_per_trigger > 1                 # a batch is read by several tasks
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = scoring_query(envelope_stream(spark, src), model_detector(FROZEN), [ParquetSink(scratch_path(spark, "few"))],
+                          settings(spark, "few-batches"))
+        await_all([q])
+        log.drain([q])
+    finally:
+        spark.streams.removeListener(log)
+    t = log.totals["few-batches"]
+    assert t["input_rows"] == n and 1 < t["batches"] <= streams.BATCHES + 1

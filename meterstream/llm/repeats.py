@@ -131,6 +131,29 @@ def _repeated(batches):
                                           pa.array([LAST], pa.int32())], names=names)
 
 
+FOUND = "id long, key long, unit int, start long, end long, words int, first long"
+
+
+def _settled(begun: dict):
+    """Of units of the digests that tasks begin with, those that came before; ``begun``: the first of each task's last digest."""
+    names = [f.split()[0] for f in FOUND.split(", ")]
+
+    def rows(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("h1", "h2", "id", "key", "kind")}
+            first_id, first_key = (batch.column(n).to_numpy(zero_copy_only=False).copy() for n in ("first_id", "first_key"))
+            new = np.flatnonzero((c["h1"][1:] != c["h1"][:-1]) | (c["h2"][1:] != c["h2"][:-1])) + 1
+            for b, e in zip([0, *new], [*new, batch.num_rows]):
+                if (f := begun.get((int(c["h1"][b]), int(c["h2"][b])))) is not None:
+                    first_id[b:e], first_key[b:e] = f
+            kept = np.flatnonzero((c["kind"] == AGAIN) | (c["id"] != first_id) | (c["key"] != first_key))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n).take(pa.array(kept)) for n in names[:6]], pa.array(first_id[kept])], names=names)
+
+    return rows
+
+
 def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, least_run: int = 1,
                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, key, start, end, words, kept_doc_ids``: passages that came before, of documents by id and text hash.
@@ -143,12 +166,10 @@ def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, l
                    .mapInArrow(_units_of(cut, least_words), UNITS), "units")
     order = ["h1", "h2", "id", "key", "unit"]
     found = staged(every.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_repeated, ROWS), "repeated")
-    # A row for each task.
-    begun = found.filter(F.col("kind") == LAST).groupBy("h1", "h2").agg(F.min(F.struct("first_id", "first_key")).alias("f"))
-    opened = found.filter(F.col("kind").isin(AGAIN, OPEN)).join(F.broadcast(begun), ["h1", "h2"], "left")
-    first = F.least(F.struct("first_id", "first_key"), F.col("f"))  # skips a missing one
-    opened = (opened.withColumn("first", first).filter((F.col("kind") == AGAIN) | (F.col("id") != F.col("first.first_id")) | (F.col("key") != F.col("first.first_key")))
-              .select("id", "key", "unit", "start", "end", "words", F.col("first.first_id").alias("first")))
+    begun: dict[tuple[int, int], tuple[int, int]] = {}  # as many rows as tasks
+    for r in found.filter(F.col("kind") == LAST).select("h1", "h2", "first_id", "first_key").collect():
+        begun[r.h1, r.h2] = min(begun.get((r.h1, r.h2), (r.first_id, r.first_key)), (r.first_id, r.first_key))
+    opened = found.filter(F.col("kind").isin(AGAIN, OPEN)).mapInArrow(_settled(begun), FOUND)
     repeated = (found.filter(F.col("kind") == REPEATED).select("id", "key", "unit", "start", "end", "words", F.col("first_id").alias("first"))
                 .union(opened).groupBy("id", "key", "unit")  # rows that come twice are one document
                 .agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("words").alias("words"), F.min("first").alias("first")))

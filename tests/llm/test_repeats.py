@@ -140,3 +140,23 @@ def test_digests_that_reach_over_tasks(spark, parts):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got[5].text == rows[0][1] and all(x.text.rstrip() == f"own words of {i}" for i, x in got.items() if i > 5)
     assert all([tuple(s.kept_doc_ids) for s in x.removed] == [(5,)] for i, x in got.items() if i > 5)
+
+
+def test_units_of_a_line_that_fills_many_tasks_pass_no_join(spark):
+    """All but its first one go, within their own text too, and each names the document of the first."""
+    rows = [(i, f"the one very common line\nonly number {i} says this\nthe one very common line") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id")
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = R.repeated_passages(docs)
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r.id, r.start, tuple(r.kept_doc_ids)) for r in found.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    second = rows[0][1].rindex("the")
+    assert [x for x in got if x[0] == 0] == [(0, second, (0,))]
+    assert len(got) == 2 * 400 - 1 and {k for _, _, k in got} == {(0,)}

@@ -201,7 +201,7 @@ def test_the_network_equals_a_second_version(size):
         assert DO.walk("card", x, size) == second.walk("card", x, size)
 
 
-def luhn(digits):
+def luhn_of(digits):
     total = 0
     for n, d in enumerate(reversed(digits)):
         d = d * (1 + n % 2)
@@ -231,7 +231,7 @@ def plain_kind(token):
             a, g, s = map(int, p)
             return "ssn" if 0 < a < 900 and a != 666 and g and s else None
     if token.isdigit() and 13 <= len(token) <= 19:
-        return "card" if luhn(digits) and len(set(digits)) > 1 else None
+        return "card" if luhn_of(digits) and len(set(digits)) > 1 else None
     return None
 
 

@@ -135,7 +135,7 @@ FOUND = "id long, key long, unit int, start long, end long, words int, first lon
 
 
 def _settled(begun: dict):
-    """Of units of the digests that tasks begin with, those that came before; ``begun``: the first of each task's last digest."""
+    """Repeated units and the document of their first; ``begun``: the first of each task's last digest."""
     names = [f.split()[0] for f in FOUND.split(", ")]
 
     def rows(batches):
@@ -144,11 +144,12 @@ def _settled(begun: dict):
                 continue
             c = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("h1", "h2", "id", "key", "kind")}
             first_id, first_key = (batch.column(n).to_numpy(zero_copy_only=False).copy() for n in ("first_id", "first_key"))
-            new = np.flatnonzero((c["h1"][1:] != c["h1"][:-1]) | (c["h2"][1:] != c["h2"][:-1])) + 1
-            for b, e in zip([0, *new], [*new, batch.num_rows]):
-                if (f := begun.get((int(c["h1"][b]), int(c["h2"][b])))) is not None:
-                    first_id[b:e], first_key[b:e] = f
-            kept = np.flatnonzero((c["kind"] == AGAIN) | (c["id"] != first_id) | (c["key"] != first_key))
+            opening = np.flatnonzero(c["kind"] != REPEATED)  # of digests that tasks begin with
+            h1, h2 = c["h1"][opening], c["h2"][opening]
+            for some in np.split(opening, np.flatnonzero((h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])) + 1):
+                if len(some) and (f := begun.get((int(c["h1"][some[0]]), int(c["h2"][some[0]])))) is not None:
+                    first_id[some], first_key[some] = f
+            kept = np.flatnonzero((c["kind"] != OPEN) | (c["id"] != first_id) | (c["key"] != first_key))
             yield pa.RecordBatch.from_arrays([*[batch.column(n).take(pa.array(kept)) for n in names[:6]], pa.array(first_id[kept])], names=names)
 
     return rows
@@ -169,9 +170,7 @@ def repeated_passages(docs: DataFrame, cut: str = LINES, least_words: int = 3, l
     begun: dict[tuple[int, int], tuple[int, int]] = {}  # as many rows as tasks
     for r in found.filter(F.col("kind") == LAST).select("h1", "h2", "first_id", "first_key").collect():
         begun[r.h1, r.h2] = min(begun.get((r.h1, r.h2), (r.first_id, r.first_key)), (r.first_id, r.first_key))
-    opened = found.filter(F.col("kind").isin(AGAIN, OPEN)).mapInArrow(_settled(begun), FOUND)
-    repeated = (found.filter(F.col("kind") == REPEATED).select("id", "key", "unit", "start", "end", "words", F.col("first_id").alias("first"))
-                .union(opened).groupBy("id", "key", "unit")  # rows that come twice are one document
+    repeated = (found.filter(F.col("kind") != LAST).mapInArrow(_settled(begun), FOUND).groupBy("id", "key", "unit")  # rows that come twice are one document
                 .agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("words").alias("words"), F.min("first").alias("first")))
     number = F.row_number().over(Window.partitionBy("id", "key").orderBy("unit"))
     return (repeated.withColumn("run", F.col("unit") - number).groupBy("id", "key", "run")

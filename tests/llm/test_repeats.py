@@ -160,3 +160,30 @@ def test_units_of_a_line_that_fills_many_tasks_pass_no_join(spark):
     second = rows[0][1].rindex("the")
     assert [x for x in got if x[0] == 0] == [(0, second, (0,))]
     assert len(got) == 2 * 400 - 1 and {k for _, _, k in got} == {(0,)}
+
+
+def test_all_repeated_units_are_settled_in_one_pass(spark):
+    """Repeated units stay as they are, also in the text that has their first; of a digest that tasks begin with only the first unit goes."""
+    import pyarrow as pa
+    rows = [(1, 1, 5, 50, 3, 10, 20, 4, 5, 50, R.REPEATED), (2, 2, 6, 60, 0, 0, 9, 3, 6, 60, R.REPEATED), (2, 2, 6, 60, 1, 9, 18, 3, 6, 60, R.OPEN),
+            (2, 2, 7, 70, 1, 9, 18, 3, 6, 60, R.OPEN), (3, 3, 8, 80, 0, 0, 9, 3, 8, 80, R.OPEN), (3, 3, 8, 80, 2, 20, 29, 3, 8, 80, R.AGAIN)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=[f.split()[0] for f in R.ROWS.split(", ")])
+    got = [tuple(r.values()) for b in R._settled({(2, 2): (4, 40)})([batch, batch.slice(0, 0)]) for r in b.to_pylist()]
+    assert got == [(5, 50, 3, 10, 20, 4, 5), (6, 60, 0, 0, 9, 3, 6), (6, 60, 1, 9, 18, 3, 4), (7, 70, 1, 9, 18, 3, 4), (8, 80, 2, 20, 29, 3, 8)]
+    plan = R.repeated_passages(spark.createDataFrame([(1, "a line of words")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+
+
+@pytest.mark.parametrize("n", [300, 600])
+def test_repeats_of_a_common_line_grow_with_its_length(spark, n):
+    """Each of its units but the first gives one row, however many tasks they fill."""
+    rows = [(i, f"the one very common line\nonly number {i} says this") for i in range(n)]
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert R.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == n - 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

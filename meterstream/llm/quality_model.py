@@ -73,8 +73,11 @@ class Model:
 
 
 def hinge_by_dual_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, cost: float = 1.0,
-                          rounds: int = 12, tolerance: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear model with hinge loss; rows are (features, values)."""
+                          rounds: int = 300, tolerance: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear model with hinge loss; rows are (features, values).
+
+    Ends when no row of a round is off by ``tolerance``, or after ``rounds``.
+    """
     order, w, bias, dual = np.random.default_rng(0), np.zeros(size), 0.0, np.zeros(len(rows))
     square = np.array([v @ v + 1 for _, v in rows])  # the bias is a feature of value 1
     for _ in range(rounds):
